@@ -56,9 +56,16 @@ _LABELS = [
 ]
 
 # i: ignore case, u: also for accented letters, d: only \n ends a line.
-_LABELLED = r"(?iud)^(" + "|".join(entry[0] for entry in _LABELS) + r")( de | )\d{4}$"
-_YEARS = r"(?d)^(\d{4})(?:/(\d{4}))?$"
-_LOOKS_LIKE_PERIOD = r"(?iud)^(\dº (trimestre|semestre)( de | )\d{4}|\d{4}(/\d{4})?)$"
+_YEAR = r"((?!0000)\d{4})"
+_PERIOD = (
+    r"(?iud)^(?:(" + "|".join(entry[0] for entry in _LABELS) + rf")(?: de | ){_YEAR}"
+    rf"|{_YEAR}(?:/{_YEAR})?)$"
+)
+_LOOKS_LIKE_PERIOD = (
+    r"(?iud)^(?:(?:\dº (?:trimestre|semestre)|"
+    + "|".join(entry[0] for entry in _LABELS if entry[0].isalpha() or "-" in entry[0])
+    + r")(?: de | )\d{4}|\d{4}(?:/\d{4})?)$"
+)
 
 
 def _label_column(field: int, position: Column, kind: str) -> Column:
@@ -71,59 +78,55 @@ def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = Fals
 
     The frequency is one of the canonical names; a literal of no known form gets
     ``nao_reconhecida`` and nulls. So does a well-formed but impossible one, such
-    as a fifth quarter or the year 0000, unless ``strict`` is set: then it fails.
+    as a fifth quarter or the year 0000; ``strict`` makes those an error.
     """
     text = F.get(F.col(literals), F.lit(0))
     labels = F.array(*[F.lit(entry[0]) for entry in _LABELS])
-    label_year = F.right(F.rtrim(text, F.lit("\n")), F.lit(4)).try_cast("int")
-    first_year = F.regexp_extract(text, _YEARS, 1).try_cast("int")
-    last_year = F.regexp_extract(text, _YEARS, 2).try_cast("int")
-    found = (
-        df.withColumn(
-            "_label",
-            F.coalesce(
-                F.array_position(labels, F.lower(F.regexp_extract(text, _LABELLED, 1))), F.lit(0)
-            ).cast("int"),
-        )
-        .withColumn("_from", F.when(F.col("_label") > 0, label_year).otherwise(first_year))
-        .withColumn(
-            "_to", F.when(F.col("_label") > 0, label_year).otherwise(F.coalesce(last_year, first_year))
-        )
-        .withColumn("_valid", (F.col("_from") >= 1) & (F.col("_to") >= 1))
+
+    def group(number: int) -> Column:
+        return F.regexp_extract(text, _PERIOD, number)
+
+    # Exactly one of the groups 2 and 3 has the first year, unless nothing matches.
+    read = df.withColumns(
+        {
+            "_label": F.array_position(labels, F.lower(group(1))).cast("int"),
+            "_from": F.concat(group(2), group(3)).try_cast("int"),
+            "_to": group(4).try_cast("int"),
+        }
     )
     label, year, year_end = F.col("_label"), F.col("_from"), F.col("_to")
-    labelled = F.col("_valid") & (label > 0)
-    years = F.col("_valid") & (label == 0)
-    frequency = (
-        F.when(labelled, _label_column(1, label, "string"))
-        .when(years & (year == year_end), F.lit(YEARLY))
-        .when(years, F.lit(MULTI_YEAR))
-    )
+    fallback = F.lit(UNRECOGNISED)
     if strict:
         impossible = F.coalesce(text.rlike(_LOOKS_LIKE_PERIOD), F.lit(False))
         message = F.concat(F.lit("impossible period: "), text)
-        fallback = F.when(impossible, F.raise_error(message)).otherwise(F.lit(UNRECOGNISED))
-    else:
-        fallback = F.lit(UNRECOGNISED)
-    start = F.when(labelled, F.make_date(year, _label_column(2, label, "int"), F.lit(1))).when(
-        years, F.make_date(year, F.lit(1), F.lit(1))
-    )
+        fallback = F.when(impossible, F.raise_error(message)).otherwise(fallback)
     return (
-        found.withColumn("frequencia", F.coalesce(frequency, fallback))
-        .withColumn("data_inicio", start)
+        read.withColumns(
+            {
+                "frequencia": F.coalesce(
+                    _label_column(1, label, "string"),
+                    F.when(year_end != year, F.lit(MULTI_YEAR)),
+                    F.when(year.isNotNull(), F.lit(YEARLY)),
+                    fallback,
+                ),
+                "data_inicio": F.make_date(
+                    year, F.coalesce(_label_column(2, label, "int"), F.lit(1)), F.lit(1)
+                ),
+                "ano": year,
+                "mes": _label_column(4, label, "int"),
+                "trimestre": _label_column(5, label, "int"),
+                "semestre": _label_column(6, label, "int"),
+                "ano_fim": F.when(year_end != year, year_end),
+            }
+        )
         .withColumn(
             "data_fim",
-            F.when(
-                labelled,
+            F.coalesce(
                 month_range_end(F.col("data_inicio"), _label_column(3, label, "int")),
-            ).when(years, F.make_date(year_end, F.lit(12), F.lit(31))),
+                F.make_date(F.coalesce(year_end, year), F.lit(12), F.lit(31)),
+            ),
         )
-        .withColumn("ano", F.when(F.col("_valid"), year))
-        .withColumn("mes", F.when(labelled, _label_column(4, label, "int")))
-        .withColumn("trimestre", F.when(labelled, _label_column(5, label, "int")))
-        .withColumn("semestre", F.when(labelled, _label_column(6, label, "int")))
-        .withColumn("ano_fim", F.when(years & (year != year_end), year_end))
-        .drop("_label", "_from", "_to", "_valid")
+        .drop("_label", "_from", "_to")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubagem.catalog import Catalog
+from cubagem.functions.periods import parse_date
 from cubagem.operators.flatten import flatten_surveys
 
 
@@ -40,6 +41,17 @@ def cube_info_classifications(catalog: Catalog) -> DataFrame:
     )
 
 
+def cube_periods(catalog: Catalog) -> DataFrame:
+    """Periods with their first literal as name and their modification date."""
+    return catalog.periods.select(
+        "agregado_id",
+        "ord",
+        "per_id",
+        F.get("literals", F.lit(0)).alias("nome"),
+        parse_date(F.col("modificacao")).alias("modificacao"),
+    )
+
+
 def parse_selection_lists(df: DataFrame, text: str, dim: str) -> DataFrame:
     """``a, b`` texts to rows (agregado_id, dim, class_id, id); a blank text restricts nothing."""
     items = F.explode(F.split(F.col(text), ","))

@@ -215,15 +215,19 @@ def plan_chunks(
     decimais: list[tuple[str, str]] | None = None,
     base_url: str = "",
     strict: bool = False,
+    levels_where: str | None = None,
 ) -> DataFrame:
     """All requests for the selected part of all cubes, as selections and URLs.
 
     Cubes with selection errors are left out (see ``selection_errors``), or fail the
-    call if ``strict``. ``chunk_seq`` numbers the chunks of a level in reading order.
+    call if ``strict``. ``levels_where`` is a condition on :func:`plan_levels`, to list the
+    chunks of some levels only. ``chunk_seq`` numbers the chunks of a level in reading order.
     """
     if strict and selections is not None:
         require_valid(catalog, selections)
     levels = plan_levels(catalog, selections, limit)
+    if levels_where:
+        levels = levels.where(levels_where)
     combined = _class_choices(levels)
     batches = locality_batches(catalog, levels).withColumn("_ids", F.array_join("_locais", ","))
     batched = combined.join(batches, LEVEL_KEY, "left").withColumns(
@@ -357,7 +361,7 @@ def plan_coverage(levels: DataFrame, chunks: DataFrame, limit: int = VALUES_LIMI
     """
     per_level = chunks.groupBy(*LEVEL_KEY).agg(
         F.count("*").alias("n_requests"),
-        F.count_distinct("chunk_seq").alias("_distintos"),
+        F.count_distinct("url").alias("_distintos"),
         F.sum(F.col("n_valores").cast(BIG)).alias("_valores"),
         F.max("n_valores").alias("maior_chunk"),
     )

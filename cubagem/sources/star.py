@@ -113,6 +113,20 @@ def cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def survey_index(spark: SparkSession, sf_dir: str, shard: int = 1 << 10) -> DataFrame:
+    """Surveys with their cubes nested, at most ``shard`` cubes to a row.
+
+    A survey with more cubes has several rows, so no row grows with the data.
+    """
+    entry = F.struct(F.col("agregado_id").alias("id"), "nome")
+    return (
+        cubes(spark, sf_dir)
+        .groupBy("pesquisa_id", "pesquisa", F.expr(f"agregado_id div {shard}").alias("_parte"))
+        .agg(F.array_sort(F.collect_list(entry)).alias("agregados"))
+        .select(F.col("pesquisa_id").alias("id"), F.col("pesquisa").alias("nome"), "agregados")
+    )
+
+
 def levels(cubes_df: DataFrame) -> DataFrame:
     entries = [
         F.struct(F.lit(group).alias("grupo"), F.lit(level).alias("nivel"))
@@ -233,8 +247,12 @@ def period_label(frequency: Column, month: Column) -> tuple[Column, Column]:
         ("decenal", decade.cast("string"), F.concat(decade, F.lit("/"), decade + 9)),
         ("sem periodicidade", year_text, F.concat(F.lit("edição "), year_text)),
     ]
-    identifier = F.coalesce(*[F.when(frequency == name, value) for name, value, _ in choices])
-    literal = F.coalesce(*[F.when(frequency == name, value) for name, _, value in choices])
+    first, *others = choices
+    identifier = F.when(frequency == first[0], first[1])
+    literal = F.when(frequency == first[0], first[2])
+    for name, period_id, text in others:
+        identifier = identifier.when(frequency == name, period_id)
+        literal = literal.when(frequency == name, text)
     return identifier, literal
 
 
