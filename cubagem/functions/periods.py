@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cubagem.functions.literals import constant_array
+
 # The month names used in period literals.
 MONTHS = [
     "janeiro",
@@ -69,8 +71,7 @@ _LOOKS_LIKE_PERIOD = (
 
 
 def _label_column(field: int, position: Column, kind: str) -> Column:
-    values = F.array(*[F.lit(entry[field]).cast(kind) for entry in _LABELS])
-    return F.get(values, position - 1)
+    return F.get(constant_array([entry[field] for entry in _LABELS], kind), position - 1)
 
 
 def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = False) -> DataFrame:
@@ -81,7 +82,7 @@ def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = Fals
     as a fifth quarter or the year 0000; ``strict`` makes those an error.
     """
     text = F.get(F.col(literals), F.lit(0))
-    labels = F.array(*[F.lit(entry[0]) for entry in _LABELS])
+    labels = constant_array([entry[0] for entry in _LABELS], "string")
 
     def group(number: int) -> Column:
         return F.regexp_extract(text, _PERIOD, number)
@@ -141,7 +142,7 @@ def expected_frequencies(periodicity: Column) -> Column:
         *[
             item
             for name, allowed in PERIODICITY_FREQUENCIES.items()
-            for item in (F.lit(name), F.array(*[F.lit(value) for value in allowed]))
+            for item in (F.lit(name), constant_array(allowed, "string"))
         ]
     )
     key = F.lower(F.regexp_replace(periodicity, r"(?U)^\s+|\s+$", ""))

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from cubagem.catalog import Catalog
 from cubagem.functions import periods as P
-from cubagem.operators import flatten, listing, stats
+from cubagem.functions import requests as R
+from cubagem.operators import assemble, flatten, ingest, listing, stats
 from cubagem.oracle import PERIOD_QUERIES
-from cubagem.plans import chunks
-from cubagem.sources import star
+from cubagem.plans import chunks, selections
+from cubagem.session import shared_dir
+from cubagem.sources import documents, sinks, star
+from cubagem.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,7 +120,7 @@ for _name, _frequency in PERIOD_QUERIES.items():
 @query
 def parse_period_texts(spark, sf_dir):
     """Dates, months, quarters and rolling quarters of every order, written out and read back."""
-    orders = star.read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    orders = star.read_table(spark, sf_dir, "orders")
     dated = orders.select(
         "o_orderkey",
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("_data"),
@@ -217,3 +220,303 @@ def plan_summary(catalog):
 def plan_coverage(catalog):
     levels = chunks.plan_levels(catalog)
     return chunks.plan_coverage(levels, chunks.plan_chunks(catalog)).drop("maior_chunk")
+
+
+@query
+def plan_cell_location(spark, sf_dir):
+    """Cells of the sales per chunk: each falls into one chunk of the plan, within its size."""
+    catalog = star.catalog_from_star(spark, sf_dir)
+    located = star.located_cells(spark, sf_dir, catalog)
+    per_chunk = located.groupBy("chunk_id").agg(F.count("*").alias("n_celulas"))
+    planned = chunks.plan_chunks(catalog).select("chunk_id", "n_valores")
+    return per_chunk.join(planned, "chunk_id", "left")
+
+
+def _restrictions(catalog: Catalog) -> DataFrame:
+    """From every cube: levels N3, N6, two variables, odd years and some categories.
+
+    Cubes whose survey ends in 9 ask for things they do not have.
+    """
+    own = catalog.cubes.select("agregado_id", "pesquisa_id")
+
+    def rows(df: DataFrame, dim: str, ids, class_id=None) -> DataFrame:
+        return df.select(
+            "agregado_id",
+            F.lit(dim).alias("dim"),
+            (F.lit(None) if class_id is None else class_id).cast("string").alias("class_id"),
+            ids.cast("string").alias("id"),
+        )
+
+    def each(values: list[str]):
+        return F.explode(F.array(*[F.lit(v) for v in values]))
+
+    wrong = own.where("pesquisa_id LIKE '%9'")
+    parts = [
+        rows(own, "nivel", each(["N3", "N6"])),
+        rows(own, "variavel", each(["101", "103"])),
+        rows(catalog.periods.where("substr(per_id, 4, 1) % 2 = 1"), "periodo", F.col("per_id")),
+        rows(catalog.categories.where("class_id = 10 AND nome <> 'R'"), "classificacao", F.col("cat_id"), F.col("class_id")),
+        rows(catalog.categories.where("class_id = 30 AND cat_id = 0"), "classificacao", F.col("cat_id"), F.col("class_id")),
+        rows(wrong, "variavel", each(["999"])),
+        rows(wrong, "classificacao", each(["1"]), F.lit("77")),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+@on_catalog
+def plan_restricted(catalog):
+    return chunks.plan_chunks(catalog, _restrictions(catalog), limit=2_000).select(*PLAN_COLUMNS)
+
+
+@on_catalog
+def selection_errors(catalog):
+    return selections.selection_errors(catalog, _restrictions(catalog))
+
+
+@on_catalog
+def selection_specs(catalog):
+    """Selections of every cube written as text, as on a command line, and read back."""
+    ids = F.array_sort(F.collect_list(F.col("cat_id").cast("string")))
+    specs = catalog.categories.groupBy("agregado_id", "class_id").agg(
+        F.concat(F.lit(" "), F.col("class_id").cast("string"), F.lit(" = "), F.array_join(ids, " ,, ")).alias("spec")
+    )
+    periods = catalog.periods.groupBy("agregado_id").agg(
+        F.array_join(F.array_sort(F.collect_list("per_id")), ", ").alias("spec")
+    )
+    return listing.parse_class_selections(specs, "spec").unionByName(
+        listing.parse_selection_lists(periods, "spec", "periodo")
+    )
+
+
+# Request URLs
+
+
+@query
+def render_url(spark, sf_dir):
+    return star.request_log(spark, sf_dir).select(*star.REQUEST_KEY, R.render_url().alias("url"))
+
+
+@query
+def render_period_url(spark, sf_dir):
+    """The request of every line item for one period more."""
+    log = star.request_log(spark, sf_dir)
+    selection = F.struct(*R.FIELDS)
+    return log.select(*star.REQUEST_KEY, R.render_period_url(selection, F.lit(200101)).alias("url"))
+
+
+def _url_query(name: str, parse) -> None:
+    """Parse one part of the URLs of a request log and of web pages."""
+
+    def run(spark, sf_dir):
+        return star.url_log(spark, sf_dir).select(*star.REQUEST_KEY, *parse(F.col("url")))
+
+    QUERIES[name] = run
+
+
+def _text_pairs(pairs):
+    return F.array_join(
+        F.transform(pairs, lambda p: F.concat(p["k"], F.lit("="), F.array_join(p["v"], ","))), ";"
+    )
+
+
+def _raw_and_list(parts):
+    return [parts[0].alias("bruto"), F.array_join(parts[1], ",").alias("valor")]
+
+
+def _raw_and_pairs(parts):
+    return [F.array_join(parts[0], "").alias("bruto"), _text_pairs(parts[1]).alias("valor")]
+
+
+def _raw_and_text(parts):
+    return [parts[0].alias("bruto"), parts[1].cast("string").alias("valor")]
+
+
+def _raw_and_precisions(parts):
+    pairs = F.transform(parts[1], lambda p: F.concat(p["k"], F.lit("="), p["v"]))
+    return [parts[0].alias("bruto"), F.array_join(pairs, ",").alias("valor")]
+
+
+_url_query("parse_url_aggregate", lambda url: _raw_and_text(R.parse_aggregate(url)))
+_url_query("parse_url_territories", lambda url: _raw_and_pairs(R.parse_territories(url)))
+_url_query("parse_url_periods", lambda url: _raw_and_list(R.parse_periods_segment(url)))
+_url_query("parse_url_variables", lambda url: _raw_and_list(R.parse_variables(url)))
+_url_query("parse_url_classes", lambda url: _raw_and_pairs(R.parse_classifications(url)))
+_url_query("parse_url_header", lambda url: _raw_and_text(R.parse_header(url)))
+_url_query("parse_url_format", lambda url: _raw_and_text(R.parse_format(url)))
+_url_query("parse_url_decimals", lambda url: _raw_and_precisions(R.parse_decimals(url)))
+
+
+@query
+def normalise_requests(spark, sf_dir):
+    return R.normalise_requests(star.url_log(spark, sf_dir), base_url=star.REQUEST_BASE)
+
+
+# Values
+
+
+def _landed(spark, sf_dir) -> DataFrame:
+    return star.landed_payloads(spark, sf_dir, star.catalog_from_star(spark, sf_dir))
+
+
+def _value_columns() -> list:
+    cats = F.concat_ws(",", *[F.col("registro")[f"D{i}C"] for i in range(4, 4 + MAX_DIMS)])
+    return [
+        F.col("registro")["D1C"].alias("loc_id"),
+        F.col("registro")["D2C"].alias("per_id"),
+        F.col("registro")["D3C"].alias("var_id"),
+        cats.alias("categorias"),
+        F.col("registro")["V"].alias("valor"),
+    ]
+
+
+@query
+def validate_payloads(spark, sf_dir):
+    """Payloads per cube and level, and what is wrong with the others."""
+    status = ingest.payload_status(_landed(spark, sf_dir))
+    parts = F.split("chunk_id", "-")
+    return status.groupBy(
+        parts[0].cast("bigint").alias("agregado_id"), parts[1].alias("nivel_territorial"), "erro"
+    ).agg(F.count("*").alias("n_payloads"))
+
+
+@query
+def strip_headers(spark, sf_dir):
+    return ingest.column_labels(ingest.payload_records(_landed(spark, sf_dir)))
+
+
+@query
+def merge_values(spark, sf_dir):
+    values = ingest.merged_values(ingest.payload_records(_landed(spark, sf_dir)))
+    return values.select("agregado_id", "nivel_territorial", *_value_columns())
+
+
+def _by_level(values: DataFrame) -> DataFrame:
+    valor = F.col("registro")["V"].cast("decimal(28,2)")
+    return values.groupBy("agregado_id", "nivel_territorial").agg(
+        F.count("*").alias("n_valores"), F.sum(valor).cast("decimal(38,2)").cast("string").alias("soma")
+    )
+
+
+@query
+def values_by_level(spark, sf_dir):
+    """Values written to one folder per cube and level, read back and summed."""
+    path = shared_dir(spark, "valores")
+    sinks.write_values(ingest.payload_records(_landed(spark, sf_dir)), path)
+    return _by_level(sinks.read_values(spark, path))
+
+
+@query
+def chunk_progress(spark, sf_dir):
+    catalog = star.catalog_from_star(spark, sf_dir)
+    landed = star.landed_payloads(spark, sf_dir, catalog)
+    return ingest.chunk_progress(chunks.plan_chunks(catalog), landed)
+
+
+@query
+def stream_values(spark, sf_dir):
+    """Payloads landed as files and streamed into a table of values."""
+    source, sink = shared_dir(spark, "pouso"), shared_dir(spark, "tabela")
+    _landed(spark, sf_dir).write.json(source)
+    stream = landing.landed_payloads(spark, source)
+    landing.stream_values(stream, sink, shared_dir(spark, "progresso")).awaitTermination()
+    schema = "agregado_id bigint, chunk_seq bigint, pos int, registro map<string, string>, nivel_territorial string"
+    return _by_level(spark.read.schema(schema).parquet(sink))
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """Landed chunks counted by a stream, next to the planned ones."""
+    catalog = star.catalog_from_star(spark, sf_dir)
+    source, table = shared_dir(spark, "pouso"), shared_dir(spark, "tabela")
+    star.landed_payloads(spark, sf_dir, catalog).write.json(source)
+    planned = chunks.plan_levels(catalog).select(
+        "agregado_id", "nivel_territorial", F.col("n_chunks").alias("planejados")
+    )
+    stream = landing.landed_payloads(spark, source)
+    landing.stream_progress(stream, planned, table, shared_dir(spark, "progresso")).awaitTermination()
+    versions = spark.read.parquet(table)
+    last = versions.agg(F.max("versao").alias("versao"))
+    return versions.join(last, "versao", "left_semi").drop("versao")
+
+
+@query
+def manifest(spark, sf_dir):
+    """Manifests of the written values; the digests are checked against a second reading."""
+    catalog = star.catalog_from_star(spark, sf_dir)
+    path, kept = shared_dir(spark, "valores"), shared_dir(spark, "manifestos")
+    records = ingest.payload_records(star.landed_payloads(spark, sf_dir, catalog))
+    sinks.write_values(records, path, header=True)
+    plan = chunks.plan_chunks(catalog)
+    written = sinks.manifests(spark, path, plan, "estrela")
+    sinks.write_manifests(written, kept)
+    read = spark.read.schema(written.schema).json(kept)
+    again = sinks.read_values(spark, path).groupBy("agregado_id", "nivel_territorial").agg(
+        F.count("*").alias("n_linhas")
+    )
+    key = F.concat_ws(":", F.col("agregado_id").cast("string"), "nivel_territorial")
+    return read.join(again.withColumn("dataset_id", key), "dataset_id").select(
+        "source_id",
+        "dataset_id",
+        "url",
+        F.col("metadata")["n_requests"].alias("n_requests"),
+        "n_linhas",
+        (F.length("sha256") == 64).alias("com_resumo"),
+        (F.col("size_bytes") > 0).alias("com_tamanho"),
+    )
+
+
+# Whole cubes
+
+
+def _assembled_summary(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("id").agg(
+        F.max(F.size("periodos")).cast("bigint").alias("n_periodos"),
+        F.max(F.size("variaveis")).cast("bigint").alias("n_variaveis"),
+        F.max(F.size("classificacoes")).cast("bigint").alias("n_classificacoes"),
+        F.sum(F.size("localidades")).alias("n_localidades"),
+        F.max(F.element_at(F.col("periodos"), 1)["data_inicio"]).alias("inicio"),
+        F.max_by(F.try_element_at("localidades", F.lit(-1))["nome"], "parte").alias("ultima"),
+        F.max(F.array_join(F.concat("nivel_territorial.administrativo", "nivel_territorial.especial", "nivel_territorial.ibge"), ",")).alias("niveis"),
+    )
+
+
+@on_catalog
+def assemble_cube(catalog):
+    return _assembled_summary(assemble.assemble_cubes(catalog, part_size=100))
+
+
+@query
+def assembled_localities(spark, sf_dir):
+    catalog = star.catalog_from_star(spark, sf_dir)
+    return assemble.assembled_localities(catalog).select(
+        "agregado_id", "nivel_ord", "ord", "nivel", "loc_id", "nome"
+    )
+
+
+@query
+def snapshot_roundtrip(spark, sf_dir):
+    """Cubes saved as JSON and loaded; their periods parsed again."""
+    path = shared_dir(spark, "cubos")
+    sinks.save_snapshot(assemble.assemble_cubes(star.catalog_from_star(spark, sf_dir)), path)
+    periods = sinks.snapshot_periods(sinks.load_snapshot(spark, path))
+    return periods.drop("literals", "ord")
+
+
+@on_catalog
+def metadata_urls(catalog):
+    return assemble.metadata_urls(catalog, "https://api.example.org/agregados")
+
+
+@query
+def collection_listing(spark, sf_dir):
+    """Collections of any shape, landed as text and listed by kind."""
+    catalog = star.catalog_from_star(spark, sf_dir)
+    path = shared_dir(spark, "acervos")
+    star.collections(catalog).write.partitionBy("acervo").text(path)
+    listed = documents.read_collection_lines(spark, path)
+    return listed.groupBy("acervo", F.try_variant_get("item", "$.id", "string").alias("id")).agg(
+        F.max(F.try_variant_get("item", "$.nome", "string")).alias("nome"), F.count("*").alias("n")
+    )

@@ -8,12 +8,17 @@ grow with them.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubagem.catalog import Catalog
+from cubagem.functions.literals import constant_array, sql_literal
 from cubagem.functions.periods import MONTHS, rolling_label
+from cubagem.functions.requests import LISTS, PRECISION_LIST, render_url
 from cubagem.operators.spread import dense_ordinal, small_ordinal
+from cubagem.plans.chunks import locate_cells, plan_levels
 
 PERIODICITIES = [
     "mensal",
@@ -49,52 +54,52 @@ LEVEL_NAMES = {"N1": "Região", "N3": "País", "N6": "Cliente", "N7": "Distrito"
 LEVEL_GROUPS = [("administrativo", ["N1", "N3"]), ("especial", ["N7"]), ("ibge", ["N6"])]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+# Declared, so that opening a table reads no file.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz,"
+    " o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "pages": "page_id bigint, url string",
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Line items with order, customer and nation; unused columns and joins are pruned.
+    """``columns`` of the line items with their orders, customers and customers' nations.
 
-    ``columns`` are the output columns; tables none of them comes from are not joined.
+    Each table is joined only if a wanted column lies beyond it.
     """
-    table_columns = {
-        "lineitem": {
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-        },
-        "orders": {"o_custkey", "o_orderdate", "o_orderpriority"},
-        "customer": {"c_custkey", "c_nationkey", "c_mktsegment"},
-        "nation": {"n_regionkey"},
-    }
-    wanted = {table: sorted(set(columns) & names) for table, names in table_columns.items()}
-    df = read_table(spark, sf_dir, "lineitem", *wanted["lineitem"], *_missing("l_orderkey", wanted))
-    if wanted["orders"] or wanted["customer"] or wanted["nation"]:
-        orders = read_table(spark, sf_dir, "orders", "o_orderkey", *{"o_custkey", *wanted["orders"]})
-        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if wanted["customer"] or wanted["nation"]:
-        needed = {"c_custkey", "c_nationkey", *wanted["customer"]}
-        customer = read_table(spark, sf_dir, "customer", *sorted(needed))
-        df = df.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    if wanted["nation"]:
-        nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-        df = df.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    joins = [
+        ("orders", "l_orderkey", "o_orderkey"),
+        ("customer", "o_custkey", "c_custkey"),
+        ("nation", "c_nationkey", "n_nationkey"),
+    ]
+    df = read_table(spark, sf_dir, "lineitem")
+    for table, key, other in joins:
+        if set(columns) <= set(df.columns):
+            break
+        df = df.join(read_table(spark, sf_dir, table), F.col(key) == F.col(other))
     return df.select(*columns)
 
 
-def _missing(column: str, wanted: dict[str, list[str]]) -> list[str]:
-    return [] if column in wanted["lineitem"] else [column]
-
-
 def cube_id(suppkey: str) -> Column:
     return (F.col(suppkey) + 1).cast("bigint")
 
 
 def cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
-    nation = read_table(spark, sf_dir, "nation", "*")
-    region = read_table(spark, sf_dir, "region", "*")
-    periodicity = F.array(*[F.lit(name) for name in PERIODICITIES])
+    supplier = read_table(spark, sf_dir, "supplier")
+    nation = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
+    periodicity = constant_array(PERIODICITIES, "string")
     return (
         supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -128,56 +133,41 @@ def survey_index(spark: SparkSession, sf_dir: str, shard: int = 1 << 10) -> Data
 
 
 def levels(cubes_df: DataFrame) -> DataFrame:
-    entries = [
-        F.struct(F.lit(group).alias("grupo"), F.lit(level).alias("nivel"))
-        for group, names in LEVEL_GROUPS
-        for level in names
-    ]
-    return cubes_df.select("agregado_id", F.posexplode(F.array(*entries)).alias("ord", "_n")).select(
-        "agregado_id", "_n.grupo", "_n.nivel", "ord"
-    )
+    entries = [(group, level) for group, names in LEVEL_GROUPS for level in names]
+    return per_cube(cubes_df, constant_rows(entries, "grupo string, nivel string"))
 
 
 def variables(cubes_df: DataFrame) -> DataFrame:
-    entries = [
-        F.struct(
-            F.lit(var_id).cast("bigint").alias("var_id"),
-            F.lit(name).alias("nome"),
-            F.lit(unit).alias("unidade"),
-            F.array(F.lit("nivelTerritorial")).alias("sumarizacao"),
-        )
-        for var_id, name, unit, _ in VARIABLES
-    ]
-    return cubes_df.select("agregado_id", F.posexplode(F.array(*entries)).alias("ord", "_v")).select(
-        "agregado_id", "_v.*", "ord"
-    )
+    entries = [(var_id, name, unit) for var_id, name, unit, _ in VARIABLES]
+    listed = per_cube(cubes_df, constant_rows(entries, "var_id bigint, nome string, unidade string"))
+    return listed.withColumn("sumarizacao", F.array(F.lit("nivelTerritorial")))
 
 
 def classifications(cubes_df: DataFrame) -> DataFrame:
     names = {class_id: name for class_id, name, _ in CLASSIFICATIONS}
-    kind = (
-        "array<struct<class_id: bigint, nome: string,"
-        " sumarizacao: struct<status: boolean, excecao: array<bigint>>>>"
-    )
     by_region = [
-        F.array(
-            *[
-                F.struct(
-                    F.lit(class_id).cast("bigint"),
-                    F.lit(names[class_id]),
-                    F.struct(F.lit(True), F.array().cast("array<bigint>")),
-                )
-                for class_id in ids
-            ]
-        ).cast(kind)
+        constant_rows([(i, names[i]) for i in ids], "class_id bigint, nome string")
         for _, ids in sorted(REGION_CLASSIFICATIONS.items())
     ]
-    per_cube = F.get(F.array(*by_region), F.col("_regiao"))
-    return cubes_df.select("agregado_id", F.posexplode(per_cube).alias("ord", "_c")).select(
-        "agregado_id", "_c.*", "ord"
+    listed = per_cube(cubes_df, F.get(F.array(*by_region), F.col("_regiao")))
+    no_exceptions = constant_array([], "bigint")
+    return listed.withColumn(
+        "sumarizacao", F.struct(F.lit(True).alias("status"), no_exceptions.alias("excecao"))
     )
 
 
+def constant_rows(rows: list[tuple], fields: str) -> Column:
+    """A constant array of structs, with ``fields`` given as ``name type, name type``."""
+    structs = ", ".join(f"struct({', '.join(map(sql_literal, row))})" for row in rows)
+    return F.expr(f"cast(array({structs}) AS array<struct<{fields.replace(' ', ': ').replace(',:', ',')}>>)")
+
+
+def per_cube(cubes_df: DataFrame, entries: Column) -> DataFrame:
+    """The entries of an array of structs as rows of each cube, with their position."""
+    exploded = cubes_df.select("agregado_id", F.posexplode(entries).alias("ord", "_e"))
+    return exploded.select("agregado_id", "_e.*", "ord")
+
+
 def categories(spark: SparkSession, sf_dir: str, classifications_df: DataFrame) -> DataFrame:
     """Values seen in a cube's sales, and a total in the priorities.
 
@@ -236,8 +226,9 @@ def period_label(frequency: Column, month: Column) -> tuple[Column, Column]:
     quarter = F.quarter(month)
     half = F.when(number <= 6, 1).otherwise(2)
     decade = year - year % 10
-    month_name = F.get(F.array(*[F.lit(name) for name in MONTHS]), number - 1)
-    rolling_name = F.get(F.array(*[F.lit(rolling_label(m)) for m in range(1, 13)]), number - 1)
+    month_name = F.get(constant_array(MONTHS, "string"), number - 1)
+    rolling_names = constant_array([rolling_label(m) for m in range(1, 13)], "string")
+    rolling_name = F.get(rolling_names, number - 1)
     choices = [
         ("mensal", numbered(number), F.concat(month_name, F.lit(" "), year_text)),
         ("trimestral", numbered(quarter), F.concat(quarter, F.lit("º trimestre "), year_text)),
@@ -292,7 +283,8 @@ def localities(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("agregado_id", "_p.*")
         .distinct()
     )
-    names = F.create_map(*[F.lit(text) for pair in LEVEL_NAMES.items() for text in pair])
+    level_names = ", ".join(sql_literal(text) for pair in LEVEL_NAMES.items() for text in pair)
+    names = F.expr(f"map({level_names})")
     return dense_ordinal(distinct, ["agregado_id", "nivel"], "_lugar").select(
         "agregado_id",
         "nivel",
@@ -303,15 +295,258 @@ def localities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def catalog_from_star(spark: SparkSession, sf_dir: str) -> Catalog:
-    cubes_df = cubes(spark, sf_dir)
-    classes = classifications(cubes_df)
-    return Catalog(
-        cubes=cubes_df.drop("_regiao"),
-        levels=levels(cubes_df),
-        localities=localities(spark, sf_dir),
-        variables=variables(cubes_df),
-        classifications=classes,
-        categories=categories(spark, sf_dir, classes),
-        periods=periods(spark, sf_dir, cubes_df),
+PAYLOAD_LEVELS = [("N1", "n_regionkey"), ("N3", "c_nationkey")]
+
+
+def cells(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataFrame:
+    """Sales by cube, region or nation, period and categories: one value per variable.
+
+    Values are texts of exact decimals, as the service sends them.
+    """
+    cubes_df = cubes(spark, sf_dir).select("agregado_id", "frequencia", "_regiao")
+    class_columns = {class_id: column for class_id, _, column in CLASSIFICATIONS}
+    measures = [column for *_, column in VARIABLES]
+    places = [column for _, column in PAYLOAD_LEVELS]
+    wanted = ["l_suppkey", "o_orderdate", *class_columns.values(), *measures, *places]
+    facts = sales(spark, sf_dir, *wanted).withColumn("agregado_id", cube_id("l_suppkey"))
+    codes = F.array(
+        *[
+            F.array(
+                *[F.ascii(F.col(class_columns[i]).cast("string")).cast("bigint") for i in ids]
+            ).cast("array<bigint>")
+            for _, ids in sorted(REGION_CLASSIFICATIONS.items())
+        ]
     )
+    level = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("nivel_territorial"),
+                    (F.col(column) + 1).cast("string").alias("loc_id"),
+                )
+                for name, column in PAYLOAD_LEVELS
+            ]
+        )
+    )
+    dated = facts.join(cubes_df, "agregado_id").withColumn(
+        "_mes", F.trunc(F.col("o_orderdate").cast("date"), "month")
+    )
+    grouped = (
+        dated.select(
+            "agregado_id",
+            level.alias("_l"),
+            period_label(F.col("frequencia"), F.col("_mes"))[0].alias("per_id"),
+            F.get(codes, F.col("_regiao")).alias("categorias"),
+            *[F.col(column).cast("decimal(18,2)").alias(column) for column in measures],
+        )
+        .groupBy("agregado_id", "_l", "per_id", "categorias")
+        .agg(*[F.sum(column).cast("decimal(28,2)").alias(column) for column in measures])
+    )
+    values = F.array(
+        *[
+            F.struct(
+                F.lit(var_id).cast("bigint").alias("var_id"), F.col(column).cast("string").alias("valor")
+            )
+            for var_id, _, _, column in VARIABLES
+        ]
+    )
+    listed = grouped.select(
+        "agregado_id", "_l.*", "per_id", "categorias", F.explode(values).alias("_v")
+    ).select("agregado_id", "nivel_territorial", "loc_id", "per_id", "categorias", "_v.*")
+    places_df = catalog.localities.select(
+        "agregado_id", F.col("nivel").alias("nivel_territorial"), "loc_id", F.col("ord").alias("loc_ord")
+    )
+    return listed.join(places_df, ["agregado_id", "nivel_territorial", "loc_id"])
+
+
+def located_cells(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataFrame:
+    """Every cell with the chunk of the default plan it belongs to."""
+    return locate_cells(plan_levels(catalog), cells(spark, sf_dir, catalog))
+
+
+def landed_payloads(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataFrame:
+    """One payload per chunk that has cells, and an error payload per cube.
+
+    A chunk has at most as many cells as a request may return values, so a payload is
+    bounded. Codes only: place, period, variable, then the categories.
+    """
+    dims = range(len(CLASSIFICATIONS))
+    record = F.to_json(
+        F.struct(
+            F.col("nivel_territorial").alias("NC"),
+            F.col("valor").alias("V"),
+            F.col("loc_id").alias("D1C"),
+            F.col("per_id").alias("D2C"),
+            F.col("var_id").cast("string").alias("D3C"),
+            *[F.get("categorias", F.lit(i)).cast("string").alias(f"D{i + 4}C") for i in dims],
+        )
+    )
+    labels = F.to_json(
+        F.struct(
+            F.lit("Nível Territorial (Código)").alias("NC"),
+            F.lit("Valor").alias("V"),
+            F.lit("Local (Código)").alias("D1C"),
+            F.lit("Período (Código)").alias("D2C"),
+            F.lit("Variável (Código)").alias("D3C"),
+            *[
+                F.when(F.col("_dims") > i, F.lit(f"Classificação {i + 1} (Código)")).alias(f"D{i + 4}C")
+                for i in dims
+            ],
+        )
+    )
+    good = (
+        located_cells(spark, sf_dir, catalog)
+        .withColumn("_dims", F.size("categorias"))
+        .groupBy("chunk_id", "_dims")
+        .agg(F.array_sort(F.collect_list(record)).alias("_registros"))
+        .select(
+            "chunk_id",
+            F.lit(True).alias("cabecalho"),
+            F.concat(F.lit("["), labels, F.lit(","), F.array_join("_registros", ","), F.lit("]")).alias(
+                "body"
+            ),
+        )
+    )
+    failed = catalog.cubes.select(
+        F.concat(F.col("agregado_id").cast("string"), F.lit("-N7-0")).alias("chunk_id"),
+        F.lit(True).alias("cabecalho"),
+        F.lit('{"status": 400, "message": "Parâmetro inválido"}').alias("body"),
+    )
+    return good.unionByName(failed)
+
+
+def collections(catalog: Catalog) -> DataFrame:
+    """Items of the collection listings as JSON texts; each kind has its own shape."""
+
+    def items(df: DataFrame, kind: str, *fields: Column) -> DataFrame:
+        return df.select(F.lit(kind).alias("acervo"), F.to_json(F.struct(*fields)).alias("value"))
+
+    parts = [
+        items(catalog.cubes, "A", F.col("assunto").alias("id"), F.col("assunto").alias("nome")),
+        items(catalog.classifications, "C", F.col("class_id").alias("id"), F.col("nome")),
+        items(catalog.levels, "N", F.col("nivel").alias("id"), F.struct("grupo").alias("detalhe")),
+        items(catalog.periods, "P", F.col("per_id").alias("id"), F.col("literals")),
+        items(catalog.cubes, "E", F.col("frequencia").alias("id")),
+        items(catalog.variables, "V", F.col("var_id").alias("id"), F.col("nome"), F.col("unidade")),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+REQUEST_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+REQUEST_BASE = "https://api.example.org/values"
+
+
+def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A selection per line item: its supplier's cube, and what the line says."""
+
+    def text(column: str) -> Column:
+        return F.col(column).cast("string")
+
+    def pair(key: Column, value: Column) -> Column:
+        return F.struct(key.alias("k"), value.alias("v"))
+
+    everything = constant_array([], "string")
+    items = read_table(spark, sf_dir, "lineitem")
+    month = F.date_format("l_shipdate", "yyyyMM")
+    return items.select(
+        *REQUEST_KEY,
+        F.col("l_suppkey").cast("string").alias("agregado"),
+        F.when(
+            F.col("l_returnflag") == "N",
+            F.array(
+                pair(F.lit("6"), F.array(text("l_partkey"), text("l_orderkey"))),
+                pair(F.lit("10"), everything),
+            ),
+        )
+        .otherwise(F.array(pair(F.lit("3"), F.array(text("l_linenumber")))))
+        .alias("territorios"),
+        F.when(F.col("l_linestatus") == "F", everything)
+        .otherwise(F.array(text("l_linenumber"), F.lit("33")))
+        .alias("variaveis"),
+        F.when(F.col("l_linenumber") == 1, everything)
+        .when(F.col("l_linenumber") == 2, F.array(F.lit("last%2012")))
+        .otherwise(F.array(month, F.concat(month, F.lit("-"), month)))
+        .alias("periodos"),
+        F.when(F.col("l_returnflag") == "R", F.array().cast(LISTS))
+        .otherwise(
+            F.array(
+                pair(F.lit("2"), F.array(text("l_linenumber"), text("l_partkey"))),
+                pair(F.lit("81"), everything),
+            )
+        )
+        .alias("classificacoes"),
+        (F.col("l_linestatus") == "F").alias("cabecalho"),
+        F.when(F.col("l_returnflag") == "A", "a")
+        .when(F.col("l_returnflag") == "N", "n")
+        .otherwise("u")
+        .alias("formato"),
+        F.when(F.col("l_linenumber") == 3, F.array(pair(F.lit(""), F.lit("2"))))
+        .when(
+            F.col("l_linenumber") == 4,
+            F.array(pair(text("l_partkey"), F.lit("5")), pair(F.lit("33"), F.lit("0"))),
+        )
+        .when(F.col("l_linenumber") == 5, F.array(pair(F.lit("33"), F.lit("m"))))
+        .when(F.col("l_linenumber") == 6, F.array(pair(F.lit(""), F.lit("s"))))
+        .otherwise(F.array().cast(PRECISION_LIST))
+        .alias("decimais"),
+    )
+
+
+def url_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered requests of all line items, and the URLs of web pages, which are none."""
+    rendered = request_log(spark, sf_dir).select(
+        *REQUEST_KEY, render_url(base_url=REQUEST_BASE).alias("url")
+    )
+    pages = read_table(spark, sf_dir, "pages").select(
+        (-F.col("page_id") - 1).alias("l_orderkey"),
+        F.lit(0).alias("l_linenumber"),
+        F.lit(0).cast("bigint").alias("l_partkey"),
+        "url",
+    )
+    return rendered.unionByName(pages)
+
+
+class StarCatalog(Catalog):
+    """A catalog whose tables are defined when they are first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        object.__setattr__(self, "source", (spark, sf_dir))
+
+    @cached_property
+    def _cubes(self) -> DataFrame:
+        return cubes(*self.source)
+
+    @cached_property
+    def cubes(self) -> DataFrame:
+        return self._cubes.drop("_regiao")
+
+    @cached_property
+    def levels(self) -> DataFrame:
+        return levels(self._cubes)
+
+    @cached_property
+    def localities(self) -> DataFrame:
+        return localities(*self.source)
+
+    @cached_property
+    def variables(self) -> DataFrame:
+        return variables(self._cubes)
+
+    @cached_property
+    def classifications(self) -> DataFrame:
+        return classifications(self._cubes)
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return categories(*self.source, self.classifications)
+
+    @cached_property
+    def periods(self) -> DataFrame:
+        return periods(*self.source, self._cubes)
+
+
+def catalog_from_star(spark: SparkSession, sf_dir: str) -> Catalog:
+    return StarCatalog(spark, sf_dir)
