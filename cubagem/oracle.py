@@ -139,15 +139,15 @@ def with_parts(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
-def plan_parts(limit: int) -> str:
-    """Levels with their splits, and chunks, for plans that restrict nothing.
+def plan_parts(limit: int, n_variables: int = 4) -> str:
+    """Levels with their splits, from the counts of the pools.
 
     ``splits`` has the counts after each step; ``class_splits`` the classifications
     in the order they would be expanded, with the values left before each of them.
     """
     return f"""
 plan_counts AS (
-  SELECT l.agregado_id, l.nivel, l.n_localidades AS L, 4 AS V,
+  SELECT l.agregado_id, l.nivel, l.n_localidades AS L, {n_variables} AS V,
          coalesce(p.n_periodos, 0) AS P, d.n_dimensoes AS D
   FROM level_counts l JOIN dims d USING (agregado_id)
   LEFT JOIN period_counts p USING (agregado_id)
@@ -186,25 +186,72 @@ plan_counts AS (
 )"""
 
 
-def chunk_sql(limit: int, condition: str = "TRUE") -> str:
+# The pools that the restricted plan chooses from, in place of the whole ones.
+RESTRICTED = (
+    """
+all_periods AS (SELECT * FROM periods_whole WHERE per_id >= '1998'), periods AS (
+  SELECT * EXCLUDE (ord), row_number() OVER (PARTITION BY agregado_id ORDER BY per_id) - 1 AS ord
+  FROM all_periods
+)""",
+    """
+variables AS (
+  SELECT * EXCLUDE (ord), row_number() OVER (PARTITION BY agregado_id ORDER BY ord) - 1 AS ord
+  FROM variables_whole WHERE var_id IN (101, 103)
+)""",
+    """
+categories AS (
+  SELECT * EXCLUDE (ord),
+         row_number() OVER (PARTITION BY agregado_id, class_id ORDER BY cat_id) - 1 AS ord
+  FROM categories_whole
+  WHERE (class_id <> 10 OR nome <> 'R') AND (class_id <> 30 OR cat_id = 0)
+)""",
+)
+
+
+def restricted_parts() -> list[str]:
+    periods, variables, categories = RESTRICTED
+    return [
+        CUBES,
+        VARIABLES.replace("variables AS", "variables_whole AS"),
+        variables,
+        CLASSES,
+        SALES,
+        CATEGORIES.replace("), categories AS", "), categories_whole AS"),
+        categories,
+        PERIODS.replace("), periods AS", "), periods_whole AS"),
+        periods,
+        PLACES,
+        COUNTS,
+    ]
+
+
+def chunk_sql(limit: int, condition: str = "TRUE", restricted: bool = False) -> str:
     """Every chunk with its number, values and URL."""
+    open_periods = open_variables = open_categories = "'all'"
+    parts = with_parts(*ALL, plan_parts(limit))
+    if restricted:
+        parts = with_parts(*restricted_parts(), plan_parts(limit, 2))
+        open_variables = "'101,103'"
+        open_periods = """(SELECT string_agg(per_id, ',' ORDER BY a.ord) FROM periods a
+                           WHERE a.agregado_id = chosen_levels.agregado_id)"""
+        open_categories = """CASE o.class_id WHEN 10 THEN '65,78' WHEN 30 THEN '0' ELSE 'all' END"""
     return (
-        with_parts(*ALL, plan_parts(limit))
+        parts
         + f""",
 chosen_levels AS (SELECT * FROM levels WHERE {condition}),
 period_choices AS (
   SELECT agregado_id, nivel, p.ord AS p_i, p.per_id AS texto, 1 AS n
   FROM chosen_levels JOIN periods p USING (agregado_id) WHERE split_p
-  UNION ALL SELECT agregado_id, nivel, 0, 'all', P FROM chosen_levels WHERE NOT split_p
+  UNION ALL SELECT agregado_id, nivel, 0, {open_periods}, P FROM chosen_levels WHERE NOT split_p
 ), batch_choices AS (
-  SELECT agregado_id, nivel, c.ord // lote AS b_i, string_agg(c.loc_id, ',' ORDER BY c.ord) AS texto,
-         count(*) AS n
+  SELECT agregado_id, nivel, c.ord // lote AS b_i,
+         string_agg(c.loc_id, ',' ORDER BY c.ord) AS texto, count(*) AS n
   FROM chosen_levels JOIN localities c USING (agregado_id, nivel) WHERE split_l GROUP BY ALL
   UNION ALL SELECT agregado_id, nivel, 0, 'all', L FROM chosen_levels WHERE NOT split_l
 ), variable_choices AS (
   SELECT agregado_id, nivel, v.ord AS v_i, CAST(v.var_id AS VARCHAR) AS texto, 1 AS n
   FROM chosen_levels JOIN variables v USING (agregado_id) WHERE split_v
-  UNION ALL SELECT agregado_id, nivel, 0, 'all', V FROM chosen_levels WHERE NOT split_v
+  UNION ALL SELECT agregado_id, nivel, 0, {open_variables}, V FROM chosen_levels WHERE NOT split_v
 ), class_numbers AS (
   SELECT agregado_id, nivel, unnest(range(n_c)) AS c_i FROM chosen_levels
 ), open_classes AS (
@@ -215,7 +262,7 @@ period_choices AS (
 ), class_choices AS (
   SELECT m.agregado_id, m.nivel, m.c_i,
          coalesce(string_agg('/c' || o.class_id || '/'
-           || CASE WHEN o.aberta THEN CAST(g.cat_id AS VARCHAR) ELSE 'all' END, ''
+           || CASE WHEN o.aberta THEN CAST(g.cat_id AS VARCHAR) ELSE {open_categories} END, ''
            ORDER BY o.class_id), '') AS texto,
          CAST(coalesce(product(CASE WHEN o.aberta THEN 1 ELSE o.n END), 1) AS BIGINT) AS n
   FROM class_numbers m
@@ -237,6 +284,50 @@ period_choices AS (
     )
 
 
+# Sales by cube, place, period and categories, each with the chunk it is in. With the
+# default limit these levels are split by period and place only.
+CELLS = """
+cell_sums AS (
+  SELECT s.agregado_id, nivel, lugar, inicio,
+         CASE c.regiao
+           WHEN 0 THEN '' WHEN 1 THEN rf WHEN 2 THEN ls || ',' || pr
+           WHEN 3 THEN rf || ',' || ls || ',' || pr
+           ELSE rf || ',' || ls || ',' || pr || ',' || ms || ',' || ln END AS categorias,
+         sum(CAST(l_quantity AS DECIMAL(18,2))) AS v101,
+         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v102,
+         sum(CAST(l_discount AS DECIMAL(18,2))) AS v103, sum(CAST(l_tax AS DECIMAL(18,2))) AS v104
+  FROM (
+    SELECT 'N1' AS nivel, n_regionkey AS lugar, ascii(l_returnflag) || '' AS rf,
+           ascii(l_linestatus) || '' AS ls, ascii(o_orderpriority) || '' AS pr,
+           ascii(c_mktsegment) || '' AS ms, ascii(CAST(l_linenumber AS VARCHAR)) || '' AS ln,
+           CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, * FROM sales
+    UNION ALL
+    SELECT 'N3', c_nationkey, ascii(l_returnflag) || '', ascii(l_linestatus) || '',
+           ascii(o_orderpriority) || '', ascii(c_mktsegment) || '',
+           ascii(CAST(l_linenumber AS VARCHAR)) || '',
+           CAST(date_trunc('month', o_orderdate) AS DATE), * FROM sales
+  ) s JOIN cubes c ON c.agregado_id = s.agregado_id
+  JOIN period_months m ON m.agregado_id = s.agregado_id AND m.mes = s.mes
+  GROUP BY ALL
+), cells AS (
+  SELECT s.agregado_id, s.nivel AS nivel_territorial, l.loc_id, p.per_id, s.categorias,
+         v101, v102, v103, v104,
+         (CASE WHEN split_p THEN p.ord ELSE 0 END) * n_b
+           + CASE WHEN split_l THEN l.ord // lote ELSE 0 END AS chunk_seq,
+         s.agregado_id || '-' || s.nivel || '-' || ((CASE WHEN split_p THEN p.ord ELSE 0 END) * n_b
+           + CASE WHEN split_l THEN l.ord // lote ELSE 0 END) AS chunk_id
+  FROM cell_sums s
+  JOIN localities l ON l.agregado_id = s.agregado_id AND l.nivel = s.nivel
+       AND l.loc_id = CAST(s.lugar + 1 AS VARCHAR)
+  JOIN periods p ON p.agregado_id = s.agregado_id AND p.inicio = s.inicio
+  JOIN levels v ON v.agregado_id = s.agregado_id AND v.nivel = s.nivel
+), cell_values AS (
+  SELECT agregado_id, nivel_territorial, loc_id, per_id, categorias, chunk_id,
+         unnest(['101', '102', '103', '104']) AS var_id, unnest([v101, v102, v103, v104]) AS valor
+  FROM cells
+)"""
+
+
 def _oracles() -> dict[str, str]:
     sql = {}
     pairs = "SELECT pesquisa_id, pesquisa, agregado_id, nome AS agregado FROM cubes"
@@ -444,9 +535,194 @@ flat AS (
              CAST(n_p * n_b * n_v * n_c AS BIGINT) AS n_requests, CAST(total AS BIGINT) AS n_valores,
              TRUE AS exato, TRUE AS cabe FROM levels"""
     )
+    sql["plan_restricted"] = (
+        chunk_sql(2_000, "nivel IN ('N3', 'N6') AND agregado_id NOT IN (SELECT agregado_id FROM cubes "
+                  "WHERE pesquisa_id LIKE '%9')", restricted=True)
+        + f"SELECT {columns} FROM chunks"
+    )
+    sql["selection_errors"] = (
+        with_parts(CUBES)
+        + """SELECT agregado_id, e.* FROM cubes, (VALUES
+               ('variavel', NULL, '999', 'inexistente'),
+               ('classificacao', '77', NULL, 'inexistente')) e(dim, class_id, id, motivo)
+             WHERE pesquisa_id LIKE '%9'"""
+    )
+    sql["selection_specs"] = (
+        with_parts(CUBES, CLASSES, SALES, CATEGORIES, PERIODS)
+        + """SELECT agregado_id, 'classificacao' AS dim, CAST(class_id AS VARCHAR) AS class_id,
+                    CAST(cat_id AS VARCHAR) AS id FROM categories
+             UNION ALL SELECT agregado_id, 'periodo', NULL, per_id FROM periods"""
+    )
+
+    cell_parts = with_parts(*ALL, plan_parts(100_000), CELLS)
+    sql["plan_cell_location"] = (
+        chunk_sql(100_000)
+        + f""", {CELLS}
+        SELECT c.chunk_id, 4 * count(*) AS n_celulas, any_value(k.n_valores) AS n_valores
+        FROM cells c JOIN chunks k USING (agregado_id, nivel_territorial, chunk_seq)
+        GROUP BY c.chunk_id"""
+    )
+    sql["validate_payloads"] = (
+        cell_parts
+        + """SELECT agregado_id, nivel_territorial, NULL AS erro,
+                    count(DISTINCT chunk_seq) AS n_payloads FROM cells GROUP BY ALL
+             UNION ALL SELECT agregado_id, 'N7', 'Resposta inesperada em ' || agregado_id
+               || '-N7-0: {"status": 400, "message": "Parâmetro inválido"}', 1 FROM cubes"""
+    )
+    sql["strip_headers"] = (
+        cell_parts
+        + """SELECT DISTINCT agregado_id, nivel_territorial, h.chave, h.texto
+             FROM cells JOIN dims USING (agregado_id), (VALUES
+               ('NC', 'Nível Territorial (Código)', 0), ('V', 'Valor', 0),
+               ('D1C', 'Local (Código)', 0), ('D2C', 'Período (Código)', 0),
+               ('D3C', 'Variável (Código)', 0), ('D4C', 'Classificação 1 (Código)', 1),
+               ('D5C', 'Classificação 2 (Código)', 2), ('D6C', 'Classificação 3 (Código)', 3),
+               ('D7C', 'Classificação 4 (Código)', 4), ('D8C', 'Classificação 5 (Código)', 5)
+             ) h(chave, texto, minimo) WHERE n_classificacoes >= minimo"""
+    )
+    sql["merge_values"] = (
+        cell_parts
+        + """SELECT agregado_id, nivel_territorial, loc_id, per_id, var_id, categorias,
+                    CAST(CAST(valor AS DECIMAL(28,2)) AS VARCHAR) AS valor FROM cell_values"""
+    )
+    by_level = (
+        cell_parts
+        + """SELECT agregado_id, nivel_territorial, count(*) AS n_valores,
+                    CAST(CAST(sum(valor) AS DECIMAL(38,2)) AS VARCHAR) AS soma
+             FROM cell_values GROUP BY ALL"""
+    )
+    sql["values_by_level"] = sql["stream_values"] = by_level
+    progress = (
+        cell_parts
+        + """, landed AS (
+               SELECT agregado_id, nivel_territorial AS nivel, count(DISTINCT chunk_seq) AS n
+               FROM cells GROUP BY ALL)
+             SELECT agregado_id, nivel AS nivel_territorial,
+                    CAST(n_p * n_b * n_v * n_c AS BIGINT) AS planejados, coalesce(n, 0) AS feitos
+             FROM levels LEFT JOIN landed USING (agregado_id, nivel)"""
+    )
+    sql["chunk_progress"] = sql["stream_progress"] = progress
+    sql["manifest"] = (
+        chunk_sql(100_000)
+        + f""", {CELLS}
+        , written AS (SELECT agregado_id, nivel_territorial, 4 * count(*) + 1 AS n_linhas
+                      FROM cells GROUP BY ALL),
+        planned AS (SELECT agregado_id, nivel_territorial, min_by(url, chunk_seq) AS url,
+                           CAST(count(*) AS VARCHAR) AS n_requests FROM chunks GROUP BY ALL)
+        SELECT 'estrela' AS source_id, agregado_id || ':' || nivel_territorial AS dataset_id, url,
+               n_requests, n_linhas, TRUE AS com_resumo, TRUE AS com_tamanho
+        FROM written JOIN planned USING (agregado_id, nivel_territorial)"""
+    )
+
+    sql["assemble_cube"] = (
+        with_parts(*ALL)
+        + parsed
+        + """SELECT c.agregado_id AS id, coalesce(n_periodos, 0) AS n_periodos,
+                    CAST(4 AS BIGINT) AS n_variaveis, n_classificacoes,
+                    coalesce((SELECT CAST(sum(n_localidades) AS BIGINT) FROM level_counts l
+                              WHERE l.agregado_id = c.agregado_id), 0) AS n_localidades,
+                    (SELECT min(data_inicio) FROM parsed p WHERE p.agregado_id = c.agregado_id) AS inicio,
+                    (SELECT 'Cliente ' || max(lugar) FROM places p
+                     WHERE p.agregado_id = c.agregado_id AND nivel = 'N6') AS ultima,
+                    'N1,N3,N7,N6' AS niveis
+             FROM cubes c JOIN dims USING (agregado_id) LEFT JOIN period_counts USING (agregado_id)"""
+    )
+    sql["assembled_localities"] = (
+        with_parts(CUBES, SALES, PLACES)
+        + """SELECT agregado_id, CAST(CASE nivel WHEN 'N1' THEN 0 WHEN 'N3' THEN 1 ELSE 3 END AS INT)
+                    AS nivel_ord, ord, nivel, loc_id, nome FROM localities"""
+    )
+    sql["snapshot_roundtrip"] = (
+        with_parts(CUBES, PERIODS) + parsed + f"SELECT {fields} FROM parsed"
+    )
+    sql["metadata_urls"] = (
+        with_parts(CUBES)
+        + """, bases AS (SELECT agregado_id,
+               'https://api.example.org/agregados/' || agregado_id || '/' AS base FROM cubes)
+             SELECT agregado_id, NULL AS nivel, tipo, base || tipo AS url
+             FROM bases, (VALUES ('metadados'), ('periodos')) t(tipo)
+             UNION ALL SELECT agregado_id, nivel, 'localidades', base || 'localidades/' || nivel
+             FROM bases, (VALUES ('N1'), ('N3'), ('N6'), ('N7')) n(nivel)"""
+    )
+    sql["collection_listing"] = (
+        with_parts(CUBES, VARIABLES, CLASSES, PERIODS)
+        + """SELECT 'A' AS acervo, assunto AS id, assunto AS nome, count(*) AS n FROM cubes GROUP BY ALL
+             UNION ALL SELECT 'C', CAST(class_id AS VARCHAR), nome, count(*) FROM classes GROUP BY ALL
+             UNION ALL SELECT 'N', nivel, NULL, count(*)
+               FROM cubes, (VALUES ('N1'), ('N3'), ('N6'), ('N7')) n(nivel) GROUP BY ALL
+             UNION ALL SELECT 'P', per_id, NULL, count(*) FROM periods GROUP BY ALL
+             UNION ALL SELECT 'E', frequencia, NULL, count(*) FROM cubes GROUP BY ALL
+             UNION ALL SELECT 'V', CAST(var_id AS VARCHAR), nome, count(*) FROM variables GROUP BY ALL"""
+    )
+
+    sql.update(_request_oracles())
     return sql
 
 
+# The parts of the request of a line item, as texts: raw segment and parsed value.
+REQUEST_PARTS = """
+WITH requests AS (
+  SELECT l_orderkey, l_linenumber, l_partkey,
+    '/t/' || l_suppkey AS t, CAST(l_suppkey AS VARCHAR) AS t_valor,
+    CASE WHEN l_returnflag = 'N' THEN '/n6/' || l_partkey || ',' || l_orderkey || '/n10/all'
+         ELSE '/n3/' || l_linenumber END AS n,
+    CASE WHEN l_returnflag = 'N' THEN '6=' || l_partkey || ',' || l_orderkey || ';10=all'
+         ELSE '3=' || l_linenumber END AS n_valor,
+    CASE WHEN l_linestatus = 'F' THEN 'all' ELSE l_linenumber || ',33' END AS v_valor,
+    CASE WHEN l_linenumber = 1 THEN 'all' WHEN l_linenumber = 2 THEN 'last%2012'
+         ELSE strftime(l_shipdate, '%Y%m') || ',' || strftime(l_shipdate, '%Y%m') || '-'
+              || strftime(l_shipdate, '%Y%m') END AS p_valor,
+    CASE WHEN l_returnflag = 'R' THEN ''
+         ELSE '/c2/' || l_linenumber || ',' || l_partkey || '/c81/all' END AS c,
+    CASE WHEN l_returnflag = 'R' THEN ''
+         ELSE '2=' || l_linenumber || ',' || l_partkey || ';81=all' END AS c_valor,
+    CASE WHEN l_linestatus = 'F' THEN 'y' ELSE 'n' END AS h,
+    CASE l_returnflag WHEN 'A' THEN 'a' WHEN 'N' THEN 'n' ELSE 'u' END AS f_valor,
+    CASE l_linenumber WHEN 3 THEN '2' WHEN 4 THEN 'v' || l_partkey || '%205,v33%200'
+         WHEN 5 THEN 'v33%20m' WHEN 6 THEN 's' ELSE 'm' END AS d,
+    CASE l_linenumber WHEN 3 THEN '=2'
+         WHEN 4 THEN CASE WHEN l_partkey = 33 THEN '33=0' ELSE l_partkey || '=5,33=0' END
+         WHEN 5 THEN '33=m' WHEN 6 THEN '=s' ELSE '=m' END AS d_valor
+  FROM lineitem
+)
+"""
+
+
+def _request_oracles() -> dict[str, str]:
+    key = "l_orderkey, l_linenumber, l_partkey"
+    url = (
+        "t || n || '/v/' || v_valor || '/p/' || {} || c || '/h/' || h || '/f/' || f_valor"
+        " || '/d/' || d"
+    )
+
+    def part(raw: str, value: str, missing: str = "") -> str:
+        return (
+            REQUEST_PARTS
+            + f"""SELECT {key}, {raw} AS bruto, {value} AS valor FROM requests
+                  UNION ALL SELECT -page_id - 1, 0, 0, '', '{missing}' FROM pages"""
+        )
+
+    return {
+        "render_url": REQUEST_PARTS + f"SELECT {key}, {url.format('p_valor')} AS url FROM requests",
+        "render_period_url": REQUEST_PARTS
+        + f"SELECT {key}, {url.format(repr('200101'))} AS url FROM requests",
+        "parse_url_aggregate": part("t", "t_valor"),
+        "parse_url_territories": part("n", "n_valor"),
+        "parse_url_periods": part("'/p/' || p_valor", "p_valor"),
+        "parse_url_variables": part("'/v/' || v_valor", "v_valor"),
+        "parse_url_classes": part("c", "c_valor"),
+        "parse_url_header": part("'/h/' || h", "CASE h WHEN 'y' THEN 'true' ELSE 'false' END", "true"),
+        "parse_url_format": part("'/f/' || f_valor", "f_valor", "a"),
+        "parse_url_decimals": part("'/d/' || d", "d_valor"),
+        # A variable named twice in the precisions counts once, with its last precision.
+        "normalise_requests": REQUEST_PARTS.replace(
+            "WHEN 4 THEN 'v' ||", "WHEN 4 THEN CASE WHEN l_partkey = 33 THEN '' ELSE 'v' ||"
+        ).replace("'%205,v33%200'", "'%205,' END || 'v33%200'")
+        + f"""SELECT 'https://api.example.org/values' || {url.format('p_valor')} AS url,
+                     count(*) AS n_pedidos FROM requests GROUP BY ALL""",
+    }
+
+
 PERIOD_QUERIES = {
     "parse_periods_mensal": "mensal",
     "parse_periods_trimestral": "trimestral",

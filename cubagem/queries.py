@@ -233,7 +233,7 @@ def plan_cell_location(spark, sf_dir):
 
 
 def _restrictions(catalog: Catalog) -> DataFrame:
-    """From every cube: levels N3, N6, two variables, odd years and some categories.
+    """From every cube: levels N3, N6, two variables, periods from 1998 and some categories.
 
     Cubes whose survey ends in 9 ask for things they do not have.
     """
@@ -244,7 +244,7 @@ def _restrictions(catalog: Catalog) -> DataFrame:
             "agregado_id",
             F.lit(dim).alias("dim"),
             (F.lit(None) if class_id is None else class_id).cast("string").alias("class_id"),
-            ids.cast("string").alias("id"),
+            ids.alias("id"),
         )
 
     def each(values: list[str]):
@@ -254,9 +254,9 @@ def _restrictions(catalog: Catalog) -> DataFrame:
     parts = [
         rows(own, "nivel", each(["N3", "N6"])),
         rows(own, "variavel", each(["101", "103"])),
-        rows(catalog.periods.where("substr(per_id, 4, 1) % 2 = 1"), "periodo", F.col("per_id")),
-        rows(catalog.categories.where("class_id = 10 AND nome <> 'R'"), "classificacao", F.col("cat_id"), F.col("class_id")),
-        rows(catalog.categories.where("class_id = 30 AND cat_id = 0"), "classificacao", F.col("cat_id"), F.col("class_id")),
+        rows(catalog.periods.where("per_id >= '1998'"), "periodo", F.col("per_id")),
+        rows(catalog.categories.where("class_id = 10 AND nome <> 'R'"), "classificacao", F.col("cat_id").cast("string"), F.col("class_id")),
+        rows(catalog.categories.where("class_id = 30 AND cat_id = 0"), "classificacao", F.col("cat_id").cast("string"), F.col("class_id")),
         rows(wrong, "variavel", each(["999"])),
         rows(wrong, "classificacao", each(["1"]), F.lit("77")),
     ]
