@@ -84,5 +84,5 @@ def ordered_array(df: DataFrame, keys: list[str], name: str, *fields) -> DataFra
     """
     entry = F.struct("ord", F.struct(*fields).alias("valor"))
     return df.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["valor"]).alias(name)
+        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["valor"]).alias(name)
     )

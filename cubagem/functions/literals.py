@@ -20,3 +20,9 @@ def constant_array(values: Iterable[object], kind: str) -> Column:
     """``array<kind>`` of plain constants."""
     items = ", ".join(sql_literal(value) for value in values)
     return F.expr(f"cast(array({items}) AS array<{kind}>)")
+
+
+def constant_rows(rows: list[tuple], fields: str) -> Column:
+    """A constant array of structs, with ``fields`` given as ``name type, name type``."""
+    structs = ", ".join(f"struct({', '.join(map(sql_literal, row))})" for row in rows)
+    return F.expr(f"cast(array({structs}) AS array<struct<{fields}>>)")

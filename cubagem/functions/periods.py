@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubagem.functions.literals import constant_array
+from cubagem.functions.literals import constant_array, constant_rows
 
 # The month names used in period literals.
 MONTHS = [
@@ -57,21 +57,23 @@ _LABELS = [
     *[(f"{s}º semestre", HALF_YEARLY, 6 * s - 5, 6, None, None, s) for s in range(1, 3)],
 ]
 
+# A label may be followed by either of these before the year.
+_SEPARATORS = [" de ", " "]
+_PREFIXES = [entry[0] + separator for separator in _SEPARATORS for entry in _LABELS]
+
 # i: ignore case, u: also for accented letters, d: only \n ends a line.
-_YEAR = r"((?!0000)\d{4})"
-_PERIOD = (
-    r"(?iud)^(?:(" + "|".join(entry[0] for entry in _LABELS) + rf")(?: de | ){_YEAR}"
-    rf"|{_YEAR}(?:/{_YEAR})?)$"
-)
 _LOOKS_LIKE_PERIOD = (
     r"(?iud)^(?:(?:\dº (?:trimestre|semestre)|"
-    + "|".join(entry[0] for entry in _LABELS if entry[0].isalpha() or "-" in entry[0])
+    + "|".join(entry[0] for entry in _LABELS if not entry[0][0].isdigit())
     + r")(?: de | )\d{4}|\d{4}(?:/\d{4})?)$"
 )
 
 
-def _label_column(field: int, position: Column, kind: str) -> Column:
-    return F.get(constant_array([entry[field] for entry in _LABELS], kind), position - 1)
+def _label_entry(position: Column) -> Column:
+    """The label's frequency, first month, months, month, quarter and half-year."""
+    rows = [entry[1:] for entry in _LABELS] * len(_SEPARATORS)
+    fields = "frequencia string, inicio int, meses int, mes int, trimestre int, semestre int"
+    return F.get(constant_rows(rows, fields), position - 1)
 
 
 def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = False) -> DataFrame:
@@ -81,56 +83,75 @@ def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = Fals
     ``nao_reconhecida`` and nulls. So does a well-formed but impossible one, such
     as a fifth quarter or the year 0000; ``strict`` makes those an error.
     """
-    text = F.get(F.col(literals), F.lit(0))
-    labels = constant_array([entry[0] for entry in _LABELS], "string")
-
-    def group(number: int) -> Column:
-        return F.regexp_extract(text, _PERIOD, number)
-
-    # Exactly one of the groups 2 and 3 has the first year, unless nothing matches.
-    read = df.withColumns(
+    literal = F.get(F.col(literals), F.lit(0))
+    text = F.when(literal.endswith("\n"), F.left(literal, F.length(literal) - 1)).otherwise(literal)
+    # What stands before the last four characters is a label, a first year, or nothing.
+    cut = df.withColumn("_text", text).withColumns(
         {
-            "_label": F.array_position(labels, F.lower(group(1))).cast("int"),
-            "_from": F.concat(group(2), group(3)).try_cast("int"),
-            "_to": group(4).try_cast("int"),
+            "_tail": F.right("_text", F.lit(4)),
+            "_head": F.lower(F.left("_text", F.length("_text") - 4)),
         }
     )
-    label, year, year_end = F.col("_label"), F.col("_from"), F.col("_to")
+    tail, head = _year(F.col("_tail")), F.col("_head")
+    first = F.when(head.endswith("/") & (F.length(head) == 5), _year(F.left(head, F.lit(4))))
+    prefixes = constant_array(_PREFIXES, "string")
+    read = (
+        cut.withColumns({"_last": tail, "_first": first})
+        .withColumn(
+            "_label",
+            F.when(F.col("_last").isNotNull(), F.nullif(F.array_position(prefixes, head), F.lit(0))),
+        )
+        .withColumn(
+            "_from",
+            F.when(F.col("_label").isNotNull() | (F.col("_head") == ""), F.col("_last")).when(
+                F.col("_last").isNotNull(), F.col("_first")
+            ),
+        )
+        .withColumn("_to", F.when(F.col("_first").isNotNull(), F.col("_last")))
+    )
+    read = read.withColumn("_entry", _label_entry(F.col("_label").cast("int")))
+    entry, year, year_end = F.col("_entry"), F.col("_from"), F.col("_to")
     fallback = F.lit(UNRECOGNISED)
     if strict:
-        impossible = F.coalesce(text.rlike(_LOOKS_LIKE_PERIOD), F.lit(False))
-        message = F.concat(F.lit("impossible period: "), text)
+        impossible = F.coalesce(literal.rlike(_LOOKS_LIKE_PERIOD), F.lit(False))
+        message = F.concat(F.lit("impossible period: "), literal)
         fallback = F.when(impossible, F.raise_error(message)).otherwise(fallback)
     return (
         read.withColumns(
             {
                 "frequencia": F.coalesce(
-                    _label_column(1, label, "string"),
+                    entry["frequencia"],
                     F.when(year_end != year, F.lit(MULTI_YEAR)),
                     F.when(year.isNotNull(), F.lit(YEARLY)),
                     fallback,
                 ),
                 "data_inicio": F.make_date(
-                    year, F.coalesce(_label_column(2, label, "int"), F.lit(1)), F.lit(1)
+                    year, F.coalesce(entry["inicio"], F.lit(1)), F.lit(1)
                 ),
                 "ano": year,
-                "mes": _label_column(4, label, "int"),
-                "trimestre": _label_column(5, label, "int"),
-                "semestre": _label_column(6, label, "int"),
+                "mes": entry["mes"],
+                "trimestre": entry["trimestre"],
+                "semestre": entry["semestre"],
                 "ano_fim": F.when(year_end != year, year_end),
             }
         )
         .withColumn(
             "data_fim",
             F.coalesce(
-                month_range_end(F.col("data_inicio"), _label_column(3, label, "int")),
+                month_range_end(F.col("data_inicio"), entry["meses"]),
                 F.make_date(F.coalesce(year_end, year), F.lit(12), F.lit(31)),
             ),
         )
-        .drop("_label", "_from", "_to")
+        .drop("_text", "_tail", "_head", "_last", "_first", "_label", "_entry", "_from", "_to")
     )
 
 
+def _year(text: Column) -> Column:
+    """Four digits as a year; null for anything else and for the year 0000."""
+    digits = (F.length(text) == 4) & (F.translate(text, "0123456789", "") == "")
+    return F.when(digits, F.nullif(text.try_cast("int"), F.lit(0)))
+
+
 def month_range_end(start: Column, months: Column | int) -> Column:
     """Last day of the ``months`` months that begin on ``start``."""
     return F.date_sub(F.add_months(start, months), 1)

@@ -144,25 +144,31 @@ def parse_aggregate(url: Column) -> tuple[Column, Column]:
     return raw, _after(raw, 3)
 
 
-def _last_per_key(pairs: Column) -> Column:
+def _last_per_key(pairs: Column, keys: Column) -> Column:
     """Keep each key where it first occurs, with its last value."""
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    return F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1))
+    distinct = F.array_distinct(keys)
+    merged = F.transform(
+        distinct, lambda k: F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)
+    )
+    return F.when(F.size(distinct) == F.size(keys), pairs).otherwise(merged)
 
 
 def _pairs(url: Column, pattern: str, split: bool, repeat_last: bool) -> tuple[Column, Column]:
     raw = F.regexp_extract_all(url, F.lit(pattern), F.lit(0))
+    keys = F.regexp_extract_all(url, F.lit(pattern), F.lit(1))
+    ids = F.regexp_extract_all(url, F.lit(pattern), F.lit(2))
     if repeat_last:
-        raw = F.transform(raw, lambda r: F.concat(r, F.regexp_extract(r, r",\d+$", 0)))
+        raw, ids = (F.transform(texts, _repeat_last) for texts in (raw, ids))
+    pairs = F.zip_with(
+        keys,
+        ids,
+        lambda k, v: F.struct(k.alias("k"), (F.split(v, ",") if split else F.array(v)).alias("v")),
+    )
+    return raw, _last_per_key(pairs, keys)
 
-    def pair(segment: Column) -> Column:
-        key = F.regexp_extract(segment, r"^/[a-z](\d+)/", 1)
-        ids = F.substring_index(segment, "/", -1)
-        return F.struct(
-            key.alias("k"), (F.split(ids, ",") if split else F.array(ids)).alias("v")
-        )
 
-    return raw, _last_per_key(F.transform(raw, pair))
+def _repeat_last(text: Column) -> Column:
+    return F.concat(text, F.regexp_extract(text, r",\d+$", 0))
 
 
 def parse_territories(url: Column, compat: bool = False) -> tuple[Column, Column]:
@@ -208,7 +214,10 @@ def parse_decimals(url: Column, compat: bool = False) -> tuple[Column, Column]:
             F.substring_index(item, "%20", -1).alias("v"),
         )
 
-    pairs = _last_per_key(F.transform(F.split(body, ","), pair))
+    items = F.split(body, ",")
+    pairs = _last_per_key(
+        F.transform(items, pair), F.transform(items, lambda item: pair(item)["k"])
+    )
     return raw, F.when(raw != "", pairs).otherwise(F.array().cast(PRECISION_LIST))
 
 
@@ -234,13 +243,62 @@ def parse_urls(df: DataFrame, url: str = "url", base_url: str = "", compat: bool
     return df.withColumns(columns)
 
 
+def canonical_requests(df: DataFrame, url: str = "url", base_url: str = "") -> DataFrame:
+    """Replace each URL by the one that parsing and rendering it again would give.
+
+    A segment renders to the text it was parsed from, so segments are put together as
+    they are, unless a level, a classification or a variable occurs twice. Texts
+    without an aggregate are not requests and are dropped.
+    """
+    path = F.replace(F.col(url), F.lit(base_url), F.lit("")) if base_url else F.col(url)
+
+    def every(pattern: str) -> Column:
+        return F.array_join(F.regexp_extract_all("_url", F.lit(pattern), F.lit(0)), "")
+
+    def first(pattern: str, missing: str) -> Column:
+        found = F.regexp_extract("_url", pattern, 0)
+        return F.when(found == "", F.lit(missing)).otherwise(found)
+
+    cut = (
+        df.withColumn("_url", path)
+        .where(F.col("_url").rlike(AGGREGATE))
+        .withColumns(
+            {
+                "_t": F.regexp_extract("_url", AGGREGATE, 0),
+                "_n": every(TERRITORY),
+                "_v": first(VARIABLES, "/v/all"),
+                "_p": first(PERIODS, "/p/all"),
+                "_c": every(CLASSIFICATION),
+                "_h": first(HEADER, "/h/y"),
+                "_f": first(FORMAT, "/f/a"),
+                "_d": first(DECIMALS, "/d/m"),
+            }
+        )
+        .drop("_url")
+    )
+    once = {
+        "_n": (r"/n(\d+)/.*/n\1/", segments("n", parse_territories(F.col("_n"))[1])),
+        "_c": (r"/c(\d+)/.*/c\1/", segments("c", parse_classifications(F.col("_c"))[1])),
+        "_d": (
+            r"v(\d+)%20.*v\1%20",
+            F.concat(F.lit("/d/"), _decimals(parse_decimals(F.col("_d"))[1], False)),
+        ),
+    }
+    merged = cut.withColumns(
+        {
+            name: F.when(F.col(name).rlike(twice), rendered).otherwise(F.col(name))
+            for name, (twice, rendered) in once.items()
+        }
+    )
+    parts = ["_t", "_n", "_v", "_p", "_c", "_h", "_f", "_d"]
+    return merged.withColumn(url, F.concat(F.lit(base_url), *parts)).drop(*parts)
+
+
 def normalise_requests(df: DataFrame, url: str = "url", base_url: str = "") -> DataFrame:
     """Distinct requests of a log of URLs, in canonical form, with how often each occurs.
 
-    Texts without an aggregate are not requests and have no row. Equal requests are
-    counted before the shuffle, so a request that dominates the log is no hot spot.
+    Equal requests are counted before the shuffle, so a request that dominates the log
+    is no hot spot.
     """
-    parsed = parse_urls(df, url, base_url).where(F.col("t") != "")
-    return parsed.groupBy(render_url(base_url=base_url).alias("url")).agg(
-        F.count("*").alias("n_pedidos")
-    )
+    canonical = canonical_requests(df.select(url), url, base_url)
+    return canonical.groupBy(F.col(url).alias("url")).agg(F.count("*").alias("n_pedidos"))

@@ -58,7 +58,7 @@ def assemble_cubes(catalog: Catalog, part_size: int = 10_000) -> DataFrame:
 
     def group_of(name: str) -> Column:
         member = F.when(F.col("grupo") == name, F.struct("ord", "nivel"))
-        names = F.transform(F.array_sort(F.collect_list(member)), lambda e: e["nivel"])
+        names = F.transform(F.sort_array(F.collect_list(member)), lambda e: e["nivel"])
         return names.alias(name)
 
     groups = catalog.levels.groupBy(*ids).agg(

@@ -49,73 +49,85 @@ def flatten_cubes(
     if max_dims is None:
         largest = nested.agg(F.max(F.size("classificacoes"))).first()[0]
         max_dims = largest or 0
+    base = ["agregado_id", "agregado", "pesquisa", "assunto", "frequencia", "url_agregado"]
     sizes = F.transform("classificacoes", lambda c: F.size(c["categorias"]).cast("bigint"))
-    numbered = nested.select(
-        "agregado_id",
-        F.col("nome").alias("agregado"),
-        "pesquisa",
-        "assunto",
-        "frequencia",
-        F.col("url").alias("url_agregado"),
-        "variaveis",
-        "classificacoes",
-        sizes.alias("_tamanhos"),
+    positions = range(max_dims)
+    # Everything that is constant for a cube is prepared here, once per cube: what is
+    # left for the rows is to pick by position.
+    numbered = (
+        nested.withColumnsRenamed({"nome": "agregado", "url": "url_agregado"})
+        .withColumn("_tamanhos", sizes)
+        .withColumn("_passos", strides(F.col("_tamanhos")))
+        .withColumn("_combinacoes", product(F.col("_tamanhos")))
+        .select(
+            *base,
+            F.size("classificacoes").alias("_dims"),
+            "_combinacoes",
+            (F.size("variaveis") * F.col("_combinacoes")).alias("_linhas"),
+            F.transform("variaveis", _variable).alias("_variaveis"),
+            *[_coordinates(position).alias(f"_k{position}") for position in positions],
+            *[_at("_tamanhos", position).alias(f"_t{position}") for position in positions],
+            *[_at("_passos", position).alias(f"_p{position}") for position in positions],
+        )
     )
-    numbered = numbered.withColumn("_combinacoes", product(F.col("_tamanhos")))
-    numbered = numbered.withColumn("_linhas", F.size("variaveis") * F.col("_combinacoes"))
-    numbered = numbered.withColumn("_passos", strides(F.col("_tamanhos")))
     rows = expand_range(numbered, "_linhas", "_n", ["agregado_id"], block)
 
-    def coordinate(position: int) -> Column:
-        at = F.lit(position)
-        classification = F.get("classificacoes", at)
-        digit = F.expr(f"cast((_n div get(_passos, {position})) % get(_tamanhos, {position}) as int)")
-        category = F.get(classification["categorias"], digit)
-        return F.when(
-            F.size("classificacoes") > at,
-            F.struct(
-                classification["id"].alias("dim_id"),
-                classification["nome"].alias("dim_nome"),
-                category["id"].alias("cat_id"),
-                category["nome"].alias("cat_nome"),
-                category["unidade"].alias("cat_unidade"),
-                category["nivel"].alias("cat_nivel"),
-            ),
-        )
+    def picked(position: int) -> Column:
+        digit = F.expr(f"cast(_n div _p{position} % _t{position} as int)")
+        return F.get(f"_k{position}", digit).alias(f"_c{position}")
 
-    names = [f"_c{position}" for position in range(max_dims)]
     located = rows.select(
-        "agregado_id",
-        "agregado",
-        "pesquisa",
-        "assunto",
-        "frequencia",
-        "url_agregado",
+        *base,
         F.col("_n").alias("ord"),
-        F.size("classificacoes").alias("_dims"),
-        F.get("variaveis", F.expr("cast(_n div _combinacoes as int)")).alias("_variavel"),
-        *[coordinate(position).alias(name) for position, name in enumerate(names)],
+        "_dims",
+        F.get("_variaveis", F.expr("cast(_n div _combinacoes as int)")).alias("_variavel"),
+        *[picked(position) for position in positions],
+    )
+    chosen = [F.col(f"_c{position}") for position in positions]
+    units = [F.nullif(c["cat_unidade"], F.lit("")) for c in reversed(chosen)]
+    depths = [c["cat_nivel"] for c in reversed(chosen)]
+    coordinates = F.array_compact(F.array(*chosen)) if chosen else F.array().cast(COORDINATES)
+    return (
+        located.select(
+            *base,
+            "ord",
+            "_dims",
+            F.col("_variavel.id").alias("D4C"),
+            F.col("_variavel.nome").alias("D4N"),
+            coordinates.alias("coordenadas"),
+            F.coalesce(*units, F.col("_variavel.unidade")).alias("MN"),
+            F.coalesce(*depths, F.lit(0)).alias("nivel"),
+        )
+        .where("_dims = 0 OR MN IS NOT NULL")
+        .drop("_dims")
+    )
+
+
+def _variable(v: Column) -> Column:
+    deferred = F.coalesce(v["unidade"].startswith(UNIT_IN_CATEGORIES), F.lit(False))
+    unit = F.when(~deferred, v["unidade"])
+    return F.struct(v["id"].alias("id"), v["nome"].alias("nome"), unit.alias("unidade"))
+
+
+def _at(array: str, position: int) -> Column:
+    """Element of an array of counts, 1 beyond its end."""
+    return F.coalesce(F.get(array, F.lit(position)), F.lit(1))
+
+
+def _coordinates(position: int) -> Column:
+    """The categories of one classification as coordinates; null if the cube has fewer."""
+    classification = F.get("classificacoes", F.lit(position))
+    return F.transform(
+        classification["categorias"],
+        lambda k: F.struct(
+            classification["id"].alias("dim_id"),
+            classification["nome"].alias("dim_nome"),
+            k["id"].alias("cat_id"),
+            k["nome"].alias("cat_nome"),
+            k["unidade"].alias("cat_unidade"),
+            k["nivel"].alias("cat_nivel"),
+        ),
     )
-    unit = F.col("_variavel")["unidade"]
-    variable_unit = F.when(~F.coalesce(unit.startswith(UNIT_IN_CATEGORIES), F.lit(False)), unit)
-    category_units = [F.nullif(F.col(name)["cat_unidade"], F.lit("")) for name in reversed(names)]
-    depths = [F.col(name)["cat_nivel"] for name in names]
-    depth = F.get(F.array(*depths), F.col("_dims") - 1) if names else F.lit(None)
-    coordinates = F.slice(F.array(*[F.col(name) for name in names]), F.lit(1), F.col("_dims"))
-    return located.select(
-        "agregado_id",
-        "agregado",
-        "pesquisa",
-        "assunto",
-        "frequencia",
-        "url_agregado",
-        "ord",
-        F.col("_variavel")["id"].alias("D4C"),
-        F.col("_variavel")["nome"].alias("D4N"),
-        (coordinates if names else F.array().cast(COORDINATES)).alias("coordenadas"),
-        F.coalesce(*category_units, variable_unit).alias("MN"),
-        F.when(F.col("_dims") == 0, F.lit(0)).otherwise(depth).alias("nivel"),
-    ).where((F.size("coordenadas") == 0) | F.col("MN").isNotNull())
 
 
 def strides(sizes: Column) -> Column:

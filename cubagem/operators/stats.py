@@ -31,7 +31,7 @@ def category_counts(catalog: Catalog) -> DataFrame:
     )
     entry = F.struct("ord", F.coalesce("_n", F.lit(0)).cast("bigint").alias("n"))
     return counted.groupBy("agregado_id").agg(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["n"]).alias("contagens")
+        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["n"]).alias("contagens")
     )
 
 
@@ -75,7 +75,7 @@ def cube_counts(catalog: Catalog) -> DataFrame:
         locality_counts(catalog.localities)
         .groupBy("agregado_id")
         .agg(
-            F.array_sort(F.collect_list(by_level)).alias("stat_localidades"),
+            F.sort_array(F.collect_list(by_level)).alias("stat_localidades"),
             F.count("*").alias("n_niveis_territoriais"),
             F.sum("n_localidades").alias("n_localidades"),
         )

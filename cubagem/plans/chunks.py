@@ -61,14 +61,14 @@ def _pools(catalog: Catalog, selections: DataFrame | None) -> list[DataFrame]:
         kept = restrict(pool, selections, dim, id_column)
         entry = F.struct("ord", F.col(id_column).cast("string").alias("id"))
         return kept.groupBy("agregado_id").agg(
-            F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["id"]).alias(name),
+            F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["id"]).alias(name),
             F.max("restrito").alias(flag),
         )
 
     kept = restrict(catalog.categories, selections, "classificacao", "cat_id", by_class=True)
     entry = F.struct("ord", F.col("cat_id").cast("string").alias("id"))
     per_class = kept.groupBy("agregado_id", "class_id").agg(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["id"]).alias("cats"),
+        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["id"]).alias("cats"),
         F.max("restrito").alias("restrita"),
     )
     classes = ordered_array(
@@ -149,7 +149,7 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
         "classes",
         lambda c, i: F.struct((-F.size(c["cats"])).cast("bigint").alias("k"), i.alias("i")),
     )
-    step = step.withColumn("_ordem", F.array_sort(ranked))
+    step = step.withColumn("_ordem", F.sort_array(ranked))
     start = F.struct(F.col("_t3").alias("t"), F.lit(0).alias("n"))
 
     def expand(acc: Column, entry: Column) -> Column:

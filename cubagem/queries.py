@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from cubagem.catalog import Catalog
 from cubagem.functions import periods as P
 from cubagem.functions import requests as R
+from cubagem.functions.literals import constant_rows
 from cubagem.operators import assemble, flatten, ingest, listing, stats
 from cubagem.oracle import PERIOD_QUERIES
 from cubagem.plans import chunks, selections
-from cubagem.session import shared_dir
+from cubagem.session import shared_dir, spread_scan
 from cubagem.sources import documents, sinks, star
 from cubagem.streaming import landing
 
@@ -35,6 +36,16 @@ def on_catalog(function: Callable[[Catalog], DataFrame]) -> Callable[[Catalog],
     return function
 
 
+def on_written_catalog(function: Callable[[Catalog], DataFrame]) -> Callable[[Catalog], DataFrame]:
+    """Register a query that needs several tables of the catalog."""
+    QUERIES[function.__name__] = lambda spark, sf_dir: function(_written(spark, sf_dir))
+    return function
+
+
+def _written(spark: SparkSession, sf_dir: str) -> Catalog:
+    return star.catalog_from_star(spark, sf_dir, written=True)
+
+
 # Surveys
 
 
@@ -66,17 +77,17 @@ def cube_dimensions(catalog):
     return stats.cube_dimensions(catalog)
 
 
-@on_catalog
+@on_written_catalog
 def cube_estimate(catalog):
     return stats.estimate_values(stats.cube_counts(catalog)).select(
         "agregado_id", "n_dimensoes", "period_size", "total_size"
     )
 
 
-@on_catalog
+@on_written_catalog
 def cube_summary(catalog):
     pairs = F.transform(
-        F.array_sort(F.map_entries("stat_localidades")),
+        F.sort_array(F.map_entries("stat_localidades")),
         lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
     )
     return stats.cube_summary(catalog).withColumn("stat_localidades", F.array_join(pairs, ","))
@@ -120,7 +131,8 @@ for _name, _frequency in PERIOD_QUERIES.items():
 @query
 def parse_period_texts(spark, sf_dir):
     """Dates, months, quarters and rolling quarters of every order, written out and read back."""
-    orders = star.read_table(spark, sf_dir, "orders")
+    orders = star.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    orders = spread_scan(orders, "o_orderkey")
     dated = orders.select(
         "o_orderkey",
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("_data"),
@@ -181,7 +193,7 @@ def flatten_cube_units(catalog):
 # Plans
 
 
-@on_catalog
+@on_written_catalog
 def plan_full(catalog):
     return chunks.plan_chunks(catalog).select(*PLAN_COLUMNS)
 
@@ -191,32 +203,32 @@ def _plan_of_levels(catalog: Catalog, condition: str, limit: int) -> DataFrame:
     return chunks.plan_chunks(catalog, limit=limit, levels_where=condition).select(*PLAN_COLUMNS)
 
 
-@on_catalog
+@on_written_catalog
 def plan_period_split(catalog):
     return _plan_of_levels(catalog, "split_p AND NOT split_l", 100_000)
 
 
-@on_catalog
+@on_written_catalog
 def plan_locality_batches(catalog):
     return _plan_of_levels(catalog, "split_l", 100_000)
 
 
-@on_catalog
+@on_written_catalog
 def plan_variable_split(catalog):
     return _plan_of_levels(catalog, "nivel_territorial = 'N1' AND split_v", 1_500)
 
 
-@on_catalog
+@on_written_catalog
 def plan_class_split(catalog):
     return _plan_of_levels(catalog, "nivel_territorial = 'N1' AND n_c > 1", 200)
 
 
-@on_catalog
+@on_written_catalog
 def plan_summary(catalog):
     return chunks.plan_summary(chunks.plan_chunks(catalog))
 
 
-@on_catalog
+@on_written_catalog
 def plan_coverage(catalog):
     levels = chunks.plan_levels(catalog)
     return chunks.plan_coverage(levels, chunks.plan_chunks(catalog)).drop("maior_chunk")
@@ -225,7 +237,7 @@ def plan_coverage(catalog):
 @query
 def plan_cell_location(spark, sf_dir):
     """Cells of the sales per chunk: each falls into one chunk of the plan, within its size."""
-    catalog = star.catalog_from_star(spark, sf_dir)
+    catalog = _written(spark, sf_dir)
     located = star.located_cells(spark, sf_dir, catalog)
     per_chunk = located.groupBy("chunk_id").agg(F.count("*").alias("n_celulas"))
     planned = chunks.plan_chunks(catalog).select("chunk_id", "n_valores")
@@ -237,54 +249,52 @@ def _restrictions(catalog: Catalog) -> DataFrame:
 
     Cubes whose survey ends in 9 ask for things they do not have.
     """
-    own = catalog.cubes.select("agregado_id", "pesquisa_id")
-
-    def rows(df: DataFrame, dim: str, ids, class_id=None) -> DataFrame:
-        return df.select(
-            "agregado_id",
-            F.lit(dim).alias("dim"),
-            (F.lit(None) if class_id is None else class_id).cast("string").alias("class_id"),
-            ids.alias("id"),
-        )
-
-    def each(values: list[str]):
-        return F.explode(F.array(*[F.lit(v) for v in values]))
-
-    wrong = own.where("pesquisa_id LIKE '%9'")
-    parts = [
-        rows(own, "nivel", each(["N3", "N6"])),
-        rows(own, "variavel", each(["101", "103"])),
-        rows(catalog.periods.where("per_id >= '1998'"), "periodo", F.col("per_id")),
-        rows(catalog.categories.where("class_id = 10 AND nome <> 'R'"), "classificacao", F.col("cat_id").cast("string"), F.col("class_id")),
-        rows(catalog.categories.where("class_id = 30 AND cat_id = 0"), "classificacao", F.col("cat_id").cast("string"), F.col("class_id")),
-        rows(wrong, "variavel", each(["999"])),
-        rows(wrong, "classificacao", each(["1"]), F.lit("77")),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    fields = "dim string, class_id string, id string"
+    usual = [("nivel", None, "N3"), ("nivel", None, "N6")]
+    usual += [("variavel", None, "101"), ("variavel", None, "103")]
+    wrong = [("variavel", None, "999"), ("classificacao", "77", "1")]
+    asked = F.when(
+        F.col("pesquisa_id").like("%9"), constant_rows(usual + wrong, fields)
+    ).otherwise(constant_rows(usual, fields))
+    everywhere = catalog.cubes.select("agregado_id", F.explode(asked).alias("_s")).select(
+        "agregado_id", "_s.*"
+    )
+    recent = catalog.periods.where("per_id >= '1998'").select(
+        "agregado_id",
+        F.lit("periodo").alias("dim"),
+        F.lit(None).cast("string").alias("class_id"),
+        F.col("per_id").alias("id"),
+    )
+    some = catalog.categories.where(
+        "(class_id = 10 AND nome <> 'R') OR (class_id = 30 AND cat_id = 0)"
+    ).select(
+        "agregado_id",
+        F.lit("classificacao").alias("dim"),
+        F.col("class_id").cast("string").alias("class_id"),
+        F.col("cat_id").cast("string").alias("id"),
+    )
+    return everywhere.unionByName(recent).unionByName(some)
 
 
-@on_catalog
+@on_written_catalog
 def plan_restricted(catalog):
     return chunks.plan_chunks(catalog, _restrictions(catalog), limit=2_000).select(*PLAN_COLUMNS)
 
 
-@on_catalog
+@on_written_catalog
 def selection_errors(catalog):
     return selections.selection_errors(catalog, _restrictions(catalog))
 
 
-@on_catalog
+@on_written_catalog
 def selection_specs(catalog):
     """Selections of every cube written as text, as on a command line, and read back."""
-    ids = F.array_sort(F.collect_list(F.col("cat_id").cast("string")))
+    ids = F.sort_array(F.collect_list(F.col("cat_id").cast("string")))
     specs = catalog.categories.groupBy("agregado_id", "class_id").agg(
         F.concat(F.lit(" "), F.col("class_id").cast("string"), F.lit(" = "), F.array_join(ids, " ,, ")).alias("spec")
     )
     periods = catalog.periods.groupBy("agregado_id").agg(
-        F.array_join(F.array_sort(F.collect_list("per_id")), ", ").alias("spec")
+        F.array_join(F.sort_array(F.collect_list("per_id")), ", ").alias("spec")
     )
     return listing.parse_class_selections(specs, "spec").unionByName(
         listing.parse_selection_lists(periods, "spec", "periodo")
@@ -358,7 +368,7 @@ def normalise_requests(spark, sf_dir):
 
 
 def _landed(spark, sf_dir) -> DataFrame:
-    return star.landed_payloads(spark, sf_dir, star.catalog_from_star(spark, sf_dir))
+    return star.landed_payloads(spark, sf_dir, _written(spark, sf_dir))
 
 
 def _value_columns() -> list:
@@ -410,7 +420,7 @@ def values_by_level(spark, sf_dir):
 
 @query
 def chunk_progress(spark, sf_dir):
-    catalog = star.catalog_from_star(spark, sf_dir)
+    catalog = _written(spark, sf_dir)
     landed = star.landed_payloads(spark, sf_dir, catalog)
     return ingest.chunk_progress(chunks.plan_chunks(catalog), landed)
 
@@ -429,7 +439,7 @@ def stream_values(spark, sf_dir):
 @query
 def stream_progress(spark, sf_dir):
     """Landed chunks counted by a stream, next to the planned ones."""
-    catalog = star.catalog_from_star(spark, sf_dir)
+    catalog = _written(spark, sf_dir)
     source, table = shared_dir(spark, "pouso"), shared_dir(spark, "tabela")
     star.landed_payloads(spark, sf_dir, catalog).write.json(source)
     planned = chunks.plan_levels(catalog).select(
@@ -445,7 +455,7 @@ def stream_progress(spark, sf_dir):
 @query
 def manifest(spark, sf_dir):
     """Manifests of the written values; the digests are checked against a second reading."""
-    catalog = star.catalog_from_star(spark, sf_dir)
+    catalog = _written(spark, sf_dir)
     path, kept = shared_dir(spark, "valores"), shared_dir(spark, "manifestos")
     records = ingest.payload_records(star.landed_payloads(spark, sf_dir, catalog))
     sinks.write_values(records, path, header=True)
@@ -483,7 +493,7 @@ def _assembled_summary(parts: DataFrame) -> DataFrame:
     )
 
 
-@on_catalog
+@on_written_catalog
 def assemble_cube(catalog):
     return _assembled_summary(assemble.assemble_cubes(catalog, part_size=100))
 
@@ -500,7 +510,7 @@ def assembled_localities(spark, sf_dir):
 def snapshot_roundtrip(spark, sf_dir):
     """Cubes saved as JSON and loaded; their periods parsed again."""
     path = shared_dir(spark, "cubos")
-    sinks.save_snapshot(assemble.assemble_cubes(star.catalog_from_star(spark, sf_dir)), path)
+    sinks.save_snapshot(assemble.assemble_cubes(_written(spark, sf_dir)), path)
     periods = sinks.snapshot_periods(sinks.load_snapshot(spark, path))
     return periods.drop("literals", "ord")
 

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "cubagem", master: str | None = None, **conf: str) -> SparkSession:
@@ -19,6 +19,8 @@ def build_session(app: str = "cubagem", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # The JVM does not compile methods of more bytecode than this; split them instead.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():
@@ -31,6 +33,17 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a scan to all cores if its files have fewer splits than that.
+
+    Large tables have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which all executors can reach.
 

@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubagem.catalog import Catalog
-from cubagem.functions.literals import constant_array, sql_literal
+from cubagem.functions.literals import constant_array, constant_rows, sql_literal
 from cubagem.functions.periods import MONTHS, rolling_label
 from cubagem.functions.requests import LISTS, PRECISION_LIST, render_url
 from cubagem.operators.spread import dense_ordinal, small_ordinal
 from cubagem.plans.chunks import locate_cells, plan_levels
+from cubagem.session import shared_dir, spread_scan
 
 PERIODICITIES = [
     "mensal",
@@ -83,7 +84,9 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         ("customer", "o_custkey", "c_custkey"),
         ("nation", "c_nationkey", "n_nationkey"),
     ]
-    df = read_table(spark, sf_dir, "lineitem")
+    items = read_table(spark, sf_dir, "lineitem")
+    needed = [c for c in items.columns if c in columns or c == "l_orderkey"]
+    df = spread_scan(items.select(*needed), "l_orderkey")
     for table, key, other in joins:
         if set(columns) <= set(df.columns):
             break
@@ -127,7 +130,7 @@ def survey_index(spark: SparkSession, sf_dir: str, shard: int = 1 << 10) -> Data
     return (
         cubes(spark, sf_dir)
         .groupBy("pesquisa_id", "pesquisa", F.expr(f"agregado_id div {shard}").alias("_parte"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("agregados"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("agregados"))
         .select(F.col("pesquisa_id").alias("id"), F.col("pesquisa").alias("nome"), "agregados")
     )
 
@@ -156,39 +159,69 @@ def classifications(cubes_df: DataFrame) -> DataFrame:
     )
 
 
-def constant_rows(rows: list[tuple], fields: str) -> Column:
-    """A constant array of structs, with ``fields`` given as ``name type, name type``."""
-    structs = ", ".join(f"struct({', '.join(map(sql_literal, row))})" for row in rows)
-    return F.expr(f"cast(array({structs}) AS array<struct<{fields.replace(' ', ': ').replace(',:', ',')}>>)")
-
-
 def per_cube(cubes_df: DataFrame, entries: Column) -> DataFrame:
     """The entries of an array of structs as rows of each cube, with their position."""
     exploded = cubes_df.select("agregado_id", F.posexplode(entries).alias("ord", "_e"))
     return exploded.select("agregado_id", "_e.*", "ord")
 
 
-def categories(spark: SparkSession, sf_dir: str, classifications_df: DataFrame) -> DataFrame:
+def members(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    """What occurs in the sales of each cube: months, category names, places.
+
+    One pass over the sales, for any of the kinds ``mes``, ``classe`` and ``local``:
+    a sale gives one row per member, and equal rows are merged before the shuffle.
+    Rows are (agregado_id, tipo, grupo, chave, ultimo).
+    """
+    date = F.col("o_orderdate").cast("date")
+    month = F.trunc(date, "month")
+    sources = {
+        "mes": [("", month.cast("string"))],
+        "classe": [(str(i), F.col(column).cast("string")) for i, _, column in CLASSIFICATIONS],
+        "local": [
+            (level, F.col(column).cast("string"))
+            for level, column in [("N1", "n_regionkey"), ("N3", "c_nationkey"), ("N6", "o_custkey")]
+        ],
+    }
+    needed = {
+        "mes": ["o_orderdate"],
+        "classe": [column for *_, column in CLASSIFICATIONS],
+        "local": ["o_custkey", "c_nationkey", "n_regionkey"],
+    }
+    entries = [
+        F.struct(
+            F.lit(kind).alias("tipo"),
+            F.lit(group).alias("grupo"),
+            key.alias("chave"),
+            (date if kind == "mes" else F.lit(None).cast("date")).alias("ultimo"),
+        )
+        for kind in kinds
+        for group, key in sources[kind]
+    ]
+    columns = dict.fromkeys(["l_suppkey", *[column for kind in kinds for column in needed[kind]]])
+    facts = sales(spark, sf_dir, *columns)
+    return (
+        facts.select(cube_id("l_suppkey").alias("agregado_id"), F.explode(F.array(*entries)).alias("_m"))
+        .select("agregado_id", "_m.*")
+        .groupBy("agregado_id", "tipo", "grupo", "chave")
+        .agg(F.max("ultimo").alias("ultimo"))
+    )
+
+
+def categories(found: DataFrame, classifications_df: DataFrame) -> DataFrame:
     """Values seen in a cube's sales, and a total in the priorities.
 
     The code of a value is the code of its first character; that is distinct within
     each of these columns.
     """
-    facts = sales(spark, sf_dir, "l_suppkey", *[column for _, _, column in CLASSIFICATIONS])
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(class_id).cast("bigint").alias("class_id"),
-                F.col(column).cast("string").alias("nome"),
-            )
-            for class_id, _, column in CLASSIFICATIONS
-        ]
-    )
     seen = (
-        facts.select(cube_id("l_suppkey").alias("agregado_id"), F.explode(pairs).alias("_p"))
-        .select("agregado_id", "_p.*")
-        .distinct()
-        .select("*", F.ascii("nome").cast("bigint").alias("cat_id"), F.lit(1).alias("nivel"))
+        found.where("tipo = 'classe'")
+        .select(
+            "agregado_id",
+            F.col("grupo").cast("bigint").alias("class_id"),
+            F.col("chave").alias("nome"),
+            F.ascii("chave").cast("bigint").alias("cat_id"),
+            F.lit(1).alias("nivel"),
+        )
         .join(classifications_df.select("agregado_id", "class_id"), ["agregado_id", "class_id"])
     )
     totals = classifications_df.where("class_id = 30").select(
@@ -247,45 +280,34 @@ def period_label(frequency: Column, month: Column) -> tuple[Column, Column]:
     return identifier, literal
 
 
-def periods(spark: SparkSession, sf_dir: str, cubes_df: DataFrame) -> DataFrame:
+def periods(found: DataFrame, cubes_df: DataFrame) -> DataFrame:
     """Periods with sales; the last order date of a period is its modification date."""
-    facts = sales(spark, sf_dir, "l_suppkey", "o_orderdate")
-    months = facts.groupBy(
-        cube_id("l_suppkey").alias("agregado_id"),
-        F.trunc(F.col("o_orderdate").cast("date"), "month").alias("_mes"),
-    ).agg(F.max(F.col("o_orderdate").cast("date")).alias("_ultimo"))
+    months = found.where("tipo = 'mes'").select(
+        "agregado_id", F.col("chave").cast("date").alias("_mes"), "ultimo"
+    )
     identifier, literal = period_label(F.col("frequencia"), F.col("_mes"))
     grouped = (
         months.join(cubes_df.select("agregado_id", "frequencia"), "agregado_id")
         .groupBy("agregado_id", identifier.alias("per_id"), literal.alias("_literal"))
-        .agg(F.max("_ultimo").alias("_ultimo"))
+        .agg(F.max("ultimo").alias("ultimo"))
         .select(
             "agregado_id",
             "per_id",
             F.array("_literal", "per_id").alias("literals"),
-            F.date_format("_ultimo", "dd/MM/yyyy").alias("modificacao"),
+            F.date_format("ultimo", "dd/MM/yyyy").alias("modificacao"),
         )
     )
     return small_ordinal(grouped, ["agregado_id"], "per_id")
 
 
-def localities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def localities(found: DataFrame) -> DataFrame:
     """Customers, their nations and regions that a cube has sales to."""
-    facts = sales(spark, sf_dir, "l_suppkey", "o_custkey", "c_nationkey", "n_regionkey")
-    places = F.array(
-        *[
-            F.struct(F.lit(level).alias("nivel"), F.col(column).cast("bigint").alias("_lugar"))
-            for level, column in [("N1", "n_regionkey"), ("N3", "c_nationkey"), ("N6", "o_custkey")]
-        ]
-    )
-    distinct = (
-        facts.select(cube_id("l_suppkey").alias("agregado_id"), F.explode(places).alias("_p"))
-        .select("agregado_id", "_p.*")
-        .distinct()
+    places = found.where("tipo = 'local'").select(
+        "agregado_id", F.col("grupo").alias("nivel"), F.col("chave").cast("bigint").alias("_lugar")
     )
     level_names = ", ".join(sql_literal(text) for pair in LEVEL_NAMES.items() for text in pair)
     names = F.expr(f"map({level_names})")
-    return dense_ordinal(distinct, ["agregado_id", "nivel"], "_lugar").select(
+    return dense_ordinal(places, ["agregado_id", "nivel"], "_lugar").select(
         "agregado_id",
         "nivel",
         names[F.col("nivel")].alias("nivel_nome"),
@@ -398,7 +420,7 @@ def landed_payloads(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataF
         located_cells(spark, sf_dir, catalog)
         .withColumn("_dims", F.size("categorias"))
         .groupBy("chunk_id", "_dims")
-        .agg(F.array_sort(F.collect_list(record)).alias("_registros"))
+        .agg(F.sort_array(F.collect_list(record)).alias("_registros"))
         .select(
             "chunk_id",
             F.lit(True).alias("cabecalho"),
@@ -449,7 +471,8 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(key.alias("k"), value.alias("v"))
 
     everything = constant_array([], "string")
-    items = read_table(spark, sf_dir, "lineitem")
+    columns = [*REQUEST_KEY, "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate"]
+    items = spread_scan(read_table(spark, sf_dir, "lineitem").select(*columns), "l_orderkey")
     month = F.date_format("l_shipdate", "yyyyMM")
     return items.select(
         *REQUEST_KEY,
@@ -510,10 +533,30 @@ def url_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class StarCatalog(Catalog):
-    """A catalog whose tables are defined when they are first used."""
+    """A catalog whose tables are defined when they are first used.
+
+    With ``written`` the members of all cubes are first written to the shared folder,
+    in one pass over the sales. Jobs that use several of the tables, or one of them
+    several times, then read them from there.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = False) -> None:
         object.__setattr__(self, "source", (spark, sf_dir))
+        object.__setattr__(self, "written", written)
+
+    def _members(self, kind: str) -> DataFrame:
+        if not self.written:
+            return members(*self.source, kind)
+        return self._written_members.where(F.col("tipo") == kind)
+
+    @cached_property
+    def _written_members(self) -> DataFrame:
+        spark, _ = self.source
+        path = shared_dir(spark, "membros")
+        found = members(*self.source, "mes", "classe", "local")
+        found.write.partitionBy("tipo").parquet(path)
+        schema = "agregado_id bigint, grupo string, chave string, ultimo date, tipo string"
+        return spark.read.schema(schema).parquet(path)
 
     @cached_property
     def _cubes(self) -> DataFrame:
@@ -529,7 +572,7 @@ class StarCatalog(Catalog):
 
     @cached_property
     def localities(self) -> DataFrame:
-        return localities(*self.source)
+        return localities(self._members("local"))
 
     @cached_property
     def variables(self) -> DataFrame:
@@ -541,12 +584,12 @@ class StarCatalog(Catalog):
 
     @cached_property
     def categories(self) -> DataFrame:
-        return categories(*self.source, self.classifications)
+        return categories(self._members("classe"), self.classifications)
 
     @cached_property
     def periods(self) -> DataFrame:
-        return periods(*self.source, self._cubes)
+        return periods(self._members("mes"), self._cubes)
 
 
-def catalog_from_star(spark: SparkSession, sf_dir: str) -> Catalog:
-    return StarCatalog(spark, sf_dir)
+def catalog_from_star(spark: SparkSession, sf_dir: str, written: bool = False) -> Catalog:
+    return StarCatalog(spark, sf_dir, written)
