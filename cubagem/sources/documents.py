@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubagem.catalog import Catalog
+from cubagem.functions.json_text import is_list
 from cubagem.operators.spread import dense_ordinal
 from cubagem.schemas import COLLECTION_KINDS, RAW_LOCALITIES, RAW_METADATA, RAW_PERIODS, SURVEY_INDEX
 
@@ -48,8 +49,8 @@ def unreadable_documents(spark: SparkSession, root: str) -> DataFrame:
         (LOCALITIES, RAW_LOCALITIES),
     ]:
         parsed = F.from_json("body", schema)
-        key = parsed["id"] if pattern == METADATA else parsed
-        part = read_documents(spark, root, pattern).where(key.isNull()).drop("body")
+        bad = parsed["id"].isNull() if pattern == METADATA else parsed.isNull() | ~is_list(F.col("body"))
+        part = read_documents(spark, root, pattern).where(bad).drop("body")
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -80,7 +81,7 @@ def read_metadata(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_periods(spark: SparkSession, root: str) -> DataFrame:
-    return read_documents(spark, root, PERIODS).select(
+    return read_documents(spark, root, PERIODS).where(is_list(F.col("body"))).select(
         "agregado_id", F.posexplode(F.from_json("body", RAW_PERIODS)).alias("ord", "_p")
     ).select(
         "agregado_id", F.col("_p.id").alias("per_id"), "_p.literals", "_p.modificacao", "ord"
@@ -89,7 +90,7 @@ def read_periods(spark: SparkSession, root: str) -> DataFrame:
 
 def read_localities(spark: SparkSession, root: str) -> DataFrame:
     """Localities, each once per cube and level, numbered in document order."""
-    listed = read_documents(spark, root, LOCALITIES).select(
+    listed = read_documents(spark, root, LOCALITIES).where(is_list(F.col("body"))).select(
         "agregado_id", F.posexplode(F.from_json("body", RAW_LOCALITIES)).alias("_pos", "_l")
     )
     distinct = listed.groupBy(
