@@ -61,6 +61,12 @@ _LABELS = [
 _SEPARATORS = [" de ", " "]
 _PREFIXES = [entry[0] + separator for separator in _SEPARATORS for entry in _LABELS]
 
+# A year from 0001, and a line end that may follow it.
+_YEAR = r"((?!0000)\d{4})"
+_END = r"\n?\z"
+_LABELLED = rf"(?s)^(.+){_YEAR}{_END}"
+_YEARS = rf"^{_YEAR}(?:/{_YEAR})?{_END}"
+
 # i: ignore case, u: also for accented letters, d: only \n ends a line.
 _LOOKS_LIKE_PERIOD = (
     r"(?iud)^(?:(?:\dº (?:trimestre|semestre)|"
@@ -84,32 +90,24 @@ def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = Fals
     as a fifth quarter or the year 0000; ``strict`` makes those an error.
     """
     literal = F.get(F.col(literals), F.lit(0))
-    text = F.when(literal.endswith("\n"), F.left(literal, F.length(literal) - 1)).otherwise(literal)
-    # What stands before the last four characters is a label, a first year, or nothing.
-    cut = df.withColumn("_text", text).withColumns(
+
+    def group(pattern: str, number: int) -> Column:
+        return F.regexp_extract(literal, pattern, number)
+
+    prefixes = constant_array(_PREFIXES, "string")
+    read = df.withColumns(
         {
-            "_tail": F.right("_text", F.lit(4)),
-            "_head": F.lower(F.left("_text", F.length("_text") - 4)),
+            "_label": F.array_position(prefixes, F.lower(group(_LABELLED, 1))),
+            "_year": group(_LABELLED, 2).try_cast("int"),
+            "_first": group(_YEARS, 1).try_cast("int"),
+            "_to": group(_YEARS, 2).try_cast("int"),
+        }
+    ).withColumns(
+        {
+            "_entry": _label_entry(F.col("_label").cast("int")),
+            "_from": F.when(F.col("_label") > 0, F.col("_year")).otherwise(F.col("_first")),
         }
     )
-    tail, head = _year(F.col("_tail")), F.col("_head")
-    first = F.when(head.endswith("/") & (F.length(head) == 5), _year(F.left(head, F.lit(4))))
-    prefixes = constant_array(_PREFIXES, "string")
-    read = (
-        cut.withColumns({"_last": tail, "_first": first})
-        .withColumn(
-            "_label",
-            F.when(F.col("_last").isNotNull(), F.nullif(F.array_position(prefixes, head), F.lit(0))),
-        )
-        .withColumn(
-            "_from",
-            F.when(F.col("_label").isNotNull() | (F.col("_head") == ""), F.col("_last")).when(
-                F.col("_last").isNotNull(), F.col("_first")
-            ),
-        )
-        .withColumn("_to", F.when(F.col("_first").isNotNull(), F.col("_last")))
-    )
-    read = read.withColumn("_entry", _label_entry(F.col("_label").cast("int")))
     entry, year, year_end = F.col("_entry"), F.col("_from"), F.col("_to")
     fallback = F.lit(UNRECOGNISED)
     if strict:
@@ -121,8 +119,8 @@ def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = Fals
             {
                 "frequencia": F.coalesce(
                     entry["frequencia"],
-                    F.when(year_end != year, F.lit(MULTI_YEAR)),
-                    F.when(year.isNotNull(), F.lit(YEARLY)),
+                    F.when(year_end != F.col("_first"), F.lit(MULTI_YEAR)),
+                    F.when(F.col("_first").isNotNull(), F.lit(YEARLY)),
                     fallback,
                 ),
                 "data_inicio": F.make_date(
@@ -142,16 +140,10 @@ def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = Fals
                 F.make_date(F.coalesce(year_end, year), F.lit(12), F.lit(31)),
             ),
         )
-        .drop("_text", "_tail", "_head", "_last", "_first", "_label", "_entry", "_from", "_to")
+        .drop("_label", "_year", "_first", "_to", "_entry", "_from")
     )
 
 
-def _year(text: Column) -> Column:
-    """Four digits as a year; null for anything else and for the year 0000."""
-    digits = (F.length(text) == 4) & (F.translate(text, "0123456789", "") == "")
-    return F.when(digits, F.nullif(text.try_cast("int"), F.lit(0)))
-
-
 def month_range_end(start: Column, months: Column | int) -> Column:
     """Last day of the ``months`` months that begin on ``start``."""
     return F.date_sub(F.add_months(start, months), 1)

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from cubagem.catalog import Catalog, ordered_array
 from cubagem.functions.requests import LISTS, PRECISION_LIST, render_url, segments
 from cubagem.operators.flatten import strides
-from cubagem.operators.spread import expand_range, small_ordinal
+from cubagem.operators.spread import expand_range
 from cubagem.operators.stats import locality_counts
-from cubagem.plans.selections import require_valid, restrict, selection_errors
+from cubagem.plans.selections import cube_pools, require_valid, restricted_pools
 from cubagem.schemas import VALUES_LIMIT
 
 # Products of counts: 38 digits, so that comparing with the limit never overflows.
@@ -25,92 +25,40 @@ BIG = "decimal(38,0)"
 LEVEL_KEY = ["agregado_id", "nivel_territorial"]
 
 
-def distinct_levels(catalog: Catalog) -> DataFrame:
-    """Levels of each cube, once each, in the order they are declared."""
-    return catalog.levels.groupBy("agregado_id", F.col("nivel").alias("nivel_territorial")).agg(
-        F.min("ord").alias("nivel_ord")
-    )
-
-
 def plan_levels(
     catalog: Catalog, selections: DataFrame | None = None, limit: int = VALUES_LIMIT
 ) -> DataFrame:
-    """One row per cube level that has localities: pools, counts, splits, number of chunks."""
+    """One row per cube level that has localities: pools, counts, splits, number of chunks.
+
+    Levels come in the order they are declared, each once. Cubes with selection errors
+    have no rows.
+    """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    levels = distinct_levels(catalog)
-    levels = restrict(levels, selections, "nivel", "nivel_territorial").drop("restrito")
-    if selections is not None:
-        rejected = selection_errors(catalog, selections).select("agregado_id").distinct()
-        levels = levels.join(rejected, "agregado_id", "left_anti")
+    pools = restricted_pools(cube_pools(catalog), selections).where(F.size("erros") == 0)
+    levels = pools.select(
+        "*", F.posexplode("niveis").alias("nivel_ord", "nivel_territorial")
+    ).drop("niveis", "erros")
     places = locality_counts(catalog.localities).select(
         "agregado_id",
         F.col("nivel").alias("nivel_territorial"),
         F.col("n_localidades").alias("L"),
     )
-    pooled = levels.join(places, LEVEL_KEY)
-    for pool in _pools(catalog, selections):
-        pooled = pooled.join(pool, "agregado_id", "left")
-    return _split(pooled, limit)
-
-
-def _pools(catalog: Catalog, selections: DataFrame | None) -> list[DataFrame]:
-    """Ids of periods, variables and categories per cube; metadata documents bound them."""
-
-    def ids(pool: DataFrame, dim: str, id_column: str, name: str, flag: str) -> DataFrame:
-        kept = restrict(pool, selections, dim, id_column)
-        entry = F.struct("ord", F.col(id_column).cast("string").alias("id"))
-        return kept.groupBy("agregado_id").agg(
-            F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["id"]).alias(name),
-            F.max("restrito").alias(flag),
-        )
-
-    kept = restrict(catalog.categories, selections, "classificacao", "cat_id", by_class=True)
-    entry = F.struct("ord", F.col("cat_id").cast("string").alias("id"))
-    per_class = kept.groupBy("agregado_id", "class_id").agg(
-        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["id"]).alias("cats"),
-        F.max("restrito").alias("restrita"),
-    )
-    classes = ordered_array(
-        catalog.classifications.join(per_class, ["agregado_id", "class_id"], "left"),
-        ["agregado_id"],
-        "classes",
-        F.col("class_id").cast("string").alias("class_id"),
-        F.coalesce("cats", F.array().cast("array<string>")).alias("cats"),
-        F.coalesce("restrita", F.lit(False)).alias("restrita"),
-    )
-    return [
-        ids(catalog.periods, "periodo", "per_id", "per_ids", "per_restrito"),
-        ids(catalog.variables, "variavel", "var_id", "var_ids", "var_restrito"),
-        classes,
-    ]
+    return _split(levels.join(places, LEVEL_KEY), limit)
 
 
 def _split(pooled: DataFrame, limit: int) -> DataFrame:
     """Decide the splits of each level from its counts."""
-    empty = F.array().cast("array<string>")
-    no_classes = F.array().cast(pooled.schema["classes"].dataType)
     cap = F.lit(limit).cast(BIG)
     one = F.lit(1).cast("bigint")
 
-    def size(name: str) -> Column:
-        return F.size(name).cast("bigint")
-
     def big(name: str) -> Column:
         return F.col(name).cast(BIG)
 
     counted = pooled.withColumns(
         {
-            "per_ids": F.coalesce("per_ids", empty),
-            "var_ids": F.coalesce("var_ids", empty),
-            "classes": F.coalesce("classes", no_classes),
-            "per_restrito": F.coalesce("per_restrito", F.lit(False)),
-            "var_restrito": F.coalesce("var_restrito", F.lit(False)),
-        }
-    ).withColumns(
-        {
-            "P": size("per_ids"),
-            "V": size("var_ids"),
+            "P": F.size("per_ids").cast("bigint"),
+            "V": F.size("var_ids").cast("bigint"),
             "D": F.aggregate(
                 F.transform("classes", lambda c: F.size(c["cats"]).cast(BIG)),
                 F.lit(1).cast(BIG),

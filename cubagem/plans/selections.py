@@ -11,90 +11,175 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubagem.catalog import Catalog
+from cubagem.catalog import Catalog, ordered_array
 
 UNKNOWN = "inexistente"
 EMPTY = "seleção vazia"
 
+ERRORS = "array<struct<dim: string, class_id: string, id: string, motivo: string>>"
+# (dimension, column with the ids there are, column with the chosen ids)
+SIMPLE_DIMS = [
+    ("nivel", "niveis", "_niveis"),
+    ("variavel", "var_ids", "_variaveis"),
+    ("periodo", "per_ids", "_periodos"),
+]
 
-def restrict(
-    pool: DataFrame, selections: DataFrame | None, dim: str, id_column: str, by_class: bool = False
-) -> DataFrame:
-    """Rows of ``pool`` that the selection keeps, marked ``restrito`` where it says anything."""
-    if selections is None:
-        return pool.withColumn("restrito", F.lit(False))
-    keys = ["agregado_id", "class_id"] if by_class else ["agregado_id"]
-    chosen = _chosen(selections, dim, by_class)
-    restricted = chosen.select(*keys).distinct().withColumn("restrito", F.lit(True))
-    hits = chosen.where("id IS NOT NULL").withColumn("_escolhido", F.lit(True))
-    return (
-        pool.withColumn("id", F.col(id_column).cast("string"))
-        .join(restricted, keys, "left")
-        .join(hits, [*keys, "id"], "left")
-        .where("restrito IS NULL OR _escolhido")
-        .withColumn("restrito", F.coalesce("restrito", F.lit(False)))
-        .drop("id", "_escolhido")
+
+def cube_pools(catalog: Catalog) -> DataFrame:
+    """One row per cube: the ids of its levels, periods, variables and categories, in order.
+
+    Each of these comes from one metadata document, which bounds the arrays.
+    """
+
+    def ids(df: DataFrame, column: str, name: str) -> DataFrame:
+        text = F.col(column).cast("string").alias("v")
+        listed = ordered_array(df, ["agregado_id"], name, text)
+        return listed.withColumn(name, F.array_distinct(F.col(name)["v"]))
+
+    categories = ordered_array(
+        catalog.categories, ["agregado_id", "class_id"], "cats", F.col("cat_id").cast("string").alias("v")
+    ).withColumn("cats", F.col("cats")["v"])
+    classes = ordered_array(
+        catalog.classifications.join(categories, ["agregado_id", "class_id"], "left"),
+        ["agregado_id"],
+        "classes",
+        F.col("class_id").cast("string").alias("class_id"),
+        F.coalesce("cats", F.array().cast("array<string>")).alias("cats"),
+    )
+    pools = ids(catalog.levels, "nivel", "niveis")
+    for part in (
+        ids(catalog.periods, "per_id", "per_ids"),
+        ids(catalog.variables, "var_id", "var_ids"),
+        classes,
+    ):
+        pools = pools.join(part, "agregado_id", "left")
+    none = F.array().cast("array<string>")
+    return pools.withColumns(
+        {
+            "per_ids": F.coalesce("per_ids", none),
+            "var_ids": F.coalesce("var_ids", none),
+            "classes": F.coalesce("classes", F.array().cast(classes.schema["classes"].dataType)),
+        }
     )
 
 
-def _chosen(selections: DataFrame, dim: str, by_class: bool) -> DataFrame:
-    columns = ["agregado_id", "id"]
-    if by_class:
-        columns.append(F.col("class_id").cast("bigint").alias("class_id"))
-    return selections.where(F.col("dim") == dim).select(*columns).distinct()
+def chosen_ids(selections: DataFrame) -> DataFrame:
+    """One row per cube: the ids chosen in each dimension, null where nothing is said."""
 
+    def of(dim: str, value: Column) -> Column:
+        found = F.col("dim") == dim
+        return F.when(F.max(found), F.sort_array(F.collect_set(F.when(found, value))))
 
-def selection_errors(catalog: Catalog, selections: DataFrame) -> DataFrame:
-    """Why selections cannot be planned: unknown ids, or nothing chosen.
+    pair = F.struct("class_id", "id")
+    return selections.groupBy("agregado_id").agg(
+        *[of(dim, F.col("id")).alias(chosen) for dim, _, chosen in SIMPLE_DIMS],
+        of("classificacao", pair).alias("_pares"),
+    )
 
-    Restricting the levels to nothing is no error; such a cube simply has no chunks.
-    """
 
-    def errors(df: DataFrame, dim: str, reason: str, class_id: Column | None = None) -> DataFrame:
-        known = set(df.columns)
-        return df.select(
-            "agregado_id",
+def _chosen_of_class(class_id: Column) -> Column:
+    """Ids chosen in one classification; an empty array if only a null id is there."""
+    own = F.filter("_pares", lambda p: p["class_id"] == class_id)
+    return F.when(F.size(own) > 0, F.array_compact(F.transform(own, lambda p: p["id"])))
+
+
+def restricted_pools(pools: DataFrame, selections: DataFrame | None) -> DataFrame:
+    """Pools cut down to what is chosen, with what is restricted and with ``erros``."""
+    if selections is None:
+        no = F.lit(False)
+        classes = F.transform(
+            "classes", lambda c: F.struct(c["class_id"].alias("class_id"), c["cats"].alias("cats"), no.alias("restrita"))
+        )
+        return pools.withColumns(
+            {"per_restrito": no, "var_restrito": no, "classes": classes, "erros": F.array().cast(ERRORS)}
+        )
+    joined = pools.join(chosen_ids(selections), "agregado_id", "left")
+    restricted = joined.withColumn("erros", _errors())
+
+    def cut(pool: str, chosen: str) -> Column:
+        return F.when(F.col(chosen).isNull(), F.col(pool)).otherwise(F.array_intersect(pool, chosen))
+
+    def cut_class(c: Column) -> Column:
+        chosen = _chosen_of_class(c["class_id"])
+        kept = F.when(chosen.isNull(), c["cats"]).otherwise(F.array_intersect(c["cats"], chosen))
+        return F.struct(
+            c["class_id"].alias("class_id"), kept.alias("cats"), chosen.isNotNull().alias("restrita")
+        )
+
+    return restricted.withColumns(
+        {
+            **{pool: cut(pool, chosen) for _, pool, chosen in SIMPLE_DIMS},
+            "per_restrito": F.col("_periodos").isNotNull(),
+            "var_restrito": F.col("_variaveis").isNotNull(),
+            "classes": F.transform("classes", cut_class),
+        }
+    ).drop("_niveis", "_variaveis", "_periodos", "_pares")
+
+
+def _errors() -> Column:
+    """What is wrong with the selection of a cube."""
+    null = F.lit(None).cast("string")
+
+    def error(dim: str, class_id: Column, item: Column, reason: str) -> Column:
+        return F.struct(
             F.lit(dim).alias("dim"),
-            (F.col("class_id").cast("string") if "class_id" in known else F.lit(None).cast("string"))
-            .alias("class_id"),
-            (F.col("id") if "id" in known else F.lit(None).cast("string")).alias("id"),
+            class_id.alias("class_id"),
+            item.alias("id"),
             F.lit(reason).alias("motivo"),
         )
 
+    def unknown_in(dim: str):
+        return lambda item: error(dim, null, item, UNKNOWN)
+
     found = []
-    cubes = catalog.cubes.select("agregado_id")
+    for dim, pool, chosen in SIMPLE_DIMS:
+        unknown = F.array_except(chosen, pool)
+        found.append(F.transform(unknown, unknown_in(dim)))
+        if dim != "nivel":
+            empty = F.array(error(dim, null, null, EMPTY))
+            found.append(F.when(F.size(chosen) == 0, empty))
+    dim = "classificacao"
+    asked = F.array_distinct(F.transform("_pares", lambda p: p["class_id"]))
+    known = F.transform("classes", lambda c: c["class_id"])
     found.append(
-        errors(
-            selections.select("agregado_id").distinct().join(cubes, "agregado_id", "left_anti"),
-            "agregado",
-            UNKNOWN,
+        F.transform(F.array_except(asked, known), lambda c: error(dim, c, null, UNKNOWN))
+    )
+    in_class = F.transform(
+        "classes",
+        lambda c: F.transform(
+            F.array_except(_chosen_of_class(c["class_id"]), c["cats"]),
+            lambda i: error(dim, c["class_id"], i, UNKNOWN),
+        ),
+    )
+    found.append(F.flatten(F.filter(in_class, lambda e: e.isNotNull())))
+    empty_classes = F.filter("classes", lambda c: F.size(_chosen_of_class(c["class_id"])) == 0)
+    found.append(F.transform(empty_classes, lambda c: error(dim, c["class_id"], null, EMPTY)))
+    nothing = F.array().cast(ERRORS)
+    return F.concat(*[F.coalesce(part.cast(ERRORS), nothing) for part in found])
+
+
+def selection_errors(catalog: Catalog, selections: DataFrame) -> DataFrame:
+    """Why selections cannot be planned: unknown ids, or nothing chosen.
+
+    Restricting the levels to nothing is no error; such a cube simply has no chunks.
+    """
+    found = restricted_pools(cube_pools(catalog), selections).select(
+        "agregado_id", F.explode("erros").alias("_e")
+    )
+    null = F.lit(None).cast("string")
+    strangers = (
+        selections.select("agregado_id")
+        .distinct()
+        .join(catalog.cubes.select("agregado_id"), "agregado_id", "left_anti")
+        .select(
+            "agregado_id",
+            F.lit("agregado").alias("dim"),
+            null.alias("class_id"),
+            null.alias("id"),
+            F.lit(UNKNOWN).alias("motivo"),
         )
     )
-    pools = [
-        ("nivel", catalog.levels, "nivel", False),
-        ("variavel", catalog.variables, "var_id", False),
-        ("periodo", catalog.periods, "per_id", False),
-        ("classificacao", catalog.categories, "cat_id", True),
-    ]
-    for dim, pool, id_column, by_class in pools:
-        keys = ["agregado_id", "class_id"] if by_class else ["agregado_id"]
-        chosen = _chosen(selections, dim, by_class)
-        ids = pool.select(*keys, F.col(id_column).cast("string").alias("id")).distinct()
-        unknown = chosen.where("id IS NOT NULL").join(ids, [*keys, "id"], "left_anti")
-        if by_class:
-            classes = catalog.classifications.select(*keys)
-            found.append(
-                errors(chosen.select(*keys).distinct().join(classes, keys, "left_anti"), dim, UNKNOWN)
-            )
-            unknown = unknown.join(classes, keys, "left_semi")
-        found.append(errors(unknown, dim, UNKNOWN))
-        if dim != "nivel":
-            empty = chosen.groupBy(*keys).agg(F.count("id").alias("_n")).where("_n = 0")
-            found.append(errors(empty.drop("_n"), dim, EMPTY))
-    result = found[0]
-    for part in found[1:]:
-        result = result.unionByName(part)
-    return result
+    return found.select("agregado_id", "_e.*").unionByName(strangers)
 
 
 def require_valid(catalog: Catalog, selections: DataFrame) -> None:
