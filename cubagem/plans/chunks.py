@@ -25,6 +25,12 @@ BIG = "decimal(38,0)"
 LEVEL_KEY = ["agregado_id", "nivel_territorial"]
 
 
+def quotient(a: Column, b: Column) -> Column:
+    """Whole part of ``a / b``; exact, since what is left to divide is a multiple of ``b``."""
+    a, b = a.cast(BIG), b.cast(BIG)
+    return F.floor((a - a % b) / b).cast(BIG)
+
+
 def plan_levels(
     catalog: Catalog, selections: DataFrame | None = None, limit: int = VALUES_LIMIT
 ) -> DataFrame:
@@ -79,7 +85,7 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
         "lote",
         F.when(
             F.col("split_l"),
-            F.greatest(one, F.floor(cap / F.greatest(F.col("_vd"), F.lit(1).cast(BIG))).cast("bigint")),
+            F.greatest(one, quotient(cap, F.greatest(F.col("_vd"), F.lit(1).cast(BIG))).cast("bigint")),
         ).otherwise(F.col("L")),
     )
     step = step.withColumn(
@@ -104,7 +110,7 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
         k = -entry["k"]
         go = (acc["t"] > cap) & (k > 1)
         return F.struct(
-            F.when(go, F.floor(acc["t"] / k.cast(BIG)).cast(BIG)).otherwise(acc["t"]).alias("t"),
+            F.when(go, quotient(acc["t"], k)).otherwise(acc["t"]).alias("t"),
             F.when(go, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
         )
 
@@ -237,7 +243,7 @@ def _class_choices(levels: DataFrame) -> DataFrame:
     empty = F.array().cast("array<string>")
 
     def chosen(c: Column) -> Column:
-        digit = F.floor(F.col("_c") / F.greatest(c["passo"], F.lit(1))) % F.size(c["cats"])
+        digit = quotient(F.col("_c"), F.greatest(c["passo"], F.lit(1))) % F.size(c["cats"])
         values = (
             F.when(c["passo"] > 0, F.array(F.get(c["cats"], digit.cast("int"))))
             .when(c["restrita"], c["cats"])
