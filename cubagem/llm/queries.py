@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cubagem.llm import chat, language_id, mixing, neighbours, sharding, token_counts
+from cubagem.llm import chat, language_id, mixing, neighbours, ngram_join, sharding, token_counts
 from cubagem.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def vocabulary(name: str) -> str:
     return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
 
+@query
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_chat_format(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
