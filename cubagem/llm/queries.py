@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cubagem.llm import chat, language_id, mixing, neighbours, ngram_join, sharding, token_counts
+from cubagem.llm import chat, decontamination, language_id, mixing, neighbours, ngram_join, sharding, token_counts
 from cubagem.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,12 @@ def op7_shard(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_decontaminate(spark, sf_dir):
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "share", "n_slots", "reparameterised")
+
+
 @query
 def op9_nearest(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
