@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubagem.llm.common import remainder, starts
+from cubagem.llm.common import remainder, starts, written
 
 UNDETERMINED = "und"
 #: A text is parsed in blocks of this many bytes, whose phrases add up.
@@ -132,7 +132,8 @@ def training_samples(
     """
     labelled = docs.where((remainder("doc_id", 3) != 1) & F.col("lang").isNotNull() & (F.trim("text") != ""))
     labelled = labelled.select("lang", F.xxhash64("doc_id", "text").alias("place"), "text")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    # A written table has a known size, so Spark needs no shuffle of texts to meet a small one.
+    counts = written(labelled.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     # The hash is spread evenly over 64 bits, so a share of its range is a share of the rows.
     share = F.least(F.lit(1.0), F.lit(float(documents_per_language)) / F.col("n"))
     chosen = labelled.join(counts, "lang").where(F.col("place") / F.lit(2.0**63) <= share * 2 - 1)
