@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,3 +74,11 @@ def starts(sorted_values: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.empty(0, np.int64)
     return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
+
+
+def groups(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each distinct value and its ascending positions."""
+    order = np.argsort(values, kind="stable")
+    limits = np.append(starts(values[order]), len(order))
+    for begin, end in zip(limits[:-1], limits[1:], strict=True):
+        yield int(values[order[begin]]), order[begin:end]

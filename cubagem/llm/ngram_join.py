@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubagem.llm.common import mixed, run_hashes, starts, width, word_hashes, written
+from cubagem.llm.common import groups, mixed, run_hashes, starts, width, word_hashes, written
 from cubagem.llm.components import components
 
 #: Words of a shingle.
@@ -151,7 +151,7 @@ def shared_segments(cut: DataFrame, n_buckets: int) -> DataFrame:
         entries = np.flatnonzero(common)
         entries = entries[np.argsort(bucket[owner[entries]], kind="stable")]
         limits = np.searchsorted(bucket[owner[entries]], np.arange(n_buckets + 1))
-        rows = [(fragment, b, own, entries[limits[b] : limits[b + 1]]) for b, own in _groups(bucket)]
+        rows = [(fragment, b, own, entries[limits[b] : limits[b + 1]]) for b, own in groups(bucket)]
         return pa.Table.from_batches([
             _batch(
                 SHARED,
@@ -169,14 +169,6 @@ def shared_segments(cut: DataFrame, n_buckets: int) -> DataFrame:
     return cut.groupBy("fragment").applyInArrow(share, SHARED)
 
 
-def _groups(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each value and its ascending positions."""
-    order = np.argsort(values, kind="stable")
-    begins = starts(values[order])
-    for begin, end in zip(begins, np.append(begins[1:], len(order)), strict=True):
-        yield int(values[order[begin]]), order[begin:end]
-
-
 def set_rows(shared: DataFrame) -> DataFrame:
     """Sums over the fragments: the size of every set, and the segments of those that may link.
 
@@ -338,13 +330,13 @@ def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int) -> DataFrame:
     n = pairs.count()
     if not n:
         return pairs.select("a", "b")
-    groups = -(-n // (PAIR_BLOCK * BLOCKS))
-    placed = pairs.withColumn("grp", F.pmod(F.xxhash64("a"), F.lit(groups)).cast("int"))
+    n_groups = -(-n // (PAIR_BLOCK * BLOCKS))
+    placed = pairs.withColumn("grp", F.pmod(F.xxhash64("a"), F.lit(n_groups)).cast("int"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [batch.column(k).to_numpy() for k in range(5)]
-            for g, own in _groups(values[4]):
+            for g, own in groups(values[4]):
                 for at in range(0, len(own), PAIR_BLOCK):
                     a, b, sa, sb = (v[own[at : at + PAIR_BLOCK]].tobytes() for v in values[:4])
                     block = xxhash.xxh3_64_intdigest(a + b) - (1 << 63)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cubagem.llm import chat, decontamination, language_id, mixing, neighbours, ngram_join, sharding, token_counts
+from cubagem.llm import chat, decontamination, language_id, mixing, neighbours, ngram_join, sharding, substring_dedup, token_counts
 from cubagem.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op5_mix_sources(spark, sf_dir):
     return mixed.selectExpr("doc_id", "size", "source_size", "target", "size * copies AS taken", "source", "copies")
 
 
+@query
+def op6_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_shard(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
