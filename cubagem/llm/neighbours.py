@@ -7,6 +7,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Half the first window, by the largest norm, and how much wider the next one is. A block has
+#: 65,535 vectors and 255 projections at most.
+FIRST_WINDOW, WIDER = 0.8, 1.12
+
 FOUND = "query_id bigint, vec_id bigint, score double"
 FOUND_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -30,11 +34,11 @@ def nearest(
     vectors: DataFrame,
     k: int = 20,
     every: int = 20,
-    projections: int = 48,
-    threshold: float = 0.65,
-    share: float = 0.06,
-    block: int = 8192,
-    query_block: int = 4096,
+    projections: int = 64,
+    threshold: float = 0.6,
+    share: float = 0.2,
+    block: int = 32768,
+    query_block: int = 1024,
     seed: int = 9,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k candidates with the largest inner product found.
@@ -42,7 +46,7 @@ def nearest(
     Queries are the rows whose vec_id is divisible by ``every``. Vectors are dealt into blocks by
     a hash of their id, queries into groups, and each group meets each block. A block keeps one
     sorted array per random projection. Around a query's own projections, windows open on all arrays
-    at once and double (virtual rehashing); a vector that falls into at least ``threshold`` of
+    at once and widen (virtual rehashing); a vector that falls into at least ``threshold`` of
     the windows is a candidate. Once a block has k + ``share`` of its size of candidates, all of
     them are verified by their inner product in double precision. Nothing is capped: windows that
     cover the block make every vector a candidate.
@@ -113,29 +117,50 @@ class Block:
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, largest: float, projections: int, seed: int):
         self.vectors, self.ids, self.largest = vectors, ids, largest
-        self.lines = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, projections))
+        self.rough = vectors.astype(np.float32)
+        self.lines = _lines(vectors.shape[1] + 1, projections, seed)
         lift = np.sqrt(np.maximum(largest**2 - np.einsum("ij,ij->i", vectors, vectors), 0.0))
         heights = (vectors @ self.lines[:-1] + lift[:, None] * self.lines[-1]).T
-        self.order = np.argsort(heights, axis=1, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(heights, self.order, axis=1)
+        order = np.argsort(heights, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(heights, order, axis=1)
+        # Where each vector stands in each sorted array: a window is a range of these places.
+        self.place = np.empty(heights.shape, np.uint16)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=np.uint16)[None, :], axis=1)
 
     def search(self, own: int, query: np.ndarray, k: int, threshold: float, share: float):
         near = self.candidates(query, threshold, k + 1 + int(share * len(self.ids)))
         near = near[self.ids[near] != own]
+        if len(near) > 4 * k:
+            # Single precision is off by less than this, so nothing of the first k is lost.
+            rough = self.rough[near] @ query.astype(np.float32)
+            slack = 1e-5 * self.largest * np.sqrt(query @ query) * np.sqrt(len(query))
+            near = near[rough >= np.partition(rough, len(near) - k)[len(near) - k] - slack]
         scores = np.einsum("ij,j->i", self.vectors[near], query)
         top = np.lexsort((self.ids[near], -scores))[:k]
         return self.ids[near[top]], scores[top]
 
     def candidates(self, query: np.ndarray, threshold: float, wanted: int) -> np.ndarray:
         """Positions of the vectors that share enough windows, from the smallest windows that give enough."""
-        n, least = len(self.ids), int(np.ceil(threshold * len(self.order)))
+        n, least = len(self.ids), int(np.ceil(threshold * len(self.place)))
         centres = (query * (self.largest / np.sqrt(query @ query))) @ self.lines[:-1]
-        half = self.largest / 8
+        half = FIRST_WINDOW * self.largest
         while True:
-            low = [np.searchsorted(s, c - half) for s, c in zip(self.sorted, centres, strict=True)]
-            high = [np.searchsorted(s, c + half, "right") for s, c in zip(self.sorted, centres, strict=True)]
-            inside = np.concatenate([o[a:b] for o, a, b in zip(self.order, low, high, strict=True)])
-            enough = np.flatnonzero(np.bincount(inside, minlength=n) >= least)
-            if len(enough) >= min(wanted, n) or len(inside) == self.order.size:
+            hits, whole = np.zeros(n, np.uint8), True
+            for line, place, centre in zip(self.sorted, self.place, centres, strict=True):
+                low, high = int(line.searchsorted(centre - half)), int(line.searchsorted(centre + half, "right"))
+                if high - low == n:
+                    hits += 1
+                else:
+                    hits += (place - np.uint16(low) < np.uint16(high - low)).view(np.uint8)
+                    whole = False
+            enough = np.flatnonzero(hits >= least)
+            if len(enough) >= min(wanted, n) or whole:
                 return enough
-            half *= 1.5
+            half *= WIDER
+
+
+def _lines(dim: int, projections: int, seed: int) -> np.ndarray:
+    """Random directions, each group of ``dim`` of them orthogonal, scaled like normal random vectors."""
+    rng = np.random.default_rng(seed)
+    bases = [np.linalg.qr(rng.standard_normal((dim, dim)))[0] for _ in range(-(-projections // dim))]
+    return np.concatenate(bases, axis=1)[:, :projections] * np.sqrt(dim)
