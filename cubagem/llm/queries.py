@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cubagem.llm import chat, decontamination, language_id, mixing, neighbours, ngram_join, sharding, substring_dedup, token_counts
+from cubagem.llm import chat, decontamination, language_id, lm_scoring, mixing, neighbours, ngram_join, sharding, substring_dedup, token_counts
 from cubagem.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op3_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_lm_score(spark, sf_dir):
+    return lm_scoring.score(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
 @query
 def op5_mix_sources(spark, sf_dir):
     mixed = mixing.mixture(table(spark, sf_dir, "documents"))
