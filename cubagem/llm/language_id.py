@@ -145,7 +145,7 @@ def training_samples(
     return tuple((r["lang"], r["text"].encode()[:bytes_per_language]) for r in rows)
 
 
-def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...] | None = None) -> DataFrame:
+def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...] | None = None, columns: bool = False) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, phrases) of each document, from its whole text.
 
     For each language, the text is cut into the longest pieces that occur in the language's
@@ -153,7 +153,8 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...] | None = No
     training text, wins, the first by name among equals. ``score`` is 1 less the ratio of the best to
     the second best, ``phrases`` the bits per byte of the best. Null texts and texts without a letter
     are ``und`` with score 0, as are all if there is nothing to learn from. Each row is judged on
-    its own; an empty table gives no rows. ``held_out`` tells rows that were no training text.
+    its own; an empty table gives no rows. ``held_out`` tells rows that were no training text. With
+    ``columns``, a struct ``row`` holds the columns of the document as well.
     """
     samples = training_samples(docs) if samples is None else samples
     # Bounded by the parameters of the sample.
@@ -163,14 +164,20 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...] | None = No
         parser = _parser(shared.value)
         for batch in batches:
             for some in _sliced(batch):
-                yield _predicted(parser, some)
+                found = _predicted(parser, some)
+                if columns:
+                    found = pa.RecordBatch.from_arrays([*found.columns, some.column("row")], [*PREDICTED_ARROW.names, "row"])
+                yield found
 
+    row = [F.struct(*docs.columns).alias("row")] if columns else []
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (remainder("doc_id", 3) == 1).alias("held_out"),
         F.when(F.col("text").rlike(r"\p{L}"), F.col("text").cast("binary")).alias("text"),
+        *row,
     )
-    return rows.mapInArrow(predict, PREDICTED)
+    schema = f"{PREDICTED}, row {rows.schema['row'].dataType.simpleString()}" if columns else PREDICTED
+    return rows.mapInArrow(predict, schema)
 
 
 def _sliced(batch: pa.RecordBatch, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:

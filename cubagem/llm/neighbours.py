@@ -36,7 +36,7 @@ def nearest(
     every: int = 20,
     projections: int = 64,
     threshold: float = 0.6,
-    share: float = 0.2,
+    share: float = 0.25,
     block: int = 32768,
     query_block: int = 1024,
     seed: int = 9,

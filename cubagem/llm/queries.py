@@ -8,6 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from cubagem.llm import chat, decontamination, language_id, lm_scoring, mixing, neighbours, ngram_join, sharding, substring_dedup, token_counts
 from cubagem.llm.common import table
 
@@ -79,3 +80,8 @@ def op9_nearest(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
