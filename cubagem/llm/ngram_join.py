@@ -18,7 +18,7 @@ SHINGLE = 5
 #: Sets link from this percentage of shared shingles.
 PERCENT = 75
 #: Distinct shingles that one fragment should hold, and those that a map task packs at once.
-FRAGMENT, PACKED = 4 << 20, 1 << 21
+FRAGMENT, PACKED = 3 << 20, 1 << 21
 #: Members of a bucket that are compared with all others of it before components are known.
 HUBS = 4
 #: Pairs that are counted together, and blocks of them that share one copy of the segments.
@@ -427,7 +427,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     n_fragments = max(16, -(-about // FRAGMENT))
     parts = width(spark)
     cut = segments(docs, n_fragments)
-    sets = written(set_rows(written(shared_segments(cut, parts), "shared")), "sets")
+    sets = written(set_rows(shared_segments(cut, parts)), "sets")
     entries = written(prefix_entries(sets, parts), "entries")
     links = written(linked(written(hub_pairs(entries, parts), "pairs"), sets, n_fragments), "links")
     labels = components(links)
