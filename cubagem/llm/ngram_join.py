@@ -19,8 +19,9 @@ SHINGLE = 5
 PERCENT = 75
 #: Distinct shingles that one fragment should hold, and those that a map task packs at once.
 FRAGMENT, PACKED = 3 << 20, 1 << 21
-#: Members of a bucket that are compared with all others of it before components are known.
-HUBS = 4
+#: The first members of a bucket are compared with all others of it, then the next ones up to each of
+#: these with those of other components, and at last all that are left.
+HUBS = (4, 16, 64)
 #: Pairs that are counted together, and blocks of them that share one copy of the segments.
 PAIR_BLOCK, BLOCKS = 1 << 15, 32
 
@@ -291,15 +292,15 @@ def hub_pairs(entries: DataFrame, parts: int) -> DataFrame:
             columns, begins, counts = found
             at = np.repeat(begins, counts)
             every = np.arange(len(at))
-            left = [np.where(at + h < every, at + h, -1) for h in range(HUBS)]
+            left = [np.where(at + h < every, at + h, -1) for h in range(HUBS[0])]
             right = np.concatenate([every[x >= 0] for x in left])
             yield _candidates(columns, np.concatenate([x[x >= 0] for x in left]), right)
 
     return entries.repartition(parts, "shingle").mapInArrow(pairs, PAIRS).distinct()
 
 
-def remaining_pairs(entries: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
-    """Pairs of a bucket that lie in different components and were not compared yet."""
+def later_pairs(entries: DataFrame, labels: DataFrame, first: int, last: int | None, parts: int) -> DataFrame:
+    """Pairs of a bucket's members from ``first`` to before ``last`` with later ones of other components."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _buckets(batches)
@@ -308,11 +309,11 @@ def remaining_pairs(entries: DataFrame, labels: DataFrame, parts: int) -> DataFr
         columns, begins, counts = found
         label = columns["label"]
         for begin, count in zip(begins.tolist(), counts.tolist(), strict=True):
-            if count <= HUBS + 1 or (label[begin : begin + count] == label[begin]).all():
+            if count <= first + 1 or (label[begin : begin + count] == label[begin]).all():
                 continue
-            rest = np.arange(begin + HUBS, begin + count)
-            for i in rest[:-1]:
-                others = rest[rest > i]
+            end = begin + count
+            for i in range(begin + first, min(end, begin + last) if last else end):
+                others = np.arange(i + 1, end)
                 others = others[label[others] != label[i]]
                 if len(others):
                     yield _candidates(columns, np.full(len(others), i), others)
@@ -418,8 +419,8 @@ def link_documents(docs: DataFrame) -> DataFrame:
     fragment counts in how many sets each of its shingles occurs, and the counts of a set over all
     fragments tell whether it can link at all. For the few that can, rare shingles give candidate
     pairs, whose overlaps are counted per fragment and summed. Hubs come first: a few members of
-    each bucket meet the others, and of what is then one component no more pairs are looked at. All
-    pairs of different components that are left follow, so no link that joins components is lost.
+    each bucket meet the others, and of what is then one component no more pairs are looked at. More
+    members follow in turn, at last all, so no link that joins components is lost.
     """
     spark = docs.sparkSession
     members = written(keyed(docs), "members")
@@ -431,9 +432,11 @@ def link_documents(docs: DataFrame) -> DataFrame:
     entries = written(prefix_entries(sets, parts), "entries")
     links = written(linked(written(hub_pairs(entries, parts), "pairs"), sets, n_fragments), "links")
     labels = components(links)
-    rest = written(remaining_pairs(entries, labels, parts), "pairs")
-    more = written(linked(rest, sets, n_fragments), "links")
-    labels = components(labels.selectExpr("key AS a", "label AS b").where("a <> b").union(more))
+    for first, last in zip(HUBS, [*HUBS[1:], None], strict=True):
+        pairs = written(later_pairs(entries, labels, first, last, parts), "pairs")
+        if not pairs.isEmpty():
+            more = written(linked(pairs, sets, n_fragments), "links")
+            labels = components(labels.selectExpr("key AS a", "label AS b").where("a <> b").union(more))
     # From keys to documents: a key's smallest doc_id, then a component's.
     smallest = members.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = smallest.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))

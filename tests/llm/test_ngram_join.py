@@ -59,7 +59,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed,hubs", [(1, 4), (2, 1)])
+@pytest.mark.parametrize("seed,hubs", [(1, (4, 16, 64)), (2, (1, 2))])
 def test_components_equal_all_pairs(spark, monkeypatch, seed, hubs):
     monkeypatch.setattr(N, "HUBS", hubs)
     rows = corpus(seed)
