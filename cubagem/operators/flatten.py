@@ -44,7 +44,8 @@ def flatten_cubes(
     unless the cube has no classification.
 
     ``max_dims`` is the largest number of classifications of a cube. It fixes the
-    expressions of a row, and is looked up with one aggregate if it is not given.
+    expressions of a row, and is looked up with one aggregate if it is not given. A cube with
+    more is an error.
     """
     if max_dims is None:
         largest = nested.agg(F.max(F.size("classificacoes"))).first()[0]
@@ -61,7 +62,7 @@ def flatten_cubes(
         .withColumn("_combinacoes", product(F.col("_tamanhos")))
         .select(
             *base,
-            F.size("classificacoes").alias("_dims"),
+            _at_most(F.size("classificacoes"), max_dims).alias("_dims"),
             "_combinacoes",
             (F.size("variaveis") * F.col("_combinacoes")).alias("_linhas"),
             F.transform("variaveis", _variable).alias("_variaveis"),
@@ -103,6 +104,13 @@ def flatten_cubes(
     )
 
 
+def _at_most(count: Column, max_dims: int) -> Column:
+    """A number of classifications, or an error where there are more than a row has room for."""
+    return F.when(count <= max_dims, count).otherwise(
+        F.raise_error(F.concat(F.lit(f"max_dims is {max_dims}, classifications: "), count.cast("string")))
+    )
+
+
 def _variable(v: Column) -> Column:
     deferred = F.coalesce(v["unidade"].startswith(UNIT_IN_CATEGORIES), F.lit(False))
     unit = F.when(~deferred, v["unidade"])
@@ -139,9 +147,12 @@ def widen(flat: DataFrame, max_dims: int, first_dim: int = 5) -> DataFrame:
     """Spread ``coordenadas`` over columns ``D5C, D5N, C5C, C5N, D6C, ...``.
 
     The variable is dimension 4, so the first classification is 5. With ``first_dim=4``
-    the first classification takes the place of the variable where there is one.
+    the first classification takes the place of the variable where there is one. A row with
+    more coordinates than ``max_dims`` is an error.
     """
     columns = {}
+    whole = F.when(_at_most(F.size("coordenadas"), max_dims) >= 0, F.col("coordenadas"))
+    flat = flat.withColumn("coordenadas", whole)
     for position in range(max_dims):
         entry = F.get("coordenadas", F.lit(position))
         number = first_dim + position

@@ -45,22 +45,19 @@ def expand_range(
     name: str,
     keys: list[str],
     block: int = 1 << 14,
-    spread: bool = True,
 ) -> DataFrame:
     """One row per number from 0 below ``count``, for each input row.
 
     A row with a large count is first cut into blocks, and the blocks are dealt to
     all tasks before they are expanded. The partition number is explicit, because
-    AQE would merge partitions that are small only until the expansion. ``spread=False``
-    leaves that shuffle out, where another one follows anyway.
+    AQE would merge partitions that are small only until the expansion.
     """
     total = F.col(count).cast("bigint")
     last_block = F.expr(f"(cast(`{count}` as bigint) - 1) div {block}")
     blocks = df.where(total > 0).withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block))
     )
-    if spread:
-        blocks = blocks.repartition(shuffle_width(df.sparkSession), *keys, "_block")
+    blocks = blocks.repartition(shuffle_width(df.sparkSession), *keys, "_block")
     first = F.col("_block") * block
     last = F.least(first + block, total) - 1
     return blocks.withColumn(name, F.explode(F.sequence(first, last))).drop("_block")

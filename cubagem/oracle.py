@@ -7,6 +7,8 @@ and plans from the closed form in plain joins.
 
 from __future__ import annotations
 
+import hashlib
+
 CUBES = """
 cubes AS (
   SELECT CAST(s_suppkey + 1 AS BIGINT) AS agregado_id,
@@ -59,7 +61,7 @@ seen AS (
   UNION ALL SELECT DISTINCT agregado_id, 40, c_mktsegment FROM sales
   UNION ALL SELECT DISTINCT agregado_id, 50, CAST(l_linenumber AS VARCHAR) FROM sales
 ), category_list AS (
-  SELECT agregado_id, class_id, CAST(ascii(seen.nome) AS BIGINT) AS cat_id, seen.nome,
+  SELECT agregado_id, class_id, CAST('0x' || substr(md5(seen.nome), 1, 12) AS BIGINT) AS cat_id, seen.nome,
          CASE WHEN class_id = 50 THEN 2 ELSE 1 END AS nivel
   FROM seen JOIN classes USING (agregado_id, class_id)
   UNION ALL SELECT agregado_id, class_id, 0, 'Total', 0 FROM classes WHERE class_id = 30
@@ -234,7 +236,8 @@ def chunk_sql(limit: int, condition: str = "TRUE", restricted: bool = False) ->
         open_variables = "'101,103'"
         open_periods = """(SELECT string_agg(per_id, ',' ORDER BY a.ord) FROM periods a
                            WHERE a.agregado_id = chosen_levels.agregado_id)"""
-        open_categories = """CASE o.class_id WHEN 10 THEN '65,78' WHEN 30 THEN '0' ELSE 'all' END"""
+        some = ",".join(map(str, sorted(int(hashlib.md5(x).hexdigest()[:12], 16) for x in (b"A", b"N"))))
+        open_categories = f"""CASE o.class_id WHEN 10 THEN '{some}' WHEN 30 THEN '0' ELSE 'all' END"""
     return (
         parts
         + f""",
@@ -297,15 +300,13 @@ cell_sums AS (
          sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v102,
          sum(CAST(l_discount AS DECIMAL(18,2))) AS v103, sum(CAST(l_tax AS DECIMAL(18,2))) AS v104
   FROM (
-    SELECT 'N1' AS nivel, n_regionkey AS lugar, ascii(l_returnflag) || '' AS rf,
-           ascii(l_linestatus) || '' AS ls, ascii(o_orderpriority) || '' AS pr,
-           ascii(c_mktsegment) || '' AS ms, ascii(CAST(l_linenumber AS VARCHAR)) || '' AS ln,
-           CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, * FROM sales
-    UNION ALL
-    SELECT 'N3', c_nationkey, ascii(l_returnflag) || '', ascii(l_linestatus) || '',
-           ascii(o_orderpriority) || '', ascii(c_mktsegment) || '',
-           ascii(CAST(l_linenumber AS VARCHAR)) || '',
-           CAST(date_trunc('month', o_orderdate) AS DATE), * FROM sales
+    SELECT unnest(['N1', 'N3', 'N6']) AS nivel, unnest([n_regionkey, c_nationkey, o_custkey]) AS lugar, *
+    FROM (SELECT *, CAST('0x' || substr(md5(l_returnflag), 1, 12) AS BIGINT) || '' AS rf,
+                 CAST('0x' || substr(md5(l_linestatus), 1, 12) AS BIGINT) || '' AS ls,
+                 CAST('0x' || substr(md5(o_orderpriority), 1, 12) AS BIGINT) || '' AS pr,
+                 CAST('0x' || substr(md5(c_mktsegment), 1, 12) AS BIGINT) || '' AS ms,
+                 CAST('0x' || substr(md5(CAST(l_linenumber AS VARCHAR)), 1, 12) AS BIGINT) || '' AS ln,
+                 CAST(date_trunc('month', o_orderdate) AS DATE) AS mes FROM sales)
   ) s JOIN cubes c ON c.agregado_id = s.agregado_id
   JOIN period_months m ON m.agregado_id = s.agregado_id AND m.mes = s.mes
   GROUP BY ALL
@@ -321,10 +322,12 @@ cell_sums AS (
        AND l.loc_id = CAST(s.lugar + 1 AS VARCHAR)
   JOIN periods p ON p.agregado_id = s.agregado_id AND p.inicio = s.inicio
   JOIN levels v ON v.agregado_id = s.agregado_id AND v.nivel = s.nivel
+), good_cells AS (
+  SELECT * FROM cells WHERE NOT (agregado_id % 3 = 0 AND nivel_territorial = 'N1' AND chunk_seq = 0)
 ), cell_values AS (
   SELECT agregado_id, nivel_territorial, loc_id, per_id, categorias, chunk_id,
          unnest(['101', '102', '103', '104']) AS var_id, unnest([v101, v102, v103, v104]) AS valor
-  FROM cells
+  FROM good_cells
 )"""
 
 
@@ -562,17 +565,28 @@ flat AS (
         FROM cells c JOIN chunks k USING (agregado_id, nivel_territorial, chunk_seq)
         GROUP BY c.chunk_id"""
     )
-    sql["validate_payloads"] = (
+    statuses = (
         cell_parts
-        + """SELECT agregado_id, nivel_territorial, NULL AS erro,
-                    count(DISTINCT chunk_seq) AS n_payloads FROM cells GROUP BY ALL
-             UNION ALL SELECT agregado_id, 'N7', 'Resposta inesperada em ' || agregado_id
-               || '-N7-0: {"status": 400, "message": "Parâmetro inválido"}', 1 FROM cubes"""
-    )
+        + """, sent AS (SELECT DISTINCT agregado_id, nivel_territorial, chunk_seq, chunk_id FROM cells),
+             payloads AS (
+               SELECT *, CASE WHEN agregado_id % 3 = 0 AND nivel_territorial = 'N1' AND chunk_seq = 0
+                 THEN 'Resposta inesperada em ' || chunk_id || ': {"status": 503, "message": "volte mais tarde"}'
+                 END AS erro FROM sent
+               UNION ALL SELECT *, NULL FROM sent WHERE chunk_seq = 1 AND agregado_id % 4 = 0
+               UNION ALL SELECT *, 'Resposta inesperada em ' || chunk_id || ': [] e mais' FROM sent
+                 WHERE nivel_territorial = 'N3' AND chunk_seq = 0
+               UNION ALL SELECT NULL, NULL, NULL, 'cubo ' || agregado_id,
+                 'Bloco desconhecido: cubo ' || agregado_id FROM cubes)
+             """
+    )
+    sql["validate_payloads"] = statuses + (
+        "SELECT agregado_id, nivel_territorial, erro, count(*) AS n_payloads FROM payloads GROUP BY ALL"
+    )
+    sql["rejected_payloads"] = statuses + "SELECT chunk_id, erro FROM payloads WHERE erro IS NOT NULL"
     sql["strip_headers"] = (
         cell_parts
         + """SELECT DISTINCT agregado_id, nivel_territorial, h.chave, h.texto
-             FROM cells JOIN dims USING (agregado_id), (VALUES
+             FROM good_cells JOIN dims USING (agregado_id), (VALUES
                ('NC', 'Nível Territorial (Código)', 0), ('V', 'Valor', 0),
                ('D1C', 'Local (Código)', 0), ('D2C', 'Período (Código)', 0),
                ('D3C', 'Variável (Código)', 0), ('D4C', 'Classificação 1 (Código)', 1),
@@ -593,12 +607,16 @@ flat AS (
     )
     sql["values_by_level"] = sql["stream_values"] = by_level
     progress = (
-        cell_parts
-        + """, landed AS (
-               SELECT agregado_id, nivel_territorial AS nivel, count(DISTINCT chunk_seq) AS n
-               FROM cells GROUP BY ALL)
+        statuses
+        + """, chunk_states AS (
+               SELECT agregado_id, nivel_territorial AS nivel, chunk_seq, bool_or(erro IS NULL) AS aceito
+               FROM payloads WHERE chunk_seq IS NOT NULL GROUP BY ALL
+             ), landed AS (
+               SELECT agregado_id, nivel, count(*) FILTER (aceito) AS n, count(*) FILTER (NOT aceito) AS m
+               FROM chunk_states GROUP BY ALL)
              SELECT agregado_id, nivel AS nivel_territorial,
-                    CAST(n_p * n_b * n_v * n_c AS BIGINT) AS planejados, coalesce(n, 0) AS feitos
+                    CAST(n_p * n_b * n_v * n_c AS BIGINT) AS planejados, coalesce(n, 0) AS feitos,
+                    coalesce(m, 0) AS rejeitados
              FROM levels LEFT JOIN landed USING (agregado_id, nivel)"""
     )
     sql["chunk_progress"] = sql["stream_progress"] = progress
@@ -606,7 +624,7 @@ flat AS (
         chunk_sql(100_000)
         + f""", {CELLS}
         , written AS (SELECT agregado_id, nivel_territorial, 4 * count(*) + 1 AS n_linhas
-                      FROM cells GROUP BY ALL),
+                      FROM good_cells GROUP BY ALL),
         planned AS (SELECT agregado_id, nivel_territorial, min_by(url, chunk_seq) AS url,
                            CAST(count(*) AS VARCHAR) AS n_requests FROM chunks GROUP BY ALL)
         SELECT 'estrela' AS source_id, agregado_id || ':' || nivel_territorial AS dataset_id, url,

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from cubagem.catalog import Catalog, ordered_array
 from cubagem.functions.requests import LISTS, PRECISION_LIST, render_url, segments
-from cubagem.operators.flatten import strides
 from cubagem.operators.spread import expand_range
 from cubagem.operators.stats import locality_counts
 from cubagem.plans.selections import cube_pools, require_valid, restricted_pools
@@ -23,6 +22,7 @@ from cubagem.schemas import VALUES_LIMIT
 # Products of counts: 38 digits, so that comparing with the limit never overflows.
 BIG = "decimal(38,0)"
 LEVEL_KEY = ["agregado_id", "nivel_territorial"]
+NUMBERED = "n_chunks IS NOT NULL AND total IS NOT NULL"
 
 
 def quotient(a: Column, b: Column) -> Column:
@@ -31,14 +31,33 @@ def quotient(a: Column, b: Column) -> Column:
     return F.floor((a - a % b) / b).cast(BIG)
 
 
+def _product(sizes: Column) -> Column:
+    """The product of counts, or null beyond 38 digits."""
+    return F.aggregate(
+        sizes, F.lit(1).cast(BIG), lambda acc, n: F.try_multiply(acc, n.cast(BIG)).cast(BIG)
+    )
+
+
 def plan_levels(
     catalog: Catalog, selections: DataFrame | None = None, limit: int = VALUES_LIMIT
 ) -> DataFrame:
     """One row per cube level that has localities: pools, counts, splits, number of chunks.
 
     Levels come in the order they are declared, each once. Cubes with selection errors
-    have no rows.
+    have no rows, nor have levels beyond numbering (see :func:`oversized_levels`).
     """
+    return _all_levels(catalog, selections, limit).where(NUMBERED)
+
+
+def oversized_levels(
+    catalog: Catalog, selections: DataFrame | None = None, limit: int = VALUES_LIMIT
+) -> DataFrame:
+    """Levels with more values than 38 digits tell, or more chunks than 18; other cubes go on."""
+    levels = _all_levels(catalog, selections, limit)
+    return levels.where(f"NOT coalesce({NUMBERED}, false)").select(*LEVEL_KEY, "P", "L", "V", "D", "total")
+
+
+def _all_levels(catalog: Catalog, selections: DataFrame | None, limit: int) -> DataFrame:
     if limit < 1:
         raise ValueError("limit must be at least 1")
     pools = restricted_pools(cube_pools(catalog), selections).where(F.size("erros") == 0)
@@ -65,20 +84,16 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
         {
             "P": F.size("per_ids").cast("bigint"),
             "V": F.size("var_ids").cast("bigint"),
-            "D": F.aggregate(
-                F.transform("classes", lambda c: F.size(c["cats"]).cast(BIG)),
-                F.lit(1).cast(BIG),
-                lambda acc, n: (acc * n).cast(BIG),
-            ),
+            "D": _product(F.transform("classes", lambda c: F.size(c["cats"]))),
         }
     )
     # values of one locality, one period, all variables
-    step = counted.withColumn("_vd", (big("V") * F.col("D")).cast(BIG))
-    step = step.withColumn("total", (big("P") * (big("L") * F.col("_vd")).cast(BIG)).cast(BIG))
+    step = counted.withColumn("_vd", _product(F.array(big("V"), F.col("D"))))
+    step = step.withColumn("total", _product(F.array(big("P"), big("L"), F.col("_vd"))))
     step = step.withColumn("split_p", (F.col("total") > cap) & (F.col("P") > 1))
     step = step.withColumn(
         "_t1",
-        F.when(F.col("split_p"), (big("L") * F.col("_vd")).cast(BIG)).otherwise(F.col("total")),
+        F.when(F.col("split_p"), _product(F.array(big("L"), F.col("_vd")))).otherwise(F.col("total")),
     )
     step = step.withColumn("split_l", (F.col("_t1") > cap) & (F.col("L") > 1))
     step = step.withColumn(
@@ -92,7 +107,7 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
         "_t2",
         F.when(
             F.col("split_l"),
-            (F.least("L", "lote").cast(BIG) * F.col("_vd")).cast(BIG),
+            _product(F.array(F.least("L", "lote").cast(BIG), F.col("_vd"))),
         ).otherwise(F.col("_t1")),
     )
     step = step.withColumn("split_v", (F.col("_t2") > cap) & (F.col("V") > 1))
@@ -117,7 +132,8 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
     step = step.withColumn("_abertas", F.aggregate("_ordem", start, expand)["n"])
     step = step.withColumn("_ordem", F.slice("_ordem", F.lit(1), F.col("_abertas")))
     sizes = F.transform("_ordem", lambda e: -e["k"])
-    step = step.withColumn("_abertas", F.arrays_zip("_ordem", strides(sizes).alias("passo")))
+    after = F.transform(sizes, lambda _, i: _product(F.slice(sizes, i + 2, F.size(sizes))))
+    step = step.withColumn("_abertas", F.arrays_zip("_ordem", after.alias("passo")))
 
     def with_stride(c: Column, i: Column) -> Column:
         match = F.get(F.filter("_abertas", lambda e: e["_ordem"]["i"] == i), F.lit(0))
@@ -125,11 +141,11 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
             c["class_id"].alias("class_id"),
             c["cats"].alias("cats"),
             c["restrita"].alias("restrita"),
-            F.coalesce(match["passo"], F.lit(0)).cast("bigint").alias("passo"),
+            F.coalesce(match["passo"].try_cast("bigint"), F.lit(0).cast("bigint")).alias("passo"),
         )
 
     step = step.withColumn("classes", F.transform("classes", with_stride))
-    n_c = F.aggregate(sizes, one, lambda acc, k: acc * k)
+    n_c = _product(sizes).try_cast("bigint")
     step = step.withColumns(
         {
             "n_p": F.when(F.col("split_p"), F.col("P")).otherwise(one),
@@ -139,7 +155,7 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
         }
     )
     return step.withColumn(
-        "n_chunks", F.col("n_p") * F.col("n_b") * F.col("n_v") * F.col("n_c")
+        "n_chunks", _product(F.array(big("n_p"), big("n_b"), big("n_v"), big("n_c"))).try_cast("bigint")
     ).drop("_vd", "_t1", "_t2", "_t3", "_ordem", "_abertas")
 
 
@@ -255,7 +271,7 @@ def _class_choices(levels: DataFrame) -> DataFrame:
         "classes", lambda c: F.when(c["passo"] > 0, 1).otherwise(F.size(c["cats"])).cast(BIG)
     )
     return (
-        expand_range(levels, "n_c", "_c", LEVEL_KEY, spread=False)
+        expand_range(levels, "n_c", "_c", LEVEL_KEY)
         .withColumn("classificacoes", F.transform("classes", chosen).cast(LISTS))
         .withColumn("_segmento_c", segments("c", F.col("classificacoes")))
         .withColumn(
@@ -270,62 +286,122 @@ def chunk_id() -> Column:
 
 
 def locate_cells(levels: DataFrame, cells: DataFrame) -> DataFrame:
-    """Add the chunk that each cell belongs to.
+    """Add the chunk that each cell belongs to, or nulls if it belongs to none.
 
     ``levels`` comes from :func:`plan_levels`; ``cells`` has agregado_id,
     nivel_territorial, per_id, loc_ord, var_id and ``categorias``, an array with one
     category id per classification in order. No expansion of chunks is needed: the
-    number of a chunk follows from the positions of the cell.
+    number of a chunk follows from the positions of the cell. A cell outside the selection, in
+    any dimension and whether that is split or not, is a stray and has no chunk.
     """
     needed = [
-        "n_b", "n_v", "n_c", "lote", "split_p", "split_l", "split_v", "per_ids", "var_ids", "classes",
+        "n_b", "n_v", "n_c", "lote", "L", "split_p", "split_l", "split_v", "per_ids", "var_ids", "classes",
     ]
-    joined = cells.join(levels.select(*LEVEL_KEY, *needed), LEVEL_KEY)
+    joined = cells.join(levels.select(*LEVEL_KEY, *needed), LEVEL_KEY, "left")
 
     def position(ids: str, value: str) -> Column:
         return F.array_position(ids, F.col(value).cast("string")) - 1
 
-    p = F.when(F.col("split_p"), position("per_ids", "per_id")).otherwise(0)
-    v = F.when(F.col("split_v"), position("var_ids", "var_id")).otherwise(0)
-    b = F.when(F.col("split_l"), F.expr("loc_ord div lote")).otherwise(0)
-    c = F.aggregate(
+    def digit(split: str, value: str) -> Column:
+        return F.when(F.col(split), F.col(value)).otherwise(0)
+
+    positions = F.transform(
         F.arrays_zip("classes", "categorias"),
+        lambda e: F.array_position(e["classes"]["cats"], e["categorias"].cast("string")) - 1,
+    )
+    placed = joined.withColumns(
+        {"_p": position("per_ids", "per_id"), "_v": position("var_ids", "var_id"), "_c": positions}
+    )
+    c = F.aggregate(
+        F.arrays_zip("classes", "_c"),
         F.lit(0).cast("bigint"),
-        lambda acc, e: acc
-        + e["classes"]["passo"]
-        * (F.array_position(e["classes"]["cats"], e["categorias"].cast("string")) - 1),
+        lambda acc, e: acc + e["classes"]["passo"] * e["_c"],
     )
+    b = F.when(F.col("split_l"), F.expr("loc_ord div lote")).otherwise(0)
+    p, v = digit("split_p", "_p"), digit("split_v", "_v")
     number = ((p * F.col("n_b") + b) * F.col("n_v") + v) * F.col("n_c") + c
-    located = joined.withColumn("chunk_seq", number.cast("bigint")).drop(*needed)
-    return located.withColumn("chunk_id", chunk_id())
+    inside = (
+        (F.col("_p") >= 0)
+        & (F.col("_v") >= 0)
+        & (F.col("loc_ord") >= 0)
+        & (F.col("loc_ord") < F.col("L"))
+        & (F.size("classes") == F.size("categorias"))
+        & F.forall("_c", lambda i: i >= 0)
+    )
+    located = placed.withColumn("chunk_seq", F.when(inside, number.cast("bigint")))
+    located = located.drop(*needed, "_p", "_v", "_c")
+    return located.withColumn("chunk_id", F.when(F.col("chunk_seq").isNotNull(), chunk_id()))
+
 
+def plan_summary(levels: DataFrame) -> DataFrame:
+    """Requests and values per cube and level, per cube (null level) and in total (nulls).
 
-def plan_summary(chunks: DataFrame) -> DataFrame:
-    """Requests and values per cube and level, per cube (null level) and in total (nulls)."""
-    return chunks.rollup(*LEVEL_KEY).agg(
-        F.count("*").alias("n_requests"), F.coalesce(F.sum("n_valores"), F.lit(0)).alias("n_valores")
+    ``levels`` comes from :func:`plan_levels`, which knows both; no chunk is made.
+    """
+    return levels.rollup(*LEVEL_KEY).agg(
+        F.coalesce(F.sum(F.col("n_chunks").cast(BIG)), F.lit(0)).cast("bigint").alias("n_requests"),
+        F.coalesce(F.sum("total"), F.lit(0)).cast("bigint").alias("n_valores"),
     )
 
 
 def plan_coverage(levels: DataFrame, chunks: DataFrame, limit: int = VALUES_LIMIT) -> DataFrame:
     """Per level: whether the chunks cover the selection once, and none is over the limit.
 
-    Chunks are products of one choice per dimension. They cover a level exactly if
-    their URLs differ, their number is the planned one and their values add up.
+    Chunks are products of one choice per dimension, so each axis is checked by itself, on the
+    chunks whose other choices are the first: together they hold each period, locality and
+    variable once, and as many different category choices as are planned. All chunks
+    together must be as many as planned, differ, and add up to the values of the level.
     """
-    per_level = chunks.groupBy(*LEVEL_KEY).agg(
+    digits = levels.select(*LEVEL_KEY, "n_p", "n_b", "n_v", "n_c", "P", "L", "V", "n_chunks", "total",
+                           "split_p", "split_l", "split_v")
+    placed = chunks.join(digits, LEVEL_KEY).withColumns(
+        {
+            "_c": F.expr("chunk_seq % n_c"),
+            "_v": F.expr("chunk_seq div n_c % n_v"),
+            "_b": F.expr("chunk_seq div (n_c * n_v) % n_b"),
+            "_p": F.expr("chunk_seq div (n_c * n_v * n_b)"),
+        }
+    )
+    per_level = placed.groupBy(*LEVEL_KEY).agg(
         F.count("*").alias("n_requests"),
-        F.count_distinct("url").alias("_distintos"),
+        F.count_distinct(F.xxhash64("periodos", "variaveis", "territorios", "classificacoes")).alias("_distintos"),
+        F.count_distinct(F.when(F.expr("_p = 0 AND _b = 0 AND _v = 0"), F.xxhash64("classificacoes"))).alias("_classes"),
         F.sum(F.col("n_valores").cast(BIG)).alias("_valores"),
         F.max("n_valores").alias("maior_chunk"),
     )
-    return levels.join(per_level, LEVEL_KEY, "left").select(
+    places = F.flatten(F.transform("territorios", lambda t: t["v"]))
+    axes = F.array(
+        *[
+            F.struct(F.lit(name).alias("eixo"), F.when(F.expr(f"{split} AND {first}"), ids).alias("ids"))
+            for name, split, first, ids in [
+                ("p", "split_p", "_b = 0 AND _v = 0 AND _c = 0", F.col("periodos")),
+                ("l", "split_l", "_p = 0 AND _v = 0 AND _c = 0", places),
+                ("v", "split_v", "_p = 0 AND _b = 0 AND _c = 0", F.col("variaveis")),
+            ]
+        ]
+    )
+    listed = placed.select(*LEVEL_KEY, F.explode(axes).alias("_e")).where("_e.ids IS NOT NULL")
+    ids = listed.select(*LEVEL_KEY, "_e.eixo", F.explode("_e.ids").alias("id"))
+    once = ids.groupBy(*LEVEL_KEY, "eixo", "id").count().groupBy(*LEVEL_KEY).agg(
+        *[F.count_if((F.col("eixo") == e) & (F.col("count") == 1)).alias(f"_n{e}") for e in "plv"],
+        F.max("count").alias("_repetido"),
+    )
+    whole = (
+        (F.coalesce("_repetido", F.lit(1)) == 1)
+        & (~F.col("split_p") | (F.col("_np") == F.col("P")))
+        & (~F.col("split_l") | (F.col("_nl") == F.col("L")))
+        & (~F.col("split_v") | (F.col("_nv") == F.col("V")))
+        & (F.col("_classes") == F.col("n_c"))
+    )
+    joined = digits.join(per_level, LEVEL_KEY, "left").join(once, LEVEL_KEY, "left")
+    return joined.select(
         *LEVEL_KEY,
         F.coalesce("n_requests", F.lit(0)).alias("n_requests"),
-        F.col("total").cast("bigint").alias("n_valores"),
+        F.expr("try_cast(total AS bigint)").alias("n_valores"),
         F.coalesce("maior_chunk", F.lit(0)).alias("maior_chunk"),
         F.coalesce(
-            (F.col("_distintos") == F.col("n_chunks"))
+            whole
+            & (F.col("_distintos") == F.col("n_chunks"))
             & (F.col("n_requests") == F.col("n_chunks"))
             & (F.col("_valores") == F.col("total")),
             F.lit(False),

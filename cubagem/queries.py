@@ -225,7 +225,7 @@ def plan_class_split(catalog):
 
 @on_written_catalog
 def plan_summary(catalog):
-    return chunks.plan_summary(chunks.plan_chunks(catalog))
+    return chunks.plan_summary(chunks.plan_levels(catalog))
 
 
 @on_written_catalog
@@ -367,8 +367,22 @@ def normalise_requests(spark, sf_dir):
 # Values
 
 
-def _landed(spark, sf_dir) -> DataFrame:
-    return star.landed_payloads(spark, sf_dir, _written(spark, sf_dir))
+def _landed(spark, sf_dir, catalog: Catalog | None = None) -> DataFrame:
+    """All payloads, landed once; whatever reads them reads files."""
+    path = shared_dir(spark, "pouso")
+    payloads = star.landed_payloads(spark, sf_dir, catalog or _written(spark, sf_dir))
+    payloads.write.parquet(path)
+    return spark.read.schema(payloads.schema).parquet(path)
+
+
+def _records(spark, sf_dir) -> DataFrame:
+    return ingest.payload_records(ingest.one_per_chunk(_landed(spark, sf_dir)))
+
+
+def _planned(catalog: Catalog) -> DataFrame:
+    return chunks.plan_levels(catalog).select(
+        "agregado_id", "nivel_territorial", F.col("n_chunks").alias("planejados")
+    )
 
 
 def _value_columns() -> list:
@@ -385,21 +399,26 @@ def _value_columns() -> list:
 @query
 def validate_payloads(spark, sf_dir):
     """Payloads per cube and level, and what is wrong with the others."""
-    status = ingest.payload_status(_landed(spark, sf_dir))
-    parts = F.split("chunk_id", "-")
-    return status.groupBy(
-        parts[0].cast("bigint").alias("agregado_id"), parts[1].alias("nivel_territorial"), "erro"
-    ).agg(F.count("*").alias("n_payloads"))
+    status = ingest.payload_status(star.landed_payloads(spark, sf_dir, _written(spark, sf_dir)))
+    return status.groupBy(*ingest.chunk_key()[:2], "erro").agg(F.count("*").alias("n_payloads"))
+
+
+@query
+def rejected_payloads(spark, sf_dir):
+    """Each payload that is set aside, and why."""
+    return ingest.rejected_payloads(star.landed_payloads(spark, sf_dir, _written(spark, sf_dir))).select(
+        "chunk_id", "erro"
+    )
 
 
 @query
 def strip_headers(spark, sf_dir):
-    return ingest.column_labels(ingest.payload_records(_landed(spark, sf_dir)))
+    return ingest.column_labels(_records(spark, sf_dir))
 
 
 @query
 def merge_values(spark, sf_dir):
-    values = ingest.merged_values(ingest.payload_records(_landed(spark, sf_dir)))
+    values = ingest.merged_values(_records(spark, sf_dir))
     return values.select("agregado_id", "nivel_territorial", *_value_columns())
 
 
@@ -414,7 +433,7 @@ def _by_level(values: DataFrame) -> DataFrame:
 def values_by_level(spark, sf_dir):
     """Values written to one folder per cube and level, read back and summed."""
     path = shared_dir(spark, "valores")
-    sinks.write_values(ingest.payload_records(_landed(spark, sf_dir)), path)
+    sinks.write_values(_records(spark, sf_dir), path)
     return _by_level(sinks.read_values(spark, path))
 
 
@@ -422,14 +441,14 @@ def values_by_level(spark, sf_dir):
 def chunk_progress(spark, sf_dir):
     catalog = _written(spark, sf_dir)
     landed = star.landed_payloads(spark, sf_dir, catalog)
-    return ingest.chunk_progress(chunks.plan_chunks(catalog), landed)
+    return ingest.chunk_progress(_planned(catalog), ingest.landed_chunks(landed))
 
 
 @query
 def stream_values(spark, sf_dir):
     """Payloads landed as files and streamed into a table of values."""
     source, sink = shared_dir(spark, "pouso"), shared_dir(spark, "tabela")
-    _landed(spark, sf_dir).write.json(source)
+    star.landed_payloads(spark, sf_dir, _written(spark, sf_dir)).write.json(source)
     stream = landing.landed_payloads(spark, source)
     landing.stream_values(stream, sink, shared_dir(spark, "progresso")).awaitTermination()
     schema = "agregado_id bigint, chunk_seq bigint, pos int, registro map<string, string>, nivel_territorial string"
@@ -438,26 +457,22 @@ def stream_values(spark, sf_dir):
 
 @query
 def stream_progress(spark, sf_dir):
-    """Landed chunks counted by a stream, next to the planned ones."""
+    """Landed and rejected chunks noted by a stream, next to the planned ones."""
     catalog = _written(spark, sf_dir)
     source, table = shared_dir(spark, "pouso"), shared_dir(spark, "tabela")
     star.landed_payloads(spark, sf_dir, catalog).write.json(source)
-    planned = chunks.plan_levels(catalog).select(
-        "agregado_id", "nivel_territorial", F.col("n_chunks").alias("planejados")
-    )
     stream = landing.landed_payloads(spark, source)
-    landing.stream_progress(stream, planned, table, shared_dir(spark, "progresso")).awaitTermination()
-    versions = spark.read.parquet(table)
-    last = versions.agg(F.max("versao").alias("versao"))
-    return versions.join(last, "versao", "left_semi").drop("versao")
+    landing.stream_landed(stream, table, shared_dir(spark, "progresso")).awaitTermination()
+    schema = "agregado_id bigint, nivel_territorial string, chunk_seq bigint, aceito boolean"
+    return ingest.chunk_progress(_planned(catalog), spark.read.schema(schema).parquet(table))
 
 
 @query
 def manifest(spark, sf_dir):
-    """Manifests of the written values; the digests are checked against a second reading."""
+    """Manifests of the written values, and the lines that a second reading counts."""
     catalog = _written(spark, sf_dir)
     path, kept = shared_dir(spark, "valores"), shared_dir(spark, "manifestos")
-    records = ingest.payload_records(star.landed_payloads(spark, sf_dir, catalog))
+    records = ingest.payload_records(ingest.one_per_chunk(_landed(spark, sf_dir, catalog)))
     sinks.write_values(records, path, header=True)
     plan = chunks.plan_chunks(catalog)
     written = sinks.manifests(spark, path, plan, "estrela")
@@ -487,7 +502,7 @@ def _assembled_summary(parts: DataFrame) -> DataFrame:
         F.max(F.size("variaveis")).cast("bigint").alias("n_variaveis"),
         F.max(F.size("classificacoes")).cast("bigint").alias("n_classificacoes"),
         F.sum(F.size("localidades")).alias("n_localidades"),
-        F.max(F.element_at(F.col("periodos"), 1)["data_inicio"]).alias("inicio"),
+        F.max(F.try_element_at("periodos", F.lit(1))["data_inicio"]).alias("inicio"),
         F.max_by(F.try_element_at("localidades", F.lit(-1))["nome"], "parte").alias("ultima"),
         F.max(F.array_join(F.concat("nivel_territorial.administrativo", "nivel_territorial.especial", "nivel_territorial.ibge"), ",")).alias("niveis"),
     )

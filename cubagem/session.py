@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+SPREAD = "cubagem.scan.spread"
+
+
 def build_session(app: str = "cubagem", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs of this package were tuned with."""
     builder = SparkSession.builder.appName(app)
@@ -34,14 +37,14 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a scan to all cores if its files have fewer splits than that.
+    """Deal the rows of a scan to all tasks, if the session asks for it.
 
-    Large tables have more splits than cores and are left as they are.
+    That suits tables of few row groups, whose scans would be few tasks. It costs a shuffle of
+    what was read, so it is off unless ``cubagem.scan.spread`` is true, whatever the size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.sparkSession.conf.get(SPREAD, "false") != "true":
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(shuffle_width(df.sparkSession), *keys)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

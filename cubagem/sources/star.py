@@ -207,19 +207,20 @@ def members(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     )
 
 
-def categories(found: DataFrame, classifications_df: DataFrame) -> DataFrame:
-    """Values seen in a cube's sales, and a total in the priorities.
+def category_code(text: Column) -> Column:
+    """A number for a value, from its whole text: 48 bits of its digest."""
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
 
-    The code of a value is the code of its first character; that is distinct within
-    each of these columns.
-    """
+
+def categories(found: DataFrame, classifications_df: DataFrame) -> DataFrame:
+    """Values seen in a cube's sales, and a total in the priorities."""
     seen = (
         found.where("tipo = 'classe'")
         .select(
             "agregado_id",
             F.col("grupo").cast("bigint").alias("class_id"),
             F.col("chave").alias("nome"),
-            F.ascii("chave").cast("bigint").alias("cat_id"),
+            category_code(F.col("chave")).alias("cat_id"),
             F.lit(1).alias("nivel"),
         )
         .join(classifications_df.select("agregado_id", "class_id"), ["agregado_id", "class_id"])
@@ -317,7 +318,7 @@ def localities(found: DataFrame) -> DataFrame:
     )
 
 
-PAYLOAD_LEVELS = [("N1", "n_regionkey"), ("N3", "c_nationkey")]
+PAYLOAD_LEVELS = [("N1", "n_regionkey"), ("N3", "c_nationkey"), ("N6", "o_custkey")]
 
 
 def cells(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataFrame:
@@ -334,7 +335,7 @@ def cells(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataFrame:
     codes = F.array(
         *[
             F.array(
-                *[F.ascii(F.col(class_columns[i]).cast("string")).cast("bigint") for i in ids]
+                *[category_code(F.col(class_columns[i]).cast("string")) for i in ids]
             ).cast("array<bigint>")
             for _, ids in sorted(REGION_CLASSIFICATIONS.items())
         ]
@@ -386,11 +387,18 @@ def located_cells(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataFra
     return locate_cells(plan_levels(catalog), cells(spark, sf_dir, catalog))
 
 
+REFUSED = '{"status": 503, "message": "volte mais tarde"}'
+CUT = "[] e mais"
+
+
 def landed_payloads(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataFrame:
-    """One payload per chunk that has cells, and an error payload per cube.
+    """One payload per chunk that has cells; some landed again, refused, cut short or misnamed.
 
     A chunk has at most as many cells as a request may return values, so a payload is
-    bounded. Codes only: place, period, variable, then the categories.
+    bounded. Codes only: place, period, variable, then the categories. In every third cube the first
+    chunk of N1 was refused; in every fourth the second chunk of a level landed twice. Each first
+    chunk of N3 has a payload with text after its list as well, and each cube one that names
+    no chunk.
     """
     dims = range(len(CLASSIFICATIONS))
     record = F.to_json(
@@ -429,12 +437,22 @@ def landed_payloads(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataF
             ),
         )
     )
-    failed = catalog.cubes.select(
-        F.concat(F.col("agregado_id").cast("string"), F.lit("-N7-0")).alias("chunk_id"),
+    cube, number = F.split_part("chunk_id", F.lit("-"), F.lit(1)), F.split_part("chunk_id", F.lit("-"), F.lit(3))
+    first_of = lambda level: F.col("chunk_id").endswith(f"-{level}-0")
+    refused = first_of("N1") & (cube % 3 == 0)
+    good = good.withColumn("body", F.when(refused, REFUSED).otherwise(F.col("body")))
+    bodies = F.array(
+        F.col("body"),
+        F.when((number == "1") & (cube % 4 == 0), F.col("body")),
+        F.when(first_of("N3"), F.lit(CUT)),
+    )
+    landed = good.select("chunk_id", "cabecalho", F.explode(F.array_compact(bodies)).alias("body"))
+    misnamed = catalog.cubes.select(
+        F.concat(F.lit("cubo "), F.col("agregado_id").cast("string")).alias("chunk_id"),
         F.lit(True).alias("cabecalho"),
-        F.lit('{"status": 400, "message": "Parâmetro inválido"}').alias("body"),
+        F.lit("[]").alias("body"),
     )
-    return good.unionByName(failed)
+    return landed.unionByName(misnamed)
 
 
 def collections(catalog: Catalog) -> DataFrame:

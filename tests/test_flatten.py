@@ -1,5 +1,6 @@
 import itertools
 
+import pytest
 from pyspark.sql import functions as F
 
 from cubagem.operators import flatten, listing
@@ -105,3 +106,11 @@ def test_ordinals_and_ranges(spark):
     sizes = spark.createDataFrame([("a", 0), ("b", 1), ("c", 100), ("d", 64)], "g string, n bigint")
     out = expand_range(sizes, "n", "i", ["g"], block=8).groupBy("g").agg(F.count("*").alias("n"), F.sum("i").alias("s")).collect()
     assert {(r.g, r.n, r.s) for r in out} == {("b", 1, 0), ("c", 100, 4950), ("d", 64, 2016)}
+
+
+def test_more_classifications_than_room_is_an_error(spark):
+    with pytest.raises(Exception, match="max_dims is 2"):
+        flatten.flatten_cubes(nested(spark), max_dims=2).collect()
+    flat = flatten.flatten_cubes(nested(spark))
+    with pytest.raises(Exception, match="max_dims is 1"):
+        flatten.widen(flat, 1).collect()
