@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,16 @@ class Catalog:
     categories: DataFrame
     periods: DataFrame
 
+    def save(self, path: str) -> None:
+        """Write the tables as Parquet, one folder each."""
+        for field in fields(Catalog):
+            getattr(self, field.name).write.parquet(f"{path}/{field.name}")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Catalog:
+        """A saved catalog. Each table is read as it was written, so nothing is derived twice."""
+        return Catalog(*(spark.read.parquet(f"{path}/{field.name}") for field in fields(Catalog)))
+
     def nested_cubes(self) -> DataFrame:
         """One row per cube with its variables and classifications as arrays.
 

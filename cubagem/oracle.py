@@ -632,6 +632,7 @@ flat AS (
         FROM written JOIN planned USING (agregado_id, nivel_territorial)"""
     )
 
+    sql["snapshot_summary"] = sql["cube_summary"]
     sql["assemble_cube"] = (
         with_parts(*ALL)
         + parsed
@@ -720,7 +721,32 @@ def _request_oracles() -> dict[str, str]:
                   UNION ALL SELECT -page_id - 1, 0, 0, '', '{missing}' FROM pages"""
         )
 
+    def whole(n, n_valor, c, c_valor, d, d_valor):
+        return REQUEST_PARTS + f"""
+            SELECT {key}, t || '|' || {n} || '|' || {c} || '|/v/' || v_valor || '|/h/' || h || '|/f/' || f_valor
+                   || '|' || {d} || '|/p/' || p_valor AS partes,
+                   t_valor AS agregado, {n_valor} AS territorios, {c_valor} AS classificacoes,
+                   v_valor AS variaveis, p_valor AS periodos, h = 'y' AS cabecalho, f_valor AS formato,
+                   {d_valor} AS decimais FROM requests
+            UNION ALL SELECT -page_id - 1, 0, 0, '|||||||', '', '', '', '', '', TRUE, 'a', '' FROM pages"""
+
+    # The older reading: levels of one digit, the last of several ids twice, precisions of
+    # variables are numbers, and no number stands for all.
+    older = whole(
+        "CASE WHEN n LIKE '/n6/%' THEN '/n6/' || l_partkey || ',' || l_orderkey || ',' || l_orderkey ELSE n END",
+        "CASE WHEN n LIKE '/n6/%' THEN '6=' || l_partkey || ',' || l_orderkey || ',' || l_orderkey ELSE n_valor END",
+        "CASE WHEN c = '' THEN '' ELSE '/c2/' || l_linenumber || ',' || l_partkey || ',' || l_partkey || '/c81/all' END",
+        "CASE WHEN c = '' THEN '' ELSE '2=' || l_linenumber || ',' || l_partkey || ',' || l_partkey || ';81=all' END",
+        "CASE WHEN l_linenumber IN (3, 5) THEN '' ELSE '/d/' || d END",
+        "CASE WHEN l_linenumber IN (3, 5) THEN '' ELSE d_valor END",
+    )
     return {
+        "parse_urls_whole": whole("n", "n_valor", "c", "c_valor", "'/d/' || d", "d_valor"),
+        "parse_urls_compat": older,
+        "request_domains": f"""
+            SELECT {key}, CASE WHEN l_returnflag = 'R' AND l_quantity >= 21 THEN 'formato,decimais'
+                WHEN l_returnflag = 'R' THEN 'formato' WHEN l_quantity >= 21 THEN 'decimais' ELSE '' END
+                AS desconhecidos FROM lineitem""",
         "render_url": REQUEST_PARTS + f"SELECT {key}, {url.format('p_valor')} AS url FROM requests",
         "render_period_url": REQUEST_PARTS
         + f"SELECT {key}, {url.format(repr('200101'))} AS url FROM requests",

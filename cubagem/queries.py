@@ -43,7 +43,9 @@ def on_written_catalog(function: Callable[[Catalog], DataFrame]) -> Callable[[Ca
 
 
 def _written(spark: SparkSession, sf_dir: str) -> Catalog:
-    return star.catalog_from_star(spark, sf_dir, written=True)
+    path = shared_dir(spark, "catalogo")
+    star.catalog_from_star(spark, sf_dir, written=True).save(path)
+    return Catalog.load(spark, path)
 
 
 # Surveys
@@ -86,6 +88,10 @@ def cube_estimate(catalog):
 
 @on_written_catalog
 def cube_summary(catalog):
+    return _summary(catalog)
+
+
+def _summary(catalog: Catalog) -> DataFrame:
     pairs = F.transform(
         F.sort_array(F.map_entries("stat_localidades")),
         lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
@@ -359,6 +365,46 @@ _url_query("parse_url_format", lambda url: _raw_and_text(R.parse_format(url)))
 _url_query("parse_url_decimals", lambda url: _raw_and_precisions(R.parse_decimals(url)))
 
 
+def _whole_urls(df: DataFrame, compat: bool) -> DataFrame:
+    parsed = R.parse_urls(df, base_url=star.REQUEST_BASE, compat=compat)
+    precisions = F.transform("decimais", lambda p: F.concat(p["k"], F.lit("="), p["v"]))
+    raw = ["t", F.array_join("n", ""), F.array_join("c", ""), "v", "h", "f", "d", "p"]
+    return parsed.select(
+        *star.REQUEST_KEY,
+        F.concat_ws("|", *raw).alias("partes"),
+        "agregado",
+        _text_pairs(F.col("territorios")).alias("territorios"),
+        _text_pairs(F.col("classificacoes")).alias("classificacoes"),
+        F.array_join("variaveis", ",").alias("variaveis"),
+        F.array_join("periodos", ",").alias("periodos"),
+        "cabecalho",
+        "formato",
+        F.array_join(precisions, ",").alias("decimais"),
+    )
+
+
+@query
+def parse_urls_whole(spark, sf_dir):
+    return _whole_urls(star.url_log(spark, sf_dir), compat=False)
+
+
+@query
+def parse_urls_compat(spark, sf_dir):
+    """The same URLs in the older reading."""
+    return _whole_urls(star.url_log(spark, sf_dir), compat=True)
+
+
+@query
+def request_domains(spark, sf_dir):
+    """Formats and precisions of line items that the service does not know."""
+    items = star.read_table(spark, sf_dir, "lineitem")
+    precision = F.struct(F.lit("").alias("k"), F.col("l_quantity").cast("int").cast("string").alias("v"))
+    asked = items.select(
+        *star.REQUEST_KEY, F.lower("l_returnflag").alias("formato"), F.array(precision).alias("decimais")
+    )
+    return asked.select(*star.REQUEST_KEY, F.array_join(R.invalid_domains(), ",").alias("desconhecidos"))
+
+
 @query
 def normalise_requests(spark, sf_dir):
     return R.normalise_requests(star.url_log(spark, sf_dir), base_url=star.REQUEST_BASE)
@@ -530,6 +576,15 @@ def snapshot_roundtrip(spark, sf_dir):
     return periods.drop("literals", "ord")
 
 
+@query
+def snapshot_summary(spark, sf_dir):
+    """Cubes saved in parts, loaded, and sized from what was loaded."""
+    path, loaded = shared_dir(spark, "cubos"), shared_dir(spark, "catalogo")
+    sinks.save_snapshot(assemble.assemble_cubes(_written(spark, sf_dir), part_size=100), path)
+    sinks.catalog_from_snapshot(sinks.load_snapshot(spark, path)).save(loaded)
+    return _summary(Catalog.load(spark, loaded))
+
+
 @on_catalog
 def metadata_urls(catalog):
     return assemble.metadata_urls(catalog, "https://api.example.org/agregados")
