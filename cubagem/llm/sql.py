@@ -53,3 +53,80 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target, size * copies AS taken, source, copies FROM drawn
 """
+
+WORDS = r"""
+words AS (
+    SELECT doc_id, text, regexp_extract_all({}, '[^\x20\x09-\x0D]+') AS w FROM documents
+)"""
+
+ORACLE_SQL["op1_ngram_join"] = (
+    "WITH RECURSIVE "
+    + WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    + """, shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT o.a, o.b FROM shared o JOIN sizes x ON x.doc_id = o.a JOIN sizes y ON y.doc_id = o.b
+    WHERE 100 * o.n >= 75 * (x.n + y.n - o.n)
+), reached AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reached r ON r.a = d.doc_id
+GROUP BY d.doc_id
+"""
+)
+
+ORACLE_SQL["op6_substring_dedup"] = (
+    "WITH "
+    + WORDS.format("coalesce(text, '')")
+    + """, windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)
+), repeated AS (
+    SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), removed AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM repeated
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words
+), kept AS (
+    SELECT p.doc_id, count(*) AS n, string_agg(p.word, ' ' ORDER BY p.i) AS t
+    FROM placed p LEFT JOIN removed r ON r.doc_id = p.doc_id AND r.i = p.i WHERE r.i IS NULL GROUP BY p.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+)
+
+#: One step of CRC-32 for a bit: the polynomial is fixed.
+_BIT = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+ORACLE_SQL["op7_shard"] = f"""
+WITH RECURSIVE bits AS (
+    SELECT range AS byte, range AS c, 0 AS n FROM range(256)
+    UNION ALL SELECT byte, {_BIT}, n + 1 FROM bits WHERE n < 8
+), steps AS (
+    SELECT list(c ORDER BY byte) AS step FROM bits WHERE n = 8
+), sized AS (
+    SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+        xor(4294967295, list_reduce(
+            list_concat([4294967295::BIGINT], list_transform(
+                regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+            lambda c, b: xor(c >> 8, step[1 + (xor(c, b) & 255)]))) AS text_crc32
+    FROM documents, steps
+), placed AS (
+    SELECT *, sum(size) OVER w - size AS before, sum(size) OVER () AS total FROM sized
+    WINDOW w AS (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING)
+), sharded AS (
+    SELECT *, (before * 16 // total)::INT AS shard FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
+FROM sharded
+"""
