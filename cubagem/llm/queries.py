@@ -47,7 +47,8 @@ def op3_language_id(spark, sf_dir):
 
 @query
 def op4_lm_score(spark, sf_dir):
-    return lm_scoring.score(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+    scored = lm_scoring.score(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+    return scored.drop("n_subwords")
 
 
 @query
