@@ -633,6 +633,16 @@ flat AS (
     )
 
     sql["snapshot_summary"] = sql["cube_summary"]
+    sql["documents_cube_summary"] = f"SELECT * EXCLUDE (pesquisa_id) FROM ({sql['cube_summary']})"
+    sql["documents_plan"] = sql["plan_full"]
+    sql["documents_localities"] = (
+        with_parts(CUBES, SALES, PLACES) + "SELECT agregado_id, nivel, loc_id, nome, ord FROM localities"
+    )
+    sql["documents_unreadable"] = (
+        with_parts(CUBES)
+        + """SELECT '/agregados/' || agregado_id || '/localidades_N9_0.json' AS caminho, agregado_id
+             FROM cubes WHERE agregado_id % 10 = 0"""
+    )
     sql["assemble_cube"] = (
         with_parts(*ALL)
         + parsed

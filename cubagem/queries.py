@@ -585,6 +585,44 @@ def snapshot_summary(spark, sf_dir):
     return _summary(Catalog.load(spark, loaded))
 
 
+# Documents of the service
+
+
+def _documents(spark, sf_dir) -> DataFrame:
+    path = shared_dir(spark, "documentos")
+    found = star.documents(_written(spark, sf_dir))
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+@query
+def documents_cube_summary(spark, sf_dir):
+    """The catalog written as documents and read back, sized."""
+    path = shared_dir(spark, "catalogo")
+    documents.catalog_of(_documents(spark, sf_dir)).save(path)
+    return _summary(Catalog.load(spark, path)).drop("pesquisa_id")  # documents have its name only
+
+
+@query
+def documents_plan(spark, sf_dir):
+    path = shared_dir(spark, "catalogo")
+    documents.catalog_of(_documents(spark, sf_dir)).save(path)
+    return chunks.plan_chunks(Catalog.load(spark, path)).select(*PLAN_COLUMNS)
+
+
+@query
+def documents_localities(spark, sf_dir):
+    found = documents.localities_of(documents.landed_documents(_documents(spark, sf_dir), documents.LOCALITIES))
+    return found.select("agregado_id", "nivel", "loc_id", "nome", "ord")
+
+
+@query
+def documents_unreadable(spark, sf_dir):
+    patterns = (documents.METADATA, documents.PERIODS, documents.LOCALITIES)
+    landed = _documents(spark, sf_dir)
+    return documents.unreadable_of(*(documents.landed_documents(landed, p) for p in patterns))
+
+
 @on_catalog
 def metadata_urls(catalog):
     return assemble.metadata_urls(catalog, "https://api.example.org/agregados")

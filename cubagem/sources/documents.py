@@ -7,7 +7,9 @@
     acervos/{kind}.json                        collection listings
     valores/{id}-{nivel}-{chunk_seq}.json      values of one chunk
 
-Each document is read whole, parsed with a fixed schema and exploded with positions.
+Each document is read whole, parsed with a fixed schema and exploded with positions. Many small
+documents are better landed as rows of a table (caminho, body), with the same paths: the ``..._of``
+functions take :func:`landed_documents` of such a table.
 Documents that do not parse have no rows; :func:`unreadable_documents` lists them.
 """
 
@@ -29,40 +31,50 @@ COLLECTIONS = "acervos/*.json"
 VALUES = "valores/*.json"
 
 
+def landed_documents(table: DataFrame, pattern: str) -> DataFrame:
+    """Documents of a table (caminho, body) whose path fits, and, where it has one, their cube."""
+    fits = "/" + pattern.replace(".", r"\.").replace("*", "[^/]*") + "$"
+    cube = F.regexp_extract("caminho", r"/agregados/(\d+)/", 1)
+    return table.where(F.col("caminho").rlike(fits)).select(
+        "caminho", F.nullif(cube, F.lit("")).cast("bigint").alias("agregado_id"), "body"
+    )
+
+
 def read_documents(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """Whole documents with their path and, where the path has one, their cube."""
-    path = F.col("_metadata.file_path")
-    cube = F.regexp_extract(path, r"/agregados/(\d+)/", 1)
-    return spark.read.text(f"{root}/{pattern}", wholetext=True).select(
-        path.alias("caminho"),
-        F.nullif(cube, F.lit("")).cast("bigint").alias("agregado_id"),
-        F.col("value").alias("body"),
-    )
+    files = spark.read.text(f"{root}/{pattern}", wholetext=True)
+    table = files.select(F.col("_metadata.file_path").alias("caminho"), F.col("value").alias("body"))
+    return landed_documents(table, pattern)
+
+
+def unreadable_of(metadata: DataFrame, periods: DataFrame, localities: DataFrame) -> DataFrame:
+    """Documents that do not have their schema."""
+    lists = [(periods, RAW_PERIODS), (localities, RAW_LOCALITIES)]
+    found = metadata.where(F.from_json("body", RAW_METADATA)["id"].isNull()).drop("body")
+    for docs, schema in lists:
+        bad = F.from_json("body", schema).isNull() | ~is_list(F.col("body"))
+        found = found.unionByName(docs.where(bad).drop("body"))
+    return found
 
 
 def unreadable_documents(spark: SparkSession, root: str) -> DataFrame:
     """Metadata, period and locality documents that do not have their schema."""
-    found = None
-    for pattern, schema in [
-        (METADATA, f"struct<{RAW_METADATA}>"),
-        (PERIODS, RAW_PERIODS),
-        (LOCALITIES, RAW_LOCALITIES),
-    ]:
-        parsed = F.from_json("body", schema)
-        bad = parsed["id"].isNull() if pattern == METADATA else parsed.isNull() | ~is_list(F.col("body"))
-        part = read_documents(spark, root, pattern).where(bad).drop("body")
-        found = part if found is None else found.unionByName(part)
-    return found
+    return unreadable_of(*(read_documents(spark, root, p) for p in (METADATA, PERIODS, LOCALITIES)))
+
+
+def survey_index_of(docs: DataFrame) -> DataFrame:
+    listed = F.from_json("body", f"array<struct<{SURVEY_INDEX}>>")
+    return docs.where(is_list(F.col("body"))).select(F.explode(listed).alias("_s")).select("_s.*")
 
 
 def read_survey_index(spark: SparkSession, root: str) -> DataFrame:
     """Surveys with their cubes nested."""
-    return spark.read.schema(SURVEY_INDEX).option("multiLine", True).json(f"{root}/{INDEX}")
+    return survey_index_of(read_documents(spark, root, INDEX))
 
 
-def read_metadata(spark: SparkSession, root: str) -> DataFrame:
+def metadata_of(docs: DataFrame) -> DataFrame:
     """Cube metadata as typed nested records, with the service's keys in snake case."""
-    raw = spark.read.schema(RAW_METADATA).option("multiLine", True).json(f"{root}/{METADATA}")
+    raw = docs.select(F.from_json("body", RAW_METADATA).alias("_m")).select("_m.*")
     return raw.where("id IS NOT NULL").select(
         "id",
         "nome",
@@ -80,23 +92,37 @@ def read_metadata(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def read_periods(spark: SparkSession, root: str) -> DataFrame:
-    return read_documents(spark, root, PERIODS).where(is_list(F.col("body"))).select(
+def read_metadata(spark: SparkSession, root: str) -> DataFrame:
+    return metadata_of(read_documents(spark, root, METADATA))
+
+
+def periods_of(docs: DataFrame) -> DataFrame:
+    return docs.where(is_list(F.col("body"))).select(
         "agregado_id", F.posexplode(F.from_json("body", RAW_PERIODS)).alias("ord", "_p")
     ).select(
         "agregado_id", F.col("_p.id").alias("per_id"), "_p.literals", "_p.modificacao", "ord"
     )
 
 
-def read_localities(spark: SparkSession, root: str) -> DataFrame:
-    """Localities, each once per cube and level, numbered in document order."""
-    listed = read_documents(spark, root, LOCALITIES).where(is_list(F.col("body"))).select(
-        "agregado_id", F.posexplode(F.from_json("body", RAW_LOCALITIES)).alias("_pos", "_l")
-    )
+def read_periods(spark: SparkSession, root: str) -> DataFrame:
+    return periods_of(read_documents(spark, root, PERIODS))
+
+
+def localities_of(docs: DataFrame) -> DataFrame:
+    """Localities, each once per cube and level, numbered in document order.
+
+    A level may come in several documents, ``localidades_{nivel}_{parte}.json``, parts counted from 0.
+    """
+    part = F.coalesce(F.nullif(F.regexp_extract("caminho", r"_(\d{1,9})\.json$", 1), F.lit("")), F.lit("0"))
+    listed = docs.where(is_list(F.col("body"))).select(
+        "agregado_id",
+        (part.cast("bigint") * (1 << 32)).alias("_parte"),
+        F.posexplode(F.from_json("body", RAW_LOCALITIES)).alias("_i", "_l"),
+    ).withColumn("_pos", F.col("_parte") + F.col("_i"))
     distinct = listed.groupBy(
         "agregado_id", F.col("_l.nivel.id").alias("nivel"), F.col("_l.id").alias("loc_id")
     ).agg(
-        F.min("_pos").cast("bigint").alias("_pos"),
+        F.min("_pos").alias("_pos"),
         F.min_by("_l.nome", "_pos").alias("nome"),
         F.min_by("_l.nivel.nome", "_pos").alias("nivel_nome"),
     )
@@ -105,6 +131,10 @@ def read_localities(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def read_localities(spark: SparkSession, root: str) -> DataFrame:
+    return localities_of(read_documents(spark, root, LOCALITIES))
+
+
 def read_collections(spark: SparkSession, root: str) -> DataFrame:
     """Collection listings as they come: one variant value per item, of any shape."""
     kind = F.regexp_extract("caminho", r"/acervos/([A-Z])\.json$", 1)
@@ -129,6 +159,15 @@ def read_payloads(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def catalog_of(table: DataFrame) -> Catalog:
+    """The normalised catalog of the cubes whose documents are rows of a table (caminho, body)."""
+    return catalog_from_metadata(
+        metadata_of(landed_documents(table, METADATA)),
+        periods_of(landed_documents(table, PERIODS)),
+        localities_of(landed_documents(table, LOCALITIES)),
+    )
+
+
 def catalog_from_documents(spark: SparkSession, root: str) -> Catalog:
     """The normalised catalog of all landed cubes."""
     return catalog_from_metadata(

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubagem.catalog import Catalog
+from cubagem.catalog import Catalog, ordered_array
 from cubagem.functions.literals import constant_array, constant_rows, sql_literal
 from cubagem.functions.periods import MONTHS, rolling_label
 from cubagem.functions.requests import LISTS, PRECISION_LIST, render_url
@@ -455,6 +455,60 @@ def landed_payloads(spark: SparkSession, sf_dir: str, catalog: Catalog) -> DataF
     return landed.unionByName(misnamed)
 
 
+def documents(catalog: Catalog, places_per_document: int = 1000) -> DataFrame:
+    """The catalog as the service's documents, rows of (caminho, body); one cube in ten has a broken one.
+
+    A level's localities come in parts, so no document grows with the data.
+    """
+    root = F.concat(F.lit("/agregados/"), F.col("agregado_id").cast("string"), F.lit("/"))
+
+    def rows(df: DataFrame, name: Column, body: Column) -> DataFrame:
+        return df.select(F.concat(root, name, F.lit(".json")).alias("caminho"), F.to_json(body).alias("body"))
+
+    grouped = ordered_array(
+        catalog.levels.withColumn("_g", F.col("grupo")), ["agregado_id", "_g"], "_niveis", "nivel"
+    ).groupBy("agregado_id").pivot("_g", ["administrativo", "especial", "ibge"]).agg(
+        F.first(F.transform("_niveis", lambda n: n["nivel"]))
+    )
+    cubes_df = catalog.nested_cubes().join(grouped, "agregado_id", "left")
+    metadata = rows(
+        cubes_df,
+        F.lit("metadados"),
+        F.struct(
+            F.col("agregado_id").alias("id"),
+            "nome",
+            F.col("url").alias("URL"),
+            "pesquisa",
+            "assunto",
+            F.struct("frequencia", "inicio", "fim").alias("periodicidade"),
+            F.struct(
+                F.col("administrativo").alias("Administrativo"),
+                F.col("especial").alias("Especial"),
+                F.col("ibge").alias("IBGE"),
+            ).alias("nivelTerritorial"),
+            "variaveis",
+            "classificacoes",
+        ),
+    )
+    listed = ordered_array(
+        catalog.periods, ["agregado_id"], "_p", F.col("per_id").alias("id"), "literals", "modificacao"
+    )
+    places = ordered_array(
+        catalog.localities.withColumn("_parte", F.expr(f"ord div {places_per_document}")),
+        ["agregado_id", "nivel", "_parte"],
+        "_l",
+        F.col("loc_id").alias("id"),
+        "nome",
+        F.struct(F.col("nivel").alias("id"), F.col("nivel_nome").alias("nome")).alias("nivel"),
+    )
+    name = F.concat(F.lit("localidades_"), "nivel", F.lit("_"), F.col("_parte").cast("string"))
+    broken = catalog.cubes.where("agregado_id % 10 = 0").select(
+        F.concat(root, F.lit("localidades_N9_0.json")).alias("caminho"), F.lit(REFUSED).alias("body")
+    )
+    found = metadata.unionByName(rows(listed, F.lit("periodos"), F.col("_p")))
+    return found.unionByName(rows(places, name, F.col("_l"))).unionByName(broken)
+
+
 def collections(catalog: Catalog) -> DataFrame:
     """Items of the collection listings as JSON texts; each kind has its own shape."""
 
