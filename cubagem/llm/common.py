@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,3 +83,18 @@ def groups(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     limits = np.append(starts(values[order]), len(order))
     for begin, end in zip(limits[:-1], limits[1:], strict=True):
         yield int(values[order[begin]]), order[begin:end]
+
+
+def packed(column, kind) -> np.ndarray:
+    """The packed arrays in all rows of a binary column, one after the other, without copying rows."""
+    parts = []
+    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        if len(chunk):
+            _, offsets, data = chunk.buffers()
+            ends = np.frombuffer(offsets, np.int64 if pa.types.is_large_binary(chunk.type) else np.int32)
+            begin, end = int(ends[chunk.offset]), int(ends[chunk.offset + len(chunk)])
+            if end > begin:
+                parts.append(np.frombuffer(data, np.uint8)[begin:end])
+    if not parts:
+        return np.empty(0, kind)
+    return (np.concatenate(parts) if len(parts) > 1 else parts[0].copy()).view(kind)

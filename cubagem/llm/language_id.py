@@ -19,6 +19,8 @@ BLOCK = 2048
 #: Blocks that are parsed side by side.
 LANES = 4096
 
+_LETTERS = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
+
 PREDICTED = "doc_id bigint, held_out boolean, lang_pred string, score double, phrases double"
 PREDICTED_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()),
@@ -142,13 +144,13 @@ def training_samples(
     first = F.slice(F.sort_array(F.collect_list(F.struct("place", "text"))), 1, documents_per_language)
     texts = clipped.groupBy("lang").agg(F.array_join(F.transform(first, lambda s: s["text"]), "\n").alias("text"))
     rows = texts.select("lang", F.substring("text", 1, bytes_per_language).alias("text")).orderBy("lang").collect()
-    return tuple((r["lang"], r["text"].encode()[:bytes_per_language]) for r in rows)
+    return tuple((r["lang"], normalised(r["text"])[:bytes_per_language]) for r in rows)
 
 
 def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...] | None = None, columns: bool = False) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, phrases) of each document, from its whole text.
 
-    For each language, the text is cut into the longest pieces that occur in the language's
+    Texts are compared in lower case and by their letters. For each language, the text is cut into the longest pieces that occur in the language's
     training text; the language needing fewest phrases, weighed by the size of a pointer into its
     training text, wins, the first by name among equals. ``score`` is 1 less the ratio of the best to
     the second best, ``phrases`` the bits per byte of the best. Null texts and texts without a letter
@@ -169,20 +171,32 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...] | None = No
                     found = pa.RecordBatch.from_arrays([*found.columns, some.column("row")], [*PREDICTED_ARROW.names, "row"])
                 yield found
 
-    row = [F.struct(*docs.columns).alias("row")] if columns else []
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (remainder("doc_id", 3) == 1).alias("held_out"),
-        F.when(F.col("text").rlike(r"\p{L}"), F.col("text").cast("binary")).alias("text"),
-        *row,
+        lettered.alias("lettered"),
+        # A text crosses to Python once, so with its row if that is asked for.
+        F.struct(*docs.columns).alias("row") if columns else F.when(lettered, F.col("text")).alias("text"),
     )
     schema = f"{PREDICTED}, row {rows.schema['row'].dataType.simpleString()}" if columns else PREDICTED
     return rows.mapInArrow(predict, schema)
 
 
+def _texts(batch: pa.RecordBatch) -> pa.Array:
+    if "text" in batch.schema.names:
+        return batch.column("text")
+    return pc.struct_field(batch.column("row"), "text")
+
+
+def normalised(text: str) -> bytes:
+    """A text in lower case, with one space for each run of ASCII characters that are no letters."""
+    return b" ".join(text.lower().encode().translate(_LETTERS).split())
+
+
 def _sliced(batch: pa.RecordBatch, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about so many bytes of text, or single rows of more."""
-    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    lengths = pc.fill_null(pc.binary_length(_texts(batch)), 0).to_numpy()
     part = np.cumsum(lengths, dtype=np.int64) // most_bytes
     begins = [*starts(part).tolist(), batch.num_rows]
     for begin, end in zip(begins[:-1], begins[1:], strict=True):
@@ -190,13 +204,13 @@ def _sliced(batch: pa.RecordBatch, most_bytes: int = 16 << 20) -> Iterator[pa.Re
 
 
 def _predicted(parser: CrossParser, batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts = batch.column("text").to_pylist()
-    place = np.array([i for i, t in enumerate(texts) if t is not None], np.int64)
+    texts = _texts(batch).to_pylist()
+    place = np.flatnonzero(batch.column("lettered").to_numpy(zero_copy_only=False))
     n = batch.num_rows
     names = np.full(n, UNDETERMINED, object)
     score, phrases = np.zeros(n), np.zeros(n)
     if len(place) and parser.languages:
-        bits = parser.phrases([texts[i] for i in place])
+        bits = parser.phrases([normalised(texts[i]) for i in place])
         best = bits.argmin(axis=1)
         least = bits[np.arange(len(place)), best]
         second = np.partition(bits, 1, axis=1)[:, 1] if bits.shape[1] > 1 else np.full(len(place), np.inf)

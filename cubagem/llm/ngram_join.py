@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubagem.llm.common import groups, mixed, run_hashes, starts, width, word_hashes, written
+from cubagem.llm.common import groups, mixed, packed, run_hashes, starts, width, word_hashes, written
 from cubagem.llm.components import components
 
 #: Words of a shingle.
@@ -18,7 +18,7 @@ SHINGLE = 5
 #: Sets link from this percentage of shared shingles.
 PERCENT = 75
 #: Distinct shingles that one fragment should hold, and those that a map task packs at once.
-FRAGMENT, PACKED = 3 << 20, 1 << 21
+FRAGMENT, PACKED = 5 << 19, 1 << 20
 #: The first members of a bucket are compared with all others of it, then the next ones up to each of
 #: these with those of other components, and at last all that are left.
 HUBS = (4, 16, 64)
@@ -41,8 +41,7 @@ def _batch(schema: str, **columns) -> pa.RecordBatch:
 
 
 def _whole(table, column: str, kind) -> np.ndarray:
-    """The packed arrays of all rows, one after the other."""
-    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+    return packed(table.column(column), kind)
 
 
 def set_key(text: bytes) -> int | None:
@@ -141,11 +140,12 @@ def shared_segments(cut: DataFrame, n_buckets: int) -> DataFrame:
             once[first] = True
             values, keys, counts = values[np.repeat(once, counts)], keys[once], counts[once]
         owner = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
-        order = np.argsort(values)
+        order = np.argsort(values).astype(np.int32)
         begins = starts(values[order])
         frequency = np.diff(np.append(begins, len(values)))
         rank = np.empty(len(values), np.uint8)
         rank[order] = np.repeat(np.ceil(np.log2(frequency)).astype(np.uint8), frequency)  # 0: in one set only
+        del order, begins, frequency
         common = rank > 0
         shared = np.bincount(owner[common], minlength=len(keys))
         bucket = (mixed(keys.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int32)
