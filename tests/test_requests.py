@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cubagem.functions import requests as R
 
-FULL = "/t/6723/n1/all/v/all/p/all/c844/all/d/v1394%202,v1395%202,v1396%202,v10008%205"
+FULL = "/t/31/n1/all/v/all/p/all/c15/all/d/v7%203,v8%201,v9%203,v250%206"
 BASE = "https://api.example.org/values"
 
 
@@ -19,19 +19,19 @@ def pairs(value):
 def test_whole_url(spark):
     (row,) = parse(spark, [BASE + FULL], base_url=BASE)
     assert row.caminho == FULL
-    assert (row.t, row.agregado) == ("/t/6723", "6723")
+    assert (row.t, row.agregado) == ("/t/31", "31")
     assert (row.n, pairs(row.territorios)) == (["/n1/all"], {"1": ["all"]})
-    assert (row.c, pairs(row.classificacoes)) == (["/c844/all"], {"844": ["all"]})
+    assert (row.c, pairs(row.classificacoes)) == (["/c15/all"], {"15": ["all"]})
     assert (row.v, row.variaveis) == ("/v/all", ["all"])
     assert (row.p, row.periodos) == ("/p/all", ["all"])
-    assert row.d == "/d/v1394%202,v1395%202,v1396%202,v10008%205"
-    assert pairs(row.decimais) == {"1394": "2", "1395": "2", "1396": "2", "10008": "5"}
+    assert row.d == "/d/v7%203,v8%201,v9%203,v250%206"
+    assert pairs(row.decimais) == {"7": "3", "8": "1", "9": "3", "250": "6"}
     assert (row.h, row.cabecalho, row.f, row.formato) == ("", True, "", "a")
 
 
 def test_period_segments(spark):
-    texts = ["202301,202302", "2010,2011", "201301-201312", "2010-2015", "201201,201301-201312",
-             "last%2012", "first", "all"]
+    texts = ["201903,201904", "1994,1997", "202002-202011", "1991-1999", "200105,200206-200209",
+             "last%207", "first", "all"]
     rows = parse(spark, [f"/t/1/p/{text}/v/all" for text in texts] + ["/t/1/v/all"])
     assert [r.periodos for r in rows[:-1]] == [text.split(",") for text in texts]
     assert [r.p for r in rows[:-1]] == [f"/p/{text}" for text in texts]
@@ -58,8 +58,8 @@ def test_repeated_segments_keep_place_and_last_value(spark):
 
 def selection(spark, **parts):
     values = {
-        "agregado": "1705", "territorios": [("3", ["all"])], "variaveis": ["4099"],
-        "periodos": ["202301", "202302"], "classificacoes": [("2", ["6794"])],
+        "agregado": "52", "territorios": [("3", ["all"])], "variaveis": ["63"],
+        "periodos": ["201805", "201806"], "classificacoes": [("2", ["77"])],
         "cabecalho": True, "formato": "a", "decimais": [("", "m")], **parts,
     }
     kinds = {
@@ -75,11 +75,11 @@ def rendered(df, **options):
 
 
 def test_render(spark):
-    expected = "/t/1705/n3/all/v/4099/p/202301,202302/c2/6794/h/y/f/a/d/m"
+    expected = "/t/52/n3/all/v/63/p/201805,201806/c2/77/h/y/f/a/d/m"
     assert rendered(selection(spark), base_url=BASE) == BASE + expected
     empty = selection(spark, territorios=[("1", ["5"]), ("6", [])], variaveis=[], periodos=None,
                       classificacoes=[("1", []), ("32", ["7", "8"])], cabecalho=False, decimais=[])
-    assert rendered(empty) == "/t/1705/n1/5/n6/all/v/all/p/all/c1/all/c32/7,8/h/n/f/a/d/m"
+    assert rendered(empty) == "/t/52/n1/5/n6/all/v/all/p/all/c1/all/c32/7,8/h/n/f/a/d/m"
     several = selection(spark, decimais=[("9", "2"), ("8", "m")], classificacoes=[])
     assert rendered(several).endswith("/h/y/f/a/d/v9%202,v8%20m")
     single = selection(spark, decimais=[("9", "2")])
@@ -91,7 +91,7 @@ def test_assign_and_one_period(spark):
     whole = F.struct(*R.FIELDS)
     df = selection(spark)
     url = df.select(R.render_url(R.assign(whole, "formato", F.lit("u")))).first()[0]
-    assert "/f/u/" in url and "/p/202301,202302/" in url
+    assert "/f/u/" in url and "/p/201805,201806/" in url
     assert "/p/202305/" in df.select(R.render_period_url(whole, F.lit(202305))).first()[0]
     with pytest.raises(ValueError):
         R.assign(whole, "cor", F.lit("azul"))
