@@ -39,7 +39,7 @@ _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$|[+-]?\d[\d.,]*[$€£]$")
 _QUANTITY = re.compile(r"[+-]?\d[\d.,]*([^\W\d_]+)$")
 _EDGES = re.compile(r"^[^\w$€£+%-]+|[^\w$€£%]+$")
 #: Distinct words that a task remembers; beyond that it begins anew.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 WINDOWS = "text_key bigint, window bigint, template string, position int, slots array<string>, n_windows int"
 

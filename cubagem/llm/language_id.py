@@ -118,7 +118,7 @@ def _parse(table: np.ndarray, symbols: np.ndarray, begin: np.ndarray, size: np.n
     return phrases
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _parser(samples: tuple[tuple[str, bytes], ...]) -> CrossParser:
     return CrossParser(samples)
 
@@ -194,7 +194,7 @@ def normalised(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(_LETTERS).split())
 
 
-def _sliced(batch: pa.RecordBatch, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def _sliced(batch: pa.RecordBatch, most_bytes: int = 6 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about so many bytes of text, or single rows of more."""
     lengths = pc.fill_null(pc.binary_length(_texts(batch)), 0).to_numpy()
     part = np.cumsum(lengths, dtype=np.int64) // most_bytes
