@@ -23,7 +23,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without items of the benchmark."""
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), exact=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

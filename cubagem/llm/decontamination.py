@@ -41,7 +41,10 @@ _EDGES = re.compile(r"^[^\w$€£+%-]+|[^\w$€£%]+$")
 #: Distinct words that a task remembers; beyond that it begins anew.
 REMEMBERED = 100_000
 
-WINDOWS = "text_key bigint, window bigint, template string, position int, slots array<string>, n_windows int"
+WINDOWS = "text_key bigint, window bigint, template string, position int, slots array<string>, places array<int>, n_windows int"
+#: Begins the template of a window of exact words; no bare word begins so.
+EXACT = "="
+_EXACT_SALT = np.uint64(0x5851F42D4C957F2D)
 
 
 class Words(dict):
@@ -87,6 +90,17 @@ def templated(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.where(kinds == LITERAL, values, _MARK_HASHES[kinds]), kinds
 
 
+def values_of(words: list[str], known: Words) -> np.ndarray:
+    """The hash of each lower-cased word."""
+    return np.fromiter((known[w][0] for w in words), np.uint64, len(words))
+
+
+def exact_windows(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, position) of all windows of a length, whatever their words are."""
+    hashes = run_hashes(values, length)
+    return mixed((hashes ^ _EXACT_SALT) + np.uint64(length)), np.arange(len(hashes))
+
+
 def windows_of(values: np.ndarray, kinds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, position) of the windows of a length with enough literals."""
     hashes = run_hashes(values, length)
@@ -117,8 +131,8 @@ class _Filter:
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def template_windows(rows: DataFrame, lengths: tuple[int, ...] | None = None, bits=None) -> DataFrame:
-    """Template windows of rows (text_key, text).
+def template_windows(rows: DataFrame, lengths: tuple[int, ...] | None = None, bits=None, exact: bool = False) -> DataFrame:
+    """Template windows of rows (text_key, text), and with ``exact`` windows of their lower-cased words.
 
     With ``lengths``, those windows of each length that pass the filter; without, the windows of
     items: of WINDOW words, or of all words of a shorter item.
@@ -130,20 +144,35 @@ def template_windows(rows: DataFrame, lengths: tuple[int, ...] | None = None, bi
         for batch in batches:
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = (text or "").split()
-                if len(words) < SHORTEST:
+                if not words or (len(words) < SHORTEST and not exact):
                     continue
                 values, kinds = templated(words, known)
                 for length in lengths or (min(len(words), WINDOW),):
-                    hashes, places = windows_of(values, kinds, length)
-                    n = len(places)
-                    if test and n:
-                        kept = np.flatnonzero(test(hashes))
-                        hashes, places = hashes[kept], places[kept]
-                    for window, at in zip(hashes.view(np.int64).tolist(), places.tolist(), strict=True):
-                        out.append((key, window, *_rows(words, kinds, at, length), at, n))
-                        if len(out) >= 20_000:
-                            yield _windows(out)
-                            out = []
+                    for literal in (False, True) if exact else (False,):
+                        if literal:
+                            hashes, places = exact_windows(values_of(words, known), length)
+                            n = len(places)
+                            if lengths:  # of a document, one of each is enough
+                                hashes, first = np.unique(hashes, return_index=True)
+                                places = places[first]
+                        elif length < SHORTEST:
+                            continue
+                        else:
+                            hashes, places = windows_of(values, kinds, length)
+                            n = len(places)
+                        if test and len(places):
+                            kept = np.flatnonzero(test(hashes))
+                            hashes, places = hashes[kept], places[kept]
+                        for window, at in zip(hashes.view(np.int64).tolist(), places.tolist(), strict=True):
+                            if literal:
+                                own = " ".join([bare_word(w).lower() for w in words[at : at + length]])
+                                out.append((key, window, EXACT + own, [], at, [], n))
+                            else:
+                                open_places = (np.flatnonzero(kinds[at : at + length]) + at).tolist()
+                                out.append((key, window, *_rows(words, kinds, at, length), at, open_places, n))
+                            if len(out) >= 20_000:
+                                yield _windows(out)
+                                out = []
         if out:
             yield _windows(out)
 
@@ -151,10 +180,10 @@ def template_windows(rows: DataFrame, lengths: tuple[int, ...] | None = None, bi
 
 
 def _windows(rows: list[tuple]) -> pa.RecordBatch:
-    key, window, template, slots, at, n = zip(*rows, strict=True)
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.int32())
+    key, window, template, slots, at, places, n = zip(*rows, strict=True)
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32())
     names = [part.split()[0] for part in WINDOWS.split(", ")]
-    columns = (key, window, template, at, slots, n)
+    columns = (key, window, template, at, slots, places, n)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
@@ -166,7 +195,7 @@ def _filter_bits(windows: DataFrame):
     return [(r["place"], r["bits"]) for r in words.collect()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> DataFrame:
     """(doc_id, text_key, item_id, share, n_slots, reparameterised): benchmark items found in documents.
 
     Texts become templates, with typed placeholders for numbers, names and units. Windows of
@@ -177,20 +206,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     them differs. Tasks drop windows by a filter of fixed size before the join, so only possible
     hits are shuffled.
 
-    Null texts, texts below SHORTEST words and items without a window of enough literals match
-    nothing. Rows are told apart by doc_id and text: repeated rows are one, and null ids stay null.
+    Case tells names only where a text is in usual case. With ``exact``, the windows of lower-cased
+    words are hash-joined too, all of them, at any offset: a shouted, title-case or lower-case copy of
+    an item is found by its words. ``share`` is then that of the template windows if they alone are
+    enough, and else the part of all windows that is found in either way; an item found by exact words
+    only has no slots. The queries and the pipeline ask for it.
+
+    Null and empty texts match nothing; without ``exact``, nor do texts below SHORTEST words and items
+    without a window of enough literals. Rows are told apart by doc_id and text: repeated rows are one, and null ids stay null.
     Repeated items are one per item_id and text. Empty tables give no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("item_id", "text").alias("text_key"), "text")
-    item_windows = written(template_windows(items).join(items.select("text_key", "item_id").distinct(), "text_key"), "items")
+    item_windows = written(template_windows(items, exact=exact).join(items.select("text_key", "item_id").distinct(), "text_key"), "items")
     lengths = tuple(sorted(int(r[0]) for r in item_windows.select(F.size(F.split("template", " "))).distinct().collect()))
     bits = spark.sparkContext.broadcast(_filter_bits(item_windows))
     # A document's windows are joined by a key of id and text, which finds its way back below.
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("doc_id", "text").alias("text_key"), "text")
-    found = template_windows(keyed, lengths or (WINDOW,), bits).alias("d")
+    found = template_windows(keyed, lengths or (WINDOW,), bits, exact).alias("d")
     hits = found.join(item_windows.alias("i"), F.expr("d.window = i.window AND d.template = i.template")).select(
         F.col("d.text_key").alias("text_key"),
+        F.startswith("i.template", F.lit(EXACT)).alias("exact"),
         "i.item_id",
         F.col("i.text_key").alias("item_key"),
         (F.col("d.position") - F.col("i.position")).alias("offset"),
@@ -199,20 +235,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.arrays_zip(F.col("i.slots").alias("item"), F.col("d.slots").alias("doc")).alias("slots"),
     )
     same = ["text_key", "item_id", "item_key"]
-    by_offset = hits.groupBy(*same, "offset").agg(
+    by_offset = hits.where("NOT exact").groupBy(*same, "offset").agg(
         F.collect_set("position").alias("positions"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
         F.max("n_windows").alias("n_windows"),
     )
     # One item value, one document value: as many distinct values as distinct pairs.
     consistent = by_offset.where(F.size(F.array_distinct(F.transform("slots", lambda s: s["item"]))) == F.size("slots"))
-    by_item = consistent.groupBy(*same).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("found"),
-        F.max("n_windows").alias("n_windows"),
-        F.max(F.size("slots")).cast("int").alias("n_slots"),
-        F.max(F.exists("slots", lambda s: s["item"] != s["doc"])).alias("reparameterised"),
+    by_exact = hits.where("exact").groupBy(*same).agg(
+        F.collect_set("position").alias("positions"), F.max("n_windows").alias("n_windows")
+    )
+    of_templates = consistent.select(*same, F.lit(False).alias("exact"), "positions", "slots", "n_windows")
+    no_slots = F.lit(None).cast(of_templates.schema["slots"].dataType).alias("slots")
+    of_words = by_exact.select(*same, F.lit(True).alias("exact"), "positions", no_slots, "n_windows")
+    all_of = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
+    by_item = of_templates.union(of_words).groupBy(*same).agg(
+        (all_of(F.when(~F.col("exact"), F.col("positions"))) / F.max(F.when(~F.col("exact"), F.col("n_windows")))).alias("by_template"),
+        (all_of("positions") / F.max(F.when(F.col("exact"), F.col("n_windows")))).alias("by_either"),
+        F.coalesce(F.max(F.size("slots")), F.lit(0)).cast("int").alias("n_slots"),
+        F.coalesce(F.max(F.exists("slots", lambda s: s["item"] != s["doc"])), F.lit(False)).alias("reparameterised"),
     )
-    by_item = by_item.withColumn("share", F.col("found") / F.col("n_windows")).where(F.col("share") >= LEAK_SHARE)
+    share = F.when(F.col("by_template") >= LEAK_SHARE, F.col("by_template")).otherwise(F.col("by_either"))
+    by_item = by_item.withColumn("share", share).where(F.col("share") >= LEAK_SHARE)
     leaks = written(by_item.select("text_key", "item_id", "share", "n_slots", "reparameterised"), "leaks")
     names = keyed.select("doc_id", "text_key").join(leaks.select("text_key").distinct(), "text_key", "left_semi").distinct()
     return names.join(leaks, "text_key").select("doc_id", "text_key", "item_id", "share", "n_slots", "reparameterised")
@@ -222,8 +266,8 @@ def text_key(doc_id: str, text: str):
     return F.xxhash64(doc_id, text)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that leak no benchmark item, unchanged."""
-    leaks = written(find_leaks(docs, benchmark).select(F.col("text_key").alias("_leak")).distinct(), "leaks")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> DataFrame:
+    """The documents that leak no benchmark item, unchanged; ``exact`` as in find_leaks."""
+    leaks = written(find_leaks(docs, benchmark, exact).select(F.col("text_key").alias("_leak")).distinct(), "leaks")
     keyed = docs.select(F.struct(*docs.columns).alias("row"), text_key("doc_id", "text").alias("_key"))
     return keyed.join(leaks, F.expr("_key = _leak"), "left_anti").select("row.*")

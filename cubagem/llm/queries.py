@@ -69,7 +69,7 @@ def op7_shard(spark, sf_dir):
 
 @query
 def op8_decontaminate(spark, sf_dir):
-    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), exact=True)
     return leaks.select("doc_id", "item_id", "share", "n_slots", "reparameterised")
 
 

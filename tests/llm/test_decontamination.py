@@ -2,7 +2,9 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from cubagem.llm import decontamination as D
+from cubagem.llm import queries
 
 DOCS = "doc_id long, text string, item_id string, share int"
 ITEMS = "item_id long, text string, doc_id int"
@@ -93,3 +95,21 @@ def test_empty(spark):
     one = spark.createDataFrame([(1, ITEM, "", 0)], DOCS)
     assert D.find_leaks(docs, items).collect() == [] and D.find_leaks(one, items).collect() == []
     assert [r["doc_id"] for r in D.decontaminate(one, items).collect()] == [1]
+
+
+def both(spark, tmp_path, docs, items):
+    """(doc_id, item_id) by the query, and the doc_ids that the pipeline's stage keeps."""
+    d = spark.createDataFrame([(*r, "", 0) for r in docs], DOCS)
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(*r, 0) for r in items], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = queries.op8_decontaminate(spark, str(tmp_path)).collect()
+    kept = corpus_pipeline.remove_benchmark_leaks(spark, d, str(tmp_path)).collect()
+    return {(r["doc_id"], r["item_id"]) for r in found}, {r["doc_id"] for r in kept}
+
+
+def test_case_hides_no_copy(spark, tmp_path):
+    other = "IF NOBODY WALKS FAR TO SEE A FRIEND AND THEN NOBODY COMES BACK, WHO WALKED AFTER ALL THE HOURS?"
+    copies = [ITEM.upper(), f"And Then: {ITEM.title()}", f"so, {ITEM.lower()}", ITEM]
+    docs = [*enumerate(copies), (8, other), (9, "")]
+    found, kept = both(spark, tmp_path, docs, [(7, ITEM)])
+    assert found == {(i, 7) for i in range(4)} and kept == {8, 9}
