@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,11 @@ WINDOWS = "text_key bigint, window bigint, template string, position int, slots
 EXACT = "="
 _EXACT_SALT = np.uint64(0x5851F42D4C957F2D)
 
+_PAIR = "struct(w.item AS item, w.doc AS doc)"
+#: A pair wins if no other document value stands for its item value at more places; of equals, what is unchanged.
+_WINS = """p = array_max(transform(filter(pairs, q -> q.item = p.item), q -> struct(
+    size(filter(words, w -> w.item = q.item AND w.doc = q.doc)) AS n, q.item = q.doc AS unchanged, q AS pair))).pair"""
+
 
 class Words(dict):
     """What each word is: (hash, kind, ends a sentence). A name is a capitalised word, for now."""
@@ -79,26 +85,26 @@ def templated(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray]:
     together with it as a quantity; a name is a capitalised word that begins no sentence. All
     others are literals, compared in lower case and without punctuation around them.
     """
+    return tagged(words, known)[1:]
+
+
+def tagged(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash of each lower-cased word, then what ``templated`` returns."""
     found = [known[w] for w in words]
-    values = np.fromiter((f[0] for f in found), np.uint64, len(found))
-    kinds = np.fromiter((f[1] for f in found), np.int8, len(found))
-    ends = np.fromiter((f[2] for f in found), bool, len(found))
+    values = np.fromiter(map(itemgetter(0), found), np.uint64, len(found))
+    kinds = np.fromiter(map(itemgetter(1), found), np.int8, len(found))
+    ends = np.fromiter(map(itemgetter(2), found), bool, len(found))
     opens = np.concatenate([[True], ends[:-1]])
     after_number = np.concatenate([[False], kinds[:-1] == NUMBER])
     kinds[(kinds == NAME) & opens] = LITERAL
     kinds[(kinds == UNIT) & ~after_number] = LITERAL
-    return np.where(kinds == LITERAL, values, _MARK_HASHES[kinds]), kinds
-
-
-def values_of(words: list[str], known: Words) -> np.ndarray:
-    """The hash of each lower-cased word."""
-    return np.fromiter((known[w][0] for w in words), np.uint64, len(words))
+    return values, np.where(kinds == LITERAL, values, _MARK_HASHES[kinds]), kinds
 
 
 def exact_windows(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, position) of all windows of a length, whatever their words are."""
-    hashes = run_hashes(values, length)
-    return mixed((hashes ^ _EXACT_SALT) + np.uint64(length)), np.arange(len(hashes))
+    hashes = run_hashes(values, length) ^ (_EXACT_SALT + np.uint64(length))
+    return hashes, np.arange(len(hashes))
 
 
 def windows_of(values: np.ndarray, kinds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,15 +152,12 @@ def template_windows(rows: DataFrame, lengths: tuple[int, ...] | None = None, bi
                 words = (text or "").split()
                 if not words or (len(words) < SHORTEST and not exact):
                     continue
-                values, kinds = templated(words, known)
+                literals, values, kinds = tagged(words, known)
                 for length in lengths or (min(len(words), WINDOW),):
                     for literal in (False, True) if exact else (False,):
                         if literal:
-                            hashes, places = exact_windows(values_of(words, known), length)
+                            hashes, places = exact_windows(literals, length)
                             n = len(places)
-                            if lengths:  # of a document, one of each is enough
-                                hashes, first = np.unique(hashes, return_index=True)
-                                places = places[first]
                         elif length < SHORTEST:
                             continue
                         else:
@@ -163,6 +166,9 @@ def template_windows(rows: DataFrame, lengths: tuple[int, ...] | None = None, bi
                         if test and len(places):
                             kept = np.flatnonzero(test(hashes))
                             hashes, places = hashes[kept], places[kept]
+                        if literal and lengths and len(places):  # of a document, one of each is enough
+                            hashes, first = np.unique(hashes, return_index=True)
+                            places = places[first]
                         for window, at in zip(hashes.view(np.int64).tolist(), places.tolist(), strict=True):
                             if literal:
                                 own = " ".join([bare_word(w).lower() for w in words[at : at + length]])
@@ -200,8 +206,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> Da
 
     Texts become templates, with typed placeholders for numbers, names and units. Windows of
     templates are hash-joined. The windows that a document and an item share at one offset
-    are consistent if each value of the item stands for one value of the document; those of
-    inconsistent offsets don't count. ``share`` is the part of the item's windows that is found, at
+    are consistent if each value of the item stands for one value of the document; where it stands for
+    several, the windows with another than the most frequent one don't count. ``share`` is the part of the item's windows that is found, at
     least LEAK_SHARE. ``n_slots`` counts different open values, and ``reparameterised`` tells that one of
     them differs. Tasks drop windows by a filter of fixed size before the join, so only possible
     hits are shuffled.
@@ -232,16 +238,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> Da
         (F.col("d.position") - F.col("i.position")).alias("offset"),
         F.col("i.position").alias("position"),
         F.col("i.n_windows").alias("n_windows"),
-        F.arrays_zip(F.col("i.slots").alias("item"), F.col("d.slots").alias("doc")).alias("slots"),
+        F.arrays_zip(F.col("i.slots").alias("item"), F.col("d.slots").alias("doc"), F.col("i.places").alias("place")).alias("slots"),
     )
+    if exact:  # read twice below
+        hits = written(hits, "hits")
     same = ["text_key", "item_id", "item_key"]
     by_offset = hits.where("NOT exact").groupBy(*same, "offset").agg(
-        F.collect_set("position").alias("positions"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
-        F.max("n_windows").alias("n_windows"),
+        F.collect_set(F.struct("position", "slots")).alias("hits"), F.max("n_windows").alias("n_windows")
+    )
+    # Each open word once, however many windows hold it.
+    by_offset = by_offset.withColumn("words", F.expr("array_distinct(flatten(transform(hits, h -> h.slots)))"))
+    by_offset = by_offset.withColumn("pairs", F.expr(f"array_distinct(transform(words, w -> {_PAIR}))"))
+    # One item value, one document value: as many distinct values as distinct pairs. Else the majority's.
+    agree = "size(array_distinct(transform(pairs, p -> p.item))) = size(pairs)"
+    by_offset = by_offset.withColumn("chosen", F.expr(f"CASE WHEN {agree} THEN pairs ELSE filter(pairs, p -> {_WINS}) END"))
+    by_offset = by_offset.withColumn("hits", F.expr(f"filter(hits, h -> forall(h.slots, w -> array_contains(chosen, {_PAIR})))"))
+    consistent = by_offset.where(F.size("hits") > 0).select(
+        *same,
+        F.col("hits.position").alias("positions"),
+        F.expr(f"array_distinct(transform(flatten(transform(hits, h -> h.slots)), w -> {_PAIR}))").alias("slots"),
+        "n_windows",
     )
-    # One item value, one document value: as many distinct values as distinct pairs.
-    consistent = by_offset.where(F.size(F.array_distinct(F.transform("slots", lambda s: s["item"]))) == F.size("slots"))
     by_exact = hits.where("exact").groupBy(*same).agg(
         F.collect_set("position").alias("positions"), F.max("n_windows").alias("n_windows")
     )

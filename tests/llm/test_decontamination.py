@@ -113,3 +113,17 @@ def test_case_hides_no_copy(spark, tmp_path):
     docs = [*enumerate(copies), (8, other), (9, "")]
     found, kept = both(spark, tmp_path, docs, [(7, ITEM)])
     assert found == {(i, 7) for i in range(4)} and kept == {8, 9}
+
+
+def test_one_misspelt_value(spark):
+    copy = SAME.replace("then Carl", "then Karl")
+    docs = spark.createDataFrame([(1, copy, "", 0), (2, ITEM.replace("then Anna", "then Ana"), "", 0), (3, MIXED, "", 0)], DOCS)
+    found = {r["doc_id"]: r["share"] for r in D.find_leaks(docs, spark.createDataFrame([(7, ITEM, 0)], ITEMS)).collect()}
+    assert found.keys() == {1, 2} and max(found.values()) < 1
+
+
+def test_items_without_literals(spark, tmp_path):
+    items = ["12 7 5 kg 9 3 88 41 6 2 15", "Old Man And Sea Went Home With Paul And Mary", "Why so?", None, ""]
+    docs = [(i, f"lorem {text or ''} ipsum") for i, text in enumerate(items)] + [(9, "12 7 5 kg 9 4 88 41 6 3 15. So why?")]
+    found, kept = both(spark, tmp_path, docs, list(enumerate(items)))
+    assert found == {(0, 0), (1, 1), (2, 2)} and kept == {3, 4, 9}
