@@ -526,6 +526,8 @@ flat AS (
     sql["plan_class_split"] = (
         chunk_sql(200, "nivel = 'N1' AND n_c > 1") + f"SELECT {columns} FROM chunks"
     )
+    sql["plan_variable_split_all"] = chunk_sql(1_500, "split_v") + f"SELECT {columns} FROM chunks"
+    sql["plan_class_split_all"] = chunk_sql(200, "n_c > 1") + f"SELECT {columns} FROM chunks"
     sql["plan_summary"] = (
         chunk_sql(100_000)
         + """SELECT agregado_id, nivel_territorial, count(*) AS n_requests,

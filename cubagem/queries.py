@@ -229,6 +229,18 @@ def plan_class_split(catalog):
     return _plan_of_levels(catalog, "nivel_territorial = 'N1' AND n_c > 1", 200)
 
 
+@on_written_catalog
+def plan_variable_split_all(catalog):
+    """All levels, unlike plan_variable_split."""
+    return _plan_of_levels(catalog, "split_v", 1_500)
+
+
+@on_written_catalog
+def plan_class_split_all(catalog):
+    """All levels, unlike plan_class_split."""
+    return _plan_of_levels(catalog, "n_c > 1", 200)
+
+
 @on_written_catalog
 def plan_summary(catalog):
     return chunks.plan_summary(chunks.plan_levels(catalog))

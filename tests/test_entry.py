@@ -39,3 +39,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", COMPARED)
 def test_query_equals_sql(spark, name):
     assert spark_rows(entry.queries()[name](spark, SF_DIR)) == sql_rows(connect(SF_DIR), entry.oracle_sql()[name])
+
+
+def test_splits_of_all_levels(spark):
+    for name in ("plan_variable_split_all", "plan_class_split_all"):
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")
+        assert {r[0] for r in plan.select("nivel_territorial").distinct().collect()} > {"N1"}
