@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cubagem.llm import alignment, chat, decontamination, language_id, lm_scoring, mixing, neighbours, ngram_join, sharding, substring_dedup, token_counts
+from cubagem.llm import alignment, chat, decontamination, language_id, lm_scoring, mixing, neighbours, ngram_join, prefix_trie, sharding, substring_dedup, token_counts
 from cubagem.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,11 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.build_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_align_tokenizers(spark, sf_dir):
     return alignment.align_tokenizers(

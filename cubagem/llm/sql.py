@@ -130,3 +130,45 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
     row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
 FROM sharded
 """
+
+ORACLE_SQL["op11_prefix_trie"] = r"""
+WITH steps AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+        ORDER BY i) AS step FROM (SELECT unnest(range(256))::BIGINT AS i)
+), own AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS nth
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT c, c - c % 5 AS base, count(*) AS n, xor(4294967295, list_reduce(
+        [4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+        lambda s, b: xor(s >> 8, any_value(step)[1 + (xor(s, b) & 255)]))) % 9 AS h
+    FROM own, steps GROUP BY c
+), placed AS (
+    SELECT v.c, o.nth AS pos, o.role, o.text FROM convs v JOIN own o ON o.c = v.base AND o.nth <= v.h
+    UNION ALL
+    SELECT v.c, o.nth - v.h + least(v.h, coalesce(b.n, 0)), o.role, o.text
+    FROM convs v JOIN own o ON o.c = v.c AND o.nth > v.h LEFT JOIN convs b ON b.c = v.base
+), paths AS (
+    SELECT c, pos AS depth, octet_length(encode(text)) AS bytes,
+        string_agg(sha256(length(role) || ' ' || role || text), ',') OVER (PARTITION BY c ORDER BY pos) AS key
+    FROM placed UNION ALL SELECT c, 0, 0, '' FROM convs
+), ended AS (
+    SELECT *, depth = max(depth) OVER (PARTITION BY c) AS last FROM paths
+), nodes AS (
+    SELECT key, depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+    FROM ended GROUP BY key, depth
+), kept AS (
+    SELECT *, left(key, greatest(65 * depth - 66, 0)) AS parent FROM nodes
+), children AS (
+    SELECT parent AS key, count(*) AS n FROM kept WHERE depth > 0 GROUP BY parent
+), full_nodes AS (
+    SELECT k.*, coalesce(ch.n, 0) AS n_children, p.conv_id AS parent_conv_id
+    FROM kept k LEFT JOIN children ch USING (key) LEFT JOIN kept p ON k.depth > 0 AND p.key = k.parent
+)
+SELECT a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children,
+    count(*) FILTER (b.n_children = 0) AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens, a.ends_sha256
+FROM full_nodes a JOIN full_nodes b ON b.depth >= a.depth AND starts_with(b.key, a.key)
+GROUP BY ALL
+"""
