@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cubagem.llm import alignment, chat, decontamination, language_id, lm_scoring, mixing, neighbours, ngram_join, prefix_trie, sharding, substring_dedup, token_counts
+from cubagem.llm import (
+    alignment,
+    chat,
+    decontamination,
+    html_text,
+    language_id,
+    lm_scoring,
+    mixing,
+    neighbours,
+    ngram_join,
+    prefix_trie,
+    sharding,
+    substring_dedup,
+    token_counts,
+)
 from cubagem.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +109,11 @@ def op12_align_tokenizers(spark, sf_dir):
     )
 
 
+@query
+def op13_extract_text(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -172,3 +172,19 @@ SELECT a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children,
 FROM full_nodes a JOIN full_nodes b ON b.depth >= a.depth AND starts_with(b.key, a.key)
 GROUP BY ALL
 """
+
+# The main text of pages that mark it as an article, as the given ones do; block tags are spaces, inline ones nothing.
+ORACLE_SQL["op13_extract_text"] = r"""
+WITH marked AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') AS body FROM pages
+), bare AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(
+        body, '<[^>]*$', ''), '</?(a|b|i|em|strong|span)( [^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g') AS body FROM marked
+), decoded AS (
+    SELECT page_id, url, regexp_replace(replace(replace(replace(body, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS body
+    FROM bare
+), spaced AS (
+    SELECT page_id, url, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text FROM decoded
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM spaced
+"""
