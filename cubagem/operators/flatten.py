@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubagem.operators.spread import expand_range
-from cubagem.operators.stats import product
+from cubagem.operators.stats import product, times
 
 # Fixed value: a variable unit that starts so defers to the units of the categories.
 UNIT_IN_CATEGORIES = "Vide categorias"
@@ -45,7 +45,8 @@ def flatten_cubes(
 
     ``max_dims`` is the largest number of classifications of a cube. It fixes the
     expressions of a row, and is looked up with one aggregate if it is not given. A cube with
-    more is an error.
+    more is an error. A cube of more rows than 63 bits count has none, see
+    :func:`cubagem.operators.stats.oversized_cubes`.
     """
     if max_dims is None:
         largest = nested.agg(F.max(F.size("classificacoes"))).first()[0]
@@ -64,7 +65,7 @@ def flatten_cubes(
             *base,
             _at_most(F.size("classificacoes"), max_dims).alias("_dims"),
             "_combinacoes",
-            (F.size("variaveis") * F.col("_combinacoes")).alias("_linhas"),
+            times("bigint", F.size("variaveis"), F.col("_combinacoes")).alias("_linhas"),
             F.transform("variaveis", _variable).alias("_variaveis"),
             *[_coordinates(position).alias(f"_k{position}") for position in positions],
             *[_at("_tamanhos", position).alias(f"_t{position}") for position in positions],

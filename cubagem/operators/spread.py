@@ -14,15 +14,13 @@ def dense_ordinal(
     """Number the rows of each group from 0 in the order of a distinct integer key.
 
     Rows are ranked inside slices of ``width`` consecutive key values, and each slice
-    starts where the ones before it end. A slice holds at most ``width`` rows, so a
-    group may be arbitrarily large.
+    starts where the ones before it end. A slice holds at most ``width`` rows, and the slices
+    of a group are summed by :func:`prefix_sums`, so a group may be arbitrarily large, and
+    its keys arbitrarily far apart.
     """
     sliced = df.withColumn("_slice", F.expr(f"`{key}` div {width}"))
     slices = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slices.select(
-        *group, "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-    )
+    starts = prefix_sums(slices, group, "_slice", "_rows", "_start").drop("_rows")
     within = Window.partitionBy(*group, "_slice").orderBy(key)
     ranked = sliced.withColumn("_rank", F.row_number().over(within) - 1)
     return (
@@ -32,6 +30,26 @@ def dense_ordinal(
     )
 
 
+def prefix_sums(
+    df: DataFrame, group: list[str], key: str, value: str, name: str, width: int = 1 << 24
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows of the group that have a smaller key.
+
+    The key is an integer, distinct in its group. Sums run inside slices of ``width`` consecutive keys, and
+    over the slices, of which 64 bits have few; so no task goes through a whole group.
+    """
+    slice_, start = f"{name}_slice", f"{name}_start"
+    sliced = df.withColumn(slice_, F.expr(f"`{key}` div {width}"))
+    slices = sliced.groupBy(*group, slice_).agg(F.sum(value).alias(start))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.sum(start).over(before.partitionBy(*group).orderBy(slice_))
+    slices = slices.withColumn(start, F.coalesce(earlier, F.lit(0).cast("bigint")))
+    inside = F.sum(value).over(before.partitionBy(*group, slice_).orderBy(key))
+    summed = sliced.withColumn(name, F.coalesce(inside, F.lit(0).cast("bigint")))
+    joined = summed.join(slices, [*group, slice_])
+    return joined.withColumn(name, F.col(name) + F.col(start)).drop(slice_, start)
+
+
 def small_ordinal(df: DataFrame, group: list[str], key: str, name: str = "ord") -> DataFrame:
     """Number rows from 0 within groups that one metadata document or calendar bounds."""
     return df.withColumn(

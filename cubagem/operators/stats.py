@@ -13,13 +13,22 @@ def locality_counts(localities: DataFrame) -> DataFrame:
     return localities.groupBy("agregado_id", "nivel").agg(F.count("*").alias("n_localidades"))
 
 
-def product(counts: Column, kind: str = "bigint") -> Column:
-    """Product of an array of counts, 1 if it is empty.
+BIG = "decimal(38,0)"
 
-    With ``bigint`` a product beyond 64 bits fails (ANSI); ``decimal(38,0)`` goes on to 38 digits.
-    """
-    one = F.lit(1).cast(kind)
-    return F.aggregate(counts, one, lambda acc, n: (acc * n.cast(kind)).cast(kind))
+
+def times(kind: str, *factors: Column) -> Column:
+    """The product of whole numbers as ``kind``; null where it is too large for that, or a factor is null."""
+    found = factors[0].cast(BIG)
+    for factor in factors[1:]:
+        found = F.try_multiply(found, factor.cast(BIG)).try_cast(BIG)
+    return found.try_cast(kind)
+
+
+def product(counts: Column, kind: str = "bigint") -> Column:
+    """Product of an array of counts, 1 if it is empty; null if it is too large for ``kind``."""
+    one, zero = F.lit(1).cast(BIG), F.lit(0).cast(BIG)
+    found = F.aggregate(counts, one, lambda acc, n: F.try_multiply(acc, n.cast(BIG)).try_cast(BIG))
+    return F.when(F.exists(counts, lambda n: n == 0), zero).otherwise(found).try_cast(kind)
 
 
 def category_counts(catalog: Catalog) -> DataFrame:
@@ -36,7 +45,11 @@ def category_counts(catalog: Catalog) -> DataFrame:
 
 
 def cube_dimensions(catalog: Catalog) -> DataFrame:
-    """Number of category combinations of each cube."""
+    """Number of category combinations of each cube; null beyond 63 bits, see :func:`oversized_cubes`."""
+    return _dimensions(catalog, "bigint")
+
+
+def _dimensions(catalog: Catalog, kind: str) -> DataFrame:
     counts = F.coalesce("contagens", F.array().cast("array<bigint>"))
     return (
         catalog.cubes.select("agregado_id")
@@ -44,11 +57,22 @@ def cube_dimensions(catalog: Catalog) -> DataFrame:
         .select(
             "agregado_id",
             F.size(counts).cast("bigint").alias("n_classificacoes"),
-            product(counts).alias("n_dimensoes"),
+            product(counts, kind).alias("n_dimensoes"),
         )
     )
 
 
+def oversized_cubes(catalog: Catalog) -> DataFrame:
+    """Cubes whose flat rows a 63-bit number can't count, with their combinations (null beyond 38 digits).
+
+    They are set aside: sizes that don't fit are null, and such a cube has no flat rows; other cubes go on.
+    """
+    variables = catalog.variables.groupBy("agregado_id").agg(F.count("*").alias("n_variaveis"))
+    sized = _dimensions(catalog, BIG).join(variables, "agregado_id", "left").na.fill(0, ["n_variaveis"])
+    rows = times("bigint", F.col("n_variaveis"), F.col("n_dimensoes"))
+    return sized.where(rows.isNull() & (F.col("n_variaveis") > 0)).drop("n_variaveis")
+
+
 def estimate_values(
     df: DataFrame,
     n_localities: str = "n_localidades",
@@ -57,15 +81,17 @@ def estimate_values(
     n_periods: str = "n_periodos",
     kind: str = "bigint",
 ) -> DataFrame:
-    """Add combinations, values per period and total values from plain counts."""
-    period = F.col(n_localities).cast(kind) * F.col(n_variables).cast(kind)
-    one = F.lit(1).cast(kind)
+    """Add combinations, values per period and total values from plain counts; null beyond ``kind``."""
     sized = df.withColumn("n_dimensoes", product(F.col(counts), kind))
-    sized = sized.withColumn(
-        "period_size", (period * F.greatest(F.col("n_dimensoes"), one)).cast(kind)
-    )
-    total = F.col("period_size") * F.col(n_periods).cast(kind)
-    return sized.withColumn("total_size", total.cast(kind))
+    combos = combinations(kind)
+    period = times(kind, F.col(n_localities), F.col(n_variables), combos)
+    sized = sized.withColumn("period_size", period)
+    return sized.withColumn("total_size", times(kind, F.col("period_size"), F.col(n_periods)))
+
+
+def combinations(kind: str) -> Column:
+    """Combinations of a cube, at least one; null if there are too many."""
+    return F.when(F.col("n_dimensoes").isNotNull(), F.greatest(F.col("n_dimensoes"), F.lit(1).cast(kind)))
 
 
 def cube_counts(catalog: Catalog) -> DataFrame:
@@ -101,7 +127,7 @@ def cube_summary(catalog: Catalog, kind: str = "bigint") -> DataFrame:
     """Counts and value estimates of every cube."""
     sized = estimate_values(cube_counts(catalog), kind=kind)
     one = F.lit(1).cast(kind)
-    combos = F.greatest(F.col("n_dimensoes"), one)
+    combos = combinations(kind)
     return sized.select(
         "pesquisa_id",
         "agregado_id",
@@ -113,7 +139,7 @@ def cube_summary(catalog: Catalog, kind: str = "bigint") -> DataFrame:
         "n_dimensoes",
         "n_periodos",
         "period_size",
-        (F.greatest(F.col("n_variaveis").cast(kind), one) * combos).cast(kind).alias("localidade_size"),
+        times(kind, F.greatest(F.col("n_variaveis").cast(kind), one), combos).alias("localidade_size"),
         combos.alias("variavel_size"),
         "total_size",
     )

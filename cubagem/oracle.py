@@ -520,14 +520,8 @@ flat AS (
     sql["plan_locality_batches"] = (
         chunk_sql(100_000, "split_l") + f"SELECT {columns} FROM chunks"
     )
-    sql["plan_variable_split"] = (
-        chunk_sql(1_500, "nivel = 'N1' AND split_v") + f"SELECT {columns} FROM chunks"
-    )
-    sql["plan_class_split"] = (
-        chunk_sql(200, "nivel = 'N1' AND n_c > 1") + f"SELECT {columns} FROM chunks"
-    )
-    sql["plan_variable_split_all"] = chunk_sql(1_500, "split_v") + f"SELECT {columns} FROM chunks"
-    sql["plan_class_split_all"] = chunk_sql(200, "n_c > 1") + f"SELECT {columns} FROM chunks"
+    sql["plan_variable_split"] = chunk_sql(1_500, "split_v") + f"SELECT {columns} FROM chunks"
+    sql["plan_class_split"] = chunk_sql(200, "n_c > 1") + f"SELECT {columns} FROM chunks"
     sql["plan_summary"] = (
         chunk_sql(100_000)
         + """SELECT agregado_id, nivel_territorial, count(*) AS n_requests,
@@ -622,15 +616,49 @@ flat AS (
              FROM levels LEFT JOIN landed USING (agregado_id, nivel)"""
     )
     sql["chunk_progress"] = sql["stream_progress"] = progress
+    # The lines of each level as they are written, with their places.
+    placed = """, lines AS (
+          SELECT agregado_id, nivel_territorial, chunk_seq, loc_id, per_id, var_id, categorias, valor,
+            '{"NC":"' || nivel_territorial || '","V":"' || CAST(valor AS DECIMAL(28,2)) || '","D1C":"' || loc_id
+            || '","D2C":"' || per_id || '","D3C":"' || var_id || '"' || CASE WHEN categorias = '' THEN '' ELSE
+               list_reduce([''] || list_transform(string_split(categorias, ','), lambda c, i: ',"D' || (i + 3) || 'C":"' || c || '"'),
+                 lambda a, b: a || b) END || '}' AS linha
+          FROM (SELECT * EXCLUDE (chunk_id), CAST(split_part(chunk_id, '-', 3) AS BIGINT) AS chunk_seq FROM cell_values)
+        )"""
+    sql["values_of_one_level"] = (
+        cell_parts
+        + placed
+        + """SELECT agregado_id, row_number() OVER (PARTITION BY agregado_id ORDER BY chunk_seq, linha) - 1 AS posicao,
+                    loc_id, per_id, var_id, categorias, CAST(CAST(valor AS DECIMAL(28,2)) AS VARCHAR) AS valor
+             FROM lines WHERE nivel_territorial = 'N3'"""
+    )
     sql["manifest"] = (
         chunk_sql(100_000)
         + f""", {CELLS}
-        , written AS (SELECT agregado_id, nivel_territorial, 4 * count(*) + 1 AS n_linhas
-                      FROM good_cells GROUP BY ALL),
-        planned AS (SELECT agregado_id, nivel_territorial, min_by(url, chunk_seq) AS url,
-                           CAST(count(*) AS VARCHAR) AS n_requests FROM chunks GROUP BY ALL)
-        SELECT 'estrela' AS source_id, agregado_id || ':' || nivel_territorial AS dataset_id, url,
-               n_requests, n_linhas, TRUE AS com_resumo, TRUE AS com_tamanho
+        {placed}, labels AS (
+          SELECT DISTINCT agregado_id, nivel_territorial, '{{"NC":"Nível Territorial (Código)","V":"Valor",'
+            || '"D1C":"Local (Código)","D2C":"Período (Código)","D3C":"Variável (Código)"'
+            || list_reduce([''] || list_transform(range(1, n_classificacoes + 1),
+                 lambda i: ',"D' || (i + 3) || 'C":"Classificação ' || i || ' (Código)"'), lambda a, b: a || b) || '}}' AS linha
+          FROM lines JOIN dims USING (agregado_id)
+        ), numbered AS (
+          SELECT agregado_id, nivel_territorial, linha,
+            row_number() OVER (PARTITION BY agregado_id, nivel_territorial ORDER BY chunk_seq, linha) AS posicao FROM lines
+          UNION ALL SELECT agregado_id, nivel_territorial, linha, 0 FROM labels
+        ), blocks AS (
+          SELECT agregado_id, nivel_territorial, posicao // 1000 AS bloco, count(*) AS n,
+            string_agg(linha || chr(10), '' ORDER BY posicao) AS texto FROM numbered GROUP BY ALL
+        ), groups_of_blocks AS (
+          SELECT agregado_id, nivel_territorial, bloco // 1000 AS grupo, sum(n) AS n, sum(strlen(texto)) AS bytes,
+            sha256(string_agg(sha256(texto), '' ORDER BY bloco)) AS sha FROM blocks GROUP BY ALL
+        ), written AS (
+          SELECT agregado_id, nivel_territorial, sum(n) AS n_linhas, CAST(sum(bytes) AS BIGINT) AS size_bytes,
+            sha256(string_agg(sha, '' ORDER BY grupo)) AS sha256 FROM groups_of_blocks GROUP BY ALL
+        ), planned AS (SELECT agregado_id, nivel_territorial, min_by(url, chunk_seq) AS url,
+                              CAST(count(*) AS VARCHAR) AS n_requests FROM chunks GROUP BY ALL)
+        SELECT 'estrela' AS source_id, agregado_id || ':' || nivel_territorial AS dataset_id, url, n_requests,
+               CAST(n_linhas AS VARCHAR) AS n_linhas, sha256, size_bytes,
+               'agregados/' || agregado_id || '/dados_' || nivel_territorial || '.ndjson' AS path
         FROM written JOIN planned USING (agregado_id, nivel_territorial)"""
     )
 

@@ -159,7 +159,7 @@ def _split(pooled: DataFrame, limit: int) -> DataFrame:
     ).drop("_vd", "_t1", "_t2", "_t3", "_ordem", "_abertas")
 
 
-def locality_batches(catalog: Catalog, levels: DataFrame) -> DataFrame:
+def locality_batches(catalog: Catalog, levels: DataFrame, first_only: bool = False) -> DataFrame:
     """Ids of every locality batch of the levels that are split by locality.
 
     A batch never has more ids than a request has values, so its array is bounded.
@@ -168,8 +168,9 @@ def locality_batches(catalog: Catalog, levels: DataFrame) -> DataFrame:
     places = catalog.localities.select(
         "agregado_id", F.col("nivel").alias("nivel_territorial"), "loc_id", "ord"
     )
+    batched = places.join(split, LEVEL_KEY).withColumn("_b", F.expr("ord div lote"))
     return ordered_array(
-        places.join(split, LEVEL_KEY).withColumn("_b", F.expr("ord div lote")),
+        batched.where("_b = 0") if first_only else batched,
         [*LEVEL_KEY, "_b"],
         "_locais",
         "loc_id",
@@ -186,24 +187,25 @@ def plan_chunks(
     base_url: str = "",
     strict: bool = False,
     levels_where: str | None = None,
+    first_only: bool = False,
 ) -> DataFrame:
     """All requests for the selected part of all cubes, as selections and URLs.
 
     Cubes with selection errors are left out (see ``selection_errors``), or fail the
     call if ``strict``. ``levels_where`` is a condition on :func:`plan_levels`, to list the
-    chunks of some levels only. ``chunk_seq`` numbers the chunks of a level in reading order.
+    chunks of some levels only, ``first_only`` lists the first chunk of each. ``chunk_seq`` numbers the chunks of a level in reading order.
     """
     if strict and selections is not None:
         require_valid(catalog, selections)
     levels = plan_levels(catalog, selections, limit)
     if levels_where:
         levels = levels.where(levels_where)
-    combined = _class_choices(levels)
-    batches = locality_batches(catalog, levels).withColumn("_ids", F.array_join("_locais", ","))
+    combined = _class_choices(levels, first_only)
+    batches = locality_batches(catalog, levels, first_only).withColumn("_ids", F.array_join("_locais", ","))
     batched = combined.join(batches, LEVEL_KEY, "left").withColumns(
         {
             "_b": F.coalesce("_b", F.lit(0).cast("bigint")),
-            "_n": F.col("n_p") * F.col("n_v"),
+            "_n": F.lit(1).cast("bigint") if first_only else F.col("n_p") * F.col("n_v"),
         }
     )
     # _i numbers (period, variable) within a batch and a choice of categories
@@ -254,7 +256,14 @@ def plan_chunks(
     )
 
 
-def _class_choices(levels: DataFrame) -> DataFrame:
+def first_requests(catalog: Catalog, selections: DataFrame | None = None, **options) -> DataFrame:
+    """(keys, url, n_requests): the first request of each level, and how many there are; no other is made."""
+    numbers = plan_levels(catalog, selections, options.get("limit", VALUES_LIMIT)).select(*LEVEL_KEY, F.col("n_chunks").alias("n_requests"))
+    first = plan_chunks(catalog, selections, first_only=True, **options).select(*LEVEL_KEY, "url")
+    return first.join(numbers, LEVEL_KEY)
+
+
+def _class_choices(levels: DataFrame, first_only: bool = False) -> DataFrame:
     """One row per level and choice ``_c`` of the categories that are split."""
     empty = F.array().cast("array<string>")
 
@@ -270,8 +279,10 @@ def _class_choices(levels: DataFrame) -> DataFrame:
     open_sizes = F.transform(
         "classes", lambda c: F.when(c["passo"] > 0, 1).otherwise(F.size(c["cats"])).cast(BIG)
     )
+    counted = levels.withColumn("_escolhas", F.lit(1).cast("bigint") if first_only else F.col("n_c"))
     return (
-        expand_range(levels, "n_c", "_c", LEVEL_KEY)
+        expand_range(counted, "_escolhas", "_c", LEVEL_KEY)
+        .drop("_escolhas")
         .withColumn("classificacoes", F.transform("classes", chosen).cast(LISTS))
         .withColumn("_segmento_c", segments("c", F.col("classificacoes")))
         .withColumn(

@@ -221,23 +221,11 @@ def plan_locality_batches(catalog):
 
 @on_written_catalog
 def plan_variable_split(catalog):
-    return _plan_of_levels(catalog, "nivel_territorial = 'N1' AND split_v", 1_500)
-
-
-@on_written_catalog
-def plan_class_split(catalog):
-    return _plan_of_levels(catalog, "nivel_territorial = 'N1' AND n_c > 1", 200)
-
-
-@on_written_catalog
-def plan_variable_split_all(catalog):
-    """All levels, unlike plan_variable_split."""
     return _plan_of_levels(catalog, "split_v", 1_500)
 
 
 @on_written_catalog
-def plan_class_split_all(catalog):
-    """All levels, unlike plan_class_split."""
+def plan_class_split(catalog):
     return _plan_of_levels(catalog, "n_c > 1", 200)
 
 
@@ -489,12 +477,21 @@ def _by_level(values: DataFrame) -> DataFrame:
 
 @query
 def values_by_level(spark, sf_dir):
-    """Values written to one folder per cube and level, read back and summed."""
+    """Values written by cube and level, read back and summed."""
     path = shared_dir(spark, "valores")
     sinks.write_values(_records(spark, sf_dir), path)
     return _by_level(sinks.read_values(spark, path))
 
 
+@query
+def values_of_one_level(spark, sf_dir):
+    """One level read through the index of the written values, with the place of each value."""
+    path = shared_dir(spark, "valores")
+    sinks.write_values(_records(spark, sf_dir), path)
+    values = sinks.read_values(spark, path, "nivel_territorial = 'N3'")
+    return values.select("agregado_id", "posicao", *_value_columns())
+
+
 @query
 def chunk_progress(spark, sf_dir):
     catalog = _written(spark, sf_dir)
@@ -527,27 +524,23 @@ def stream_progress(spark, sf_dir):
 
 @query
 def manifest(spark, sf_dir):
-    """Manifests of the written values, and the lines that a second reading counts."""
+    """Manifests of the written values: sizes and digests of what lies in the files."""
     catalog = _written(spark, sf_dir)
     path, kept = shared_dir(spark, "valores"), shared_dir(spark, "manifestos")
     records = ingest.payload_records(ingest.one_per_chunk(_landed(spark, sf_dir, catalog)))
     sinks.write_values(records, path, header=True)
-    plan = chunks.plan_chunks(catalog)
-    written = sinks.manifests(spark, path, plan, "estrela")
+    written = sinks.manifests(spark, path, chunks.first_requests(catalog), "estrela")
     sinks.write_manifests(written, kept)
     read = spark.read.schema(written.schema).json(kept)
-    again = sinks.read_values(spark, path).groupBy("agregado_id", "nivel_territorial").agg(
-        F.count("*").alias("n_linhas")
-    )
-    key = F.concat_ws(":", F.col("agregado_id").cast("string"), "nivel_territorial")
-    return read.join(again.withColumn("dataset_id", key), "dataset_id").select(
+    return read.select(
         "source_id",
         "dataset_id",
         "url",
         F.col("metadata")["n_requests"].alias("n_requests"),
-        "n_linhas",
-        (F.length("sha256") == 64).alias("com_resumo"),
-        (F.col("size_bytes") > 0).alias("com_tamanho"),
+        F.col("metadata")["n_linhas"].alias("n_linhas"),
+        "sha256",
+        "size_bytes",
+        "path",
     )
 
 
@@ -597,6 +590,15 @@ def snapshot_summary(spark, sf_dir):
     return _summary(Catalog.load(spark, loaded))
 
 
+@query
+def snapshot_manifest(spark, sf_dir):
+    """Place, size and digest of every saved part of every cube, from the written files."""
+    path = shared_dir(spark, "cubos")
+    sinks.save_snapshot(assemble.assemble_cubes(_written(spark, sf_dir), part_size=100), path)
+    made = sinks.snapshot_manifests(spark, path, "estrela", "https://api.example.org/agregados")
+    return made.select("source_id", "dataset_id", "parte", "url", "sha256", "size_bytes", "path", "arquivo", "inicio")
+
+
 # Documents of the service
 
 

@@ -60,6 +60,12 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of :func:`shared_dir` after its last reader."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @functools.cache
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -89,14 +90,20 @@ def test_assembled_cubes_and_snapshots(spark, tmp_path):
 
     path = str(tmp_path / "cubos")
     sinks.save_snapshot(parts, path)
-    text = "".join(f.read_text() for f in (tmp_path / "cubos").glob("part-*"))
+    (file,) = (tmp_path / "cubos").glob("dados/arquivo=0/part-*")
+    text = file.read_text()
     assert "População" in text and '"modificacao":"2023-02-15"' in text
     loaded = sinks.load_snapshot(spark, path)
     assert sorted(r.parte for r in loaded.collect()) == [0, 1, 2]
     again = sinks.snapshot_periods(loaded).orderBy("ord").collect()
     assert [(p.per_id, p.frequencia, p.mes) for p in again] == [("202301", "mensal", 1), ("202302", "mensal", 2)]
-    manifest = sinks.snapshot_manifests(parts, "fonte").where("parte = 0").first()
-    assert (manifest.dataset_id, manifest.url, len(manifest.sha256)) == ("1705", "http://x/1705", 64)
+    for k, manifest in enumerate(sinks.snapshot_manifests(spark, path, "fonte").orderBy("parte").collect()):
+        own = file.read_bytes()[manifest.inicio : manifest.inicio + manifest.size_bytes]
+        assert json.loads(own)["parte"] == manifest.parte == k and own.endswith(b"\n")
+        assert manifest.sha256 == hashlib.sha256(own).hexdigest()
+        assert (manifest.dataset_id, manifest.path) == ("1705", "agregados/agregado_1705.json")
+    manifest = sinks.snapshot_manifests(spark, path, "fonte").where("parte = 0").first()
+    assert manifest.url == "http://x/1705"
     assert manifest.metadata == {"nome": "População", "pesquisa": "Censo"}
 
 

@@ -16,9 +16,9 @@ COMPARED = [
     "period_conformity",
     "flatten_cube",
     "plan_restricted",
-    "plan_class_split",
     "normalise_requests",
     "values_by_level",
+    "values_of_one_level",
     "stream_progress",
     "manifest",
 ]
@@ -26,8 +26,12 @@ COMPARED = [
 needs_data = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
 
+#: JSON texts of whole cubes, which the tests of documents compare byte by byte.
+NO_SQL = {"snapshot_manifest"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - NO_SQL <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @needs_data
@@ -41,7 +45,8 @@ def test_query_equals_sql(spark, name):
     assert spark_rows(entry.queries()[name](spark, SF_DIR)) == sql_rows(connect(SF_DIR), entry.oracle_sql()[name])
 
 
+@needs_data
 def test_splits_of_all_levels(spark):
-    for name in ("plan_variable_split_all", "plan_class_split_all"):
-        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    for name in ("plan_variable_split", "plan_class_split"):
+        plan = entry.queries()[name](spark, SF_DIR)
         assert {r[0] for r in plan.select("nivel_territorial").distinct().collect()} > {"N1"}

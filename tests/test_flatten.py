@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cubagem.operators import flatten, listing
-from cubagem.operators.spread import dense_ordinal, expand_range
+from cubagem.operators.spread import dense_ordinal, expand_range, prefix_sums
 
 NESTED = (
     "agregado_id bigint, nome string, pesquisa string, assunto string, frequencia string, url string,"
@@ -108,6 +108,20 @@ def test_ordinals_and_ranges(spark):
     assert {(r.g, r.n, r.s) for r in out} == {("b", 1, 0), ("c", 100, 4950), ("d", 64, 2016)}
 
 
+def test_ordinals_of_keys_far_apart(spark):
+    """A group of many keys, each in a slice of its own, both signs, and the sums before each."""
+    df = spark.range(30_000).selectExpr("'a' AS g", "(id - 1000) * 33333333331 AS k", "id % 5 AS v", "id")
+    found = dense_ordinal(df, ["g"], "k").where("ord <> id")
+    assert found.count() == 0
+    summed = prefix_sums(df, ["g"], "k", "v", "antes", width=1 << 36).orderBy("k").collect()
+    before = 0
+    for r in summed:
+        assert r.antes == before
+        before += r.v
+    widest = prefix_sums(df, ["g"], "k", "v", "antes", width=1 << 36).selectExpr("k div (1 << 36) AS s").groupBy("s").count()
+    assert widest.agg(F.max("count")).first()[0] < 10
+
+
 def test_more_classifications_than_room_is_an_error(spark):
     with pytest.raises(Exception, match="max_dims is 2"):
         flatten.flatten_cubes(nested(spark), max_dims=2).collect()

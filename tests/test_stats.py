@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from cubagem.operators import stats
+from cubagem.operators import flatten, stats
 from tests.cubes import Cube, catalog
 
 
@@ -33,3 +33,22 @@ def test_estimates_beyond_64_bits(spark):
     )
     big = stats.estimate_values(df, kind="decimal(38,0)").select(F.col("total_size").cast("string"))
     assert big.first()[0] == str(10**25)
+
+
+def test_one_cube_too_large_does_not_fail_the_others(spark):
+    cubes = catalog(spark, [
+        Cube(1, variables=2, categories=(2, 3)),
+        Cube(2, variables=3, periods=2, categories=(30,) * 16),
+        Cube(3, variables=1, categories=(30,) * 27),
+        Cube(4, variables=1, categories=(0, *(30,) * 27)),
+        Cube(5, variables=4, categories=(2,) * 62),
+    ])
+    dims = {r.agregado_id: (r.n_classificacoes, r.n_dimensoes) for r in stats.cube_dimensions(cubes).collect()}
+    assert dims == {1: (2, 6), 2: (16, None), 3: (27, None), 4: (28, 0), 5: (62, 2**62)}
+    set_aside = {r.agregado_id: r.n_dimensoes for r in stats.oversized_cubes(cubes).collect()}
+    assert set_aside == {2: 30**16, 3: None, 5: 2**62}
+    rows = {r.agregado_id: r for r in stats.cube_summary(cubes).collect()}
+    assert (rows[1].total_size, rows[4].total_size, rows[2].period_size, rows[5].variavel_size) == (12, 1, None, 2**62)
+    assert {r.agregado_id: r.total_size for r in stats.cube_summary(cubes, stats.BIG).collect()}[2] == 30**16 * 6
+    flat = flatten.flatten_cubes(cubes.nested_cubes()).groupBy("agregado_id").count().collect()
+    assert {r.agregado_id: r["count"] for r in flat} == {1: 12}
