@@ -528,12 +528,51 @@ flat AS (
              CAST(sum(n_valores) AS BIGINT) AS n_valores
              FROM chunks GROUP BY ROLLUP (agregado_id, nivel_territorial)"""
     )
-    sql["plan_coverage"] = (
-        with_parts(*ALL, plan_parts(100_000))
-        + """SELECT agregado_id, nivel AS nivel_territorial,
-             CAST(n_p * n_b * n_v * n_c AS BIGINT) AS n_requests, CAST(total AS BIGINT) AS n_valores,
-             TRUE AS exato, TRUE AS cabe FROM levels"""
-    )
+    # Every place, period and variable of each request, counted; categories are never split at this limit.
+    damage = {
+        "gap": "(nivel = 'N1' AND agregado_id % 3 = 0 AND chunk_seq = 0)",
+        "replaced": "(nivel = 'N6' AND agregado_id % 7 = 0 AND chunk_seq = 0)",
+        "replacing": "(nivel = 'N6' AND agregado_id % 7 = 0 AND chunk_seq = 1)",
+        "doubled": "(nivel = 'N3' AND agregado_id % 4 = 0 AND chunk_seq = 1)",
+        "overlapping": "(nivel = 'N3' AND agregado_id % 5 = 0 AND chunk_seq = 0)",
+        "boundless": "(nivel = 'N6' AND agregado_id % 11 = 0 AND chunk_seq = 0)",
+    }
+    whole_plan = "SELECT *, 4 AS vars FROM numbered"
+    damaged_plan = f"""
+      SELECT *, 4 AS vars FROM numbered WHERE NOT {damage['gap']} AND NOT {damage['replaced']}
+      UNION ALL SELECT *, 4 FROM numbered WHERE {damage['replacing']} OR {damage['doubled']}
+      UNION ALL SELECT *, 1 FROM numbered WHERE {damage['overlapping']}
+      UNION ALL SELECT agregado_id, nivel, chunk_seq, NULL, NULL, 4 FROM numbered WHERE {damage['boundless']}"""
+    for name, asked in (("plan_coverage", whole_plan), ("plan_coverage_damaged", damaged_plan)):
+        sql[name] = (
+            with_parts(*ALL, plan_parts(100_000))
+            + f""", numbered AS (
+              SELECT agregado_id, nivel, chunk_seq, CASE WHEN split_p THEN chunk_seq // n_b END AS p_i,
+                     CASE WHEN split_l THEN chunk_seq % n_b END AS b_i
+              FROM (SELECT *, unnest(range(CAST(n_p * n_b * n_v * n_c AS BIGINT))) AS chunk_seq FROM levels)
+            ), asked AS ({asked}
+            ), cells_asked AS (
+              SELECT a.agregado_id, a.nivel, a.vars, p.ord AS p, o.ord AS o
+              FROM asked a JOIN levels USING (agregado_id, nivel)
+              JOIN periods p ON p.agregado_id = a.agregado_id AND (p_i IS NULL OR p.ord = p_i)
+              JOIN localities o ON o.agregado_id = a.agregado_id AND o.nivel = a.nivel AND (b_i IS NULL OR o.ord // lote = b_i)
+            ), counted AS (
+              SELECT agregado_id, nivel, p, o, count(*) AS primeira, count(*) FILTER (vars = 4) AS outras
+              FROM cells_asked GROUP BY ALL
+            ), per_level AS (
+              SELECT agregado_id, nivel, sum(primeira + 3 * outras) AS n, count(*) AS n_pares,
+                     bool_and(primeira = 1 AND outras = 1) AS uma_vez
+              FROM counted GROUP BY ALL
+            ), requests AS (
+              SELECT agregado_id, nivel, count(*) AS n_requests, max(vars * D
+                * CASE WHEN p_i IS NULL THEN P ELSE 1 END * CASE WHEN b_i IS NULL THEN L ELSE least(lote, L - b_i * lote) END) AS maior
+              FROM asked JOIN levels USING (agregado_id, nivel) GROUP BY ALL
+            )
+            SELECT l.agregado_id, l.nivel AS nivel_territorial, coalesce(n_requests, 0) AS n_requests,
+                   CAST(total AS BIGINT) AS n_valores, CAST(coalesce(n, 0) * D AS BIGINT) AS celulas,
+                   coalesce(uma_vez AND n_pares = P * L, total = 0) AS exato, coalesce(maior <= 100000, TRUE) AS cabe
+            FROM levels l LEFT JOIN per_level USING (agregado_id, nivel) LEFT JOIN requests USING (agregado_id, nivel)"""
+        )
     sql["plan_restricted"] = (
         chunk_sql(2_000, "nivel IN ('N3', 'N6') AND agregado_id NOT IN (SELECT agregado_id FROM cubes "
                   "WHERE pesquisa_id LIKE '%9')", restricted=True)

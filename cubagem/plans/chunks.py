@@ -355,67 +355,132 @@ def plan_summary(levels: DataFrame) -> DataFrame:
     )
 
 
-def plan_coverage(levels: DataFrame, chunks: DataFrame, limit: int = VALUES_LIMIT) -> DataFrame:
-    """Per level: whether the chunks cover the selection once, and none is over the limit.
+#: Two primes below 2^31, so that products of remainders fit into 63 bits.
+PRIMES = (2_147_483_647, 2_147_483_629)
 
-    Chunks are products of one choice per dimension, so each axis is checked by itself, on the
-    chunks whose other choices are the first: together they hold each period, locality and
-    variable once, and as many different category choices as are planned. All chunks
-    together must be as many as planned, differ, and add up to the values of the level.
+
+def _weights(axis: Column, identifier: Column) -> list[Column]:
+    """A number for a member of an axis, modulo each prime."""
+    return [F.pmod(F.xxhash64(F.lit(k), axis, identifier), F.lit(p)) for k, p in enumerate(PRIMES)]
+
+
+def _weight_of_list(axis: Column, ids: Column) -> Column:
+    """Sums of the numbers of some members, modulo each prime, as (a, b)."""
+    first, second = PRIMES
+    start = F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"))
+
+    def add(acc: Column, i: Column) -> Column:
+        a, b = _weights(axis, i)
+        return F.struct(((acc["a"] + a) % first).alias("a"), ((acc["b"] + b) % second).alias("b"))
+
+    return F.aggregate(ids, start, add)
+
+
+def plan_coverage(
+    levels: DataFrame, chunks: DataFrame, localities: DataFrame, limit: int = VALUES_LIMIT
+) -> DataFrame:
+    """Per level: whether the chunks, of any plan, cover the selection once, and none is over the limit.
+
+    A cell's number is the product of the numbers of its members on each axis, modulo a prime; so the sum over a
+    chunk's cells is the product of its choices' sums, and no cell is made. Chunks hold each cell of the selection once
+    if and only if their sums add up to that of the pools, but for odds of some 2^-58 that a gap and an overlap balance.
+    Nothing of a chunk is trusted but its choices: neither its number, nor the values it promises. An empty choice is the
+    whole axis. Chunks of levels that ``levels`` does not have are left out.
+
+    ``celulas`` counts the cells asked for, with repetitions and unknown members.
     """
-    digits = levels.select(*LEVEL_KEY, "n_p", "n_b", "n_v", "n_c", "P", "L", "V", "n_chunks", "total",
-                           "split_p", "split_l", "split_v")
-    placed = chunks.join(digits, LEVEL_KEY).withColumns(
-        {
-            "_c": F.expr("chunk_seq % n_c"),
-            "_v": F.expr("chunk_seq div n_c % n_v"),
-            "_b": F.expr("chunk_seq div (n_c * n_v) % n_b"),
-            "_p": F.expr("chunk_seq div (n_c * n_v * n_b)"),
-        }
+    first, second = PRIMES
+    place = F.lit("l")
+    per_place = [F.sum(w.cast(BIG)).alias(n) for w, n in zip(_weights(place, F.col("loc_id")), "ab", strict=True)]
+    places = localities.groupBy("agregado_id", F.col("nivel").alias("nivel_territorial")).agg(*per_place)
+    places = places.select(
+        *LEVEL_KEY,
+        F.struct((F.col("a") % first).cast("bigint").alias("a"), (F.col("b") % second).cast("bigint").alias("b")).alias("_wl"),
     )
-    per_level = placed.groupBy(*LEVEL_KEY).agg(
-        F.count("*").alias("n_requests"),
-        F.count_distinct(F.xxhash64("periodos", "variaveis", "territorios", "classificacoes")).alias("_distintos"),
-        F.count_distinct(F.when(F.expr("_p = 0 AND _b = 0 AND _v = 0"), F.xxhash64("classificacoes"))).alias("_classes"),
-        F.sum(F.col("n_valores").cast(BIG)).alias("_valores"),
-        F.max("n_valores").alias("maior_chunk"),
+    pools = levels.join(places, LEVEL_KEY).select(
+        *LEVEL_KEY,
+        "total",
+        "P",
+        "L",
+        "V",
+        _weight_of_list(F.lit("p"), F.col("per_ids")).alias("_wp"),
+        "_wl",
+        _weight_of_list(F.lit("v"), F.col("var_ids")).alias("_wv"),
+        F.transform(
+            "classes",
+            lambda c: F.struct(
+                c["class_id"].alias("k"),
+                F.size(c["cats"]).cast("bigint").alias("n"),
+                _weight_of_list(c["class_id"], c["cats"]).alias("w"),
+            ),
+        ).alias("_wc"),
     )
-    places = F.flatten(F.transform("territorios", lambda t: t["v"]))
-    axes = F.array(
-        *[
-            F.struct(F.lit(name).alias("eixo"), F.when(F.expr(f"{split} AND {first}"), ids).alias("ids"))
-            for name, split, first, ids in [
-                ("p", "split_p", "_b = 0 AND _v = 0 AND _c = 0", F.col("periodos")),
-                ("l", "split_l", "_p = 0 AND _v = 0 AND _c = 0", places),
-                ("v", "split_v", "_p = 0 AND _b = 0 AND _c = 0", F.col("variaveis")),
-            ]
-        ]
+
+    def choice(ids: Column, axis: Column, whole: Column, n: Column) -> Column:
+        """Weight and size of a choice."""
+        named = F.struct(_weight_of_list(axis, ids).alias("w"), F.size(ids).cast("bigint").alias("n"))
+        return F.when(F.size(ids) > 0, named).otherwise(F.struct(whole.alias("w"), n.alias("n")))
+
+    number = F.regexp_replace("nivel_territorial", "^N", "")
+    own_level = (F.size("territorios") == 1) & (F.get("territorios", F.lit(0))["k"] == number)
+    same_classes = F.sort_array(_keys_of("classificacoes")) == F.sort_array(_keys_of("_wc"))
+    none = F.struct(F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).alias("w"), F.lit(0).cast("bigint").alias("n"))
+    in_order = F.sort_array("classificacoes")
+    by_class = F.transform(
+        F.arrays_zip(in_order.alias("chosen"), F.sort_array("_wc").alias("pool")),
+        lambda e: choice(e["chosen"]["v"], e["chosen"]["k"], e["pool"]["w"], e["pool"]["n"]),
     )
-    listed = placed.select(*LEVEL_KEY, F.explode(axes).alias("_e")).where("_e.ids IS NOT NULL")
-    ids = listed.select(*LEVEL_KEY, "_e.eixo", F.explode("_e.ids").alias("id"))
-    once = ids.groupBy(*LEVEL_KEY, "eixo", "id").count().groupBy(*LEVEL_KEY).agg(
-        *[F.count_if((F.col("eixo") == e) & (F.col("count") == 1)).alias(f"_n{e}") for e in "plv"],
-        F.max("count").alias("_repetido"),
+    joined = chunks.join(pools, LEVEL_KEY).withColumn(
+        "_escolhas",
+        F.concat(
+            F.array(
+                choice(F.col("periodos"), F.lit("p"), F.col("_wp"), F.col("P")),
+                F.when(own_level, choice(F.get("territorios", F.lit(0))["v"], place, F.col("_wl"), F.col("L"))).otherwise(none),
+                choice(F.col("variaveis"), F.lit("v"), F.col("_wv"), F.col("V")),
+            ),
+            F.when(same_classes, by_class).otherwise(F.array(none)),
+        ),
     )
-    whole = (
-        (F.coalesce("_repetido", F.lit(1)) == 1)
-        & (~F.col("split_p") | (F.col("_np") == F.col("P")))
-        & (~F.col("split_l") | (F.col("_nl") == F.col("L")))
-        & (~F.col("split_v") | (F.col("_nv") == F.col("V")))
-        & (F.col("_classes") == F.col("n_c"))
+    one = F.lit(1).cast("bigint")
+
+    def product_of(weights: Column, field: str, prime: int) -> Column:
+        return F.aggregate(weights, one, lambda acc, e: acc * e["w"][field] % prime)
+
+    asked = joined.select(
+        *LEVEL_KEY,
+        product_of(F.col("_escolhas"), "a", first).alias("_a"),
+        product_of(F.col("_escolhas"), "b", second).alias("_b"),
+        _product(F.transform("_escolhas", lambda e: e["n"])).alias("_n"),
     )
-    joined = digits.join(per_level, LEVEL_KEY, "left").join(once, LEVEL_KEY, "left")
-    return joined.select(
+    sums = asked.groupBy(*LEVEL_KEY).agg(
+        F.count("*").alias("n_requests"),
+        F.sum(F.col("_a").cast(BIG)).alias("_a"),
+        F.sum(F.col("_b").cast(BIG)).alias("_b"),
+        F.sum("_n").alias("celulas"),
+        F.max("_n").alias("maior_chunk"),
+    )
+
+    def whole(field: str, prime: int) -> Column:
+        others = F.aggregate("_wc", one, lambda acc, c: acc * c["w"][field] % prime)
+        axes = F.col("_wp")[field] * F.col("_wl")[field] % prime * F.col("_wv")[field] % prime
+        return axes * others % prime
+
+    checked = pools.join(sums, LEVEL_KEY, "left")
+    return checked.select(
         *LEVEL_KEY,
         F.coalesce("n_requests", F.lit(0)).alias("n_requests"),
         F.expr("try_cast(total AS bigint)").alias("n_valores"),
-        F.coalesce("maior_chunk", F.lit(0)).alias("maior_chunk"),
+        F.expr("try_cast(coalesce(celulas, 0) AS bigint)").alias("celulas"),
+        F.expr("try_cast(coalesce(maior_chunk, 0) AS bigint)").alias("maior_chunk"),
         F.coalesce(
-            whole
-            & (F.col("_distintos") == F.col("n_chunks"))
-            & (F.col("n_requests") == F.col("n_chunks"))
-            & (F.col("_valores") == F.col("total")),
-            F.lit(False),
+            (F.col("celulas") == F.col("total"))
+            & (F.col("_a") % first == whole("a", first))
+            & (F.col("_b") % second == whole("b", second)),
+            F.col("total") == 0,
         ).alias("exato"),
-        F.coalesce(F.col("maior_chunk") <= limit, F.lit(False)).alias("cabe"),
+        F.coalesce(F.col("maior_chunk") <= limit, F.lit(True)).alias("cabe"),
     )
+
+
+def _keys_of(pairs: str) -> Column:
+    return F.transform(pairs, lambda c: c["k"])

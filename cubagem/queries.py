@@ -234,10 +234,33 @@ def plan_summary(catalog):
     return chunks.plan_summary(chunks.plan_levels(catalog))
 
 
+COVERAGE = [*chunks.LEVEL_KEY, "n_requests", "n_valores", "celulas", "exato", "cabe"]
+
+
 @on_written_catalog
 def plan_coverage(catalog):
     levels = chunks.plan_levels(catalog)
-    return chunks.plan_coverage(levels, chunks.plan_chunks(catalog)).drop("maior_chunk")
+    return chunks.plan_coverage(levels, chunks.plan_chunks(catalog), catalog.localities).select(*COVERAGE)
+
+
+@on_written_catalog
+def plan_coverage_damaged(catalog):
+    """The plan with gaps, doubles, chunks in the place of others, and requests that overlap or know no bounds."""
+    plan = chunks.plan_chunks(catalog).select(
+        *chunks.LEVEL_KEY, "chunk_seq", "periodos", "variaveis", "territorios", "classificacoes"
+    )
+    gap = "(nivel_territorial = 'N1' AND agregado_id % 3 = 0 AND chunk_seq = 0)"
+    replaced = "(nivel_territorial = 'N6' AND agregado_id % 7 = 0 AND chunk_seq = 0)"
+    replacing = "(nivel_territorial = 'N6' AND agregado_id % 7 = 0 AND chunk_seq = 1)"
+    doubled = "(nivel_territorial = 'N3' AND agregado_id % 4 = 0 AND chunk_seq = 1)"
+    overlapping = "(nivel_territorial = 'N3' AND agregado_id % 5 = 0 AND chunk_seq = 0)"
+    boundless = "(nivel_territorial = 'N6' AND agregado_id % 11 = 0 AND chunk_seq = 0)"
+    empty = F.array().cast("array<string>")
+    everything = {"periodos": empty, "territorios": F.transform("territorios", lambda t: F.struct(t["k"].alias("k"), empty.alias("v")))}
+    damaged = plan.where(f"NOT {gap} AND NOT {replaced}").unionByName(plan.where(f"{replacing} OR {doubled}"))
+    damaged = damaged.unionByName(plan.where(overlapping).withColumn("variaveis", F.array(F.lit("101"))))
+    damaged = damaged.unionByName(plan.where(boundless).withColumns(everything))
+    return chunks.plan_coverage(chunks.plan_levels(catalog), damaged, catalog.localities).select(*COVERAGE)
 
 
 @query
