@@ -663,6 +663,12 @@ flat AS (
                list_reduce([''] || list_transform(string_split(categorias, ','), lambda c, i: ',"D' || (i + 3) || 'C":"' || c || '"'),
                  lambda a, b: a || b) END || '}' AS linha
           FROM (SELECT * EXCLUDE (chunk_id), CAST(split_part(chunk_id, '-', 3) AS BIGINT) AS chunk_seq FROM cell_values)
+        ), labels AS (
+          SELECT DISTINCT agregado_id, nivel_territorial, '{"NC":"Nível Territorial (Código)","V":"Valor",'
+            || '"D1C":"Local (Código)","D2C":"Período (Código)","D3C":"Variável (Código)"'
+            || list_reduce([''] || list_transform(range(1, n_classificacoes + 1),
+                 lambda i: ',"D' || (i + 3) || 'C":"Classificação ' || i || ' (Código)"'), lambda a, b: a || b) || '}' AS linha
+          FROM lines JOIN dims USING (agregado_id)
         )"""
     sql["values_of_one_level"] = (
         cell_parts
@@ -671,16 +677,25 @@ flat AS (
                     loc_id, per_id, var_id, categorias, CAST(CAST(valor AS DECIMAL(28,2)) AS VARCHAR) AS valor
              FROM lines WHERE nivel_territorial = 'N3'"""
     )
+    sql["stream_repeated"] = (
+        cell_parts
+        + placed
+        + """, bodies AS (
+               SELECT agregado_id, nivel_territorial, chunk_seq, count(*) AS n, sum(valor) AS soma,
+                 sum(CAST('1' || CAST(valor AS DECIMAL(28,2)) AS DECIMAL(28,2))) AS outra,
+                 '[' || any_value(b.linha) || ',' || string_agg(l.linha, ',' ORDER BY l.linha) || ']' AS body
+               FROM lines l JOIN labels b USING (agregado_id, nivel_territorial) GROUP BY ALL
+             ), kept AS (
+               SELECT *, CASE WHEN nivel_territorial = 'N3'
+                   AND sha256(regexp_replace(body, '"V":"([0-9]+)', '"V":"1\\1', 'g')) < sha256(body) THEN outra ELSE soma END AS fica
+               FROM bodies)
+             SELECT agregado_id, nivel_territorial, CAST(sum(n) AS BIGINT) AS n_valores,
+                    CAST(CAST(sum(fica) AS DECIMAL(38,2)) AS VARCHAR) AS soma FROM kept GROUP BY ALL"""
+    )
     sql["manifest"] = (
         chunk_sql(100_000)
         + f""", {CELLS}
-        {placed}, labels AS (
-          SELECT DISTINCT agregado_id, nivel_territorial, '{{"NC":"Nível Territorial (Código)","V":"Valor",'
-            || '"D1C":"Local (Código)","D2C":"Período (Código)","D3C":"Variável (Código)"'
-            || list_reduce([''] || list_transform(range(1, n_classificacoes + 1),
-                 lambda i: ',"D' || (i + 3) || 'C":"Classificação ' || i || ' (Código)"'), lambda a, b: a || b) || '}}' AS linha
-          FROM lines JOIN dims USING (agregado_id)
-        ), numbered AS (
+        {placed}, numbered AS (
           SELECT agregado_id, nivel_territorial, linha,
             row_number() OVER (PARTITION BY agregado_id, nivel_territorial ORDER BY chunk_seq, linha) AS posicao FROM lines
           UNION ALL SELECT agregado_id, nivel_territorial, linha, 0 FROM labels

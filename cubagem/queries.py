@@ -529,8 +529,24 @@ def stream_values(spark, sf_dir):
     star.landed_payloads(spark, sf_dir, _written(spark, sf_dir)).write.json(source)
     stream = landing.landed_payloads(spark, source)
     landing.stream_values(stream, sink, shared_dir(spark, "progresso")).awaitTermination()
-    schema = "agregado_id bigint, chunk_seq bigint, pos int, registro map<string, string>, nivel_territorial string"
-    return _by_level(spark.read.schema(schema).parquet(sink))
+    return _by_level(ingest.value_records(landing.streamed_records(spark, sink)))
+
+
+@query
+def stream_repeated(spark, sf_dir):
+    """Chunks that land again later, after a restart into a compacted sink: one payload of each counts."""
+    source, sink, smaller = (shared_dir(spark, name) for name in ("pouso", "tabela", "compacto"))
+    progress = shared_dir(spark, "progresso")
+    first = _landed(spark, sf_dir)
+    first.write.json(source)
+    landing.stream_values(landing.landed_payloads(spark, source), sink, progress).awaitTermination()
+    landing.compact_values(spark, sink, smaller)
+    # All of level N3 once more, as it was, and with other values, which count if their digest is less.
+    again = first.where("split_part(chunk_id, '-', 2) = 'N3'")
+    changed = again.withColumn("body", F.regexp_replace("body", '"V":"([0-9]+)', '"V":"1$1'))
+    again.unionByName(changed).write.mode("append").json(source)
+    landing.stream_values(landing.landed_payloads(spark, source), smaller, progress).awaitTermination()
+    return _by_level(ingest.value_records(landing.streamed_records(spark, smaller)))
 
 
 @query
