@@ -640,7 +640,7 @@ flat AS (
                     CAST(CAST(sum(valor) AS DECIMAL(38,2)) AS VARCHAR) AS soma
              FROM cell_values GROUP BY ALL"""
     )
-    sql["values_by_level"] = sql["stream_values"] = by_level
+    sql["values_by_level"] = sql["stream_values"] = sql["payload_files"] = by_level
     progress = (
         statuses
         + """, chunk_states AS (
@@ -768,6 +768,40 @@ flat AS (
              UNION ALL SELECT 'V', CAST(var_id AS VARCHAR), nome, count(*) FROM variables GROUP BY ALL"""
     )
 
+    sql["resolve_periods"] = (
+        with_parts(CUBES, PERIODS)
+        + """, numbered AS (SELECT agregado_id, per_id, ord, count(*) OVER (PARTITION BY agregado_id) AS n FROM periods),
+             asked AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_suppkey + 1 AS BIGINT) AS agregado_id,
+                              strftime(l_shipdate, '%Y%m') AS mes FROM lineitem),
+             meant AS (
+               SELECT a.*, per_id, ord FROM asked a LEFT JOIN numbered p ON p.agregado_id = a.agregado_id
+                 AND CASE l_linenumber WHEN 1 THEN TRUE WHEN 2 THEN ord >= n - 12 ELSE per_id = mes END)
+             SELECT l_orderkey, l_linenumber, l_partkey, count(per_id) AS n_periodos, min_by(per_id, ord) AS primeiro,
+                    max_by(per_id, ord) AS ultimo,
+                    CASE WHEN count(per_id) > 0 OR l_linenumber = 1 THEN '' WHEN l_linenumber = 2 THEN 'last%2012'
+                         ELSE mes || ',' || mes || '-' || mes END AS sem_periodo
+             FROM meant GROUP BY l_orderkey, l_linenumber, l_partkey, mes"""
+    )
+    sql["documents_surveys"] = sql["flatten_surveys"]
+    sql["collection_paths"] = (
+        with_parts(CUBES, VARIABLES, CLASSES, PERIODS)
+        + parsed
+        + f""", items AS (
+             SELECT 'A' AS acervo, '$.id' AS caminho, 'STRING' AS tipo, assunto AS valor FROM cubes
+             UNION ALL SELECT 'A', '$.nome', 'STRING', assunto FROM cubes
+             UNION ALL SELECT 'C', '$.id', 'BIGINT', CAST(class_id AS VARCHAR) FROM classes
+             UNION ALL SELECT 'C', '$.nome', 'STRING', nome FROM classes
+             UNION ALL SELECT 'N', '$.id', 'STRING', nivel FROM cubes, (VALUES ('N1'), ('N3'), ('N6'), ('N7')) n(nivel)
+             UNION ALL SELECT 'N', '$.detalhe.grupo', 'STRING', grupo
+               FROM cubes, (VALUES ('administrativo'), ('administrativo'), ('especial'), ('ibge')) n(grupo)
+             UNION ALL SELECT 'P', '$.id', 'STRING', per_id FROM periods
+             UNION ALL SELECT 'P', '$.literals[]', 'STRING', unnest([{literal}, per_id]) FROM periods
+             UNION ALL SELECT 'E', '$.id', 'STRING', frequencia FROM cubes
+             UNION ALL SELECT 'V', '$.id', 'BIGINT', CAST(var_id AS VARCHAR) FROM variables
+             UNION ALL SELECT 'V', '$.nome', 'STRING', nome FROM variables
+             UNION ALL SELECT 'V', '$.unidade', 'STRING', unidade FROM variables)
+           SELECT acervo, caminho, tipo, count(*) AS n, min(valor) AS menor, max(valor) AS maior FROM items GROUP BY ALL"""
+    )
     sql.update(_request_oracles())
     return sql
 

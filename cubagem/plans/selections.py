@@ -63,6 +63,65 @@ def cube_pools(catalog: Catalog) -> DataFrame:
     )
 
 
+ALL_PERIODS = r"^all"
+SOME_PERIODS = r"^(first|last)(?:(?: |%20)(\d{1,9}))?$"
+PERIOD_RANGE = r"^(\d+)-(\d+)$"
+
+
+def resolve_periods(requests: DataFrame, periods: DataFrame, selectors: str = "periodos") -> DataFrame:
+    """Add ``resolvidos``, the ids of the cube's periods that the selectors mean, in the cube's order, each once.
+
+    A selector is ``all`` (with or without an ending), ``first``, ``last``, either with a number, a range ``a-b`` or an id. Both ends
+    of a range belong to it, and stand for whatever begins with them: 2001-2003 has the months and quarters of these
+    years. No selector at all means all periods, null is none. ``sem_periodo`` lists the selectors that mean no period of the cube.
+    ``requests`` has ``agregado_id``; ``periods`` is that table of a catalog. A cube has one row of periods, bounded by
+    its metadata, so a request meets its own cube's periods only, and no pairs are made.
+    """
+    offered = ordered_array(periods, ["agregado_id"], "_per", F.col("per_id").cast("string").alias("v"))
+    offered = offered.withColumn("_per", F.array_distinct(F.col("_per")["v"]))
+    joined = requests.join(offered, "agregado_id", "left").withColumn("_per", F.coalesce("_per", F.array().cast("array<string>")))
+
+    def read(s: Column) -> Column:
+        which, number = F.regexp_extract(s, SOME_PERIODS, 1), F.regexp_extract(s, SOME_PERIODS, 2)
+        n = F.when(number == "", 1).otherwise(number.try_cast("int"))
+        low, high = F.regexp_extract(s, PERIOD_RANGE, 1), F.regexp_extract(s, PERIOD_RANGE, 2)
+        everything = s.rlike(ALL_PERIODS)
+        single = ~everything & (which == "") & (low == "")
+        return F.struct(
+            s.alias("s"),
+            # Positions from and below which the selector takes all, and the range it is otherwise.
+            F.when(which == "last", F.size("_per") - n).when(everything | (which == "first"), 0).otherwise(F.size("_per")).alias("de"),
+            F.when(which == "first", n).otherwise(F.size("_per")).alias("ate"),
+            F.when(single, s).when(low != "", low).alias("a"),
+            F.when(single, s).when(low != "", high).alias("b"),
+            single.alias("so"),
+        )
+
+    def meant(s: Column, p: Column, i: Column) -> Column:
+        placed = (i >= s["de"]) & (i < s["ate"])
+        inside = (F.left(p, F.length(s["a"])) >= s["a"]) & (F.left(p, F.length(s["b"])) <= s["b"])
+        return placed | F.coalesce(F.when(s["so"], p == s["a"]).otherwise(inside), F.lit(False))
+
+    chosen = F.when(F.size(selectors) == 0, F.array(F.lit("all"))).otherwise(F.array_compact(selectors))
+    parsed = joined.withColumn("_sel", F.transform(chosen, read))
+    resolved = F.filter("_per", lambda p, i: F.exists("_sel", lambda s: meant(s, p, i)))
+    missing = F.filter("_sel", lambda s: F.size(F.filter("_per", lambda p, i: meant(s, p, i))) == 0)
+    none = F.array().cast("array<string>")
+    return parsed.withColumns(
+        {"resolvidos": F.coalesce(resolved, none), "sem_periodo": F.coalesce(F.transform(missing, lambda s: s["s"]), none)}
+    ).drop("_per", "_sel")
+
+
+def period_selections(requests: DataFrame, periods: DataFrame, selectors: str = "periodos") -> DataFrame:
+    """Rows of a selection table for requests (agregado_id, selectors): the periods they mean, or what they ask for in vain."""
+    resolved = resolve_periods(requests, periods, selectors)
+    # A selector without a period stays as it is, and so is an error of its cube.
+    ids = F.array_distinct(F.concat("resolvidos", "sem_periodo"))
+    return resolved.select("agregado_id", F.explode(ids).alias("id")).distinct().select(
+        "agregado_id", F.lit("periodo").alias("dim"), F.lit(None).cast("string").alias("class_id"), "id"
+    )
+
+
 def chosen_ids(selections: DataFrame) -> DataFrame:
     """One row per cube: the ids chosen in each dimension, null where nothing is said."""
 
@@ -183,9 +242,9 @@ def selection_errors(catalog: Catalog, selections: DataFrame) -> DataFrame:
 
 
 def require_valid(catalog: Catalog, selections: DataFrame) -> None:
-    """Fail now if any selection has errors; shows the first few."""
-    shown = selection_errors(catalog, selections).take(20)
+    """Fail now if any selection has errors; says how many there are and shows the first few."""
+    errors = selection_errors(catalog, selections)
+    shown = errors.take(20)
     if shown:
-        raise ValueError(
-            "; ".join(f"{r.agregado_id} {r.dim} {r.class_id or ''} {r.id or ''}: {r.motivo}" for r in shown)
-        )
+        told = "; ".join(f"{r.agregado_id} {r.dim} {r.class_id or ''} {r.id or ''}: {r.motivo}" for r in shown)
+        raise ValueError(f"{errors.count()}: {told}")

@@ -288,11 +288,13 @@ def _restrictions(catalog: Catalog) -> DataFrame:
     everywhere = catalog.cubes.select("agregado_id", F.explode(asked).alias("_s")).select(
         "agregado_id", "_s.*"
     )
-    recent = catalog.periods.where("per_id >= '1998'").select(
+    ranges = catalog.cubes.select("agregado_id", F.array(F.lit("1998-1999"), F.lit("2000-9999")).alias("periodos"))
+    resolved = selections.resolve_periods(ranges, catalog.periods)
+    recent = resolved.select(
         "agregado_id",
         F.lit("periodo").alias("dim"),
         F.lit(None).cast("string").alias("class_id"),
-        F.col("per_id").alias("id"),
+        F.explode("resolvidos").alias("id"),
     )
     some = catalog.categories.where(
         "(class_id = 10 AND nome <> 'R') OR (class_id = 30 AND cat_id = 0)"
@@ -310,6 +312,21 @@ def plan_restricted(catalog):
     return chunks.plan_chunks(catalog, _restrictions(catalog), limit=2_000).select(*PLAN_COLUMNS)
 
 
+@query
+def resolve_periods(spark, sf_dir):
+    """The periods that the request of every line item means, of the cube of its supplier."""
+    log = star.request_log(spark, sf_dir).withColumn("agregado_id", F.col("agregado").cast("bigint") + 1)
+    offered = star.catalog_from_star(spark, sf_dir).periods
+    found = selections.resolve_periods(log.select(*star.REQUEST_KEY, "agregado_id", "periodos"), offered)
+    return found.select(
+        *star.REQUEST_KEY,
+        F.size("resolvidos").cast("bigint").alias("n_periodos"),
+        F.get("resolvidos", F.lit(0)).alias("primeiro"),
+        F.try_element_at("resolvidos", F.lit(-1)).alias("ultimo"),
+        F.array_join("sem_periodo", ",").alias("sem_periodo"),
+    )
+
+
 @on_written_catalog
 def selection_errors(catalog):
     return selections.selection_errors(catalog, _restrictions(catalog))
@@ -691,3 +708,33 @@ def collection_listing(spark, sf_dir):
     return listed.groupBy("acervo", F.try_variant_get("item", "$.id", "string").alias("id")).agg(
         F.max(F.try_variant_get("item", "$.nome", "string")).alias("nome"), F.count("*").alias("n")
     )
+
+
+@query
+def collection_paths(spark, sf_dir):
+    """What items of collections hold, found from the items alone: paths and types, with their least and largest values."""
+    path = shared_dir(spark, "acervos")
+    star.collections(star.catalog_from_star(spark, sf_dir)).write.partitionBy("acervo").text(path)
+    found = documents.collection_paths(documents.read_collection_lines(spark, path))
+    return found.groupBy("acervo", "caminho", "tipo").agg(
+        F.count("*").alias("n"), F.min("valor").alias("menor"), F.max("valor").alias("maior")
+    )
+
+
+@query
+def documents_surveys(spark, sf_dir):
+    """The survey index written as documents, read back and flattened."""
+    path = shared_dir(spark, "documentos")
+    star.index_documents(spark, sf_dir).write.parquet(path)
+    landed = documents.landed_documents(spark.read.parquet(path), documents.INDEX)
+    return flatten.flatten_surveys(documents.survey_index_of(landed))
+
+
+@query
+def payload_files(spark, sf_dir):
+    """Payloads landed as documents that are named after their chunks, read, merged and summed."""
+    path = shared_dir(spark, "pouso")
+    name = F.concat(F.lit("/valores/"), "chunk_id", F.lit(".json")).alias("caminho")
+    star.landed_payloads(spark, sf_dir, _written(spark, sf_dir)).select(name, "body").write.parquet(path)
+    payloads = documents.payloads_of(documents.landed_documents(spark.read.parquet(path), documents.VALUES))
+    return _by_level(ingest.value_records(ingest.payload_records(ingest.one_per_chunk(payloads))))

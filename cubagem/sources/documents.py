@@ -154,9 +154,38 @@ def read_collection_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_payloads(spark: SparkSession, root: str) -> DataFrame:
     """Landed value payloads, one file per chunk; the file is named after the chunk."""
-    return read_documents(spark, root, VALUES).select(
-        F.regexp_extract("caminho", r"/([^/]+)\.json$", 1).alias("chunk_id"), "body"
-    )
+    return payloads_of(read_documents(spark, root, VALUES))
+
+
+def payloads_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.regexp_extract("caminho", r"/([^/]+)\.json$", 1).alias("chunk_id"), "body")
+
+
+def collection_shapes(items: DataFrame) -> DataFrame:
+    """(acervo, forma): one schema per kind that holds all its items."""
+    return items.groupBy("acervo").agg(F.expr("schema_of_variant_agg(item)").alias("forma"))
+
+
+def collection_paths(items: DataFrame) -> DataFrame:
+    """(acervo, caminho, tipo, valor): each value inside items of unknown shape, with its path and type.
+
+    ``items`` has ``acervo`` and the variant ``item``. Members of lists have the path ``[]``. Empty objects and
+    lists, and nulls, are values. Items are opened level by level, until no item has one more.
+    """
+    spark = items.sparkSession
+    rows = items.select("acervo", F.lit("$").alias("caminho"), F.col("item").alias("_v"))
+    found = None
+    while found is None or rows.take(1):
+        typed = rows.withColumn("tipo", F.expr("schema_of_variant(_v)"))
+        nested = F.col("tipo").startswith("OBJECT<") | F.col("tipo").startswith("ARRAY<")
+        empty = F.col("tipo").isin("OBJECT<>", "ARRAY<VOID>") & (F.expr("to_json(_v)").isin("{}", "[]"))
+        ends = typed.where(~nested | empty).select("acervo", "caminho", "tipo", F.expr("variant_get(_v, '$', 'string')").alias("valor"))
+        found = ends if found is None else found.union(ends)
+        inner = typed.where(nested & ~empty)
+        exploded = inner.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer()))
+        step = F.when(F.col("key").isNull(), "[]").otherwise(F.concat(F.lit("."), F.col("key")))
+        rows = exploded.select("acervo", F.concat("caminho", step).alias("caminho"), F.col("value").alias("_v"))
+    return found
 
 
 def catalog_of(table: DataFrame) -> Catalog:

@@ -135,6 +135,12 @@ def survey_index(spark: SparkSession, sf_dir: str, shard: int = 1 << 10) -> Data
     )
 
 
+def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survey index as documents, rows of (caminho, body), each a list of surveys."""
+    body = F.to_json(F.array(F.struct("id", "nome", "agregados")))
+    return survey_index(spark, sf_dir).select(F.lit("/agregados/indice_pesquisas.json").alias("caminho"), body.alias("body"))
+
+
 def levels(cubes_df: DataFrame) -> DataFrame:
     entries = [(group, level) for group, names in LEVEL_GROUPS for level in names]
     return per_cube(cubes_df, constant_rows(entries, "grupo string, nivel string"))

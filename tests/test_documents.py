@@ -120,3 +120,16 @@ def test_requests_for_metadata(spark, tmp_path):
     assert assemble.index_url("http://x/agregados") == "http://x/agregados"
     paths = kinds.select(sinks.cube_path(F.lit(7)), sinks.values_path(F.lit(7), F.lit("N3"))).first()
     assert tuple(paths) == ("agregados/agregado_7.json", "agregados/7/dados_N3.ndjson")
+
+
+def test_paths_of_items_of_any_shape(spark):
+    items = ['{"id": 1, "x": {"y": [1, {"z": null}], "w": {}}}', '[["a"], [], 2.5]', '"plain"', "{}", '{"id": "b"}', "true"]
+    rows = [("K", text) for text in items[:4]] + [("L", text) for text in items[4:]]
+    table = spark.createDataFrame(rows, "acervo string, value string").selectExpr("acervo", "try_parse_json(value) AS item")
+    found = {(r.acervo, r.caminho, r.valor) for r in documents.collection_paths(table).collect()}
+    assert found == {
+        ("K", "$.id", "1"), ("K", "$.x.y[]", "1"), ("K", "$.x.y[].z", None), ("K", "$.x.w", "{}"), ("K", "$[][]", "a"),
+        ("K", "$[]", "[]"), ("K", "$[]", "2.5"), ("K", "$", "plain"), ("K", "$", "{}"), ("L", "$.id", "b"), ("L", "$", "true"),
+    }
+    assert {r.acervo for r in documents.collection_shapes(table).collect()} == {"K", "L"}
+    assert documents.collection_paths(table.limit(0)).count() == 0
