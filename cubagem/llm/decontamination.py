@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +39,7 @@ _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$|[+-]?\d[\d.,]*[$€£]$")
 _QUANTITY = re.compile(r"[+-]?\d[\d.,]*([^\W\d_]+)$")
 _EDGES = re.compile(r"^[^\w$€£+%-]+|[^\w$€£%]+$")
 #: Distinct words that a task remembers; beyond that it begins anew.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 
 WINDOWS = "text_key bigint, window bigint, template string, position int, slots array<string>, places array<int>, n_windows int"
 #: Begins the template of a window of exact words; no bare word begins so.
@@ -54,24 +53,44 @@ _WINS = """p = array_max(transform(filter(pairs, q -> q.item = p.item), q -> str
 
 
 class Words(dict):
-    """What each word is: (hash, kind, ends a sentence). A name is a capitalised word, for now."""
+    """The place of each word in arrays of what words are: hash, kind, whether it ends a sentence.
 
-    def __missing__(self, word: str) -> tuple[int, int, bool]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        bare = bare_word(word)
-        kind = LITERAL
-        if _NUMBER.match(bare):
+    A name is a capitalised word, for now.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.values = np.empty(REMEMBERED, np.uint64)
+        self.kinds = np.empty(REMEMBERED, np.int8)
+        self.ends = np.empty(REMEMBERED, bool)
+
+    def __missing__(self, word: str) -> int:
+        # Only letters: nothing to strip, and no number.
+        bare = word if word.isalpha() else bare_word(word)
+        kind, lower = LITERAL, bare.lower()
+        if not bare.isalpha() and _NUMBER.match(bare):
             kind = NUMBER
-        elif (match := _QUANTITY.match(bare)) and match[1].lower() in _UNITS:
+        elif not bare.isalpha() and (match := _QUANTITY.match(bare)) and match[1].lower() in _UNITS:
             kind = QUANTITY
-        elif bare.lower() in _UNITS:
+        elif lower in _UNITS:
             kind = UNIT
         elif bare[:1].isupper():
             kind = NAME
-        literal = xxhash.xxh3_64_intdigest(bare.lower())
-        found = self[word] = (literal, kind, word[-1:] in ".!?:")
-        return found
+        place = self[word] = len(self)
+        self.values[place] = xxhash.xxh3_64_intdigest(lower)
+        self.kinds[place] = kind
+        self.ends[place] = word[-1:] in ".!?:"
+        return place
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, kind and end of each word of a text; begins anew where new words could not be kept."""
+        if len(self) + len(words) > REMEMBERED:
+            self.clear()
+        if len(words) > REMEMBERED:
+            parts = [self.of(words[k : k + REMEMBERED]) for k in range(0, len(words), REMEMBERED)]
+            return tuple(map(np.concatenate, zip(*parts, strict=True)))
+        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.values[places], self.kinds[places], self.ends[places]
 
 
 def bare_word(word: str) -> str:
@@ -90,10 +109,7 @@ def templated(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def tagged(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The hash of each lower-cased word, then what ``templated`` returns."""
-    found = [known[w] for w in words]
-    values = np.fromiter(map(itemgetter(0), found), np.uint64, len(found))
-    kinds = np.fromiter(map(itemgetter(1), found), np.int8, len(found))
-    ends = np.fromiter(map(itemgetter(2), found), bool, len(found))
+    values, kinds, ends = known.of(words)
     opens = np.concatenate([[True], ends[:-1]])
     after_number = np.concatenate([[False], kinds[:-1] == NUMBER])
     kinds[(kinds == NAME) & opens] = LITERAL
