@@ -22,14 +22,21 @@ FRAGMENT, PACKED = 5 << 19, 1 << 20
 #: The first members of a bucket are compared with all others of it, then the next ones up to each of
 #: these with those of other components, and at last all that are left.
 HUBS = (4, 16, 64)
-#: Pairs that are counted together, and blocks of them that share one copy of the segments.
-PAIR_BLOCK, BLOCKS = 1 << 15, 32
+#: Fragments in which overlaps of pairs are counted; however many the order was cut into, these are as many.
+COUNTING = 4
+#: Pairs of a block, pairs of a group of blocks, and shingles of all its pairs in one fragment.
+PAIR_BLOCK, PAIR_GROUP, GROUP_SHINGLES = 1 << 15, 1 << 20, 1 << 25
+#: Shingles that a bucket of sets should hold.
+BUCKET = 1 << 22
 
 SEGMENTS = "fragment int, keys binary, counts binary, shingles binary"
 SHARED = "fragment int, bucket int, keys binary, sizes binary, alone binary, counts binary, shingles binary, ranks binary"
-SETS = "fragment int, keys binary, sizes binary, counts binary, shingles binary, ranks binary"
+SETS = "bucket int, fragment int, keys binary, sizes binary, counts binary, shingles binary, ranks binary"
 ENTRIES = "shingle bigint, key bigint, size int, position int"
 PAIRS = "a bigint, b bigint, size_a int, size_b int"
+BLOCK = "grp int, block bigint, a binary, b binary, sizes binary"
+WANTED = "bucket int, key bigint, grp int"
+PICKED = "g int, f int, keys binary, counts binary, shingles binary"
 COUNTED = "block bigint, a binary, b binary, sizes binary, overlaps binary"
 
 
@@ -66,6 +73,10 @@ def prefix_length(size):
     return size - -(-PERCENT * size // 100)
 
 
+def _bucket(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    return (mixed(keys.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int32)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n_words); equal word sequences share a key, which is null without words."""
 
@@ -148,7 +159,7 @@ def shared_segments(cut: DataFrame, n_buckets: int) -> DataFrame:
         del order, begins, frequency
         common = rank > 0
         shared = np.bincount(owner[common], minlength=len(keys))
-        bucket = (mixed(keys.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int32)
+        bucket = _bucket(keys, n_buckets)
         entries = np.flatnonzero(common)
         entries = entries[np.argsort(bucket[owner[entries]], kind="stable")]
         limits = np.searchsorted(bucket[owner[entries]], np.arange(n_buckets + 1))
@@ -182,7 +193,8 @@ def set_rows(shared: DataFrame) -> DataFrame:
         sizes = np.bincount(place, _whole(table, "sizes", np.uint32)).astype(np.int64)
         alone = np.bincount(place, _whole(table, "alone", np.uint32)).astype(np.int64)
         alive = alone <= prefix_length(sizes)
-        out = [(-1, keys.tobytes(), sizes.astype(np.uint32).tobytes(), b"", b"", b"")]
+        bucket = table.column("bucket")[0].as_py()
+        out = [(bucket, -1, keys.tobytes(), sizes.astype(np.uint32).tobytes(), b"", b"", b"")]
         at = 0
         for row in table.to_pylist():
             own = np.frombuffer(row["keys"], np.int64)
@@ -197,7 +209,7 @@ def set_rows(shared: DataFrame) -> DataFrame:
             ranks = np.frombuffer(row["ranks"], np.uint8)[parts]
             size = sizes[where][kept].astype(np.uint32).tobytes()
             out.append(
-                (row["fragment"], own[kept].tobytes(), size, counts[kept].astype(np.uint32).tobytes(), values.tobytes(), ranks.tobytes())
+                (bucket, row["fragment"], own[kept].tobytes(), size, counts[kept].astype(np.uint32).tobytes(), values.tobytes(), ranks.tobytes())
             )
         names = [part.split()[0] for part in SETS.split(", ")]
         return pa.Table.from_batches([_batch(SETS, **dict(zip(names, zip(*out, strict=True), strict=True)))])
@@ -300,7 +312,11 @@ def hub_pairs(entries: DataFrame, parts: int) -> DataFrame:
 
 
 def later_pairs(entries: DataFrame, labels: DataFrame, first: int, last: int | None, parts: int) -> DataFrame:
-    """Pairs of a bucket's members from ``first`` to before ``last`` with later ones of other components."""
+    """Pairs of a bucket's members from ``first`` to before ``last`` with later ones of other components.
+
+    Without ``last`` nothing bounds a bucket's pairs but the prefix and position filters: sets that share a
+    rare shingle, lie within each other's range of sizes, and are not yet one component.
+    """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _buckets(batches)
@@ -322,76 +338,114 @@ def later_pairs(entries: DataFrame, labels: DataFrame, first: int, last: int | N
     return labelled.repartition(parts, "shingle").mapInArrow(pairs, PAIRS).distinct()
 
 
-def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int, n_buckets: int) -> DataFrame:
     """The pairs that link: overlaps are counted fragment by fragment, then summed per pair.
 
-    Pairs are sorted into blocks. A group of blocks gets the segments of its own sets, once per
-    fragment; the counts of a block come as one array per fragment, and are added.
+    Pairs are sorted into groups of bounded size, by the member that is no hub, and packed into blocks.
+    A group gets the segments of its own sets, packed by the buckets that hold them; what is sent is in
+    proportion to the pairs, since the number of fragments that count is fixed. One fragment passes a
+    block's pairs on, the others their overlaps alone, and only if there are any.
     """
-    n = pairs.count()
+    found = pairs.agg(F.count(F.lit(1)), F.sum(F.col("size_a").cast("long") + F.col("size_b"))).first()
+    n, n_shingles = found[0], found[1] or 0
     if not n:
         return pairs.select("a", "b")
-    n_groups = -(-n // (PAIR_BLOCK * BLOCKS))
-    placed = pairs.withColumn("grp", F.pmod(F.xxhash64("a"), F.lit(n_groups)).cast("int"))
+    n_groups = max(-(-n // PAIR_GROUP), -(-n_shingles // (COUNTING * GROUP_SHINGLES)))
+
+    def group_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """By the later member in the order of all buckets: a hub has many pairs, these go to all groups."""
+        return (mixed(np.maximum(mixed(a.view(np.uint64)), mixed(b.view(np.uint64)))) % np.uint64(n_groups)).astype(np.int32)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [batch.column(k).to_numpy() for k in range(5)]
-            for g, own in groups(values[4]):
+        held, n_held = [], 0
+
+        def blocks():
+            values = [np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(4)]
+            for g, own in groups(group_of(values[0], values[1])):
                 for at in range(0, len(own), PAIR_BLOCK):
-                    a, b, sa, sb = (v[own[at : at + PAIR_BLOCK]].tobytes() for v in values[:4])
+                    a, b, sa, sb = (v[own[at : at + PAIR_BLOCK]].tobytes() for v in values)
                     block = xxhash.xxh3_64_intdigest(a + b) - (1 << 63)
-                    yield _batch("grp int, block bigint, a binary, b binary, sizes binary", grp=[g], block=[block], a=[a], b=[b], sizes=[sa + sb])
+                    yield _batch(BLOCK, grp=[g], block=[block], a=[a], b=[b], sizes=[sa + sb])
 
-    blocks = placed.mapInArrow(pack, "grp int, block bigint, a binary, b binary, sizes binary")
-    everywhere = blocks.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(n_fragments - 1))))
-    wanted = placed.select("a", "grp").union(placed.select("b", "grp")).withColumnRenamed("a", "key").distinct()
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, counts = _whole(batch, "keys", np.int64), _whole(batch, "counts", np.uint32)
-            fragment = np.repeat(
-                batch.column("fragment").to_numpy(), [len(k) // 8 for k in batch.column("keys").to_pylist()]
-            )
-            ends = np.cumsum(counts, dtype=np.int64) * 8
-            data = b"".join(batch.column("shingles").to_pylist())
-            parts = [data[e - 8 * int(c) : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
-            yield _batch("fragment int, key bigint, shingles binary", fragment=fragment, key=keys, shingles=parts)
-
-    rows = sets.where("fragment >= 0").mapInArrow(unpack, "fragment int, key bigint, shingles binary")
-    rows = rows.join(wanted, "key").select("fragment", "grp", "key", "shingles")
+            held, n_held = [*held, batch], n_held + batch.num_rows
+            if n_held >= PACKED:
+                yield from blocks()
+                held, n_held = [], 0
+        if n_held:
+            yield from blocks()
+
+    def want(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if len(a):
+                rows = np.unique(np.stack([np.concatenate([a, b]), np.tile(group_of(a, b), 2).astype(np.int64)], 1), axis=0)
+                key = np.ascontiguousarray(rows[:, 0])
+                yield _batch(WANTED, bucket=_bucket(key, n_buckets), key=key, grp=rows[:, 1].astype(np.int32))
+
+    def pick(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The segments in a bucket that each group wants, packed per group and counting fragment."""
+        own = _whole(right, "keys", np.int64)
+        if not left.num_rows or not len(own):
+            return pa.Table.from_batches([_batch(PICKED, **dict.fromkeys(("g", "f", "keys", "counts", "shingles"), []))])
+        counts, values = _whole(right, "counts", np.uint32).astype(np.int64), _whole(right, "shingles", np.uint64)
+        per_row = [len(k) // 8 for k in right.column("keys").to_pylist()]
+        fragment = np.repeat(right.column("fragment").to_numpy().astype(np.int64), per_row)
+        begin = np.cumsum(counts) - counts
+        key, group = (left.column(c).to_numpy() for c in ("key", "grp"))
+        order = np.argsort(key, kind="stable")
+        key, group = key[order], group[order]
+        low, high = np.searchsorted(key, own), np.searchsorted(key, own, "right")
+        times = high - low
+        segment = np.repeat(np.arange(len(own)), times)
+        asked = np.arange(len(segment)) - np.repeat(np.cumsum(times) - times - low, times)
+        group, counting = group[asked].astype(np.int64), fragment[segment] * COUNTING // n_fragments
+        order = np.lexsort((fragment[segment], own[segment], counting, group))
+        segment, place = segment[order], (group * COUNTING + counting)[order]
+        limits, rows = np.append(starts(place), len(place)), []
+        for first, end in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+            part = segment[first:end]
+            n_own = counts[part]
+            at = np.arange(n_own.sum()) + np.repeat(begin[part] - (np.cumsum(n_own) - n_own), n_own)
+            g, f = divmod(int(place[first]), COUNTING)
+            rows.append((g, f, own[part].tobytes(), n_own.astype(np.uint32).tobytes(), values[at].tobytes()))
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        return pa.Table.from_batches([_batch(PICKED, **dict(zip(("g", "f", "keys", "counts", "shingles"), columns, strict=True)))])
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        held = dict(zip(right.column("key").to_pylist(), right.column("shingles").to_pylist(), strict=True))
-        arrays = {k: np.frombuffer(v, np.uint64) for k, v in held.items()}
+        keys, counts = _whole(right, "keys", np.int64), _whole(right, "counts", np.uint32).astype(np.int64)
+        values, ends = _whole(right, "shingles", np.uint64), np.cumsum(counts)
+        first = starts(keys)  # the segments of a set follow each other, in the order of fragments
+        begin = (ends - counts)[first]
+        end = ends[np.append(first[1:], len(keys)) - 1] if len(keys) else begin
+        held = {k: values[x:y] for k, x, y in zip(keys[first].tolist(), begin.tolist(), end.tolist(), strict=True)}
         nothing, out = np.empty(0, np.uint64), []
         for row in left.to_pylist():
-            pairs_a, pairs_b = np.frombuffer(row["a"], np.int64).tolist(), np.frombuffer(row["b"], np.int64).tolist()
+            a, b = np.frombuffer(row["a"], np.int64).tolist(), np.frombuffer(row["b"], np.int64).tolist()
             overlaps = np.fromiter(
-                (_common(arrays.get(x, nothing), arrays.get(y, nothing)) for x, y in zip(pairs_a, pairs_b, strict=True)),
-                np.uint32,
-                len(pairs_a),
+                (_common(held.get(x, nothing), held.get(y, nothing)) for x, y in zip(a, b, strict=True)), np.uint32, len(a)
             )
-            out.append((row["block"], row["a"], row["b"], row["sizes"], overlaps.tobytes()))
+            if not row["fragment"]:
+                out.append((row["block"], row["a"], row["b"], row["sizes"], overlaps.tobytes()))
+            elif overlaps.any():
+                out.append((row["block"], b"", b"", b"", overlaps.tobytes()))
         names = [part.split()[0] for part in COUNTED.split(", ")]
-        if not out:
-            out = [(0, b"", b"", b"", b"")]
-        return pa.Table.from_batches([_batch(COUNTED, **dict(zip(names, zip(*out, strict=True), strict=True)))])
-
-    counted = (
-        everywhere.groupBy("grp", "fragment")
-        .cogroup(rows.select(F.col("grp").alias("g"), F.col("fragment").alias("f"), "key", "shingles").groupBy("g", "f"))
-        .applyInArrow(count, COUNTED)
-    )
+        columns = zip(*out, strict=True) if out else [[]] * 5
+        return pa.Table.from_batches([_batch(COUNTED, **dict(zip(names, columns, strict=True)))])
 
     def total(table: pa.Table) -> pa.Table:
-        first = table.slice(0, 1).to_pylist()[0]
-        a, b = np.frombuffer(first["a"], np.int64), np.frombuffer(first["b"], np.int64)
-        sizes = np.frombuffer(first["sizes"], np.int32).astype(np.int64)
+        a, b = _whole(table, "a", np.int64), _whole(table, "b", np.int64)
+        sizes = _whole(table, "sizes", np.int32).astype(np.int64)
         overlap = _whole(table, "overlaps", np.uint32).reshape(table.num_rows, len(a)).sum(axis=0)
         link = overlap >= least_overlap(sizes[: len(a)], sizes[len(a) :])
         return pa.table([pa.array(a[link]), pa.array(b[link])], ["a", "b"])
 
+    blocks = pairs.mapInArrow(pack, BLOCK)
+    everywhere = blocks.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(COUNTING - 1))))
+    wanted = pairs.mapInArrow(want, WANTED).distinct()
+    held = sets.where("fragment >= 0").select("bucket", "fragment", "keys", "counts", "shingles")
+    picked = wanted.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(pick, PICKED)
+    counted = everywhere.groupBy("grp", "fragment").cogroup(picked.groupBy("g", "f")).applyInArrow(count, COUNTED)
     return counted.groupBy("block").applyInArrow(total, "a bigint, b bigint")
 
 
@@ -426,16 +480,16 @@ def link_documents(docs: DataFrame) -> DataFrame:
     members = written(keyed(docs), "members")
     about = members.agg(F.sum("about")).first()[0] or 0
     n_fragments = max(16, -(-about // FRAGMENT))
-    parts = width(spark)
+    parts = max(width(spark), -(-about // BUCKET))
     cut = segments(docs, n_fragments)
     sets = written(set_rows(shared_segments(cut, parts)), "sets")
     entries = written(prefix_entries(sets, parts), "entries")
-    links = written(linked(written(hub_pairs(entries, parts), "pairs"), sets, n_fragments), "links")
+    links = written(linked(written(hub_pairs(entries, parts), "pairs"), sets, n_fragments, parts), "links")
     labels = components(links)
     for first, last in zip(HUBS, [*HUBS[1:], None], strict=True):
         pairs = written(later_pairs(entries, labels, first, last, parts), "pairs")
         if not pairs.isEmpty():
-            more = written(linked(pairs, sets, n_fragments), "links")
+            more = written(linked(pairs, sets, n_fragments, parts), "links")
             labels = components(labels.selectExpr("key AS a", "label AS b").where("a <> b").union(more))
     # From keys to documents: a key's smallest doc_id, then a component's.
     smallest = members.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
