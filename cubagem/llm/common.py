@@ -22,13 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """The rows, written once to the shared folder, so that later steps agree on them.
 
     It cuts the lineage as well: a lost executor costs no more than the steps after the table.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

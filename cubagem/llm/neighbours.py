@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Half the first window, by the largest norm, and how much wider the next one is. A block has
-#: 65,535 vectors and 255 projections at most.
+#: Half the first window, by the largest norm, and how much wider the next one is. There are 255
+#: projections at most.
 FIRST_WINDOW, WIDER = 0.8, 1.12
 
 FOUND = "query_id bigint, vec_id bigint, score double"
@@ -23,7 +23,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     e = F.col("embedding")
     bad = F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (
-        vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<float>").alias("embedding"))
+        vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("embedding"))
         .where("vec_id IS NOT NULL AND embedding IS NOT NULL")
         .where(~bad & F.exists(e, lambda x: x != 0))
         .withColumn("dim", F.size("embedding"))
@@ -57,32 +57,35 @@ def nearest(
     candidates all stay. Ties go to the smaller vec_id. Vectors left out by ``usable``, and empty
     tables, give no rows.
     """
-    rows = usable(vectors)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    found = usable(vectors)
+    peaks = found.groupBy("dim").agg(F.max(F.array_max(F.transform("embedding", F.abs))).alias("peak"))
+    rows = found.join(peaks, "dim")
+    # Divided by the largest component, so no square is too large for a double.
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + (x / F.col("peak")) * (x / F.col("peak"))))
     sizes = rows.groupBy("dim").agg(
         F.max(norm).alias("largest"),
         F.ceil(F.count("*") / block).cast("int").alias("blocks"),
         F.greatest(F.lit(1), F.ceil(F.count_if(F.col("vec_id") % every == 0) / query_block)).cast("int").alias("groups"),
     )
     sized = rows.join(sizes, "dim")
-    candidates = sized.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks").cast("long"))).withColumn(
+    candidates = sized.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.col("blocks").cast("long"))).withColumn(
         "query_group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
     )
     queries = (
         sized.where(F.col("vec_id") % every == 0)
-        .groupBy("dim", "vec_id", "blocks", "groups", "largest")
+        .groupBy("dim", "vec_id", "blocks", "groups", "largest", "peak")
         .agg(F.min("embedding").alias("embedding"))
         .withColumn("query_group", F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col("groups")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
     )
-    keys, columns = ["dim", "block", "query_group"], ["vec_id", "embedding", "largest"]
+    keys, columns = ["dim", "block", "query_group"], ["vec_id", "embedding", "largest", "peak"]
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return FOUND_ARROW.empty_table()
         right = right.rename_columns(left.column_names)
         largest = left.column("largest")[0].as_py()
-        index = Block(_matrix(left), _ids(left), largest, projections, seed)
+        index = Block(_matrix(left), _ids(left), largest, projections, seed, left.column("peak")[0].as_py())
         found = [
             index.search(i, q, k, threshold, share) for i, q in zip(_ids(right).tolist(), _matrix(right), strict=True)
         ]
@@ -115,8 +118,9 @@ def _matrix(table: pa.Table) -> np.ndarray:
 class Block:
     """Sorted projections of some vectors, and the search in them."""
 
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray, largest: float, projections: int, seed: int):
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, largest: float, projections: int, seed: int, peak: float = 1.0):
         self.vectors, self.ids, self.largest = vectors, ids, largest
+        vectors = vectors / peak  # ``largest`` is a norm of these
         self.rough = vectors.astype(np.float32)
         self.lines = _lines(vectors.shape[1] + 1, projections, seed)
         lift = np.sqrt(np.maximum(largest**2 - np.einsum("ij,ij->i", vectors, vectors), 0.0))
@@ -124,16 +128,17 @@ class Block:
         order = np.argsort(heights, axis=1, kind="stable")
         self.sorted = np.take_along_axis(heights, order, axis=1)
         # Where each vector stands in each sorted array: a window is a range of these places.
-        self.place = np.empty(heights.shape, np.uint16)
-        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=np.uint16)[None, :], axis=1)
+        self.place = np.empty(heights.shape, np.uint32)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=np.uint32)[None, :], axis=1)
 
     def search(self, own: int, query: np.ndarray, k: int, threshold: float, share: float):
         near = self.candidates(query, threshold, k + 1 + int(share * len(self.ids)))
         near = near[self.ids[near] != own]
+        unit = _unit(query)
         if len(near) > 4 * k:
             # Single precision is off by less than this, so nothing of the first k is lost.
-            rough = self.rough[near] @ query.astype(np.float32)
-            slack = 1e-5 * self.largest * np.sqrt(query @ query) * np.sqrt(len(query))
+            rough = self.rough[near] @ unit.astype(np.float32)
+            slack = 1e-5 * self.largest * np.sqrt(len(query))
             near = near[rough >= np.partition(rough, len(near) - k)[len(near) - k] - slack]
         scores = np.einsum("ij,j->i", self.vectors[near], query)
         top = np.lexsort((self.ids[near], -scores))[:k]
@@ -142,7 +147,7 @@ class Block:
     def candidates(self, query: np.ndarray, threshold: float, wanted: int) -> np.ndarray:
         """Positions of the vectors that share enough windows, from the smallest windows that give enough."""
         n, least = len(self.ids), int(np.ceil(threshold * len(self.place)))
-        centres = (query * (self.largest / np.sqrt(query @ query))) @ self.lines[:-1]
+        centres = (_unit(query) * self.largest) @ self.lines[:-1]
         half = FIRST_WINDOW * self.largest
         while True:
             hits, whole = np.zeros(n, np.uint8), True
@@ -151,7 +156,7 @@ class Block:
                 if high - low == n:
                     hits += 1
                 else:
-                    hits += (place - np.uint16(low) < np.uint16(high - low)).view(np.uint8)
+                    hits += (place - np.uint32(low) < np.uint32(high - low)).view(np.uint8)
                     whole = False
             enough = np.flatnonzero(hits >= least)
             if len(enough) >= min(wanted, n) or whole:
@@ -159,6 +164,11 @@ class Block:
             half *= WIDER
 
 
+def _unit(vector: np.ndarray) -> np.ndarray:
+    scaled = vector / np.abs(vector).max()
+    return scaled / np.sqrt(scaled @ scaled)
+
+
 def _lines(dim: int, projections: int, seed: int) -> np.ndarray:
     """Random directions, each group of ``dim`` of them orthogonal, scaled like normal random vectors."""
     rng = np.random.default_rng(seed)

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from cubagem.llm.neighbours import nearest
+from cubagem.llm.neighbours import Block, nearest
 
 VECTORS = "vec_id long, embedding array<float>, label int, rank string"
 
@@ -52,3 +52,26 @@ def test_odd_vectors(spark):
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     assert got == {0: [(1, 1.0), (2, 1.0), (6, -1.0), (6, -1.0)]}
     assert nearest(spark.createDataFrame([], VECTORS)).collect() == []
+
+
+def test_doubles_stay_doubles(spark):
+    rows = [(0, [0.3, 0.1]), (1, [1.0, 0.9]), (2, [0.1, 0.2])]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(1, 0.3 * 1.0 + 0.1 * 0.9), (2, 0.3 * 0.1 + 0.1 * 0.2)]
+
+
+def test_more_rows_than_16_bits_number():
+    vectors = np.random.default_rng(3).standard_normal((70_000, 4))
+    index = Block(vectors, np.full(70_000, 7), float(np.linalg.norm(vectors, axis=1).max()), 16, 9)
+    ids, scores = index.search(0, vectors[0], 20, 0.6, 0.05)
+    assert (ids == 7).all() and np.allclose(scores, np.sort(vectors @ vectors[0])[::-1][:20])
+
+
+def test_components_far_apart_in_size(spark):
+    rows = [(0, [1e200, 0.0]), (1, [2e100, 1.0]), (2, [-1e-200, 1e-300]), (20, [5e-324, 1e-200]), (3, [1e100, 1e200])]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    got = {q: [(r["vec_id"], r["score"]) for r in found if r["query_id"] == q] for q in (0, 20)}
+    vectors = {i: np.array(v) for i, v in rows}
+    for q, near in got.items():
+        every = sorted((-float(np.einsum("j,j->", vectors[i], vectors[q])), i) for i in vectors if i != q)
+        assert near == [(i, -s) for s, i in every]
