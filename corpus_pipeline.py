@@ -10,8 +10,14 @@ from cubagem.llm.common import table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; null texts and texts without a letter go."""
-    predicted = language_id.identify(docs, columns=True)
+    """Documents in a language that can be told; null texts and texts without a letter go, and nothing else.
+
+    All with a letter stay where no row has a language to learn from.
+    """
+    samples = language_id.training_samples(docs)
+    if not samples:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    predicted = language_id.identify(docs, samples, columns=True)
     kept = predicted.where(F.col("lang_pred") != language_id.UNDETERMINED)
     return kept.select("row.*")
 
@@ -23,7 +29,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without items of the benchmark."""
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), exact=True)
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
