@@ -50,12 +50,19 @@ def word_hashes(text: bytes) -> np.ndarray:
 def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit hash of each run of ``length`` consecutive values."""
     n = len(hashes) - length + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = hashes[:n].copy()
-    for k in range(1, length):
+    return _hashed([hashes[k : n + k] for k in range(length)]) if n > 0 else np.empty(0, np.uint64)
+
+
+def row_hashes(values: np.ndarray) -> np.ndarray:
+    """The hash of each row of a table, equal to that of a run of its values."""
+    return _hashed(list(values.T))
+
+
+def _hashed(columns: list[np.ndarray]) -> np.ndarray:
+    out = columns[0].copy()
+    for column in columns[1:]:
         out *= _MULTIPLIER
-        out += hashes[k : n + k]
+        out += column
         out ^= out >> np.uint64(29)
     return mixed(out)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +12,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubagem.llm.common import mixed, run_hashes, starts, written
+from cubagem.llm.common import mixed, row_hashes, run_hashes, written
 
 #: Words of a template window; a shorter item has one window of all its words, but not below SHORTEST.
 WINDOW, SHORTEST = 8, 5
 #: A window needs this share of words that are no placeholders.
 LITERAL_SHARE = 0.5
+#: From this share of capitals among the lettered words of a window, its case tells no names.
+LOUD_SHARE = 0.75
 #: A document leaks an item from this share of the item's windows.
 LEAK_SHARE = 0.5
 #: Bits of the filter that tasks test their windows with: 2 MB, whatever the size of the benchmark.
@@ -31,7 +34,7 @@ UNITS = (
     "dollar dollars euro euros pound pounds yen usd eur gbp"
 )
 
-LITERAL, NUMBER, NAME, UNIT, QUANTITY = 0, 1, 2, 3, 4
+LITERAL, NUMBER, NAME, UNIT, QUANTITY, EMPTY = 0, 1, 2, 3, 4, 5
 _MARKS = ("", "<number>", "<name>", "<unit>", "<quantity>")
 _MARK_HASHES = np.array([0] + [xxhash.xxh3_64_intdigest(m) for m in _MARKS[1:]], np.uint64)
 _UNITS = frozenset(UNITS.split())
@@ -53,9 +56,9 @@ _WINS = """p = array_max(transform(filter(pairs, q -> q.item = p.item), q -> str
 
 
 class Words(dict):
-    """The place of each word in arrays of what words are: hash, kind, whether it ends a sentence.
+    """The place of each word in arrays of what words are: hash, kind, whether it ends a sentence or begins with a capital.
 
-    A name is a capitalised word, for now.
+    A name is a capitalised word, for now; punctuation that stands alone is empty.
     """
 
     def __init__(self):
@@ -63,12 +66,15 @@ class Words(dict):
         self.values = np.empty(REMEMBERED, np.uint64)
         self.kinds = np.empty(REMEMBERED, np.int8)
         self.ends = np.empty(REMEMBERED, bool)
+        self.capitals = np.empty(REMEMBERED, bool)
 
     def __missing__(self, word: str) -> int:
         # Only letters: nothing to strip, and no number.
         bare = word if word.isalpha() else bare_word(word)
         kind, lower = LITERAL, bare.lower()
-        if not bare.isalpha() and _NUMBER.match(bare):
+        if not bare:
+            kind = EMPTY
+        elif not bare.isalpha() and _NUMBER.match(bare):
             kind = NUMBER
         elif not bare.isalpha() and (match := _QUANTITY.match(bare)) and match[1].lower() in _UNITS:
             kind = QUANTITY
@@ -80,41 +86,66 @@ class Words(dict):
         self.values[place] = xxhash.xxh3_64_intdigest(lower)
         self.kinds[place] = kind
         self.ends[place] = word[-1:] in ".!?:"
+        self.capitals[place] = bare[:1].isupper()
         return place
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, kind and end of each word of a text; begins anew where new words could not be kept."""
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, kind, end and capital of each word of a text; begins anew where new words could not be kept."""
         if len(self) + len(words) > REMEMBERED:
             self.clear()
         if len(words) > REMEMBERED:
             parts = [self.of(words[k : k + REMEMBERED]) for k in range(0, len(words), REMEMBERED)]
             return tuple(map(np.concatenate, zip(*parts, strict=True)))
         places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.values[places], self.kinds[places], self.ends[places]
+        return self.values[places], self.kinds[places], self.ends[places], self.capitals[places]
 
 
 def bare_word(word: str) -> str:
     return _EDGES.sub("", word)
 
 
-def templated(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, kind) of each word of a text.
+@dataclass
+class Tagged:
+    """The words of a text that are not empty: hashes of lower-cased words, kinds, hashes with placeholders, capitals."""
+
+    words: list[str]
+    literals: np.ndarray
+    kinds: np.ndarray
+    capitals: np.ndarray
+
+    @property
+    def values(self) -> np.ndarray:
+        return np.where(self.kinds == LITERAL, self.literals, _MARK_HASHES[self.kinds])
+
+    @property
+    def lettered(self) -> np.ndarray:
+        return (self.kinds == LITERAL) | (self.kinds == NAME)
+
+
+def tagged(words: list[str], known: Words) -> Tagged:
+    """What the words of a text are.
 
     Numbers are numbers, also with a currency sign; a unit counts only after a number, or written
     together with it as a quantity; a name is a capitalised word that begins no sentence. All
-    others are literals, compared in lower case and without punctuation around them.
+    others are literals, compared in lower case and without punctuation around them. Punctuation
+    alone is no word, but can end a sentence.
     """
-    return tagged(words, known)[1:]
-
-
-def tagged(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hash of each lower-cased word, then what ``templated`` returns."""
-    values, kinds, ends = known.of(words)
+    literals, kinds, ends, capitals = known.of(words)
     opens = np.concatenate([[True], ends[:-1]])
-    after_number = np.concatenate([[False], kinds[:-1] == NUMBER])
     kinds[(kinds == NAME) & opens] = LITERAL
+    if (kinds == EMPTY).any():
+        kept = np.flatnonzero(kinds != EMPTY)
+        words = [words[i] for i in kept.tolist()]
+        literals, kinds, capitals = literals[kept], kinds[kept], capitals[kept]
+    after_number = np.concatenate([[False], kinds[:-1] == NUMBER])[: len(kinds)]
     kinds[(kinds == UNIT) & ~after_number] = LITERAL
-    return values, np.where(kinds == LITERAL, values, _MARK_HASHES[kinds]), kinds
+    return Tagged(words, literals, kinds, capitals)
+
+
+def templated(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, kind) of each word of a text that is not empty."""
+    text = tagged(words, known)
+    return text.values, text.kinds
 
 
 def exact_windows(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,9 +164,38 @@ def windows_of(values: np.ndarray, kinds: np.ndarray, length: int) -> tuple[np.n
     return mixed(hashes[enough] + np.uint64(length)), enough
 
 
+def loud_windows(text: Tagged, length: int, masks: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(hashes, positions, kinds of words) of windows in capitals, for each mask of the places where an item has names.
+
+    There, case tells no names, so the item does: words at its places are names and other words are literals.
+    """
+    if len(text.kinds) < length or not masks:
+        return
+    lettered = text.lettered
+    sums = np.cumsum(np.concatenate([[False], text.capitals & lettered]), dtype=np.int32)
+    at = np.flatnonzero(sums[length:] - sums[:-length] >= LOUD_SHARE * LITERAL_SHARE * length)
+    n_lettered = lettered[at[:, None] + np.arange(length)].sum(1)
+    at = at[(sums[at + length] - sums[at] >= LOUD_SHARE * n_lettered) & (n_lettered >= LITERAL_SHARE * length)]
+    if not len(at):
+        return
+    places = at[:, None] + np.arange(length)
+    kinds = np.where(lettered, LITERAL, text.kinds)[places]
+    values = np.where(kinds == LITERAL, text.literals[places], _MARK_HASHES[kinds])
+    for mask in masks:
+        named = [k for k in range(length) if mask >> k & 1]
+        fits = np.flatnonzero((kinds[:, named] == LITERAL).all(1) & ((kinds == LITERAL).sum(1) - len(named) >= LITERAL_SHARE * length))
+        own, own_kinds = values[fits], kinds[fits]
+        own[:, named], own_kinds[:, named] = _MARK_HASHES[NAME], NAME
+        yield mixed(row_hashes(own) + np.uint64(length)), at[fits], own_kinds
+
+
 def _rows(words: list[str], kinds: np.ndarray, at: int, length: int) -> tuple[str, list[str]]:
     """A window as text with placeholders, and what they stand for."""
-    own, kind = [bare_word(w) for w in words[at : at + length]], kinds[at : at + length].tolist()
+    return _row(words, kinds[at : at + length], at)
+
+
+def _row(words: list[str], kinds: np.ndarray, at: int) -> tuple[str, list[str]]:
+    own, kind = [bare_word(w) for w in words[at : at + len(kinds)]], kinds.tolist()
     template = " ".join(w.lower() if k == LITERAL else _MARKS[k] for w, k in zip(own, kind, strict=True))
     return template, [f"{_MARKS[k]}{w}" for w, k in zip(own, kind, strict=True) if k != LITERAL]
 
@@ -153,48 +213,54 @@ class _Filter:
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def template_windows(rows: DataFrame, lengths: tuple[int, ...] | None = None, bits=None, exact: bool = False) -> DataFrame:
-    """Template windows of rows (text_key, text), and with ``exact`` windows of their lower-cased words.
+def template_windows(rows: DataFrame, masks: dict[int, list[int]] | None = None, bits=None) -> DataFrame:
+    """Windows of templates and of lower-cased words of rows (text_key, text).
 
-    With ``lengths``, those windows of each length that pass the filter; without, the windows of
-    items: of WINDOW words, or of all words of a shorter item.
+    With ``masks``, whose keys are lengths of windows and whose values are places of names, those windows of
+    each length that pass the filter; without, the windows of items: of WINDOW words, or of all
+    words of a shorter item. Only templates of SHORTEST words and more count.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, out = Words(), []
         test = _Filter(bits.value) if bits else None
+
+        def kept(hashes: np.ndarray) -> np.ndarray:
+            return np.flatnonzero(test(hashes)) if test else np.arange(len(hashes))
+
         for batch in batches:
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = (text or "").split()
-                if not words or (len(words) < SHORTEST and not exact):
+                if not words:
+                    continue
+                found = tagged(words, known)
+                words, values = found.words, found.values
+                if not words:
                     continue
-                literals, values, kinds = tagged(words, known)
-                for length in lengths or (min(len(words), WINDOW),):
-                    for literal in (False, True) if exact else (False,):
-                        if literal:
-                            hashes, places = exact_windows(literals, length)
-                            n = len(places)
-                        elif length < SHORTEST:
-                            continue
-                        else:
-                            hashes, places = windows_of(values, kinds, length)
-                            n = len(places)
-                        if test and len(places):
-                            kept = np.flatnonzero(test(hashes))
-                            hashes, places = hashes[kept], places[kept]
-                        if literal and lengths and len(places):  # of a document, one of each is enough
-                            hashes, first = np.unique(hashes, return_index=True)
-                            places = places[first]
-                        for window, at in zip(hashes.view(np.int64).tolist(), places.tolist(), strict=True):
-                            if literal:
-                                own = " ".join([bare_word(w).lower() for w in words[at : at + length]])
-                                out.append((key, window, EXACT + own, [], at, [], n))
-                            else:
-                                open_places = (np.flatnonzero(kinds[at : at + length]) + at).tolist()
-                                out.append((key, window, *_rows(words, kinds, at, length), at, open_places, n))
-                            if len(out) >= 20_000:
-                                yield _windows(out)
-                                out = []
+                for length in masks or (min(len(words), WINDOW),):
+                    templates = []
+                    if length >= SHORTEST:
+                        hashes, places = windows_of(values, found.kinds, length)
+                        own = kept(hashes)
+                        templates = [(h, p, found.kinds[p : p + length], len(places)) for h, p in zip(hashes[own], places[own].tolist(), strict=True)]
+                        for hashes, places, kinds in loud_windows(found, length, masks[length] if masks else []):
+                            own = kept(hashes)
+                            templates += [(hashes[i], int(places[i]), kinds[i], len(places)) for i in own.tolist()]
+                    for window, at, kinds, n in templates:
+                        template, slots = _row(words, kinds, at)
+                        out.append((key, int(window.view(np.int64)), template, slots, at, (np.flatnonzero(kinds) + at).tolist(), n))
+                    hashes, places = exact_windows(found.literals, length)
+                    n, own = len(places), kept(hashes)
+                    hashes, places = hashes[own], places[own]
+                    if masks and len(places):  # of a document, one of each is enough
+                        hashes, first = np.unique(hashes, return_index=True)
+                        places = places[first]
+                    for window, at in zip(hashes.view(np.int64).tolist(), places.tolist(), strict=True):
+                        own = " ".join([bare_word(w).lower() for w in words[at : at + length]])
+                        out.append((key, window, EXACT + own, [], at, [], n))
+                    if len(out) >= 20_000:
+                        yield _windows(out)
+                        out = []
         if out:
             yield _windows(out)
 
@@ -217,7 +283,18 @@ def _filter_bits(windows: DataFrame):
     return [(r["place"], r["bits"]) for r in words.collect()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> DataFrame:
+def _masks(item_windows: DataFrame) -> dict[int, list[int]]:
+    """The lengths of items' windows, and the places of names in templates of a length, as bits: at most 2^WINDOW."""
+    named = "filter(arrays_zip(slots, places), z -> startswith(z.slots, '<name>'))"
+    mask = F.expr(f"aggregate({named}, 0, (m, z) -> m | shiftleft(1, z.places - position))")
+    length = F.size(F.split("template", " "))
+    out: dict[int, list[int]] = {}
+    for row in item_windows.select(length.alias("length"), mask.alias("mask")).distinct().orderBy("length", "mask").collect():
+        out.setdefault(row["length"], []).append(row["mask"])
+    return out
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, share, n_slots, reparameterised): benchmark items found in documents.
 
     Texts become templates, with typed placeholders for numbers, names and units. Windows of
@@ -228,24 +305,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> Da
     them differs. Tasks drop windows by a filter of fixed size before the join, so only possible
     hits are shuffled.
 
-    Case tells names only where a text is in usual case. With ``exact``, the windows of lower-cased
-    words are hash-joined too, all of them, at any offset: a shouted, title-case or lower-case copy of
-    an item is found by its words. ``share`` is then that of the template windows if they alone are
+    Case tells names only where a text is in usual case. Windows mostly in capitals take the places of names from the
+    items. The windows of lower-cased words are hash-joined too, all of them, at any offset: a shouted, title-case
+    or lower-case copy of an item is found by its words. ``share`` is that of the template windows if they alone are
     enough, and else the part of all windows that is found in either way; an item found by exact words
-    only has no slots. The queries and the pipeline ask for it.
+    only has no slots. A lower-case copy with other values counts by its unchanged words only.
 
-    Null and empty texts match nothing; without ``exact``, nor do texts below SHORTEST words and items
-    without a window of enough literals. Rows are told apart by doc_id and text: repeated rows are one, and null ids stay null.
+    Null and empty texts and texts of punctuation match nothing; texts below SHORTEST words and items
+    without a window of enough literals match by their words only. Rows are told apart by doc_id and text: repeated rows are one, and null ids stay null.
     Repeated items are one per item_id and text. Empty tables give no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("item_id", "text").alias("text_key"), "text")
-    item_windows = written(template_windows(items, exact=exact).join(items.select("text_key", "item_id").distinct(), "text_key"), "items")
-    lengths = tuple(sorted(int(r[0]) for r in item_windows.select(F.size(F.split("template", " "))).distinct().collect()))
+    item_windows = written(template_windows(items).join(items.select("text_key", "item_id").distinct(), "text_key"), "items")
+    masks = _masks(item_windows)
     bits = spark.sparkContext.broadcast(_filter_bits(item_windows))
     # A document's windows are joined by a key of id and text, which finds its way back below.
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("doc_id", "text").alias("text_key"), "text")
-    found = template_windows(keyed, lengths or (WINDOW,), bits, exact).alias("d")
+    found = template_windows(keyed, masks or {WINDOW: []}, bits).alias("d")
+    # Read twice below.
     hits = found.join(item_windows.alias("i"), F.expr("d.window = i.window AND d.template = i.template")).select(
         F.col("d.text_key").alias("text_key"),
         F.startswith("i.template", F.lit(EXACT)).alias("exact"),
@@ -256,8 +334,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> Da
         F.col("i.n_windows").alias("n_windows"),
         F.arrays_zip(F.col("i.slots").alias("item"), F.col("d.slots").alias("doc"), F.col("i.places").alias("place")).alias("slots"),
     )
-    if exact:  # read twice below
-        hits = written(hits, "hits")
+    hits = written(hits, "hits")
     same = ["text_key", "item_id", "item_key"]
     by_offset = hits.where("NOT exact").groupBy(*same, "offset").agg(
         F.collect_set(F.struct("position", "slots")).alias("hits"), F.max("n_windows").alias("n_windows")
@@ -286,7 +363,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> Da
         (all_of(F.when(~F.col("exact"), F.col("positions"))) / F.max(F.when(~F.col("exact"), F.col("n_windows")))).alias("by_template"),
         (all_of("positions") / F.max(F.when(F.col("exact"), F.col("n_windows")))).alias("by_either"),
         F.coalesce(F.max(F.size("slots")), F.lit(0)).cast("int").alias("n_slots"),
-        F.coalesce(F.max(F.exists("slots", lambda s: s["item"] != s["doc"])), F.lit(False)).alias("reparameterised"),
+        F.coalesce(F.max(F.exists("slots", lambda s: F.lower(s["item"]) != F.lower(s["doc"]))), F.lit(False)).alias("reparameterised"),
     )
     share = F.when(F.col("by_template") >= LEAK_SHARE, F.col("by_template")).otherwise(F.col("by_either"))
     by_item = by_item.withColumn("share", share).where(F.col("share") >= LEAK_SHARE)
@@ -299,8 +376,8 @@ def text_key(doc_id: str, text: str):
     return F.xxhash64(doc_id, text)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, exact: bool = False) -> DataFrame:
-    """The documents that leak no benchmark item, unchanged; ``exact`` as in find_leaks."""
-    leaks = written(find_leaks(docs, benchmark, exact).select(F.col("text_key").alias("_leak")).distinct(), "leaks")
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that leak no benchmark item, unchanged."""
+    leaks = written(find_leaks(docs, benchmark).select(F.col("text_key").alias("_leak")).distinct(), "leaks")
     keyed = docs.select(F.struct(*docs.columns).alias("row"), text_key("doc_id", "text").alias("_key"))
     return keyed.join(leaks, F.expr("_key = _leak"), "left_anti").select("row.*")

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 
@@ -10,36 +11,62 @@ DOCS = "doc_id long, text string, item_id string, share int"
 ITEMS = "item_id long, text string, doc_id int"
 
 
-def brute(docs, items):
-    """Every window of every document against every window of every item."""
-    known, out = D.Words(), set()
+def cut(text, length):
+    """Each window of a text: its words without punctuation, what they are, whether case tells nothing there."""
+    own = D.tagged((text or "").split(), D.Words()) if (text or "").split() else None
+    if own is None:
+        return []
+    bare, out = [D.bare_word(w) for w in own.words], []
+    for p in range(len(bare) - length + 1):
+        words, kinds, capitals = bare[p : p + length], own.kinds[p : p + length].tolist(), own.capitals[p : p + length].tolist()
+        lettered = [k in (D.LITERAL, D.NAME) for k in kinds]
+        loud = sum(lettered) >= D.LITERAL_SHARE * length and sum(c and x for c, x in zip(capitals, lettered, strict=True)) >= D.LOUD_SHARE * sum(lettered)
+        out.append((words, kinds, loud))
+    return out
+
+
+def kinds_as(wanted, other, loud):
+    """The kinds of a document's window, with names where the item has them, if its case tells nothing."""
+    if not loud:
+        return other
+    return [w if k in (D.LITERAL, D.NAME) and w == D.NAME else D.LITERAL if k == D.NAME else k for w, k in zip(wanted, other, strict=True)]
+
 
-    def windows(text, length):
-        words = (text or "").split()
-        if len(words) < D.SHORTEST:
-            return []
-        values, kinds = D.templated(words, known)
-        hashes, places = D.windows_of(values, kinds, length)
-        return [(h, p, *D._rows(words, kinds, p, length)) for h, p in zip(hashes.tolist(), places.tolist(), strict=True)]
+def agreeing(hits):
+    """Places of an item in a document's windows at one offset, whose open words are those that most places have."""
+    places = {(q + k, a, b) for q, open_words in hits for k, a, b in open_words}
+    votes = Counter((a, b) for _, a, b in places)
+    best = {}
+    for (a, b), n in votes.items():
+        best[a] = max(best.get(a, (0, False, "")), (n, a == b, b))
+    return {q for q, open_words in hits if all(best[a][2] == b for _, a, b in open_words)}
 
+
+def brute(docs, items):
+    """Every window of every document against every window of every item, by words and by templates."""
+    out = set()
     for item_id, text in items:
-        length = min(D.WINDOW, len((text or "").split()))
-        if length < D.SHORTEST:
-            continue
-        own = windows(text, length)
-        for doc_id, other in docs:
-            offsets = {}
-            for _, p, template, slots in windows(other, length):
-                for _, q, template_2, slots_2 in own:
-                    if template == template_2:
-                        offsets.setdefault(p - q, []).append((q, list(zip(slots_2, slots, strict=True))))
-            found = set()
-            for hits in offsets.values():
-                pairs = {pair for _, slots in hits for pair in slots}
-                if len({a for a, _ in pairs}) == len(pairs):
-                    found |= {q for q, _ in hits}
-            if own and len(found) / len(own) >= D.LEAK_SHARE:
-                out.add((doc_id, item_id, len(found) / len(own)))
+        words = [w for w in (text or "").split() if D.bare_word(w)]
+        length = min(D.WINDOW, len(words))
+        own = cut(text, length) if words else []
+        usable = {q for q, (_, kinds, _) in enumerate(own) if length >= D.SHORTEST and kinds.count(D.LITERAL) >= D.LITERAL_SHARE * length}
+        for doc_id, other in docs if own else []:
+            offsets, exact = {}, set()
+            for p, (theirs, kinds_2, loud) in enumerate(cut(other, length)):
+                for q, (ours, kinds, _) in enumerate(own):
+                    if [w.lower() for w in ours] == [w.lower() for w in theirs]:
+                        exact.add(q)
+                    for as_kinds in {tuple(kinds_2), tuple(kinds_as(kinds, kinds_2, loud))} if q in usable else ():
+                        same = all(k != D.LITERAL or a.lower() == b.lower() for k, a, b in zip(kinds, ours, theirs, strict=True))
+                        if list(as_kinds) == kinds and same:
+                            marked = [(k, (kind, a), (kind, b)) for k, (kind, a, b) in enumerate(zip(kinds, ours, theirs, strict=True)) if kind]
+                            offsets.setdefault(p - q, []).append((q, marked))
+            found = set().union(*map(agreeing, offsets.values()))
+            share = len(found) / len(usable) if usable else 0
+            if share < D.LEAK_SHARE:
+                share = len(found | exact) / len(own)
+            if share >= D.LEAK_SHARE:
+                out.add((doc_id, item_id, share))
     return out
 
 
@@ -127,3 +154,23 @@ def test_items_without_literals(spark, tmp_path):
     docs = [(i, f"lorem {text or ''} ipsum") for i, text in enumerate(items)] + [(9, "12 7 5 kg 9 4 88 41 6 3 15. So why?")]
     found, kept = both(spark, tmp_path, docs, list(enumerate(items)))
     assert found == {(0, 0), (1, 1), (2, 2)} and kept == {3, 4, 9}
+
+
+@pytest.mark.parametrize("written", [str.upper, str.title, lambda t: t.replace(" ", " , ").replace("?", " ?")], ids=["upper", "title", "stray"])
+def test_reparameterised_in_any_writing(spark, written):
+    other = "He walks 5 km to see nobody and then she walks 5 km back, how many hours did it take the two of them?"
+    texts = [f"see: {written(SAME)} And so on.", written(other), f"once more {written(ITEM)}", written(MIXED), ". , ! ?", None]
+    docs = spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], DOCS)
+    found = {(r["doc_id"], r["item_id"], r["share"]): r for r in D.find_leaks(docs, spark.createDataFrame([(7, ITEM, 0), (8, " . ,", 0)], ITEMS)).collect()}
+    assert found.keys() == brute(list(enumerate(texts)), [(7, ITEM), (8, " . ,")])
+    by_doc = {i: r for (i, _, _), r in found.items()}
+    assert {0, 2} <= by_doc.keys() and 1 not in by_doc
+    assert by_doc[0]["reparameterised"] and not by_doc[2]["reparameterised"]
+
+
+def test_repeated_windows(spark):
+    item = "the cat sat on the mat and " * 6
+    texts = [item * 3, item[:40], "the dog sat on a mat and " * 9]
+    docs = spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], DOCS)
+    found = {(r["doc_id"], r["item_id"], r["share"]) for r in D.find_leaks(docs, spark.createDataFrame([(7, item, 0)], ITEMS)).collect()}
+    assert found == brute(list(enumerate(texts)), [(7, item)]) and {i for i, _, _ in found} >= {0}

@@ -85,3 +85,8 @@ def test_empty(spark, tmp_path):
         assert found.collect() == []
         if stage is not corpus_pipeline.shard:
             assert found.columns == docs.columns
+
+
+def test_nothing_to_learn(spark):
+    docs = spark.createDataFrame([(1, "abc", None, "s", 3), (2, "12", None, "s", 2), (3, None, None, "s", 0)], DOCS)
+    assert [tuple(r) for r in corpus_pipeline.identify_language(spark, docs, "").collect()] == [(1, "abc", None, "s", 3)]
