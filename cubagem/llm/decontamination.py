@@ -97,7 +97,7 @@ class Words(dict):
             parts = [self.of(words[k : k + REMEMBERED]) for k in range(0, len(words), REMEMBERED)]
             return tuple(map(np.concatenate, zip(*parts, strict=True)))
         places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.values[places], self.kinds[places], self.ends[places], self.capitals[places]
+        return tuple(kept.take(places) for kept in (self.values, self.kinds, self.ends, self.capitals))
 
 
 def bare_word(word: str) -> str:
@@ -115,7 +115,9 @@ class Tagged:
 
     @property
     def values(self) -> np.ndarray:
-        return np.where(self.kinds == LITERAL, self.literals, _MARK_HASHES[self.kinds])
+        out, open_places = self.literals.copy(), np.flatnonzero(self.kinds)
+        out[open_places] = _MARK_HASHES[self.kinds[open_places]]
+        return out
 
     @property
     def lettered(self) -> np.ndarray:
@@ -148,6 +150,13 @@ def templated(words: list[str], known: Words) -> tuple[np.ndarray, np.ndarray]:
     return text.values, text.kinds
 
 
+def _running(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place, and in all."""
+    out = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
 def exact_windows(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, position) of all windows of a length, whatever their words are."""
     hashes = run_hashes(values, length) ^ (_EXACT_SALT + np.uint64(length))
@@ -159,7 +168,7 @@ def windows_of(values: np.ndarray, kinds: np.ndarray, length: int) -> tuple[np.n
     hashes = run_hashes(values, length)
     if not len(hashes):
         return hashes, np.empty(0, np.int64)
-    sums = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+    sums = _running(kinds == LITERAL)
     enough = np.flatnonzero(sums[length:] - sums[:-length] >= LITERAL_SHARE * length)
     return mixed(hashes[enough] + np.uint64(length)), enough
 
@@ -172,9 +181,11 @@ def loud_windows(text: Tagged, length: int, masks: list[int]) -> Iterator[tuple[
     if len(text.kinds) < length or not masks:
         return
     lettered = text.lettered
-    sums = np.cumsum(np.concatenate([[False], text.capitals & lettered]), dtype=np.int32)
+    sums = _running(text.capitals & lettered)
     at = np.flatnonzero(sums[length:] - sums[:-length] >= LOUD_SHARE * LITERAL_SHARE * length)
-    n_lettered = lettered[at[:, None] + np.arange(length)].sum(1)
+    if not len(at):
+        return
+    n_lettered = (all_sums := _running(lettered))[at + length] - all_sums[at]
     at = at[(sums[at + length] - sums[at] >= LOUD_SHARE * n_lettered) & (n_lettered >= LITERAL_SHARE * length)]
     if not len(at):
         return
@@ -210,7 +221,7 @@ class _Filter:
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> np.uint64(64 - FILTER_BITS)
-        return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return (self.bits.take((at >> np.uint64(6)).view(np.int64)) >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
 def template_windows(rows: DataFrame, masks: dict[int, list[int]] | None = None, bits=None) -> DataFrame:
