@@ -4,6 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from cubagem import queries
 from cubagem.operators import ingest
 from cubagem.plans import chunks
 from cubagem.sources import packed, sinks, star
@@ -58,3 +59,41 @@ def test_compressed_values_are_read_by_the_same_places(spark, tmp_path):
         index = packed.index(spark, path).collect()
         made[compressed] = sorted(map(str, values)), sorted((r.agregado_id, r.bloco, r.arquivo, r.inicio, r.bytes, r.sha256) for r in index)
     assert made[True] == made[False] and len(made[True][0]) == 70
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_are_made_after_the_last_shuffle(spark):
+    """Every choice of categories went through a shuffle, with all that its level has."""
+    source = catalog(spark, [Cube(1, periods=6, localities={"N6": 40, "N1": 2}, variables=3, categories=(30, 2))])
+    text = plan_text(chunks.plan_chunks(source, limit=1))
+    made = text[: text.index("Join")]
+    assert made.count("Generate") == 2 and "Exchange" not in made
+
+
+def test_units_of_any_size_make_the_same_plan(spark, monkeypatch):
+    """A unit holds several batches, one, or a part of one."""
+    cubes = [
+        Cube(1, periods=5, localities={"N1": 2, "N6": 11}, variables=3, categories=(4, 3)),
+        Cube(2, periods=1, localities={"N3": 7}, variables=1, categories=()),
+        Cube(3, periods=2, localities={"N3": 1}, variables=2, categories=(7, 0)),
+    ]
+    source = catalog(spark, cubes)
+    for limit in (1, 30):
+        plans = []
+        for unit in (1 << 14, 7):
+            monkeypatch.setattr(chunks, "UNIT", unit)
+            plans.append(sorted(map(str, chunks.plan_chunks(source, limit=limit).collect())))
+        counts = {(r.agregado_id, r.nivel_territorial): r.n_chunks for r in chunks.plan_levels(source, limit=limit).collect()}
+        assert plans[0] == plans[1] and len(plans[0]) == sum(counts.values())
+        firsts = {(r.agregado_id, r.nivel_territorial) for r in chunks.first_requests(source, limit=limit).collect()}
+        assert firsts == set(counts)
+
+
+def test_a_damaged_plan_is_made_once(spark):
+    """Each kind of damage made the whole plan again."""
+    cubes = [Cube(i, periods=3, localities={"N1": 2, "N3": 5, "N6": 9}, variables=2, categories=(2,)) for i in (1, 3, 4, 5, 7, 11)]
+    text = plan_text(queries.plan_coverage_damaged(catalog(spark, cubes)))
+    assert sum("Generate explode(sequence(greatest" in line for line in text.splitlines()) == 1
