@@ -91,22 +91,28 @@ def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = Fals
     """
     literal = F.get(F.col(literals), F.lit(0))
 
-    def group(pattern: str, number: int) -> Column:
-        return F.regexp_extract(literal, pattern, number)
-
+    # A text is matched once with each pattern: four digits follow the label, and a slash and four digits the year.
+    label, first = F.col("_text"), F.col("_years")
     prefixes = constant_array(_PREFIXES, "string")
-    read = df.withColumns(
-        {
-            "_label": F.array_position(prefixes, F.lower(group(_LABELLED, 1))),
-            "_year": group(_LABELLED, 2).try_cast("int"),
-            "_first": group(_YEARS, 1).try_cast("int"),
-            "_to": group(_YEARS, 2).try_cast("int"),
-        }
-    ).withColumns(
-        {
-            "_entry": _label_entry(F.col("_label").cast("int")),
-            "_from": F.when(F.col("_label") > 0, F.col("_year")).otherwise(F.col("_first")),
-        }
+    read = (
+        df.withColumn("_text", F.regexp_extract(literal, _LABELLED, 1))
+        .withColumn("_label", F.array_position(prefixes, F.lower(label)))
+        # Labels have letters, so what begins with one is not made of years.
+        .withColumn("_years", F.when(F.col("_label") > 0, "").otherwise(F.regexp_extract(literal, _YEARS, 1)))
+        .withColumns(
+            {
+                "_entry": _label_entry(F.col("_label").cast("int")),
+                "_first": first.try_cast("int"),
+                "_to": F.when(first != "", F.substring(literal, 6, 4)).try_cast("int"),
+            }
+        )
+        .withColumn(
+            "_from",
+            F.when(F.col("_label") > 0, F.substring(literal, F.length(label) + 1, F.lit(4)).try_cast("int")).otherwise(
+                F.col("_first")
+            ),
+        )
+        .drop("_text", "_years")
     )
     entry, year, year_end = F.col("_entry"), F.col("_from"), F.col("_to")
     fallback = F.lit(UNRECOGNISED)
@@ -140,7 +146,7 @@ def parse_periods(df: DataFrame, literals: str = "literals", strict: bool = Fals
                 F.make_date(F.coalesce(year_end, year), F.lit(12), F.lit(31)),
             ),
         )
-        .drop("_label", "_year", "_first", "_to", "_entry", "_from")
+        .drop("_label", "_first", "_to", "_entry", "_from")
     )
 
 
@@ -180,19 +186,23 @@ def parse_date(text: Column, strict: bool = False) -> Column:
     """``d/m/yyyy`` if the text has a slash, else an ISO calendar or week date."""
     week = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?$"
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, week, group).try_cast("int")
+    def iso(value: Column) -> Column:
+        def part(group: int) -> Column:
+            return F.regexp_extract(value, week, group).try_cast("int")
 
-    week_monday = F.date_trunc("week", F.make_date(part(1), F.lit(1), F.lit(4))).cast("date")
-    week_date = F.date_add(
-        week_monday, (part(2) - 1) * 7 + F.coalesce(part(3), F.lit(1)) - 1
-    )
-    parsed = (
-        F.when(text.contains("/"), F.try_to_date(text, "d/M/yyyy"))
-        .when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
-        .when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
-        .when(text.rlike(week) & (F.weekofyear(week_date) == part(2)), week_date)
-    )
+        week_monday = F.date_trunc("week", F.make_date(part(1), F.lit(1), F.lit(4))).cast("date")
+        week_date = F.date_add(
+            week_monday, (part(2) - 1) * 7 + F.coalesce(part(3), F.lit(1)) - 1
+        )
+        return (
+            F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(value, "yyyy-MM-dd"))
+            .when(value.rlike(r"^\d{8}$"), F.try_to_date(value, "yyyyMMdd"))
+            .when(value.rlike(week) & (F.weekofyear(week_date) == part(2)), week_date)
+        )
+
+    # A lambda ends the method that Spark makes of a row's columns; the JVM compiles none beyond 8,000 bytes.
+    others = F.get(F.transform(F.array(text), iso), F.lit(0))
+    parsed = F.when(text.contains("/"), F.try_to_date(text, "d/M/yyyy")).otherwise(others)
     if not strict:
         return parsed
     bad = text.isNotNull() & parsed.isNull()

@@ -150,23 +150,21 @@ def parse_period_texts(spark, sf_dir):
 
     def parsed(df, frequency: str, *fields: str):
         named = P.parse_periods(df.withColumn("literals", text(frequency)))
-        kept = [F.col(field).alias(f"{frequency}_{field}") for field in fields]
+        kept = [F.col(field).cast("string").alias(f"{frequency}_{field}") for field in fields]
         return named.select(*df.columns, *kept)
 
-    read = parsed(dated, "mensal", "data_inicio", "data_fim", "mes")
+    # Texts as soon as they are read: the JVM compiles no method as long as that of all columns together.
+    read = dated.withColumn("_dia", P.parse_date(F.col("_data")).cast("string")).drop("_data")
+    read = parsed(read, "mensal", "data_inicio", "data_fim", "mes")
+    joined = F.concat_ws("|", "_dia", "mensal_data_inicio", "mensal_data_fim", "mensal_mes")
+    read = read.select("o_orderkey", "_mes", joined.alias("mensal"))
     read = parsed(read, "trimestral", "data_fim")
     read = parsed(read, "trimestral móvel", "data_fim")
     return read.select(
         "o_orderkey",
-        F.concat_ws(
-            "|",
-            P.parse_date(F.col("_data")).cast("string"),
-            F.col("mensal_data_inicio").cast("string"),
-            F.col("mensal_data_fim").cast("string"),
-            F.col("mensal_mes").cast("string"),
-        ).alias("mensal"),
-        F.col("trimestral_data_fim").cast("string").alias("trimestre_fim"),
-        F.col("trimestral móvel_data_fim").cast("string").alias("movel_fim"),
+        "mensal",
+        F.col("trimestral_data_fim").alias("trimestre_fim"),
+        F.col("trimestral móvel_data_fim").alias("movel_fim"),
     )
 
 
