@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from cubagem import queries
+from cubagem import queries, session
 from cubagem.operators import ingest
 from cubagem.plans import chunks
 from cubagem.sources import packed, sinks, star
@@ -97,3 +97,27 @@ def test_a_damaged_plan_is_made_once(spark):
     cubes = [Cube(i, periods=3, localities={"N1": 2, "N3": 5, "N6": 9}, variables=2, categories=(2,)) for i in (1, 3, 4, 5, 7, 11)]
     text = plan_text(queries.plan_coverage_damaged(catalog(spark, cubes)))
     assert sum("Generate explode(sequence(greatest" in line for line in text.splitlines()) == 1
+
+
+def test_more_sales_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
+    """What a task held grew with the sales, since partitions did not."""
+    path = str(tmp_path / "lineitem.parquet")
+    spark.range(1000).write.parquet(path)
+    assert star.large_width(spark, str(tmp_path)) is None and session.fine_width(spark, path) == session.fine_width(spark)
+    monkeypatch.setattr(session, "FINE_BYTES", -(-session.file_bytes(spark, path) // 30))
+    parts = star.large_width(spark, str(tmp_path))
+    assert parts > session.fine_width(spark) and abs(parts - 30) <= 1
+    places = spark.createDataFrame([(i % 2 + 1, "local", "N6", str(i), None) for i in range(0, 400, 3)], "agregado_id bigint, tipo string, grupo string, chave string, ultimo date")
+    plain, dealt = star.localities(places), star.localities(places, parts)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))
+    assert f", {parts}), REPARTITION_BY_NUM" in plan_text(dealt)
+
+
+def test_no_method_of_parsed_texts_is_too_long_for_the_jvm(spark, tmp_path):
+    """All texts were parsed by one method of more than 8,000 bytes, which is not compiled."""
+    spark.createDataFrame([(1, 1, None, "x")], star.TABLES["orders"]).write.parquet(str(tmp_path / "orders.parquet"))
+    plan = queries.parse_period_texts(spark, str(tmp_path))._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    codes = debug.codegenStringSeq(plan)
+    sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+    assert sizes and max(sizes) < 8000
