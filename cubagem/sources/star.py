@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cubagem import session
 from cubagem.catalog import Catalog, ordered_array
 from cubagem.functions.literals import constant_array, constant_rows, sql_literal
 from cubagem.functions.periods import MONTHS, rolling_label
@@ -102,8 +103,8 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def large_width(spark: SparkSession, sf_dir: str) -> int | None:
     """Partitions for rows like the sales, if there are more sales than the session's partitions suit, else null."""
-    parts = fine_width(spark, table_path(sf_dir, "lineitem"))
-    return parts if parts > fine_width(spark) else None
+    path = table_path(sf_dir, "lineitem")
+    return fine_width(spark, path) if session.file_bytes(spark, path) > session.FINE_BYTES * fine_width(spark) else None
 
 
 def cube_id(suppkey: str) -> Column:

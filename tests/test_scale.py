@@ -113,6 +113,17 @@ def test_more_sales_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
     assert f", {parts}), REPARTITION_BY_NUM" in plan_text(dealt)
 
 
+def test_dealing_large_sales_takes_no_memory_of_the_writer(spark, monkeypatch):
+    """A task held all line items it read, to sort them, once there were more than 200 MiB of them."""
+    for mib, least, most in ((10, 0, 200), (645, 200, 200), (3870, 200, 200), (20 << 10, 640, 640)):
+        monkeypatch.setattr(session, "file_bytes", lambda *_, mib=mib: mib << 20)
+        parts = star.large_width(spark, "x") or session.fine_width(spark)
+        assert max(session.fine_width(spark), least) <= parts <= max(session.fine_width(spark), most)
+    monkeypatch.setattr(session, "shuffle_width", lambda _: 200)
+    monkeypatch.setattr(session, "file_bytes", lambda *_: 645 << 20)
+    assert star.large_width(spark, "x") == 200  # given, so AQE does not merge them
+
+
 def test_no_method_of_parsed_texts_is_too_long_for_the_jvm(spark, tmp_path):
     """All texts were parsed by one method of more than 8,000 bytes, which is not compiled."""
     spark.createDataFrame([(1, 1, None, "x")], star.TABLES["orders"]).write.parquet(str(tmp_path / "orders.parquet"))
