@@ -33,10 +33,11 @@ SEGMENTS = "fragment int, keys binary, counts binary, shingles binary"
 SHARED = "fragment int, bucket int, keys binary, sizes binary, alone binary, counts binary, shingles binary, ranks binary"
 SETS = "bucket int, fragment int, keys binary, sizes binary, counts binary, shingles binary, ranks binary"
 ENTRIES = "shingle bigint, key bigint, size int, position int"
+LABELLED = f"{ENTRIES}, label bigint"
 PAIRS = "a bigint, b bigint, size_a int, size_b int"
 BLOCK = "grp int, block bigint, a binary, b binary, sizes binary"
-WANTED = "bucket int, key bigint, grp int"
-PICKED = "g int, f int, keys binary, counts binary, shingles binary"
+WANTED = "wanted bigint, grp int"
+SEGMENT = "key bigint, fragment int, shingles binary"
 COUNTED = "block bigint, a binary, b binary, sizes binary, overlaps binary"
 
 
@@ -311,7 +312,28 @@ def hub_pairs(entries: DataFrame, parts: int) -> DataFrame:
     return entries.repartition(parts, "shingle").mapInArrow(pairs, PAIRS).distinct()
 
 
-def later_pairs(entries: DataFrame, labels: DataFrame, first: int, last: int | None, parts: int) -> DataFrame:
+def open_buckets(entries: DataFrame, labels: DataFrame, first: int, parts: int) -> DataFrame:
+    """Entries, with labels, of buckets that may still have a link: members past ``first``, and several components.
+
+    Components only grow, so a bucket that is left out has no more to tell in later turns either.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _buckets(batches)
+        if not found:
+            return
+        columns, begins, counts = found
+        label = columns["label"]
+        several = np.minimum.reduceat(label, begins) < np.maximum.reduceat(label, begins)
+        kept = np.repeat(several & (counts > first + 1), counts)
+        if kept.any():
+            yield _batch(LABELLED, **{name: column[kept] for name, column in columns.items()})
+
+    labelled = entries.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    return labelled.repartition(parts, "shingle").mapInArrow(keep, LABELLED)
+
+
+def later_pairs(entries: DataFrame, first: int, last: int | None, parts: int) -> DataFrame:
     """Pairs of a bucket's members from ``first`` to before ``last`` with later ones of other components.
 
     Without ``last`` nothing bounds a bucket's pairs but the prefix and position filters: sets that share a
@@ -325,8 +347,6 @@ def later_pairs(entries: DataFrame, labels: DataFrame, first: int, last: int | N
         columns, begins, counts = found
         label = columns["label"]
         for begin, count in zip(begins.tolist(), counts.tolist(), strict=True):
-            if count <= first + 1 or (label[begin : begin + count] == label[begin]).all():
-                continue
             end = begin + count
             for i in range(begin + first, min(end, begin + last) if last else end):
                 others = np.arange(i + 1, end)
@@ -334,16 +354,15 @@ def later_pairs(entries: DataFrame, labels: DataFrame, first: int, last: int | N
                 if len(others):
                     yield _candidates(columns, np.full(len(others), i), others)
 
-    labelled = entries.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    return labelled.repartition(parts, "shingle").mapInArrow(pairs, PAIRS).distinct()
+    return entries.repartition(parts, "shingle").mapInArrow(pairs, PAIRS).distinct()
 
 
-def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int, n_buckets: int) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int) -> DataFrame:
     """The pairs that link: overlaps are counted fragment by fragment, then summed per pair.
 
     Pairs are sorted into groups of bounded size, by the member that is no hub, and packed into blocks.
-    A group gets the segments of its own sets, packed by the buckets that hold them; what is sent is in
-    proportion to the pairs, since the number of fragments that count is fixed. One fragment passes a
+    A group gets the segments of its own sets; what is sent is in proportion to the pairs, since the number of
+    fragments that count is fixed. One fragment passes a
     block's pairs on, the others their overlaps alone, and only if there are any.
     """
     found = pairs.agg(F.count(F.lit(1)), F.sum(F.col("size_a").cast("long") + F.col("size_b"))).first()
@@ -380,45 +399,24 @@ def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int, n_buckets: int)
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if len(a):
                 rows = np.unique(np.stack([np.concatenate([a, b]), np.tile(group_of(a, b), 2).astype(np.int64)], 1), axis=0)
-                key = np.ascontiguousarray(rows[:, 0])
-                yield _batch(WANTED, bucket=_bucket(key, n_buckets), key=key, grp=rows[:, 1].astype(np.int32))
-
-    def pick(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The segments in a bucket that each group wants, packed per group and counting fragment."""
-        own = _whole(right, "keys", np.int64)
-        if not left.num_rows or not len(own):
-            return pa.Table.from_batches([_batch(PICKED, **dict.fromkeys(("g", "f", "keys", "counts", "shingles"), []))])
-        counts, values = _whole(right, "counts", np.uint32).astype(np.int64), _whole(right, "shingles", np.uint64)
-        per_row = [len(k) // 8 for k in right.column("keys").to_pylist()]
-        fragment = np.repeat(right.column("fragment").to_numpy().astype(np.int64), per_row)
-        begin = np.cumsum(counts) - counts
-        key, group = (left.column(c).to_numpy() for c in ("key", "grp"))
-        order = np.argsort(key, kind="stable")
-        key, group = key[order], group[order]
-        low, high = np.searchsorted(key, own), np.searchsorted(key, own, "right")
-        times = high - low
-        segment = np.repeat(np.arange(len(own)), times)
-        asked = np.arange(len(segment)) - np.repeat(np.cumsum(times) - times - low, times)
-        group, counting = group[asked].astype(np.int64), fragment[segment] * COUNTING // n_fragments
-        order = np.lexsort((fragment[segment], own[segment], counting, group))
-        segment, place = segment[order], (group * COUNTING + counting)[order]
-        limits, rows = np.append(starts(place), len(place)), []
-        for first, end in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
-            part = segment[first:end]
-            n_own = counts[part]
-            at = np.arange(n_own.sum()) + np.repeat(begin[part] - (np.cumsum(n_own) - n_own), n_own)
-            g, f = divmod(int(place[first]), COUNTING)
-            rows.append((g, f, own[part].tobytes(), n_own.astype(np.uint32).tobytes(), values[at].tobytes()))
-        columns = zip(*rows, strict=True) if rows else [[]] * 5
-        return pa.Table.from_batches([_batch(PICKED, **dict(zip(("g", "f", "keys", "counts", "shingles"), columns, strict=True)))])
+                yield _batch(WANTED, wanted=np.ascontiguousarray(rows[:, 0]), grp=rows[:, 1].astype(np.int32))
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each set and fragment."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                own, ends = np.frombuffer(row["keys"], np.int64), 8 * np.cumsum(np.frombuffer(row["counts"], np.uint32), dtype=np.int64)
+                parts = [row["shingles"][x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+                yield _batch(SEGMENT, key=own, fragment=np.full(len(own), row["fragment"], np.int32), shingles=parts)
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, counts = _whole(right, "keys", np.int64), _whole(right, "counts", np.uint32).astype(np.int64)
-        values, ends = _whole(right, "shingles", np.uint64), np.cumsum(counts)
-        first = starts(keys)  # the segments of a set follow each other, in the order of fragments
-        begin = (ends - counts)[first]
-        end = ends[np.append(first[1:], len(keys)) - 1] if len(keys) else begin
-        held = {k: values[x:y] for k, x, y in zip(keys[first].tolist(), begin.tolist(), end.tolist(), strict=True)}
+        keys, fragment = right.column("key").to_numpy(), right.column("fragment").to_numpy()
+        parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in right.column("shingles")]
+        order = np.lexsort((fragment, keys))  # a set's shingles in the order of fragments
+        limits = np.append(starts(keys[order]), len(order)).tolist()
+        held = {
+            int(keys[order[x]]): np.concatenate([parts[i] for i in order[x:y].tolist()]) for x, y in zip(limits[:-1], limits[1:], strict=True)
+        }
         nothing, out = np.empty(0, np.uint64), []
         for row in left.to_pylist():
             a, b = np.frombuffer(row["a"], np.int64).tolist(), np.frombuffer(row["b"], np.int64).tolist()
@@ -443,8 +441,11 @@ def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int, n_buckets: int)
     blocks = pairs.mapInArrow(pack, BLOCK)
     everywhere = blocks.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(COUNTING - 1))))
     wanted = pairs.mapInArrow(want, WANTED).distinct()
-    held = sets.where("fragment >= 0").select("bucket", "fragment", "keys", "counts", "shingles")
-    picked = wanted.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(pick, PICKED)
+    held = sets.where("fragment >= 0").select("fragment", "keys", "counts", "shingles").mapInArrow(single, SEGMENT)
+    # Where few sets are wanted, Spark sends these to the segments, not all segments to them.
+    picked = held.join(wanted, F.col("key") == F.col("wanted")).select(
+        F.col("grp").alias("g"), F.expr(f"fragment * {COUNTING} div {n_fragments}").cast("int").alias("f"), "key", "fragment", "shingles"
+    )
     counted = everywhere.groupBy("grp", "fragment").cogroup(picked.groupBy("g", "f")).applyInArrow(count, COUNTED)
     return counted.groupBy("block").applyInArrow(total, "a bigint, b bigint")
 
@@ -484,12 +485,15 @@ def link_documents(docs: DataFrame) -> DataFrame:
     cut = segments(docs, n_fragments)
     sets = written(set_rows(shared_segments(cut, parts)), "sets")
     entries = written(prefix_entries(sets, parts), "entries")
-    links = written(linked(written(hub_pairs(entries, parts), "pairs"), sets, n_fragments, parts), "links")
+    links = written(linked(written(hub_pairs(entries, parts), "pairs"), sets, n_fragments), "links")
     labels = components(links)
     for first, last in zip(HUBS, [*HUBS[1:], None], strict=True):
-        pairs = written(later_pairs(entries, labels, first, last, parts), "pairs")
+        entries = written(open_buckets(entries.drop("label"), labels, first, parts), "entries")
+        if entries.isEmpty():
+            break
+        pairs = written(later_pairs(entries, first, last, parts), "pairs")
         if not pairs.isEmpty():
-            more = written(linked(pairs, sets, n_fragments, parts), "links")
+            more = written(linked(pairs, sets, n_fragments), "links")
             labels = components(labels.selectExpr("key AS a", "label AS b").where("a <> b").union(more))
     # From keys to documents: a key's smallest doc_id, then a component's.
     smallest = members.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))

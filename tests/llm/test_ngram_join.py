@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cubagem.llm import ngram_join as N
 from cubagem.llm.components import components
@@ -67,6 +68,23 @@ def test_components_equal_all_pairs(spark, monkeypatch, seed, hubs):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(brute(rows), key=str)
 
 
+def test_later_turns_see_open_buckets_only(spark, monkeypatch):
+    """Each turn dealt all entries once more, and all segments of sets."""
+    monkeypatch.setattr(N, "HUBS", (1, 2))
+    seen, own = [], N.later_pairs
+
+    def later_pairs(entries, first, *others):
+        buckets = entries.groupBy("shingle").agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels"))
+        seen.append((first, [tuple(r)[1:] for r in buckets.collect()]))
+        return own(entries, first, *others)
+
+    monkeypatch.setattr(N, "later_pairs", later_pairs)
+    rows = corpus(4)
+    found = N.link_documents(spark.createDataFrame([(*r, "", 1, "") for r in rows], DOCS))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(brute(rows), key=str)
+    assert seen and all(n > first + 1 and labels > 1 for first, buckets in seen for n, labels in buckets)
+
+
 def test_keep_one(spark):
     rows = corpus(3)
     docs = spark.createDataFrame([(*r, "", 1, "") for r in rows], DOCS)
