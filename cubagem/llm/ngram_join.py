@@ -31,13 +31,14 @@ BUCKET = 1 << 22
 
 SEGMENTS = "fragment int, keys binary, counts binary, shingles binary"
 SHARED = "fragment int, bucket int, keys binary, sizes binary, alone binary, counts binary, shingles binary, ranks binary"
-SETS = "bucket int, fragment int, keys binary, sizes binary, counts binary, shingles binary, ranks binary"
+SETS = "bucket int, fragment int, keys binary, sizes binary, counts binary, shingles binary, positions binary"
 ENTRIES = "shingle bigint, key bigint, size int, position int"
+BUCKETS = "shingles binary, keys binary, sizes binary, positions binary"
 LABELLED = f"{ENTRIES}, label bigint"
 PAIRS = "a bigint, b bigint, size_a int, size_b int"
 BLOCK = "grp int, block bigint, a binary, b binary, sizes binary"
 WANTED = "wanted bigint, grp int"
-SEGMENT = "key bigint, fragment int, shingles binary"
+SEGMENT = "key bigint, f int, shingles binary"
 COUNTED = "block bigint, a binary, b binary, sizes binary, overlaps binary"
 
 
@@ -182,36 +183,47 @@ def shared_segments(cut: DataFrame, n_buckets: int) -> DataFrame:
     return cut.groupBy("fragment").applyInArrow(share, SHARED)
 
 
-def set_rows(shared: DataFrame) -> DataFrame:
-    """Sums over the fragments: the size of every set, and the segments of those that may link.
+def set_rows(shared: DataFrame, n_fragments: int) -> DataFrame:
+    """Sums over the fragments: the size of every set, and what the comparisons need of those that may link.
 
     A set of which more shingles occur nowhere else than a linked set may lack has no link. Rows with
-    fragment -1 hold all keys and sizes; the others hold segments of the rest.
+    fragment -1 hold all keys and sizes. Of the other sets, rows from 0 to COUNTING - 1 hold the shared shingles in the
+    fragments in which pairs are counted, and rows with fragment -2 the rarest ones, as many as a linked set
+    may lack, and one more: linked sets share one of these. Shingles that only one set has come first, and meet no other.
     """
 
     def gather(table: pa.Table) -> pa.Table:
-        keys, place = np.unique(_whole(table, "keys", np.int64), return_inverse=True)
+        table = table.sort_by("fragment")  # a set's shingles come in their order
+        own = _whole(table, "keys", np.int64)
+        keys, place = np.unique(own, return_inverse=True)
         sizes = np.bincount(place, _whole(table, "sizes", np.uint32)).astype(np.int64)
         alone = np.bincount(place, _whole(table, "alone", np.uint32)).astype(np.int64)
-        alive = alone <= prefix_length(sizes)
         bucket = table.column("bucket")[0].as_py()
         out = [(bucket, -1, keys.tobytes(), sizes.astype(np.uint32).tobytes(), b"", b"", b"")]
-        at = 0
-        for row in table.to_pylist():
-            own = np.frombuffer(row["keys"], np.int64)
-            counts = np.frombuffer(row["counts"], np.uint32).astype(np.int64)
-            where = place[at : at + len(own)]
-            at += len(own)
-            kept = alive[where] & (counts > 0)
-            if not kept.any():
-                continue
-            parts = np.repeat(kept, counts)
-            values = np.frombuffer(row["shingles"], np.uint64)[parts]
-            ranks = np.frombuffer(row["ranks"], np.uint8)[parts]
-            size = sizes[where][kept].astype(np.uint32).tobytes()
-            out.append(
-                (bucket, row["fragment"], own[kept].tobytes(), size, counts[kept].astype(np.uint32).tobytes(), values.tobytes(), ranks.tobytes())
-            )
+        counts = _whole(table, "counts", np.uint32)
+        per_row = [len(x.as_buffer()) // 8 for x in table.column("keys")]
+        counting = np.repeat(table.column("fragment").to_numpy().astype(np.int64) * COUNTING // n_fragments, per_row).astype(np.int8)
+        kept = np.repeat((alone <= prefix_length(sizes))[place], counts)
+        owner, counting = np.repeat(place.astype(np.int32), counts)[kept], np.repeat(counting, counts)[kept]
+        values, ranks = _whole(table, "shingles", np.uint64)[kept], _whole(table, "ranks", np.uint8)[kept]
+        for part in range(COUNTING):
+            here = np.flatnonzero(counting == part)
+            here = here[np.argsort(owner[here], kind="stable")]
+            begins = starts(owner[here])
+            if len(here):
+                lengths = np.diff(np.append(begins, len(here))).astype(np.uint32)
+                out.append((bucket, part, keys[owner[here][begins]].tobytes(), b"", lengths.tobytes(), values[here].tobytes(), b""))
+        order = np.lexsort((values, ranks, owner))
+        owner, values = owner[order], values[order]
+        begins = starts(owner)
+        position = np.arange(len(owner)) - np.repeat(begins - alone[owner[begins]], np.diff(np.append(begins, len(owner))))
+        first = position <= prefix_length(sizes[owner])
+        owner, values, position = owner[first], values[first], position[first].astype(np.int32)
+        if len(owner):
+            begins = starts(owner)
+            lengths, named = np.diff(np.append(begins, len(owner))).astype(np.uint32), owner[begins]
+            own_sizes = sizes[named].astype(np.uint32)
+            out.append((bucket, -2, keys[named].tobytes(), own_sizes.tobytes(), lengths.tobytes(), values.tobytes(), position.tobytes()))
         names = [part.split()[0] for part in SETS.split(", ")]
         return pa.Table.from_batches([_batch(SETS, **dict(zip(names, zip(*out, strict=True), strict=True)))])
 
@@ -226,44 +238,24 @@ def set_sizes(sets: DataFrame) -> DataFrame:
                 ["key", "size"],
             )
 
-    return sets.where("fragment < 0").select("keys", "sizes").mapInArrow(unpack, "key bigint, size bigint")
-
+    return sets.where("fragment = -1").select("keys", "sizes").mapInArrow(unpack, "key bigint, size bigint")
 
-def prefix_entries(sets: DataFrame, n_buckets: int) -> DataFrame:
-    """The rarest shingles of the sets that may link, as many as a linked set may lack, and one more.
 
-    Linked sets share one of these. Shingles that only one set has come first, and meet no other.
-    """
+def prefix_entries(sets: DataFrame) -> DataFrame:
+    """The rarest shingles of the sets that may link, with the places they have in these."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = _whole(batch, "counts", np.uint32)
-            key = np.repeat(_whole(batch, "keys", np.int64), counts)
-            size = np.repeat(_whole(batch, "sizes", np.uint32), counts).astype(np.int32)
-            if len(key):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(size), pa.array(_whole(batch, "ranks", np.uint8).astype(np.int32)),
-                     pa.array(_whole(batch, "shingles", np.uint64).view(np.int64))], ["key", "size", "rank", "shingle"]
-                )
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in batches if b.num_rows]
-        if not rows:
-            return
-        key, size, rank, shingle = (
-            np.concatenate([b.column(k).to_numpy() for b in rows]) for k in range(4)
-        )
-        order = np.lexsort((shingle, rank, key))
-        key, size, shingle = key[order], size[order].astype(np.int64), shingle[order]
-        begins = starts(key)
-        counts = np.diff(np.append(begins, len(key)))
-        alone = size[begins] - counts
-        position = np.arange(len(key)) - np.repeat(begins - alone, counts)
-        kept = position <= prefix_length(size)
-        yield _batch(ENTRIES, shingle=shingle[kept], key=key[kept], size=size[kept].astype(np.int32), position=position[kept].astype(np.int32))
-
-    rows = sets.where("fragment >= 0").mapInArrow(unpack, "key bigint, size int, rank int, shingle bigint")
-    return rows.repartition(n_buckets, "key").mapInArrow(prefixes, ENTRIES)
+        for row in (batch.slice(i, 1) for batch in batches for i in range(batch.num_rows)):
+            counts = _whole(row, "counts", np.uint32)
+            yield _batch(
+                ENTRIES,
+                shingle=_whole(row, "shingles", np.int64),
+                key=np.repeat(_whole(row, "keys", np.int64), counts),
+                size=np.repeat(_whole(row, "sizes", np.uint32), counts).astype(np.int32),
+                position=_whole(row, "positions", np.int32),
+            )
+
+    return sets.where("fragment = -2").drop("bucket", "fragment").mapInArrow(unpack, ENTRIES)
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]):
@@ -296,20 +288,57 @@ def _candidates(columns: dict[str, np.ndarray], left: np.ndarray, right: np.ndar
     return _batch(PAIRS, a=key[left], b=key[right], size_a=columns["size"][left], size_b=columns["size"][right])
 
 
-def hub_pairs(entries: DataFrame, parts: int) -> DataFrame:
+def packed_buckets(entries: DataFrame, parts: int) -> DataFrame:
+    """The buckets of several entries, dealt once: rows of whole buckets, some PACKED entries each."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _buckets(batches)
+        if not found:
+            return
+        columns, begins, counts = found
+        kept = np.repeat(counts > 1, counts)
+        columns = {name: column[kept] for name, column in columns.items()}
+        ends = np.cumsum(counts[counts > 1])
+        cuts = np.append(0, ends[np.append(starts(ends // PACKED)[1:] - 1, len(ends) - 1)]) if len(ends) else [0]
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            yield _batch(BUCKETS, **{f"{name}s": [column[x:y].tobytes()] for name, column in columns.items()})
+
+    return entries.repartition(parts, "shingle").mapInArrow(pack, BUCKETS)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]):
+    """Each row of whole buckets, as ``_buckets`` tells them."""
+    for row in (batch.slice(i, 1) for batch in batches for i in range(batch.num_rows)):
+        kinds = {"shingle": np.int64, "key": np.int64, "size": np.int32, "position": np.int32}
+        columns = {name: _whole(row, f"{name}s", kind) for name, kind in kinds.items()}
+        begins = starts(columns["shingle"])
+        yield columns, begins, np.diff(np.append(begins, len(columns["shingle"])))
+
+
+def hub_pairs(buckets: DataFrame) -> DataFrame:
     """Pairs of the first entries of each bucket, in one order for all buckets, with its others."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _buckets(batches)
-        if found:
-            columns, begins, counts = found
+        for columns, begins, counts in _unpacked(batches):
             at = np.repeat(begins, counts)
             every = np.arange(len(at))
             left = [np.where(at + h < every, at + h, -1) for h in range(HUBS[0])]
             right = np.concatenate([every[x >= 0] for x in left])
             yield _candidates(columns, np.concatenate([x[x >= 0] for x in left]), right)
 
-    return entries.repartition(parts, "shingle").mapInArrow(pairs, PAIRS).distinct()
+    return buckets.mapInArrow(pairs, PAIRS).distinct()
+
+
+def large_buckets(buckets: DataFrame, first: int) -> DataFrame:
+    """Entries of the buckets that have members past ``first`` to compare."""
+
+    def large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns, _, counts in _unpacked(batches):
+            kept = np.repeat(counts > first + 1, counts)
+            if kept.any():
+                yield _batch(ENTRIES, **{name: column[kept] for name, column in columns.items()})
+
+    return buckets.mapInArrow(large, ENTRIES)
 
 
 def open_buckets(entries: DataFrame, labels: DataFrame, first: int, parts: int) -> DataFrame:
@@ -357,13 +386,12 @@ def later_pairs(entries: DataFrame, first: int, last: int | None, parts: int) ->
     return entries.repartition(parts, "shingle").mapInArrow(pairs, PAIRS).distinct()
 
 
-def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link: overlaps are counted fragment by fragment, then summed per pair.
 
     Pairs are sorted into groups of bounded size, by the member that is no hub, and packed into blocks.
-    A group gets the segments of its own sets; what is sent is in proportion to the pairs, since the number of
-    fragments that count is fixed. One fragment passes a
-    block's pairs on, the others their overlaps alone, and only if there are any.
+    A group gets the segments of its own sets; what is sent is in proportion to the pairs, since a set has a
+    segment for each of the COUNTING fragments, however many the order was cut into. One fragment passes a block's pairs on, the others their overlaps alone, and only if there are any.
     """
     found = pairs.agg(F.count(F.lit(1)), F.sum(F.col("size_a").cast("long") + F.col("size_b"))).first()
     n, n_shingles = found[0], found[1] or 0
@@ -402,21 +430,16 @@ def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int) -> DataFrame:
                 yield _batch(WANTED, wanted=np.ascontiguousarray(rows[:, 0]), grp=rows[:, 1].astype(np.int32))
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each set and fragment."""
+        """A row for each set and counting fragment."""
         for batch in batches:
             for row in batch.to_pylist():
                 own, ends = np.frombuffer(row["keys"], np.int64), 8 * np.cumsum(np.frombuffer(row["counts"], np.uint32), dtype=np.int64)
                 parts = [row["shingles"][x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-                yield _batch(SEGMENT, key=own, fragment=np.full(len(own), row["fragment"], np.int32), shingles=parts)
+                yield _batch(SEGMENT, key=own, f=np.full(len(own), row["fragment"], np.int32), shingles=parts)
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, fragment = right.column("key").to_numpy(), right.column("fragment").to_numpy()
         parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in right.column("shingles")]
-        order = np.lexsort((fragment, keys))  # a set's shingles in the order of fragments
-        limits = np.append(starts(keys[order]), len(order)).tolist()
-        held = {
-            int(keys[order[x]]): np.concatenate([parts[i] for i in order[x:y].tolist()]) for x, y in zip(limits[:-1], limits[1:], strict=True)
-        }
+        held = dict(zip(right.column("key").to_pylist(), parts, strict=True))
         nothing, out = np.empty(0, np.uint64), []
         for row in left.to_pylist():
             a, b = np.frombuffer(row["a"], np.int64).tolist(), np.frombuffer(row["b"], np.int64).tolist()
@@ -443,9 +466,7 @@ def linked(pairs: DataFrame, sets: DataFrame, n_fragments: int) -> DataFrame:
     wanted = pairs.mapInArrow(want, WANTED).distinct()
     held = sets.where("fragment >= 0").select("fragment", "keys", "counts", "shingles").mapInArrow(single, SEGMENT)
     # Where few sets are wanted, Spark sends these to the segments, not all segments to them.
-    picked = held.join(wanted, F.col("key") == F.col("wanted")).select(
-        F.col("grp").alias("g"), F.expr(f"fragment * {COUNTING} div {n_fragments}").cast("int").alias("f"), "key", "fragment", "shingles"
-    )
+    picked = held.join(wanted, F.col("key") == F.col("wanted")).select(F.col("grp").alias("g"), "f", "key", "shingles")
     counted = everywhere.groupBy("grp", "fragment").cogroup(picked.groupBy("g", "f")).applyInArrow(count, COUNTED)
     return counted.groupBy("block").applyInArrow(total, "a bigint, b bigint")
 
@@ -483,17 +504,17 @@ def link_documents(docs: DataFrame) -> DataFrame:
     n_fragments = max(16, -(-about // FRAGMENT))
     parts = max(width(spark), -(-about // BUCKET))
     cut = segments(docs, n_fragments)
-    sets = written(set_rows(shared_segments(cut, parts)), "sets")
-    entries = written(prefix_entries(sets, parts), "entries")
-    links = written(linked(written(hub_pairs(entries, parts), "pairs"), sets, n_fragments), "links")
-    labels = components(links)
+    sets = written(set_rows(shared_segments(cut, parts), n_fragments), "sets")
+    buckets = written(packed_buckets(prefix_entries(sets), parts), "buckets")
+    links = written(linked(written(hub_pairs(buckets), "pairs"), sets), "links")
+    labels, entries = components(links), large_buckets(buckets, HUBS[0])
     for first, last in zip(HUBS, [*HUBS[1:], None], strict=True):
         entries = written(open_buckets(entries.drop("label"), labels, first, parts), "entries")
         if entries.isEmpty():
             break
         pairs = written(later_pairs(entries, first, last, parts), "pairs")
         if not pairs.isEmpty():
-            more = written(linked(pairs, sets, n_fragments), "links")
+            more = written(linked(pairs, sets), "links")
             labels = components(labels.selectExpr("key AS a", "label AS b").where("a <> b").union(more))
     # From keys to documents: a key's smallest doc_id, then a component's.
     smallest = members.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))

@@ -85,6 +85,38 @@ def test_later_turns_see_open_buckets_only(spark, monkeypatch):
     assert seen and all(n > first + 1 and labels > 1 for first, buckets in seen for n, labels in buckets)
 
 
+def test_sets_have_as_many_segments_however_fine_the_order_is_cut(spark, monkeypatch):
+    """A set's rows grew with the fragments, so their join with wanted sets grew with the square of the input."""
+    monkeypatch.setattr(N, "FRAGMENT", 100)
+    monkeypatch.setattr(N, "HUBS", (1, 2))
+    seen, opened, linked, open_buckets = [], [], N.linked, N.open_buckets
+
+    def counted(pairs, sets, *others):
+        seen.append([r["fragment"] for r in sets.where("fragment >= 0").select("fragment").distinct().collect()])
+        return linked(pairs, sets, *others)
+
+    def opening(entries, labels, first, *others):
+        opened.append((first, [r["count"] for r in entries.groupBy("shingle").count().collect()]))
+        return open_buckets(entries, labels, first, *others)
+
+    monkeypatch.setattr(N, "linked", counted)
+    monkeypatch.setattr(N, "open_buckets", opening)
+    rows = corpus(5)
+    found = N.link_documents(spark.createDataFrame([(*r, "", 1, "") for r in rows], DOCS))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(brute(rows), key=str)
+    assert seen and all(sorted(f) == list(range(N.COUNTING)) for f in seen)
+    assert min(opened[0][1]) > opened[0][0] + 1
+
+
+def test_packed_buckets_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(N, "PACKED", 8)
+    rows = [(s, 100 * s + k, 40, k) for s, n in enumerate([1, 2, 7, 30, 1, 8, 3, 2, 2]) for k in range(n)]
+    packed = N.packed_buckets(spark.createDataFrame(rows, N.ENTRIES), 2)
+    assert packed.count() > 2
+    assert sorted(map(tuple, N.large_buckets(packed, 0).collect())) == sorted(r for r in rows if r[0] not in (0, 4))
+    assert {r["shingle"] for r in N.large_buckets(packed, 2).collect()} == {2, 3, 5}
+
+
 def test_keep_one(spark):
     rows = corpus(3)
     docs = spark.createDataFrame([(*r, "", 1, "") for r in rows], DOCS)
