@@ -114,20 +114,18 @@ def localities_of(docs: DataFrame) -> DataFrame:
     A level may come in several documents, ``localidades_{nivel}_{parte}.json``, parts counted from 0.
     """
     part = F.coalesce(F.nullif(F.regexp_extract("caminho", r"_(\d{1,9})\.json$", 1), F.lit("")), F.lit("0"))
-    listed = docs.where(is_list(F.col("body"))).select(
+    exploded = docs.where(is_list(F.col("body"))).select(
         "agregado_id",
         (part.cast("bigint") * (1 << 32)).alias("_parte"),
         F.posexplode(F.from_json("body", RAW_LOCALITIES)).alias("_i", "_l"),
-    ).withColumn("_pos", F.col("_parte") + F.col("_i"))
-    distinct = listed.groupBy(
-        "agregado_id", F.col("_l.nivel.id").alias("nivel"), F.col("_l.id").alias("loc_id")
-    ).agg(
-        F.min("_pos").alias("_pos"),
-        F.min_by("_l.nome", "_pos").alias("nome"),
-        F.min_by("_l.nivel.nome", "_pos").alias("nivel_nome"),
     )
+    place = F.struct((F.col("_parte") + F.col("_i")).alias("_pos"), "_l.nome", F.col("_l.nivel.nome").alias("nivel_nome"))
+    key = ["agregado_id", "nivel", "loc_id"]
+    # Dealt whole and before they are grouped: both uses of the ordinal share the shuffle, and texts are parsed and sorted once.
+    listed = exploded.select("agregado_id", F.col("_l.nivel.id").alias("nivel"), F.col("_l.id").alias("loc_id"), place.alias("_lugar"))
+    distinct = listed.repartition(*key).groupBy(*key).agg(F.min("_lugar").alias("_lugar")).withColumn("_pos", F.col("_lugar._pos"))
     return dense_ordinal(distinct, ["agregado_id", "nivel"], "_pos").select(
-        "agregado_id", "nivel", "nivel_nome", "loc_id", "nome", "ord"
+        "agregado_id", "nivel", "_lugar.nivel_nome", "loc_id", "_lugar.nome", "ord"
     )
 
 

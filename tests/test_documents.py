@@ -133,3 +133,20 @@ def test_paths_of_items_of_any_shape(spark):
     }
     assert {r.acervo for r in documents.collection_shapes(table).collect()} == {"K", "L"}
     assert documents.collection_paths(table.limit(0)).count() == 0
+
+
+def test_places_are_parsed_once(spark):
+    """Each of both uses of the ordinals parsed all documents, and sorted the texts before they were dealt."""
+    rows = [
+        ("/agregados/7/localidades_N6_1.json", json.dumps([place("N6", "9"), place("N6", "3") | {"nome": "outro"}])),
+        ("/agregados/7/localidades_N6_0.json", json.dumps([place("N6", i) for i in ("8", "3", "5")])),
+        ("/agregados/8/localidades_N1.json", json.dumps([place("N1", "1"), place("N1", "1") | {"nome": "outro"}])),
+    ]
+    found = documents.localities_of(documents.landed_documents(spark.createDataFrame(rows, "caminho string, body string"), documents.LOCALITIES))
+    numbered = sorted((r["agregado_id"], r["ord"], r["loc_id"], r["nome"], r["nivel_nome"]) for r in found.collect())
+    assert numbered == [
+        (7, 0, "8", "Lugar 8", "Nível N6"), (7, 1, "3", "Lugar 3", "Nível N6"), (7, 2, "5", "Lugar 5", "Nível N6"),
+        (7, 3, "9", "Lugar 9", "Nível N6"), (8, 0, "1", "Lugar 1", "Nível N1"),
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Generate posexplode") == 1
