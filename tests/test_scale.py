@@ -132,3 +132,13 @@ def test_no_method_of_parsed_texts_is_too_long_for_the_jvm(spark, tmp_path):
     codes = debug.codegenStringSeq(plan)
     sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
     assert sizes and max(sizes) < 8000
+
+
+def test_cutting_a_block_does_not_read_the_whole_file(spark, tmp_path):
+    """Each block copied the bytes of its whole file, so time grew with the square of a file."""
+    lines = spark.range(50).select(F.lit(1).cast("bigint").alias("id"), F.col("id").alias("posicao"), F.col("id").cast("string").alias("linha"))
+    path = str(tmp_path / "valores")
+    packed.pack_lines(lines, ["id"], path, block_lines=4)
+    blocks = packed.read_blocks(spark, path)
+    assert "substring(content" not in plan_text(blocks)
+    assert b"".join(r.conteudo for r in blocks.orderBy("bloco").collect()) == b"".join(b"%d\n" % i for i in range(50))
