@@ -134,6 +134,79 @@ def test_no_method_of_parsed_texts_is_too_long_for_the_jvm(spark, tmp_path):
     assert sizes and max(sizes) < 8000
 
 
+def shuffle_files(spark) -> list[str]:
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return [n for n in names if n.startswith("shuffle_") and n.endswith(".data")]
+
+
+def test_a_step_of_its_own_leaves_no_shuffle(spark, tmp_path):
+    """The shuffles of all steps stayed on the disk until the last had ended."""
+    rows = spark.range(1000).repartition(7, "id")
+    before = set(shuffle_files(spark))
+    with session.own_step(spark):
+        rows.write.parquet(str(tmp_path / "a"))
+    assert set(shuffle_files(spark)) <= before
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    rows.write.parquet(str(tmp_path / "b"))
+    assert set(shuffle_files(spark)) - before
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 1000
+
+
+def test_only_bodies_of_repeated_chunks_are_moved(spark, tmp_path):
+    """All bodies were shuffled, twice, since Spark could not know how few ids come again."""
+    path = str(tmp_path / "pouso")
+    ids = F.when(F.col("id") < 2, "1-N1-0").otherwise(F.concat(F.lit("1-N1-"), F.col("id").cast("string")))
+    body = F.concat(F.lit('[{"V":"'), *[F.sha2((F.col("id") + k).cast("string"), 512) for k in range(20)], F.lit('"}]'))
+    spark.range(300).select(ids.alias("chunk_id"), F.lit(True).alias("cabecalho"), body.alias("body")).write.parquet(path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        kept = ingest.one_per_chunk(spark.read.parquet(path))
+        assert "SortMergeJoin" not in plan_text(kept)
+        assert kept.count() == 299 and kept.select("chunk_id").distinct().count() == 299
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_cells_are_dealt_once(spark, tmp_path):
+    """Cells were shuffled by cube, by place, by level and by chunk; cells without a chunk still share one payload."""
+    from datetime import datetime
+
+    tables = {
+        "lineitem": [(i, 0, i % 6, 1 + i % 3, 1.0 + i, 2.0, 0.0, 0.0, "N", "O", None) for i in range(60)],
+        "orders": [(i, i % 5, None if i % 10 == 9 else datetime(1998, 1 + i % 4, 3), "1-URGENT") for i in range(60)],
+        "customer": [(i, i % 5, "X") for i in range(5)],
+        "supplier": [(i, f"s{i}", i % 5) for i in range(6)],
+        "nation": [(i, f"n{i}", i % 5) for i in range(5)],
+        "region": [(i, f"r{i}") for i in range(5)],
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, star.TABLES[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    source = star.catalog_from_star(spark, str(tmp_path))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with session.own_step(spark):
+            cells = star.located_cells(spark, str(tmp_path), source)
+            grouped = cells.groupBy("agregado_id", "chunk_id").agg(F.collect_list("valores").alias("v"))
+            text = plan_text(grouped)
+        after = text[: text.index("l_suppkey")]
+        assert "loc_id" in after and not [line for line in after.splitlines() if "hashpartitioning(chunk_id" in line]
+        assert not [line for line in after.splitlines() if "hashpartitioning" in line and "loc_id" in line]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    landed = star.landed_payloads(spark, str(tmp_path), source).collect()
+    strays = [r.body for r in landed if r.chunk_id is None]
+    dims = {len(star.REGION_CLASSIFICATIONS[i % 6 % 5]) for i in range(9, 60, 10)}
+    assert len(strays) == len(dims)
+    # Three levels and four variables of each sale without a date, and one row of labels in each payload.
+    assert sum(body.count('"V":') for body in strays) <= 6 * 3 * 4 + len(strays)
+    names = [r.chunk_id for r in landed if r.chunk_id is not None]
+    assert {n for n in names if n.startswith("cubo")} == {f"cubo {i}" for i in range(1, 7)}
+
+
 def test_cutting_a_block_does_not_read_the_whole_file(spark, tmp_path):
     """Each block copied the bytes of its whole file, so time grew with the square of a file."""
     lines = spark.range(50).select(F.lit(1).cast("bigint").alias("id"), F.col("id").alias("posicao"), F.col("id").cast("string").alias("linha"))
